@@ -95,11 +95,7 @@ def publish(
     ``fmt="parquet"`` appends a stored log partitioned by the key partitioner; ``fmt="kafka"`` writes to
     a topic with the connector (the broker assigns offsets).
     """
-    records = df.select(
-        key.cast("string").alias("key"),
-        encode_post(fields).alias("value"),
-        F.lit(topic).alias("topic"),
-    ).withColumn("partition", key_partition(F.col("key"), n_partitions))
+    records = published_records(df, fields, key, topic, n_partitions)
     if fmt == "kafka":
         from ..sources.kafka import kafka_write_options
 
@@ -109,6 +105,15 @@ def publish(
     return records
 
 
+def published_records(df: DataFrame, fields: dict, key, topic: str, n_partitions: int) -> DataFrame:
+    """K1/F2: the records a producer sends for ``df``: key, JSON value, topic and key partition."""
+    return df.select(
+        key.cast("string").alias("key"),
+        encode_post(fields).alias("value"),
+        F.lit(topic).alias("topic"),
+    ).withColumn("partition", key_partition(F.col("key"), n_partitions))
+
+
 def sink_jdbc(rows: DataFrame, url: str, table: str, staging_table: str, properties: dict | None = None) -> None:
     """K4: deliver a batch to a JDBC table without duplicates.
 

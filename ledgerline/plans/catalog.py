@@ -1,31 +1,345 @@
 """Named queries over the given tables: each takes (spark, sf_dir) and returns a DataFrame.
 
 Every query reads `events` (through the stored log L1 derived from it) or another given table, so its
-work grows with the data.
+work grows with the data. Scenario values (which partitions a reader is assigned, how far a consumer
+got before it stopped) are fixed below.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.codec import decode_posts
-from ..operators.sink import first_success_per_key
-from ..sources.log import stored_log
+from ..operators.audit import audit_duplicates, audit_missing
+from ..operators.ledger import (
+    commit_ledger,
+    commits_per_batch,
+    highest_offset,
+    records_by_partition,
+    resume_from_ledger,
+    resume_from_sink,
+    sink_max_offset,
+)
+from ..operators.ordering import decouple, merge_partitions, ordered_positions, per_partition
+from ..operators.projections import deliveries, drop_tombstones, for_partition, next_offsets, split_bad
+from ..operators.sink import first_success_per_key, new_ids, published_records, read_sink, write_sink_batch
+from ..operators.split import assign_splits, even_split
+from ..schema import TOPIC
+from ..session import scratch_path
+from ..sources.fixtures import post_fields
+from ..sources.log import log_partitions, partition_count, poll_batches, read_log, stored_log, stored_log_path
 
+# Fixed scenario values: partitions assigned to one reader; the consumer that stopped after its first
+# three polls of every partition (offsets below 300); chunk counts for splitting; processing lanes.
+ASSIGNED = [3, 7, 11]
+STOPPED_BELOW = 300
+PREDICATE_PARTITION = 7
+SPLIT_K = 7
+READERS_K = 6
+LANES = 13
+PUBLISH_PARTITIONS = 20
 
-def q_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+_sinks: dict[tuple, str] = {}
+
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_log(spark, sf_dir)
+
+
+def stopped_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result table of a consumer that stored everything below offset ``STOPPED_BELOW`` (batch 0)."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "stopped")
+    if key not in _sinks:
+        path = scratch_path(spark, "sink-stopped")
+        done = _log(spark, sf_dir).where(F.col("offset") < STOPPED_BELOW)
+        write_sink_batch(first_success_per_key(decode_posts(done)), path, 0)
+        _sinks[key] = path
+    return read_sink(spark, _sinks[key])
+
+
+def full_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "full")
+    if key not in _sinks:
+        path = scratch_path(spark, "sink-full")
+        write_sink_batch(first_success_per_key(decode_posts(_log(spark, sf_dir))), path, 0)
+        _sinks[key] = path
+    return read_sink(spark, _sinks[key])
+
+
+# --- scans and sources -------------------------------------------------------------------------------
+
+def q_log_scan(spark, sf_dir):
     """The whole topic as a table."""
-    return stored_log(spark, sf_dir).select("key", "value", "topic", "partition", "offset")
+    return _log(spark, sf_dir).select("key", "value", "topic", "partition", "offset")
+
+
+def q_assigned_scan(spark, sf_dir):
+    """Only the assigned partitions (directory pruning)."""
+    log = read_log(spark, stored_log_path(spark, sf_dir), partitions=ASSIGNED)
+    return log.select("key", "value", "topic", "partition", "offset")
+
+
+def q_poll_batches(spark, sf_dir):
+    """Each record's poll when a poll reads at most 100 records per partition."""
+    return poll_batches(_log(spark, sf_dir)).select("key", "partition", "offset", "poll")
+
+
+def q_partition_list(spark, sf_dir):
+    """S7."""
+    return log_partitions(_log(spark, sf_dir))
+
+
+def q_partition_count(spark, sf_dir):
+    """S8."""
+    return partition_count(_log(spark, sf_dir))
+
+
+# --- projections and filters ------------------------------------------------------------------------
+
+def q_drop_tombstones(spark, sf_dir):
+    """P1."""
+    return drop_tombstones(_log(spark, sf_dir)).select("key", "value", "partition", "offset")
+
+
+def q_post_deliveries(spark, sf_dir):
+    """(post id, partition, offset) of every delivered post, retries included."""
+    return deliveries(decode_posts(_log(spark, sf_dir)))
+
+
+def q_next_offsets(spark, sf_dir):
+    """Committable offset of each record."""
+    return next_offsets(_log(spark, sf_dir))
+
+
+def q_partition_predicate(spark, sf_dir):
+    """Stored rows of one (topic, partition)."""
+    rows = for_partition(stopped_sink(spark, sf_dir), TOPIC, PREDICATE_PARTITION)
+    return rows.select("id", "post_json", "topic_partition", "partition_offset")
+
+
+def q_quarantine(spark, sf_dir):
+    """Records that cannot be stored, with the reason."""
+    _, bad = split_bad(decode_posts(_log(spark, sf_dir)))
+    return bad.select("key", "value", "partition", "offset", "reason")
+
+
+def q_decode_posts(spark, sf_dir):
+    """strictly decoded posts."""
+    decoded = decode_posts(_log(spark, sf_dir)).where(F.col("decode_status") == "ok")
+    return decoded.select("post.*", "partition", "offset")
+
+
+# --- ledgers and resume -----------------------------------------------------------------------------
+
+def q_commit_ledger(spark, sf_dir):
+    """G1/K6: next offset per partition after reading the whole log."""
+    return commit_ledger(_log(spark, sf_dir))
+
+
+def q_highest_offset(spark, sf_dir):
+    """Highest delivered offset per partition, computed from work done in decoupled lanes."""
+    lanes = decouple(decode_posts(_log(spark, sf_dir)), LANES)
+    return highest_offset(lanes.where(F.col("decode_status") == "ok"))
+
+
+def q_sink_max_offset(spark, sf_dir):
+    """Resume position per partition from the stopped consumer's table; 0 when none stored."""
+    return sink_max_offset(stopped_sink(spark, sf_dir), log_partitions(_log(spark, sf_dir)))
+
+
+def q_records_by_partition(spark, sf_dir):
+    """G4."""
+    return records_by_partition(_log(spark, sf_dir))
+
+
+def q_commits_per_batch(spark, sf_dir):
+    """G5."""
+    return commits_per_batch(_log(spark, sf_dir))
+
+
+def q_resume_from_sink(spark, sf_dir):
+    """J1/S4 inclusive: what the stopped consumer reads when it restarts from its result table."""
+    return resume_from_sink(_log(spark, sf_dir), stopped_sink(spark, sf_dir)).select("key", "partition", "offset")
+
+
+def q_resume_from_ledger(spark, sf_dir):
+    """J1 exclusive: restart from the committed ledger of the stopped consumer."""
+    log = _log(spark, sf_dir)
+    ledger = commit_ledger(log.where(F.col("offset") < STOPPED_BELOW))
+    return resume_from_ledger(log, ledger).select("key", "partition", "offset")
+
+
+def q_new_ids_only(spark, sf_dir):
+    """J2 batch form: records after the stop whose key is not stored yet."""
+    log = _log(spark, sf_dir)
+    later = log.where(F.col("offset") >= STOPPED_BELOW)
+    return new_ids(later, stopped_sink(spark, sf_dir), key_col="key").select("key", "partition", "offset")
+
+
+# --- ordering, split, merge ---------------------------------------------------------------------------
+
+def q_ordered_position(spark, sf_dir):
+    """O1: position of each delivered record in its partition, in offset order."""
+    return ordered_positions(drop_tombstones(_log(spark, sf_dir))).select("key", "partition", "offset", "position")
+
+
+def q_decoupled_process(spark, sf_dir):
+    """O2: decode in lanes independent of the log partitions (order-free result)."""
+    decoded = decode_posts(decouple(_log(spark, sf_dir), LANES)).where(F.col("decode_status") == "ok")
+    return decoded.select(F.col("post.id").alias("post_id"), F.col("post.author").alias("author"), "partition", "offset")
+
+
+def _chunk_summary(frames):
+    import pandas as pd
+
+    for pdf in frames:
+        if pdf.empty:
+            continue
+        g = pdf.groupby(["topic", "partition"], sort=False)
+        out = pd.DataFrame(
+            {
+                "n_records": g.size(),
+                "n_tombstones": g["value"].apply(lambda s: int(s.isna().sum())),
+                "first_offset": g["offset"].min(),
+                "last_offset": g["offset"].max(),
+            }
+        ).reset_index()
+        yield out
+
+
+_CHUNK_SCHEMA = "topic string, partition int, n_records long, n_tombstones long, first_offset long, last_offset long"
+
+
+def q_per_partition_summary(spark, sf_dir):
+    """O3: a pandas function per partition sub-stream; partial results combined per partition."""
+    parts = per_partition(_log(spark, sf_dir), _chunk_summary, _CHUNK_SCHEMA)
+    return parts.groupBy("topic", "partition").agg(
+        F.sum("n_records").alias("n_records"),
+        F.sum("n_tombstones").alias("n_tombstones"),
+        F.min("first_offset").alias("first_offset"),
+        F.max("last_offset").alias("last_offset"),
+    )
+
+
+def q_even_split_equal(spark, sf_dir):
+    """O5, tail rows spread over the first chunks."""
+    return even_split(_log(spark, sf_dir), SPLIT_K, ["partition", "offset"], equal=True).select(
+        "key", "partition", "offset", "split_id"
+    )
+
+
+def q_even_split_last(spark, sf_dir):
+    """O5, tail rows all in the last chunk."""
+    return even_split(_log(spark, sf_dir), SPLIT_K, ["partition", "offset"], equal=False).select(
+        "key", "partition", "offset", "split_id"
+    )
+
+
+def q_reader_assignment(spark, sf_dir):
+    """The partition list split over readers."""
+    assigned = assign_splits(log_partitions(_log(spark, sf_dir)), READERS_K)
+    return assigned.select("split_id", F.col("partitions").cast("string").alias("partitions"))
+
+
+def q_merged_scan(spark, sf_dir):
+    """One scan per reader's assigned partitions, merged into one flow."""
+    path = stored_log_path(spark, sf_dir)
+    plan = assign_splits(log_partitions(_log(spark, sf_dir)), READERS_K).collect()  # <= one row per reader
+    scans = [
+        read_log(spark, path, partitions=list(r["partitions"])).withColumn("split_id", F.lit(r["split_id"]))
+        for r in sorted(plan, key=lambda r: r["split_id"])
+    ]
+    return merge_partitions(scans).select("key", "partition", "offset", "split_id")
+
+
+# --- publish, callbacks, audits -----------------------------------------------------------------------
+
+def q_publish_encode(spark, sf_dir):
+    """The records a producer sends for every event."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return published_records(events, post_fields(events), F.col("event_id"), TOPIC, PUBLISH_PARTITIONS)
+
+
+def _document_post(docs):
+    return {"id": F.col("doc_id"), "author": F.col("source"), "description": F.col("lang"), "text": F.col("text")}
+
+
+def q_publish_roundtrip(spark, sf_dir):
+    """K1 + F1: documents published to a stored log, read back and decoded (long texts, quotes, nulls)."""
+    from ..operators.sink import publish
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    path = scratch_path(spark, "published")
+    publish(docs, _document_post(docs), F.col("doc_id"), "documents", PUBLISH_PARTITIONS, path=path)
+    back = spark.read.schema("key string, value string, topic string, partition int").parquet(path)
+    decoded = decode_posts(back).where(F.col("decode_status") == "ok")
+    return decoded.select("post.*", "partition")
+
+
+def q_udf_process(spark, sf_dir):
+    """The standard per-record callback as a DataFrame -> DataFrame function."""
+
+    def report(df: DataFrame) -> DataFrame:
+        return df.select(
+            F.concat(
+                F.lit("Post id: "), F.col("post_id"), F.lit(" --- partition: "), F.col("partition").cast("string"),
+                F.lit(" --- offset: "), F.col("offset").cast("string"),
+            ).alias("line")
+        )
+
+    return deliveries(decode_posts(_log(spark, sf_dir))).transform(report)
+
+
+def q_audit_duplicates(spark, sf_dir):
+    """Posts delivered more than once (producer retries)."""
+    return audit_duplicates(deliveries(decode_posts(_log(spark, sf_dir))), ["post_id", "partition"])
+
+
+def q_audit_missing(spark, sf_dir):
+    """Log records that the result table does not hold, and whether their key is stored."""
+    return audit_missing(_log(spark, sf_dir), full_sink(spark, sf_dir))
 
 
-def q_first_success_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_first_success_per_key(spark, sf_dir):
     """Q3 batch twin of the effectively-once sink: first storable record per key."""
-    return first_success_per_key(decode_posts(stored_log(spark, sf_dir)))
+    return first_success_per_key(decode_posts(_log(spark, sf_dir)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_scan": q_log_scan,
+    "assigned_scan": q_assigned_scan,
+    "poll_batches": q_poll_batches,
+    "partition_list": q_partition_list,
+    "partition_count": q_partition_count,
+    "drop_tombstones": q_drop_tombstones,
+    "post_deliveries": q_post_deliveries,
+    "next_offsets": q_next_offsets,
+    "partition_predicate": q_partition_predicate,
+    "quarantine": q_quarantine,
+    "decode_posts": q_decode_posts,
+    "commit_ledger": q_commit_ledger,
+    "highest_offset": q_highest_offset,
+    "sink_max_offset": q_sink_max_offset,
+    "records_by_partition": q_records_by_partition,
+    "commits_per_batch": q_commits_per_batch,
+    "resume_from_sink": q_resume_from_sink,
+    "resume_from_ledger": q_resume_from_ledger,
+    "new_ids_only": q_new_ids_only,
+    "ordered_position": q_ordered_position,
+    "decoupled_process": q_decoupled_process,
+    "per_partition_summary": q_per_partition_summary,
+    "even_split_equal": q_even_split_equal,
+    "even_split_last": q_even_split_last,
+    "reader_assignment": q_reader_assignment,
+    "merged_scan": q_merged_scan,
+    "publish_encode": q_publish_encode,
+    "publish_roundtrip": q_publish_roundtrip,
+    "udf_process": q_udf_process,
+    "audit_duplicates": q_audit_duplicates,
+    "audit_missing": q_audit_missing,
     "first_success_per_key": q_first_success_per_key,
 }

@@ -64,8 +64,147 @@ def field(name: str) -> str:
     return f"json_extract_string(value, '$.{name}')"
 
 
+def firsts_of(source: str) -> str:
+    """Q3 over a subset of the decoded log."""
+    return f"""(select key as id, coalesce(value, 'null') as post_json, topic,
+         partition::bigint as topic_partition, "offset" as partition_offset
+  from (select *, row_number() over (partition by key order by partition, "offset") as rn
+        from ({source}) s where decode_status in ('ok', 'skip') and key is not null) r
+  where rn = 1)"""
+
+
+# the consumer that stopped after offsets below 300 (see plans.catalog.STOPPED_BELOW)
+STOPPED = firsts_of('select * from decoded where "offset" < 300')
+
+
+def split_case(pos: str, n: str, k: int, equal: bool) -> str:
+    q = f"({n} // {k})"
+    tail = f"({pos} - {q} * {k})" if equal else str(k - 1)
+    return f"(case when {pos} < {q} * {k} then {pos} // {q} else {tail} end)::int"
+
+
+def _even_split(equal: bool) -> str:
+    return with_log(f"""
+select key, partition, "offset", {split_case('i', 'n', 7, equal)} as split_id
+from (select *, row_number() over (order by partition, "offset") - 1 as i, count(*) over () as n from log) t""")
+
+
+READERS = f"""
+readers as (
+  select topic, partition, {split_case('i', 'n', 6, True)} as split_id
+  from (select topic, partition, row_number() over (order by topic, partition) - 1 as i, count(*) over () as n
+        from (select distinct topic, partition from log) p) t)"""
+
+_POST_COLS = ", ".join(f"{field(f)} as {f}" for f in POST_FIELDS)
+_DOC_PARTITION = "((('0x' || substr(md5(doc_id::varchar), 1, 8))::bigint) % 20)::int"
+_EVENT_PARTITION = "((('0x' || substr(md5(event_id::varchar), 1, 8))::bigint) % 20)::int"
+
 ORACLE: dict[str, str] = {
     "log_scan": with_log('select key, value, topic, partition, "offset" from log'),
+    "assigned_scan": with_log('select key, value, topic, partition, "offset" from log where partition in (3, 7, 11)'),
+    "poll_batches": with_log('select key, partition, "offset", "offset" // 100 as poll from log'),
+    "partition_list": with_log("select distinct topic, partition from log"),
+    "partition_count": with_log("select topic, count(distinct partition)::bigint as n_partitions from log group by topic"),
+    "drop_tombstones": with_log('select key, value, partition, "offset" from log where value is not null'),
+    "post_deliveries": with_log(
+        f"""select {field('id')} as post_id, partition, "offset" from decoded where decode_status = 'ok'""", decoded=True
+    ),
+    "next_offsets": with_log('select topic, partition, "offset" + 1 as next_offset from log'),
+    "partition_predicate": with_log(
+        f"""select id, post_json, topic_partition, partition_offset from {STOPPED} s
+            where topic = 'posts' and topic_partition = 7""", decoded=True
+    ),
+    "quarantine": with_log(
+        """select key, value, partition, "offset",
+                  case when key is null then 'null_key' else decode_status end as reason
+           from decoded where key is null or decode_status not in ('ok', 'skip')""", decoded=True
+    ),
+    "decode_posts": with_log(
+        f"""select {_POST_COLS}, partition, "offset" from decoded where decode_status = 'ok'""", decoded=True
+    ),
+    "commit_ledger": with_log('select topic, partition, max("offset") + 1 as next_offset from log group by topic, partition'),
+    "highest_offset": with_log(
+        """select topic, partition, max("offset") as max_offset, max("offset") + 1 as next_offset
+           from decoded where decode_status = 'ok' group by topic, partition""", decoded=True
+    ),
+    "sink_max_offset": with_log(
+        f"""select p.topic, p.partition, coalesce(s.max_offset, 0)::bigint as max_offset
+            from (select distinct topic, partition from log) p
+            left join (select topic, topic_partition::int as partition, max(partition_offset) as max_offset
+                       from {STOPPED} x group by 1, 2) s
+              on p.topic = s.topic and p.partition = s.partition""", decoded=True
+    ),
+    "records_by_partition": with_log(
+        """select "offset" // 100 as poll, topic, partition, count(*) as n_records, count(value) as n_values,
+                  min("offset") as first_offset, max("offset") as last_offset
+           from log group by 1, 2, 3"""
+    ),
+    "commits_per_batch": with_log(
+        """select topic, partition, "offset" // 100 as poll, max("offset") + 1 as committed_offset, count(*) as n_records
+           from log group by 1, 2, 3"""
+    ),
+    "resume_from_sink": with_log(
+        f"""select l.key, l.partition, l."offset" from log l
+            left join (select topic, topic_partition::int as partition, max(partition_offset) as start
+                       from {STOPPED} x group by 1, 2) s
+              on l.topic = s.topic and l.partition = s.partition
+            where l."offset" >= coalesce(s.start, 0)""", decoded=True
+    ),
+    "resume_from_ledger": with_log(
+        """select l.key, l.partition, l."offset" from log l
+           left join (select topic, partition, max("offset") + 1 as start from log where "offset" < 300 group by 1, 2) s
+             on l.topic = s.topic and l.partition = s.partition
+           where l."offset" >= coalesce(s.start, 0)"""
+    ),
+    "new_ids_only": with_log(
+        f"""select key, partition, "offset" from log
+            where "offset" >= 300 and key not in (select id from {STOPPED} x)""", decoded=True
+    ),
+    "ordered_position": with_log(
+        """select key, partition, "offset", row_number() over (partition by topic, partition order by "offset") - 1 as position
+           from log where value is not null"""
+    ),
+    "decoupled_process": with_log(
+        f"""select {field('id')} as post_id, {field('author')} as author, partition, "offset"
+            from decoded where decode_status = 'ok'""", decoded=True
+    ),
+    "per_partition_summary": with_log(
+        """select topic, partition, count(*) as n_records, count(*) - count(value) as n_tombstones,
+                  min("offset") as first_offset, max("offset") as last_offset
+           from log group by topic, partition"""
+    ),
+    "even_split_equal": _even_split(True),
+    "even_split_last": _even_split(False),
+    "reader_assignment": LOG_CTE + "," + READERS + """
+select split_id, list(partition order by partition)::varchar as partitions from readers group by split_id""",
+    "merged_scan": LOG_CTE + "," + READERS + """
+select l.key, l.partition, l."offset", r.split_id from log l join readers r on l.topic = r.topic and l.partition = r.partition""",
+    "publish_encode": f"""
+select event_id::varchar as key,
+       json_object('id', event_id::varchar, 'author', 'author' || user_id, 'description', 'description' || event_type,
+                   'text', props, 'createdAt', strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ'),
+                   'updatedAt', strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ'))::varchar as value,
+       'posts' as topic, {_EVENT_PARTITION} as partition
+from events""",
+    "publish_roundtrip": f"""
+select doc_id::varchar as id, source as author, lang as description, text,
+       null::varchar as createdAt, null::varchar as updatedAt, {_DOC_PARTITION} as partition
+from documents""",
+    "udf_process": with_log(
+        f"""select 'Post id: ' || {field('id')} || ' --- partition: ' || partition || ' --- offset: ' || "offset" as line
+            from decoded where decode_status = 'ok'""", decoded=True
+    ),
+    "audit_duplicates": with_log(
+        f"""select post_id, partition, count(*) as copies, min("offset") as first_offset, max("offset") as last_offset
+            from (select {field('id')} as post_id, partition, "offset" from decoded where decode_status = 'ok') d
+            group by post_id, partition having count(*) > 1""", decoded=True
+    ),
+    "audit_missing": with_log(
+        f"""select l.key, l.topic, l.partition, l."offset", (l.key in (select id from firsts)) as key_stored
+            from log l
+            where not exists (select 1 from firsts f where f.topic = l.topic and f.topic_partition = l.partition
+                              and f.partition_offset = l."offset")""", firsts=True
+    ),
     "first_success_per_key": with_log(
         "select id, post_json, topic, topic_partition, partition_offset from firsts", firsts=True
     ),
