@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codec import encode_post, key_partition
 from ..schema import SINK_COLUMNS, SINK_SCHEMA
-from ..sources.log import file_exists
+from ..session import path_exists
 from .joins import BROADCAST_MAX_ROWS
 from .projections import split_bad
 
@@ -55,7 +55,7 @@ def init_sink(spark: SparkSession, path: str, reset: bool = False) -> DataFrame:
 
     A new checkpoint restarts batch ids at 0, so it must start on a new or emptied sink.
     """
-    if file_exists(path) and not reset:
+    if path_exists(spark, path) and not reset:
         existing = spark.read.schema(SINK_SCHEMA).parquet(path)
         if existing.limit(1).count() > 0:
             raise ValueError(f"sink {path} is not empty; pass reset=True to start over")

@@ -343,3 +343,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audit_missing": q_audit_missing,
     "first_success_per_key": q_first_success_per_key,
 }
+
+from .streams import STREAM_QUERIES  # noqa: E402
+
+QUERIES.update(STREAM_QUERIES)

@@ -209,3 +209,21 @@ from documents""",
         "select id, post_json, topic, topic_partition, partition_offset from firsts", firsts=True
     ),
 }
+
+
+_DELIVERED = f"""select {field('id')} as post_id, partition, "offset" from decoded where decode_status = 'ok'"""
+
+ORACLE.update({
+    "log_stream_scan": ORACLE["log_scan"],
+    "key_value_stream": with_log("select key, value from log"),
+    "at_least_once_stream": ORACLE["post_deliveries"],
+    "assigned_stream": with_log(_DELIVERED + " and partition in (3, 7, 11)", decoded=True),
+    "exactly_once_sink": ORACLE["first_success_per_key"],
+    "stream_ledger": ORACLE["commit_ledger"],
+    "resume_stream": with_log(
+        f"""select post_id, partition, "offset", count(*) as deliveries from ({_DELIVERED}) d
+            group by post_id, partition, "offset" """, decoded=True),
+    "replay_stream": with_log(
+        f"""select post_id, partition, "offset", 2 * count(*) as deliveries from ({_DELIVERED}) d
+            group by post_id, partition, "offset" """, decoded=True),
+})

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import join_bounded
 from ..schema import LOG_COLUMNS, LOG_SCHEMA, MAX_RECORDS_PER_POLL
-from ..session import local_path, scratch_path
+from ..session import scratch_path
 from .fixtures import derived_log
 
 _stored: dict[tuple[str, str], str] = {}
+POLL_PREFIX = "poll-"
 
 
 def write_log(log: DataFrame, path: str, mode: str = "errorifexists") -> str:
@@ -123,7 +124,7 @@ def write_poll_files(
         polls = range(0, 0 if last is None else int(last) // records_per_file + 1)
     written = []
     for i in polls:
-        out = f"{directory}/poll-{i:08d}"
+        out = f"{directory}/{POLL_PREFIX}{i:08d}"
         lo, hi = i * records_per_file, (i + 1) * records_per_file
         log.where((F.col("offset") >= lo) & (F.col("offset") < hi)).coalesce(1).write.parquet(out)
         written.append(out)
@@ -155,10 +156,11 @@ def read_log_stream(
             F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
         )
     elif source == "files":
+        # poll files live in one folder each (see write_poll_files); the glob is listed again per trigger
         log = (
             spark.readStream.schema(LOG_SCHEMA)
             .option("maxFilesPerTrigger", max_files_per_trigger)
-            .parquet(path)
+            .parquet(f"{path.rstrip('/')}/{POLL_PREFIX}*")
             .select(*LOG_COLUMNS)
         )
     else:
@@ -168,7 +170,3 @@ def read_log_stream(
     if partitions is not None:
         log = log.where(F.col("partition").isin(list(partitions)))
     return log
-
-
-def file_exists(path: str) -> bool:
-    return os.path.exists(local_path(path))
