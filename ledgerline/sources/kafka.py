@@ -29,8 +29,8 @@ def kafka_options(
     """
     if not bootstrap:
         raise ValueError("bootstrap servers are required")
-    if (topic is None) == (partitions is None and topic is None):
-        raise ValueError("give a topic")
+    if topic is None:
+        raise ValueError("a topic is required")
     opts: dict[str, str] = {"kafka.bootstrap.servers": bootstrap}
     if partitions is None:
         opts["subscribe"] = topic
