@@ -14,7 +14,11 @@ from pyspark.sql import types as T
 from ..schema import POST_FIELDS, POST_SCHEMA
 
 CORRUPT = "_corrupt"
-_PARSE_SCHEMA = T.StructType([*POST_SCHEMA.fields, T.StructField(CORRUPT, T.StringType(), True)])
+# One parse gives every field as VARIANT: its text (cast to string, numbers and booleans coerced as a
+# strict mapper does), its kind (objects and arrays are errors for a string field) and the corrupt text.
+_PARSE_SCHEMA = T.StructType(
+    [T.StructField(f, T.VariantType(), True) for f in POST_FIELDS] + [T.StructField(CORRUPT, T.StringType(), True)]
+)
 _PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 OK, SKIP = "ok", "skip"
@@ -25,22 +29,18 @@ ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 def parse_post(value: Column) -> Column:
-    """Lenient parse into the post struct (plus the corrupt-record text)."""
+    """Lenient parse: the six fields as VARIANT plus the corrupt-record text."""
     return F.from_json(value, _PARSE_SCHEMA, _PARSE_OPTIONS)
 
 
-def _nested(value: Column, field: str) -> Column:
-    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(value), f"$.{field}", "variant"))
-    return F.coalesce(kind.rlike("^(OBJECT|ARRAY)"), F.lit(False))
-
-
 def decode_status(value: Column, parsed: Column) -> Column:
     """Status of one record under strict object mapping; cheap checks first (CASE is lazy)."""
     known = F.array(*[F.lit(f) for f in POST_FIELDS])
     unknown = F.coalesce(F.size(F.array_except(F.json_object_keys(value), known)) > 0, F.lit(False))
     nested = None
     for f in POST_FIELDS:
-        nested = _nested(value, f) if nested is None else (nested | _nested(value, f))
+        kind = F.coalesce(F.schema_of_variant(parsed[f]).rlike("^(OBJECT|ARRAY)"), F.lit(False))
+        nested = kind if nested is None else (nested | kind)
     return (
         F.when(value.isNull(), F.lit(SKIP))
         .when(value.rlike(r"^\s*$"), F.lit("empty"))
@@ -55,11 +55,14 @@ def decode_posts(log: DataFrame, on_error: str = "quarantine") -> DataFrame:
     """add ``post`` (struct of the six fields) and ``decode_status`` to every log row.
 
     ``on_error="fail"`` raises on the first bad record (fail-stop, T8); ``"quarantine"`` keeps bad rows
-    with their reason so that :func:`split_bad` can route them.
+    with their reason so that :func:`split_bad` can route them. The parse is a column of its own, so
+    the status and the fields read one parse per row.
     """
     if on_error not in ("quarantine", "fail"):
         raise ValueError(f"on_error must be 'quarantine' or 'fail', not {on_error!r}")
-    parsed = parse_post(F.col("value"))
+    parsed_col = "_ll_parsed"
+    staged = log.withColumn(parsed_col, parse_post(F.col("value")))
+    parsed = F.col(parsed_col)
     status = decode_status(F.col("value"), parsed)
     if on_error == "fail":
         message = F.concat(
@@ -67,8 +70,11 @@ def decode_posts(log: DataFrame, on_error: str = "quarantine") -> DataFrame:
             F.col("partition").cast("string"), F.lit("@"), F.col("offset").cast("string"), F.lit(": "), status,
         )
         status = F.when(status.isin(OK, SKIP), status).otherwise(F.raise_error(message).cast("string"))
-    post = F.when(status == OK, F.struct(*[parsed[f].alias(f) for f in POST_FIELDS]))
-    return log.withColumn("post", post).withColumn("decode_status", status)
+    post = F.when(status == OK, F.struct(*[parsed[f].cast("string").alias(f) for f in POST_FIELDS]))
+    # status and post leave through a one-row generator: a later filter on the status then stays above
+    # it instead of being pushed below the parse with the parse expression copied into the predicate
+    result = F.inline(F.array(F.struct(post.alias("post"), status.alias("decode_status"))))
+    return staged.select(*log.columns, result)
 
 
 def iso_text(ts: Column) -> Column:

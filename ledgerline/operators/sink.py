@@ -34,7 +34,13 @@ def first_success_per_key(decoded: DataFrame) -> DataFrame:
     )
 
 
-def new_ids(batch: DataFrame, stored: DataFrame, key_col: str = "id", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def new_ids(
+    batch: DataFrame,
+    stored: DataFrame,
+    key_col: str = "id",
+    max_rows: int = BROADCAST_MAX_ROWS,
+    n_keys: int | None = None,
+) -> DataFrame:
     """Rows of ``batch`` whose key is not yet in ``stored`` (its ``id`` column).
 
     A micro-batch is bounded by the trigger, the stored table is not: the batch's distinct keys are

@@ -119,15 +119,19 @@ def write_poll_files(
     trigger sees each partition in offset order (arrival order equals offset order). Files are written
     one after another, which gives strictly increasing modification times (the file source's order).
     """
-    if polls is None:
-        last = log.agg(F.max("offset")).first()[0]
-        polls = range(0, 0 if last is None else int(last) // records_per_file + 1)
-    written = []
-    for i in polls:
-        out = f"{directory}/{POLL_PREFIX}{i:08d}"
-        lo, hi = i * records_per_file, (i + 1) * records_per_file
-        log.where((F.col("offset") >= lo) & (F.col("offset") < hi)).coalesce(1).write.parquet(out)
-        written.append(out)
+    log = log.persist()
+    try:
+        if polls is None:
+            last = log.agg(F.max("offset")).first()[0]
+            polls = range(0, 0 if last is None else int(last) // records_per_file + 1)
+        written = []
+        for i in polls:
+            out = f"{directory}/{POLL_PREFIX}{i:08d}"
+            lo, hi = i * records_per_file, (i + 1) * records_per_file
+            log.where((F.col("offset") >= lo) & (F.col("offset") < hi)).coalesce(1).write.parquet(out)
+            written.append(out)
+    finally:
+        log.unpersist()
     return written
 
 

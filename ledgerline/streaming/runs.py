@@ -99,11 +99,14 @@ def exactly_once_writer(sink_path: str, ledger_path: str | None = None,
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
+        candidates = None
         try:
             decoded = decode_posts(batch, on_error=on_error)
-            candidates = first_success_per_key(decoded)
+            # computed once: counted for the broadcast check, probed against the sink, then written
+            candidates = first_success_per_key(decoded).persist()
+            n_keys = candidates.count()
             stored = read_sink(spark, sink_path).where(F.col("batch_id") < batch_id)
-            write_sink_batch(new_ids(candidates, stored, key_col="id"), sink_path, batch_id)
+            write_sink_batch(new_ids(candidates, stored, key_col="id", n_keys=n_keys), sink_path, batch_id)
             if quarantine_path:
                 _, bad = split_bad(decoded)
                 (
@@ -116,6 +119,8 @@ def exactly_once_writer(sink_path: str, ledger_path: str | None = None,
             if ledger_path:
                 write_ledger(batch, ledger_path, batch_id)
         finally:
+            if candidates is not None:
+                candidates.unpersist()
             batch.unpersist()
 
     return process
