@@ -60,16 +60,43 @@ def read_log(
     return log
 
 
+# A start map up to this many partitions becomes a static predicate (pushed to the scan).
+SEEK_STATIC_MAX = 1024
+
+
 def seek(log: DataFrame, start_offsets: DataFrame) -> DataFrame:
     """Keep records at or after their partition's start offset (0 when the partition is absent).
 
-    The positions table has one row per partition, so it is broadcast after its size is checked.
+    A start map has one row per partition (bounded by the topic's partition count). Up to
+    ``SEEK_STATIC_MAX`` rows it is turned into a predicate, as a consumer's seek map would be: the scan
+    then prunes partition directories and skips row groups below the starts. Beyond that it is joined
+    (broadcast after the size check).
     """
-    starts = start_offsets.select("topic", "partition", F.col("start_offset").cast("long").alias("_start"))
-    joined = join_bounded(log, starts, ["topic", "partition"], "left")
+    starts = start_offsets.groupBy("topic", "partition").agg(F.max("start_offset").cast("long").alias("_start"))
+    n = starts.count()
+    if n <= SEEK_STATIC_MAX:
+        return log.where(start_predicate(starts.collect())).select(*LOG_COLUMNS)
+    joined = join_bounded(log, starts, ["topic", "partition"], "left", rows=n)
     return joined.where(F.col("offset") >= F.coalesce(F.col("_start"), F.lit(0))).drop("_start").select(*LOG_COLUMNS)
 
 
+def start_predicate(starts: list) -> Column:
+    """Records at or after ``{(topic, partition): start}``; unlisted partitions are read from 0."""
+    by_topic: dict[str, list[tuple[int, int]]] = {}
+    for row in starts:
+        by_topic.setdefault(row["topic"], []).append((int(row["partition"]), int(row["_start"] or 0)))
+    cond = None
+    for topic, parts in sorted(by_topic.items()):
+        listed = [p for p, _ in parts]
+        inside = ~F.col("partition").isin(listed)
+        for p, start in sorted(parts):
+            inside = inside | ((F.col("partition") == p) & (F.col("offset") >= start))
+        term = (F.col("topic") == topic) & inside
+        cond = term if cond is None else cond | term
+    unlisted_topic = ~F.col("topic").isin(sorted(by_topic)) if by_topic else F.lit(True)
+    return unlisted_topic if cond is None else (cond | unlisted_topic)
+
+
 def stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived log L1 of ``sf_dir`` as a stored table, written once per application."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
