@@ -70,16 +70,26 @@ def commits_per_batch(log: DataFrame, max_records: int = MAX_RECORDS_PER_POLL) -
     )
 
 
-def resume_from_sink(log: DataFrame, sink: DataFrame, inclusive: bool = True) -> DataFrame:
-    """Read each partition from the max stored offset (inclusive, as the stored-offset reader does;
-    the re-read record is then rejected by the key check), or from 0 when nothing is stored."""
-    stored = sink_max_offset(sink)
+def starts_from_sink(sink: DataFrame, inclusive: bool = True) -> DataFrame:
+    """Start positions (topic, partition, start_offset) from a result table: its max stored offset,
+    inclusive as the stored-offset reader does (the re-read record is then rejected by the key check)."""
     shift = 0 if inclusive else 1
-    starts = stored.select("topic", "partition", (F.col("max_offset") + shift).alias("start_offset"))
-    return seek(log, starts)
+    return sink_max_offset(sink).select("topic", "partition", (F.col("max_offset") + shift).alias("start_offset"))
+
+
+def starts_from_ledger(ledger: DataFrame) -> DataFrame:
+    """Start positions from a ledger: the committed next offset (exclusive of what was processed)."""
+    return ledger.groupBy("topic", "partition").agg(F.max("next_offset").alias("start_offset"))
+
+
+def resume_from_sink(log: DataFrame, sink: DataFrame, inclusive: bool = True) -> DataFrame:
+    """Each partition from its max stored offset, or from 0 when nothing is stored.
+
+    For a stored log prefer ``read_log(path, start_offsets=starts_from_sink(sink))`` (exact pushdown).
+    """
+    return seek(log, starts_from_sink(sink, inclusive))
 
 
 def resume_from_ledger(log: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Read each partition from its committed next offset (exclusive of what was processed)."""
-    starts = ledger.groupBy("topic", "partition").agg(F.max("next_offset").alias("start_offset"))
-    return seek(log, starts)
+    """Each partition from its committed next offset, or from 0 when absent."""
+    return seek(log, starts_from_ledger(ledger))

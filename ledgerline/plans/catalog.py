@@ -21,8 +21,8 @@ from ..operators.ledger import (
     highest_offset,
     records_by_partition,
     resume_from_ledger,
-    resume_from_sink,
     sink_max_offset,
+    starts_from_sink,
 )
 from ..operators.ordering import decouple, merge_partitions, ordered_positions, per_partition
 from ..operators.projections import deliveries, drop_tombstones, for_partition, next_offsets, split_bad
@@ -162,12 +162,14 @@ def q_commits_per_batch(spark, sf_dir):
 
 
 def q_resume_from_sink(spark, sf_dir):
-    """J1/S4 inclusive: what the stopped consumer reads when it restarts from its result table."""
-    return resume_from_sink(_log(spark, sf_dir), stopped_sink(spark, sf_dir)).select("key", "partition", "offset")
+    """J1/S4 inclusive: what the stopped consumer reads when it restarts from its result table
+    (a seek on the stored log: one pruned scan per partition, offsets pushed to the row groups)."""
+    starts = starts_from_sink(stopped_sink(spark, sf_dir))
+    return read_log(spark, stored_log_path(spark, sf_dir), start_offsets=starts).select("key", "partition", "offset")
 
 
 def q_resume_from_ledger(spark, sf_dir):
-    """J1 exclusive: restart from the committed ledger of the stopped consumer."""
+    """J1 exclusive: restart from the committed ledger of the stopped consumer (seek on a DataFrame)."""
     log = _log(spark, sf_dir)
     ledger = commit_ledger(log.where(F.col("offset") < STOPPED_BELOW))
     return resume_from_ledger(log, ledger).select("key", "partition", "offset")

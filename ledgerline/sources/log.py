@@ -56,10 +56,39 @@ def read_log(
     if partitions is not None:
         log = log.where(F.col("partition").isin(list(partitions)))
     if start_offsets is not None:
-        log = seek(log, start_offsets)
+        log = seek_scan(log, start_offsets)
     return log
 
 
+# Up to this many listed partitions a seek over a stored log is one pruned scan per partition.
+SEEK_SCANS_MAX = 64
+
+
+def seek_scan(scan: DataFrame, start_offsets: DataFrame) -> DataFrame:
+    """S4 over a *scan* of a stored log: one scan per listed partition, each pruned to its directory
+    with ``offset >= start`` pushed to the row groups, plus one scan of the unlisted partitions from 0.
+
+    Only for a bare scan (each branch re-reads its own files); any other frame goes through :func:`seek`.
+    """
+    starts = start_offsets.groupBy("topic", "partition").agg(F.max("start_offset").cast("long").alias("_start"))
+    if starts.count() > SEEK_SCANS_MAX:
+        return seek(scan, start_offsets)
+    rows = sorted(starts.collect(), key=lambda r: (r["topic"], r["partition"]))
+    branches = [
+        scan.where((F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"]) & (F.col("offset") >= (r["_start"] or 0)))
+        for r in rows
+    ]
+    listed = None
+    for r in rows:
+        term = (F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"])
+        listed = term if listed is None else (listed | term)
+    branches.append(scan if listed is None else scan.where(~listed))
+    out = branches[0]
+    for b in branches[1:]:
+        out = out.unionByName(b)
+    return out
+
+
 # A start map up to this many partitions becomes a static predicate (pushed to the scan).
 SEEK_STATIC_MAX = 1024
 

@@ -58,3 +58,29 @@ def test_offset_predicate_is_pushed_and_columns_pruned(spark):
     filters = scan_filters(df)
     assert any("offset" in f for f in filters["PushedFilters"])
     assert all("value" not in s for s in filters["ReadSchema"])
+
+
+def test_seek_scan_equals_seek_and_pushes_offsets(spark):
+    from ledgerline.sources.log import seek
+
+    path = stored_log_path(spark, SF001)
+    starts = spark.createDataFrame([("posts", 3, 10), ("posts", 4, 0), ("posts", 9, 1000)],
+                                   "topic string, partition int, start_offset long")
+    exact = read_log(spark, path, start_offsets=starts)
+    generic = seek(stored_log(spark, SF001), starts)
+    assert exact.exceptAll(generic).count() == 0 and generic.exceptAll(exact).count() == 0
+    pushed = scan_filters(exact)["PushedFilters"]
+    assert any("GreaterThanOrEqual(offset,10)" in f for f in pushed)
+
+
+def test_partition_predicate_on_sink_is_pushed(spark, scratch):
+    from ledgerline.functions.codec import decode_posts
+    from ledgerline.operators.projections import for_partition
+    from ledgerline.operators.sink import first_success_per_key, read_sink, write_sink_batch
+
+    path = scratch("sink")
+    write_sink_batch(first_success_per_key(decode_posts(stored_log(spark, SF001))), path, 0)
+    rows = for_partition(read_sink(spark, path), "posts", 7)
+    pushed = " ".join(scan_filters(rows)["PushedFilters"])
+    assert "EqualTo(topic_partition,7)" in pushed and "EqualTo(topic,posts)" in pushed
+    assert {r[0] for r in rows.select("topic_partition").distinct().collect()} == {7}

@@ -110,3 +110,12 @@ def test_audit_missing_lists_bad_and_duplicate_records(spark, scratch, polls):
     dup_keys = missing.where("key_stored").count()
     assert missing.count() == bad + dup_keys
     assert missing.where(~F.col("key_stored")).count() == bad
+
+
+def test_fail_stop_stream_raises_on_bad_record(spark, scratch, polls):
+    sink, ckpt = scratch("sink"), scratch("ckpt")
+    init_sink(spark, sink)
+    process = exactly_once_writer(sink, on_error="fail")
+    q = start_batches(read_log_stream(spark, "files", path=polls), process, ckpt)
+    with pytest.raises(Exception, match="bad record"):
+        drain(q)
