@@ -84,20 +84,30 @@ def in_partition_order(
     fn: Callable,
     schema: T.StructType | str,
     num_partitions: int | None = None,
+    lanes: str = "range",
 ) -> DataFrame:
     """O1: run ``fn`` (iterator of pandas frames -> iterator of pandas frames) over each partition in offset order.
 
-    Rows are range-partitioned on (topic, partition, offset) and sorted inside each task, so every task
-    sees one or more contiguous, ascending offset ranges; a hot log partition is spread over several
-    tasks. ``fn`` must therefore not carry state from one range to the next (combine ranges with a
-    prefix step, as :func:`dense_positions` does, when it needs to).
+    ``lanes="range"`` (default): rows are range-partitioned on (topic, partition, offset) and sorted in
+    each task, so every task sees contiguous ascending offset ranges and a hot log partition is spread
+    over several tasks; ``fn`` must not carry state from one range to the next (combine ranges with a
+    prefix step, as :func:`dense_positions` does).
+
+    ``lanes="partition"``: one task sees *all* of a log partition, strictly in offset order (one
+    sequential lane per partition, as a consumer per partition has). The price is that a hot partition
+    is one task; use it only when ``fn`` really needs the whole partition in sequence.
     """
     keys = ["topic", "partition", "offset"]
-    ranged = log.repartitionByRange(num_partitions, *keys) if num_partitions else log.repartitionByRange(*keys)
+    if lanes == "range":
+        placed = log.repartitionByRange(num_partitions, *keys) if num_partitions else log.repartitionByRange(*keys)
+    elif lanes == "partition":
+        placed = log.repartition(num_partitions, "topic", "partition") if num_partitions else log.repartition("topic", "partition")
+    else:
+        raise ValueError(f"lanes must be 'range' or 'partition', not {lanes!r}")
     from ..session import ship_package
 
     ship_package(log.sparkSession)
-    return ranged.sortWithinPartitions(*keys).mapInPandas(fn, schema)
+    return placed.sortWithinPartitions(*keys).mapInPandas(fn, schema)
 
 
 def decouple(log: DataFrame, n: int) -> DataFrame:

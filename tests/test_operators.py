@@ -69,3 +69,22 @@ def test_describe_stream_plan(spark, scratch):
     write_poll_files(stored_log(spark, SF001), path, polls=range(0, 1))
     text = describe(read_log_stream(spark, "files", path=path).select("key", "value"))
     assert "key" in text and "value" in text
+
+
+def test_partition_lanes_see_whole_partitions_in_order(spark):
+    def _lanes(frames):
+        import pandas as pd
+
+        seen = {}
+        ok = True
+        for pdf in frames:
+            for p, o in zip(pdf["partition"], pdf["offset"]):
+                if p in seen and o != seen[p] + 1:
+                    ok = False
+                seen[p] = o
+        yield pd.DataFrame({"partition": list(seen), "last": list(seen.values()), "ok": [ok] * len(seen)})
+
+    log = stored_log(spark, SF001).repartition(5)
+    out = in_partition_order(log, _lanes, "partition int, last long, ok boolean", num_partitions=4, lanes="partition").collect()
+    assert all(r["ok"] for r in out)
+    assert len(out) == log.select("partition").distinct().count()  # each partition in exactly one lane
