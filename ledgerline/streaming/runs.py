@@ -74,6 +74,21 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     return rows.groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))
 
 
+# Target rows per shuffle partition inside a micro-batch (AQE does not coalesce there).
+ROWS_PER_SHUFFLE_PARTITION = 1_000_000
+
+
+def size_shuffles(spark: SparkSession, n_rows: int, ceiling: dict) -> int:
+    """Size this stream's shuffles to the micro-batch: about one partition per million rows, never more
+    than the session's own setting (read once into ``ceiling``). ``spark`` is the stream's session (a
+    clone made when the query started), so the caller's session is not affected."""
+    if "n" not in ceiling:
+        ceiling["n"] = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, min(ceiling["n"], -(-n_rows // ROWS_PER_SHUFFLE_PARTITION)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
 def at_least_once_writer(sink_path: str, fn: Callable[[DataFrame], DataFrame] | None = None,
                          ledger_path: str | None = None) -> BatchFn:
     """Append ``fn(batch)`` (default: the post deliveries); a replayed batch is appended again."""
@@ -95,18 +110,20 @@ def exactly_once_writer(sink_path: str, ledger_path: str | None = None,
     The ``< batch_id`` matters: a replayed batch must not see its own earlier output. The ledger is
     written after the sink, under the same batch id.
     """
+    ceiling: dict = {}
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         candidates = None
         try:
+            n_rows = batch.count()  # materialises the batch; bounds its distinct keys
+            size_shuffles(spark, n_rows, ceiling)
             decoded = decode_posts(batch, on_error=on_error)
-            # computed once: counted for the broadcast check, probed against the sink, then written
+            # computed once: probed against the sink, then written
             candidates = first_success_per_key(decoded).persist()
-            n_keys = candidates.count()
             stored = read_sink(spark, sink_path).where(F.col("batch_id") < batch_id)
-            write_sink_batch(new_ids(candidates, stored, key_col="id", n_keys=n_keys), sink_path, batch_id)
+            write_sink_batch(new_ids(candidates, stored, key_col="id", n_keys=n_rows), sink_path, batch_id)
             if quarantine_path:
                 _, bad = split_bad(decoded)
                 (
