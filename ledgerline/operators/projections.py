@@ -46,6 +46,12 @@ def failure_reason(decoded: DataFrame, require_key: bool = True):
     return reason
 
 
+def storable(decoded: DataFrame, require_key: bool = True) -> DataFrame:
+    """The accepted side of :func:`split_bad` alone (decoded or tombstone, with a key)."""
+    ok = F.col("decode_status").isin(OK, SKIP)
+    return decoded.where(ok & F.col("key").isNotNull()) if require_key else decoded.where(ok)
+
+
 def split_bad(decoded: DataFrame, require_key: bool = True) -> tuple[DataFrame, DataFrame]:
     """(accepted, quarantine) from one decoded frame; quarantine keeps the record and its reason.
 

@@ -9,7 +9,7 @@ from ..functions.codec import encode_post, key_partition
 from ..schema import SINK_COLUMNS, SINK_SCHEMA
 from ..session import path_exists
 from .joins import BROADCAST_MAX_ROWS
-from .projections import split_bad
+from .projections import storable
 
 # JSON text stored for a tombstone (the value NULL written as JSON).
 TOMBSTONE_JSON = "null"
@@ -21,8 +21,7 @@ def first_success_per_key(decoded: DataFrame) -> DataFrame:
     A ``min`` over a struct is a partial aggregate: a key with a huge number of copies is reduced inside
     each map task before the shuffle, unlike a ``row_number`` window that would ship every copy.
     """
-    accepted, _ = split_bad(decoded)
-    first = accepted.groupBy("key").agg(
+    first = storable(decoded).groupBy("key").agg(
         F.min(F.struct("partition", "offset", "topic", "value")).alias("_first")
     )
     return first.select(
