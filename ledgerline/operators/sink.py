@@ -110,12 +110,16 @@ def publish(
     return records
 
 
-def published_records(df: DataFrame, fields: dict, key, topic: str, n_partitions: int) -> DataFrame:
-    """K1/F2: the records a producer sends for ``df``: key, JSON value, topic and key partition."""
+def published_records(
+    df: DataFrame, fields: dict, key, topic: str, n_partitions: int, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """K1/F2: the records a producer sends for ``df``: key, JSON value, topic and key partition
+    (plus the ``keep`` columns of ``df``, e.g. to order the records)."""
     return df.select(
         key.cast("string").alias("key"),
         encode_post(fields).alias("value"),
         F.lit(topic).alias("topic"),
+        *keep,
     ).withColumn("partition", key_partition(F.col("key"), n_partitions))
 
 

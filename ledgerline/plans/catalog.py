@@ -24,11 +24,11 @@ from ..operators.ledger import (
     sink_max_offset,
     starts_from_sink,
 )
-from ..operators.ordering import decouple, merge_partitions, ordered_positions, per_partition
+from ..operators.ordering import decouple, dense_positions, merge_partitions, ordered_positions, per_partition
 from ..operators.projections import deliveries, drop_tombstones, for_partition, next_offsets, split_bad
 from ..operators.sink import first_success_per_key, new_ids, published_records, read_sink, write_sink_batch
 from ..operators.split import assign_splits, even_split
-from ..schema import TOPIC
+from ..schema import POST_SCHEMA, TOPIC
 from ..session import scratch_path
 from ..sources.fixtures import post_fields
 from ..sources.log import log_partitions, partition_count, poll_batches, read_log, stored_log, stored_log_path
@@ -306,6 +306,31 @@ def q_audit_missing(spark, sf_dir):
     return audit_missing(_log(spark, sf_dir), full_sink(spark, sf_dir))
 
 
+def conversation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`conversations` published as a keyed log: key = conversation, one post per turn, sent in turn
+    order, so offsets in each partition follow (conversation, turn)."""
+    conv = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    fields = {
+        "id": F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")),
+        "author": F.col("role"),
+        "description": F.concat(F.lit("turn"), F.col("turn").cast("string")),
+        "text": F.col("text"),
+    }
+    sent = published_records(conv, fields, F.col("conv_id"), "conversations", PUBLISH_PARTITIONS, keep=("conv_id", "turn"))
+    placed = dense_positions(sent, ["partition"], ["conv_id", "turn"], "offset").rows
+    return placed.select("key", "value", "topic", "partition", "offset", F.lit(None).cast("timestamp_ntz").alias("timestamp"))
+
+
+def q_conversation_firsts(spark, sf_dir):
+    """Q3 on real multi-row keys and non-ASCII text: the first stored post of each conversation."""
+    firsts = first_success_per_key(decode_posts(conversation_log(spark, sf_dir)))
+    post = F.from_json("post_json", POST_SCHEMA)
+    return firsts.select(
+        "id", post["id"].alias("post_id"), post["author"].alias("author"), post["text"].alias("text"),
+        "topic_partition", "partition_offset",
+    )
+
+
 def q_first_success_per_key(spark, sf_dir):
     """Q3 batch twin of the effectively-once sink: first storable record per key."""
     return first_success_per_key(decode_posts(_log(spark, sf_dir)))
@@ -344,6 +369,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audit_duplicates": q_audit_duplicates,
     "audit_missing": q_audit_missing,
     "first_success_per_key": q_first_success_per_key,
+    "conversation_firsts": q_conversation_firsts,
 }
 
 from .streams import STREAM_QUERIES  # noqa: E402

@@ -227,3 +227,13 @@ ORACLE.update({
         f"""select post_id, partition, "offset", 2 * count(*) as deliveries from ({_DELIVERED}) d
             group by post_id, partition, "offset" """, decoded=True),
 })
+
+ORACLE["conversation_firsts"] = """
+with c as (
+  select *, ((('0x' || substr(md5(conv_id::varchar), 1, 8))::bigint) % 20)::int as partition from conversations),
+o as (
+  select *, row_number() over (partition by partition order by conv_id, turn) - 1 as "offset" from c)
+select conv_id::varchar as id, conv_id::varchar || ':' || turn::varchar as post_id, role as author, text,
+       partition::bigint as topic_partition, "offset" as partition_offset
+from (select *, row_number() over (partition by conv_id order by partition, "offset") as rn from o) f
+where rn = 1"""
