@@ -12,18 +12,11 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import LOG_COLUMNS, LOG_SCHEMA
+from ..schema import LOG_SCHEMA
 from ..session import scratch_path
 from ..sources.log import read_log_stream, stored_log, write_poll_files
-from ..streaming.runs import (
-    at_least_once_writer,
-    drain,
-    read_ledger,
-    run_at_least_once,
-    run_exactly_once,
-    run_foreach,
-)
 from ..operators.sink import read_sink
+from ..streaming.runs import drain, read_ledger, run_at_least_once, run_exactly_once, run_foreach
 
 ASSIGNED = [3, 7, 11]
 RESUME_AFTER_POLLS = 3
@@ -141,5 +134,3 @@ STREAM_QUERIES = {
     "resume_stream": q_resume_stream,
     "replay_stream": q_replay_stream,
 }
-
-_ = (LOG_COLUMNS, at_least_once_writer)
