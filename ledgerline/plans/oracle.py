@@ -237,3 +237,10 @@ select conv_id::varchar as id, conv_id::varchar || ':' || turn::varchar as post_
        partition::bigint as topic_partition, "offset" as partition_offset
 from (select *, row_number() over (partition by conv_id order by partition, "offset") as rn from o) f
 where rn = 1"""
+
+ORACLE["seek_stream"] = with_log(
+    f"""select {field('id')} as post_id, d.partition, d."offset" from decoded d
+        left join (select topic, topic_partition::int as partition, max(partition_offset) as start
+                   from {STOPPED} x group by 1, 2) s
+          on d.topic = s.topic and d.partition = s.partition
+        where d.decode_status = 'ok' and d."offset" >= coalesce(s.start, 0)""", decoded=True)

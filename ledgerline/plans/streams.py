@@ -124,7 +124,21 @@ def q_replay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _delivery_counts(spark, out)
 
 
+def q_seek_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 in a stream: restart from the stopped consumer's result table (max stored offset per
+    partition, inclusive) instead of a checkpoint; deliveries from there on."""
+    from ..operators.ledger import starts_from_sink
+    from .catalog import stopped_sink
+
+    out, ckpt = scratch_path(spark, "seek"), scratch_path(spark, "ckpt")
+    starts = starts_from_sink(stopped_sink(spark, sf_dir))
+    stream = read_log_stream(spark, "files", path=poll_dir(spark, sf_dir), start_offsets=starts)
+    drain(run_at_least_once(stream, out, ckpt))
+    return spark.read.schema(_DELIVERY_SCHEMA).parquet(out)
+
+
 STREAM_QUERIES = {
+    "seek_stream": q_seek_stream,
     "log_stream_scan": q_log_stream_scan,
     "key_value_stream": q_key_value_stream,
     "at_least_once_stream": q_at_least_once_stream,

@@ -199,13 +199,30 @@ def read_log_stream(
     max_files_per_trigger: int = 1,
     kafka: dict | None = None,
     partitions: list[int] | None = None,
+    start_offsets: DataFrame | None = None,
 ) -> DataFrame:
-    """S1/S3 stream scan. ``source="files"`` reads poll files (earliest: every existing file);
-    ``source="kafka"`` builds the reader from :func:`ledgerline.sources.kafka.kafka_options`."""
+    """S1/S3/S4 stream scan. ``source="files"`` reads poll files (earliest: every existing file);
+    ``source="kafka"`` builds the reader from :func:`ledgerline.sources.kafka.kafka_options`.
+
+    ``start_offsets`` (topic, partition, start_offset; one row per partition) seeks each partition:
+    for Kafka it becomes ``startingOffsets``, for files the static start predicate (records below the
+    start are dropped as they arrive). Unlisted partitions start from the earliest record.
+    """
+    starts = None
+    if start_offsets is not None:
+        starts = start_offsets.groupBy("topic", "partition").agg(F.max("start_offset").cast("long").alias("_start"))
+        if starts.count() > SEEK_STATIC_MAX:
+            raise ValueError(f"a stream seek map is limited to {SEEK_STATIC_MAX} partitions")
+        starts = starts.collect()
     if source == "kafka":
         from .kafka import kafka_options
 
-        opts = kafka_options(**(kafka or {}))
+        kopts = dict(kafka or {})
+        if starts:
+            if len({r["topic"] for r in starts}) > 1:
+                raise ValueError("a Kafka seek map covers one topic")
+            kopts["starting"] = {int(r["partition"]): int(r["_start"]) for r in starts}
+        opts = kafka_options(**kopts)
         raw = spark.readStream.format("kafka").options(**opts).load()
         log = raw.select(
             F.col("key").cast("string").alias("key"),
@@ -229,4 +246,6 @@ def read_log_stream(
         log = log.where(F.col("topic") == topic)
     if partitions is not None:
         log = log.where(F.col("partition").isin(list(partitions)))
+    if starts and source == "files":
+        log = log.where(start_predicate(starts))
     return log
