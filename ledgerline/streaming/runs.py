@@ -177,7 +177,3 @@ def describe(stream: DataFrame, mode: str = "formatted") -> str:
 
 def _checkpoint_started(spark: SparkSession, checkpoint: str) -> bool:
     return path_exists(spark, checkpoint + "/offsets")
-
-
-def read_stored(spark: SparkSession, sink_path: str) -> DataFrame:
-    return read_sink(spark, sink_path)
