@@ -123,13 +123,39 @@ def published_records(
     ).withColumn("partition", key_partition(F.col("key"), n_partitions))
 
 
-def sink_jdbc(rows: DataFrame, url: str, table: str, staging_table: str, properties: dict | None = None) -> None:
-    """K4: deliver a batch to a JDBC table without duplicates.
+# Column types of the result table in a database (K2): the key is the primary key.
+JDBC_COLUMN_TYPES = {
+    "id": "VARCHAR(70)",
+    "post_json": "CLOB",
+    "topic": "VARCHAR(70)",
+    "topic_partition": "BIGINT",
+    "partition_offset": "BIGINT",
+}
+
+
+def jdbc_create_table(table: str) -> str:
+    """K2: DDL of the result table (primary key on ``id``)."""
+    cols = ", ".join(f"{c} {t}" for c, t in JDBC_COLUMN_TYPES.items())
+    return f"CREATE TABLE {table} ({cols}, PRIMARY KEY (id))"
+
+
+def jdbc_merge(table: str, staging_table: str) -> str:
+    """K4: move a staged batch into the result table, skipping keys already stored (the primary-key
+    rejection of a per-record insert, done once per batch). Running it twice changes nothing."""
+    cols = ", ".join(JDBC_COLUMN_TYPES)
+    return (
+        f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging_table} s "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {table} t WHERE t.id = s.id)"
+    )
+
+
+def sink_jdbc(rows: DataFrame, url: str, staging_table: str, properties: dict | None = None) -> None:
+    """K4: stage one batch of result rows in ``staging_table`` (overwrite: a retried batch replaces it).
 
-    A JDBC append is not atomic across tasks, so the batch goes to a staging table first (overwrite:
-    a retried batch replaces it); the caller then runs one INSERT ... SELECT ... WHERE NOT EXISTS from
-    the staging table inside the database. Needs a reachable database; not exercised in tests here.
+    A JDBC append is not atomic across tasks, hence the staging table; the database then applies
+    :func:`jdbc_merge` in one statement. Needs a reachable database; not exercised here, where no
+    database may be started.
     """
     props = dict(properties or {})
-    rows.select(*[c for c in SINK_COLUMNS if c != "batch_id"]).write.mode("overwrite").jdbc(url, staging_table, properties=props)
-    _ = table
+    props.setdefault("createTableColumnTypes", ", ".join(f"{c} {t}" for c, t in JDBC_COLUMN_TYPES.items()))
+    rows.select(*JDBC_COLUMN_TYPES).write.mode("overwrite").jdbc(url, staging_table, properties=props)
