@@ -218,6 +218,10 @@ def read_log_stream(
         from .kafka import kafka_options
 
         kopts = dict(kafka or {})
+        if topic is not None:
+            kopts.setdefault("topic", topic)
+        if partitions is not None:
+            kopts["partitions"] = list(partitions)  # assign: unassigned partitions are never fetched
         if starts:
             if len({r["topic"] for r in starts}) > 1:
                 raise ValueError("a Kafka seek map covers one topic")
@@ -242,10 +246,11 @@ def read_log_stream(
         )
     else:
         raise ValueError(f"unknown source {source!r}")
-    if topic is not None:
-        log = log.where(F.col("topic") == topic)
-    if partitions is not None:
-        log = log.where(F.col("partition").isin(list(partitions)))
+    if source == "files":
+        if topic is not None:
+            log = log.where(F.col("topic") == topic)
+        if partitions is not None:
+            log = log.where(F.col("partition").isin(list(partitions)))
     if starts and source == "files":
         log = log.where(start_predicate(starts))
     return log
