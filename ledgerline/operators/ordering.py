@@ -42,6 +42,7 @@ def dense_positions(
     ``order_cols`` must make the order unique inside a group (add a tie-break otherwise). The ranged
     rows are checkpointed to the shared checkpoint folder: range bounds are sampled, so the counting
     pass and the final pass must see the very same partitioning; the checkpoint also cuts lineage.
+    Every column of ``df`` is checkpointed (nothing prunes through it): project before calling.
     """
     keys = [*group_cols, *order_cols]
     ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)

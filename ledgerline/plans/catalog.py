@@ -186,7 +186,9 @@ def q_new_ids_only(spark, sf_dir):
 
 def q_ordered_position(spark, sf_dir):
     """O1: position of each delivered record in its partition, in offset order."""
-    return ordered_positions(drop_tombstones(_log(spark, sf_dir))).select("key", "partition", "offset", "position")
+    # project before ranking: the ranked rows are checkpointed, and only these columns are needed
+    delivered = drop_tombstones(_log(spark, sf_dir)).select("key", "topic", "partition", "offset")
+    return ordered_positions(delivered).select("key", "partition", "offset", "position")
 
 
 def q_decoupled_process(spark, sf_dir):
@@ -231,16 +233,14 @@ def q_per_partition_summary(spark, sf_dir):
 
 def q_even_split_equal(spark, sf_dir):
     """O5, tail rows spread over the first chunks."""
-    return even_split(_log(spark, sf_dir), SPLIT_K, ["partition", "offset"], equal=True).select(
-        "key", "partition", "offset", "split_id"
-    )
+    rows = _log(spark, sf_dir).select("key", "partition", "offset")
+    return even_split(rows, SPLIT_K, ["partition", "offset"], equal=True).select("key", "partition", "offset", "split_id")
 
 
 def q_even_split_last(spark, sf_dir):
     """O5, tail rows all in the last chunk."""
-    return even_split(_log(spark, sf_dir), SPLIT_K, ["partition", "offset"], equal=False).select(
-        "key", "partition", "offset", "split_id"
-    )
+    rows = _log(spark, sf_dir).select("key", "partition", "offset")
+    return even_split(rows, SPLIT_K, ["partition", "offset"], equal=False).select("key", "partition", "offset", "split_id")
 
 
 def q_reader_assignment(spark, sf_dir):
