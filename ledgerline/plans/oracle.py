@@ -244,3 +244,5 @@ ORACLE["seek_stream"] = with_log(
                    from {STOPPED} x group by 1, 2) s
           on d.topic = s.topic and d.partition = s.partition
         where d.decode_status = 'ok' and d."offset" >= coalesce(s.start, 0)""", decoded=True)
+
+ORACLE["highest_offset_stream"] = ORACLE["highest_offset"]

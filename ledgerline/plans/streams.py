@@ -13,13 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import LOG_SCHEMA
-from ..session import scratch_path
+from ..session import scratch_path, sized_session
 from ..sources.log import read_log_stream, stored_log, write_poll_files
 from ..operators.sink import read_sink
-from ..streaming.runs import drain, read_ledger, run_at_least_once, run_exactly_once, run_foreach
+from ..streaming.runs import (
+    drain,
+    read_highest,
+    read_ledger,
+    run_at_least_once,
+    run_exactly_once,
+    run_foreach,
+    run_highest_offset,
+)
 
 ASSIGNED = [3, 7, 11]
 RESUME_AFTER_POLLS = 3
+STATE_PARTITIONS = 8
 
 _polls: dict[tuple, str] = {}
 
@@ -137,7 +146,20 @@ def q_seek_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(_DELIVERY_SCHEMA).parquet(out)
 
 
+def q_highest_offset_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G2 streaming: a stateful max per partition over delivered posts, in update mode."""
+    from ..functions.codec import decode_posts
+
+    out, ckpt = scratch_path(spark, "highest"), scratch_path(spark, "ckpt")
+    # one state row per log partition: a few state partitions hold it, whatever the cluster's setting
+    state = sized_session(spark, STATE_PARTITIONS)
+    delivered = decode_posts(_stream(state, poll_dir(spark, sf_dir))).where(F.col("decode_status") == "ok")
+    drain(run_highest_offset(delivered, out, ckpt))
+    return read_highest(spark, out)
+
+
 STREAM_QUERIES = {
+    "highest_offset_stream": q_highest_offset_stream,
     "seek_stream": q_seek_stream,
     "log_stream_scan": q_log_stream_scan,
     "key_value_stream": q_key_value_stream,

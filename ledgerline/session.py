@@ -76,6 +76,17 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(key)
 
 
+def sized_session(spark: SparkSession, shuffle_partitions: int) -> SparkSession:
+    """A sibling session (same context, own SQL conf) whose shuffles use ``shuffle_partitions``.
+
+    For stateful streams whose state is small and bounded: the number of state partitions is the
+    shuffle partition count at the first run and stays fixed in the checkpoint.
+    """
+    sibling = spark.newSession()
+    sibling.conf.set("spark.sql.shuffle.partitions", str(int(shuffle_partitions)))
+    return sibling
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its file system (local, HDFS, object store) as seen by Hadoop."""
     jvm = spark.sparkContext._jvm

@@ -177,3 +177,30 @@ def describe(stream: DataFrame, mode: str = "formatted") -> str:
 
 def _checkpoint_started(spark: SparkSession, checkpoint: str) -> bool:
     return path_exists(spark, checkpoint + "/offsets")
+
+
+def run_highest_offset(stream: DataFrame, out_path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """G2 as a stateful stream: max offset per partition, ``update`` mode (one state row per partition,
+    bounded by the partition count). Each micro-batch's changed rows are appended with the batch id;
+    :func:`read_highest` takes the latest per partition."""
+
+    def append_updates(updates: DataFrame, batch_id: int) -> None:
+        updates.withColumn("batch_id", F.lit(int(batch_id)).cast("long")).write.mode("append").parquet(out_path)
+
+    progress = stream.groupBy("topic", "partition").agg(F.max("offset").alias("max_offset"))
+    writer = (
+        progress.writeStream.outputMode("update")
+        .foreachBatch(append_updates)
+        .option("checkpointLocation", checkpoint)
+    )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def read_highest(spark: SparkSession, out_path: str) -> DataFrame:
+    """Latest max offset per partition from the appended updates, and the next offset to commit."""
+    rows = spark.read.schema("topic string, partition int, max_offset long, batch_id long").parquet(out_path)
+    return rows.groupBy("topic", "partition").agg(
+        F.max("max_offset").alias("max_offset"), (F.max("max_offset") + 1).alias("next_offset")
+    )
