@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..schema import MAX_RECORDS_PER_POLL
 from ..sources.log import poll_of, seek
+from .joins import join_bounded
 
 
 def commit_ledger(batch: DataFrame) -> DataFrame:
@@ -39,11 +40,10 @@ def sink_max_offset(sink: DataFrame, partitions: DataFrame | None = None) -> Dat
     )
     if partitions is None:
         return stored
-    # the partition list is bounded by the topic's partition count: broadcast it
-    return (
-        F.broadcast(partitions.select("topic", "partition"))
-        .join(stored, ["topic", "partition"], "left")
-        .select("topic", "partition", F.coalesce(F.col("max_offset"), F.lit(0)).cast("long").alias("max_offset"))
+    # one row per stored partition on the right: broadcast after the size check
+    joined = join_bounded(partitions.select("topic", "partition"), stored, ["topic", "partition"], "left")
+    return joined.select(
+        "topic", "partition", F.coalesce(F.col("max_offset"), F.lit(0)).cast("long").alias("max_offset")
     )
 
 
