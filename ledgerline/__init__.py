@@ -1,0 +1,40 @@
+"""ledgerline: partitioned-log ingestion on Spark (tables and Structured Streaming).
+
+The main entry points, re-exported here::
+
+    from ledgerline import read_log, decode_posts, first_success_per_key, run_exactly_once
+"""
+
+from .functions.codec import decode_posts, encode_post, iso_text, key_partition
+from .operators.audit import audit_duplicates, audit_missing
+from .operators.joins import join_bounded
+from .operators.ledger import (
+    commit_ledger,
+    commits_per_batch,
+    highest_offset,
+    records_by_partition,
+    resume_from_ledger,
+    resume_from_sink,
+    sink_max_offset,
+    starts_from_ledger,
+    starts_from_sink,
+)
+from .operators.ordering import decouple, dense_positions, in_partition_order, merge_partitions, ordered_positions, per_partition
+from .operators.projections import deliveries, drop_tombstones, for_partition, key_value, next_offsets, split_bad, storable
+from .operators.sink import first_success_per_key, init_sink, new_ids, publish, published_records, read_sink, write_sink_batch
+from .operators.split import assign_splits, even_split, split_list
+from .session import build_session, checkpoint_root, scratch_path
+from .sources.kafka import kafka_options
+from .sources.log import log_partitions, partition_count, poll_batches, read_log, read_log_stream, seek, write_log
+from .streaming.runs import (
+    drain,
+    exactly_once_writer,
+    at_least_once_writer,
+    read_ledger,
+    run_at_least_once,
+    run_exactly_once,
+    run_foreach,
+    run_highest_offset,
+)
+
+__all__ = [name for name in dir() if not name.startswith("_")]
