@@ -246,3 +246,5 @@ ORACLE["seek_stream"] = with_log(
         where d.decode_status = 'ok' and d."offset" >= coalesce(s.start, 0)""", decoded=True)
 
 ORACLE["highest_offset_stream"] = ORACLE["highest_offset"]
+
+ORACLE["exactly_once_keyed"] = ORACLE["first_success_per_key"]

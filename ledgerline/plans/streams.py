@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import LOG_SCHEMA
+from ..schema import LOG_SCHEMA, SINK_SCHEMA
 from ..session import scratch_path, sized_session
 from ..sources.log import read_log_stream, stored_log, write_poll_files
 from ..operators.sink import read_sink
@@ -164,7 +164,18 @@ def q_highest_offset_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_highest(spark, out)
 
 
+def q_exactly_once_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 with a keyed state index (one flag per stored key) instead of re-reading stored ids."""
+    from ..streaming.keyed import keyed_state_session, run_exactly_once_keyed
+
+    sink, ckpt = scratch_path(spark, "eo-keyed"), scratch_path(spark, "ckpt")
+    keyed = keyed_state_session(spark)  # state partitions: the session's shuffle partitions
+    drain(run_exactly_once_keyed(_stream(keyed, poll_dir(spark, sf_dir)), sink, ckpt))
+    return spark.read.schema(SINK_SCHEMA).parquet(sink).drop("batch_id")
+
+
 STREAM_QUERIES = {
+    "exactly_once_keyed": q_exactly_once_keyed,
     "highest_offset_stream": q_highest_offset_stream,
     "seek_stream": q_seek_stream,
     "log_stream_scan": q_log_stream_scan,
