@@ -62,6 +62,7 @@ def stopped_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result table after the whole log (batch 0), for the audits."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "full")
     if key not in _sinks:
         path = scratch_path(spark, "sink-full")
