@@ -6,8 +6,9 @@ stored ids, I/O that grows with the table. Here the check is a state lookup inst
 1. decode strictly and keep storable records (stateless);
 2. reduce every Arrow chunk to its first record per key by (partition, offset) (``mapInPandas``,
    before the shuffle: a key with a third of all records reaches the shuffle once per chunk);
-3. ``groupBy(key).transformWithStateInPandas``: the state is one flag per key ("stored"). A key
-   already stored emits nothing; otherwise its first record of this batch is emitted and the flag set;
+3. ``groupBy(key).applyInPandasWithState``: the state is one flag per key ("stored"), shipped with
+   the key's rows (no per-key round trip). A key already stored emits nothing; otherwise its first
+   record of this batch is emitted and the flag set;
 4. append to a parquet file sink, whose commit log makes a replayed batch land once.
 
 Same result as the foreachBatch writer: first arrival wins across batches, the smallest
@@ -16,10 +17,12 @@ Same result as the foreachBatch writer: first arrival wins across batches, the s
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.codec import decode_posts
 from ..operators.projections import storable
@@ -47,44 +50,42 @@ def _first_per_key_in_chunk(chunks):
             yield pdf.sort_values(["key", "partition", "offset"], kind="stable").drop_duplicates("key", keep="first")
 
 
-class FirstArrival(StatefulProcessor):
-    """Emit a key's first record once: the first batch that brings it wins, by (partition, offset)."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.stored = handle.getValueState("stored", "stored boolean")
-
-    def handleInputRows(self, key, rows, timerValues):
-        if self.stored.exists():
-            return
-        best = None
-        for pdf in rows:
-            if not len(pdf):
-                continue
-            first = pdf.sort_values(["partition", "offset"], kind="stable").head(1)
-            if best is None or (int(first["partition"].iloc[0]), int(first["offset"].iloc[0])) < (
-                int(best["partition"].iloc[0]), int(best["offset"].iloc[0])
-            ):
-                best = first
-        if best is not None:
-            self.stored.update((True,))
-            yield best
-
-    def close(self) -> None:
-        pass
+def first_arrival(key, chunks, state):
+    """Emit a key's first record once: the first batch that brings it wins, by (partition, offset).
 
+    ``state`` holds one flag per key ("stored"); a stored key emits nothing.
+    """
+    if state.exists:
+        return
+    import numpy as np
 
-def first_arrivals(stream: DataFrame, processor: StatefulProcessor | None = None) -> DataFrame:
+    best, best_pos = None, None
+    for pdf in chunks:
+        n = len(pdf)
+        if n == 0:
+            continue
+        i = 0 if n == 1 else int(np.lexsort((pdf["offset"].to_numpy(), pdf["partition"].to_numpy()))[0])
+        pos = (int(pdf["partition"].iat[i]), int(pdf["offset"].iat[i]))
+        if best_pos is None or pos < best_pos:
+            best, best_pos = pdf.iloc[i : i + 1], pos
+    if best is not None:
+        state.update((True,))
+        yield best
+
+
+def first_arrivals(stream: DataFrame, handler: Callable | None = None) -> DataFrame:
     """The keyed-state form of first-success-per-key over a stream of log records."""
     from ..session import ship_package
 
     ship_package(stream.sparkSession)
     candidates = storable(decode_posts(stream)).select("key", "value", "topic", "partition", "offset")
     reduced = candidates.mapInPandas(_first_per_key_in_chunk, _CANDIDATE_SCHEMA)
-    firsts = reduced.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=processor or FirstArrival(),
+    firsts = reduced.groupBy("key").applyInPandasWithState(
+        handler or first_arrival,
         outputStructType=_CANDIDATE_SCHEMA,
-        outputMode="Append",
-        timeMode="None",
+        stateStructType="stored boolean",
+        outputMode="append",
+        timeoutConf=GroupStateTimeout.NoTimeout,
     )
     return firsts.select(
         F.col("key").alias("id"),
@@ -100,11 +101,11 @@ def run_exactly_once_keyed(
     sink_path: str,
     checkpoint: str,
     available_now: bool = True,
-    processor: StatefulProcessor | None = None,
+    handler: Callable | None = None,
 ) -> StreamingQuery:
     """T3 with a keyed state index. ``stream`` must come from :func:`keyed_state_session`."""
     writer = (
-        first_arrivals(stream, processor)
+        first_arrivals(stream, handler)
         .writeStream.format("parquet")
         .option("path", sink_path)
         .option("checkpointLocation", checkpoint)

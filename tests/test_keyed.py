@@ -9,7 +9,7 @@ from ledgerline.functions.codec import decode_posts
 from ledgerline.operators.audit import audit_duplicates
 from ledgerline.operators.sink import first_success_per_key
 from ledgerline.sources.log import read_log_stream, stored_log, write_poll_files
-from ledgerline.streaming.keyed import FirstArrival, keyed_state_session, run_exactly_once_keyed
+from ledgerline.streaming.keyed import first_arrival, keyed_state_session, run_exactly_once_keyed
 from ledgerline.streaming.runs import drain
 from conftest import SF001
 
@@ -25,10 +25,10 @@ def polls(spark):
     return path
 
 
-def _run(spark, polls, sink, ckpt, processor=None):
+def _run(spark, polls, sink, ckpt, handler=None):
     ks = keyed_state_session(spark, 4)
     stream = read_log_stream(ks, "files", path=polls, max_files_per_trigger=1)
-    drain(run_exactly_once_keyed(stream, sink, ckpt, processor=processor))
+    drain(run_exactly_once_keyed(stream, sink, ckpt, handler=handler))
 
 
 def test_keyed_equals_batch(spark, scratch, polls):
@@ -43,18 +43,17 @@ def test_keyed_equals_batch(spark, scratch, polls):
 def test_keyed_survives_a_crash(spark, scratch, polls):
     marker = os.path.join(tempfile.mkdtemp(prefix="ledgerline-crash-"), "crashed")
 
-    class CrashOnce(FirstArrival):
-        def handleInputRows(self, key, rows, timerValues):
-            # fail the first time a batch brings a key from offset 40 on (a later micro-batch)
-            rows = list(rows)
-            if not os.path.exists(marker) and any((pdf["offset"] >= 40).any() for pdf in rows):
-                open(marker, "w").close()
-                raise RuntimeError("injected crash")
-            yield from super().handleInputRows(key, iter(rows), timerValues)
+    def crash_once(key, chunks, state):
+        # fail the first time a batch brings a key from offset 40 on (a later micro-batch)
+        chunks = list(chunks)
+        if not os.path.exists(marker) and any((pdf["offset"] >= 40).any() for pdf in chunks):
+            open(marker, "w").close()
+            raise RuntimeError("injected crash")
+        yield from first_arrival(key, iter(chunks), state)
 
     sink, ckpt = scratch("sink"), scratch("ckpt")
     with pytest.raises(Exception):
-        _run(spark, polls, sink, ckpt, processor=CrashOnce())
+        _run(spark, polls, sink, ckpt, handler=crash_once)
     assert os.path.exists(marker)
     _run(spark, polls, sink, ckpt)  # restart on the same checkpoint
     got = spark.read.schema(SINK).parquet(sink)
