@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.codec import encode_post, key_partition
 from ..schema import SINK_COLUMNS, SINK_SCHEMA
 from ..session import path_exists
-from .joins import BROADCAST_MAX_ROWS
+from .joins import BROADCAST_MAX_ROWS, join_bounded
 from .projections import storable
 
 # JSON text stored for a tombstone (the value NULL written as JSON).
@@ -94,20 +94,45 @@ def publish(
     path: str | None = None,
     fmt: str = "parquet",
     kafka: dict | None = None,
-):
-    """K1: publish rows as log records (key, JSON value, topic[, partition]).
-
-    ``fmt="parquet"`` appends a stored log partitioned by the key partitioner; ``fmt="kafka"`` writes to
-    a topic with the connector (the broker assigns offsets).
+    order_by: tuple[str, ...] = ("key",),
+) -> None:
+    """K1: publish rows as log records (key = ``key``, value = JSON of ``fields``) to ``topic``.
+
+    ``fmt="kafka"`` writes with the connector (the broker assigns offsets). ``fmt="parquet"`` appends to
+    a stored log as a broker would: each record goes to its key's partition and gets the next offsets
+    of that partition, in ``order_by`` order (the send order; must be unique), after the offsets the
+    log already holds. Offsets come from :func:`dense_positions`, so a hot partition is numbered by
+    many tasks. One writer at a time per log.
     """
-    records = published_records(df, fields, key, topic, n_partitions)
+    extra = tuple(c for c in order_by if c != "key")
+    records = published_records(df, fields, key, topic, n_partitions, keep=extra)
     if fmt == "kafka":
         from ..sources.kafka import kafka_write_options
 
-        records.drop("partition").write.format("kafka").options(**kafka_write_options(topic=topic, **(kafka or {}))).save()
-        return None
-    records.write.mode("append").partitionBy("topic", "partition").parquet(path)
-    return records
+        opts = kafka_write_options(topic=topic, **(kafka or {}))
+        records.select("key", "value").write.format("kafka").options(**opts).save()
+        return
+    from ..sources.log import read_log, write_log
+    from .joins import BROADCAST_MAX_ROWS
+    from .ordering import dense_positions
+
+    spark = df.sparkSession
+    placed = dense_positions(records, ["topic", "partition"], list(order_by), "_ll_pos").rows
+    ranged = True
+    if path_exists(spark, path):
+        # one row per partition already in the log: its next offset
+        base = read_log(spark, path).groupBy("topic", "partition").agg((F.max("offset") + 1).alias("_ll_base"))
+        n_base = base.count()
+        ranged = n_base <= BROADCAST_MAX_ROWS  # a broadcast join keeps the ranged layout
+        placed = join_bounded(placed, base, ["topic", "partition"], "left", rows=n_base)
+        offset = F.coalesce(F.col("_ll_base"), F.lit(0)) + F.col("_ll_pos")
+    else:
+        offset = F.col("_ll_pos")
+    log = placed.select(
+        "key", "value", "topic", "partition", offset.cast("long").alias("offset"),
+        F.lit(None).cast("timestamp_ntz").alias("timestamp"),
+    )
+    write_log(log, path, mode="append", prepartitioned=ranged)
 
 
 def published_records(

@@ -274,15 +274,15 @@ def _document_post(docs):
 
 
 def q_publish_roundtrip(spark, sf_dir):
-    """K1 + F1: documents published to a stored log, read back and decoded (long texts, quotes, nulls)."""
+    """K1 + F1: documents published to a stored log (key partition, offsets in key order), read back and
+    decoded (long texts, quotes, line breaks, nulls)."""
     from ..operators.sink import publish
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = scratch_path(spark, "published")
     publish(docs, _document_post(docs), F.col("doc_id"), "documents", PUBLISH_PARTITIONS, path=path)
-    back = spark.read.schema("key string, value string, topic string, partition int").parquet(path)
-    decoded = decode_posts(back).where(F.col("decode_status") == "ok")
-    return decoded.select("post.*", "partition")
+    decoded = decode_posts(read_log(spark, path)).where(F.col("decode_status") == "ok")
+    return decoded.select("post.*", "partition", "offset")
 
 
 def q_udf_process(spark, sf_dir):

@@ -187,9 +187,11 @@ select event_id::varchar as key,
        'posts' as topic, {_EVENT_PARTITION} as partition
 from events""",
     "publish_roundtrip": f"""
-select doc_id::varchar as id, source as author, lang as description, text,
-       null::varchar as createdAt, null::varchar as updatedAt, {_DOC_PARTITION} as partition
-from documents""",
+select id, author, description, text, createdAt, updatedAt, partition,
+       (row_number() over (partition by partition order by id) - 1)::bigint as "offset"
+from (select doc_id::varchar as id, source as author, lang as description, text,
+             null::varchar as createdAt, null::varchar as updatedAt, {_DOC_PARTITION} as partition
+      from documents) d""",
     "udf_process": with_log(
         f"""select 'Post id: ' || {field('id')} || ' --- partition: ' || partition || ' --- offset: ' || "offset" as line
             from decoded where decode_status = 'ok'""", decoded=True

@@ -22,15 +22,19 @@ _stored: dict[tuple[str, str], str] = {}
 POLL_PREFIX = "poll-"
 
 
-def write_log(log: DataFrame, path: str, mode: str = "errorifexists") -> str:
+def write_log(log: DataFrame, path: str, mode: str = "errorifexists", prepartitioned: bool = False) -> str:
     """Store a log as a table partitioned by (topic, partition), offset-sorted inside each file.
 
-    No shuffle is added when ``log`` is already range-partitioned on (partition, offset) (as
-    :func:`derived_log` leaves it); otherwise range-partition it first.
+    The rows are range-partitioned on (topic, partition, offset) first, so each task writes a
+    contiguous offset range of few partitions (a hot partition is spread over many files, never one
+    task). ``prepartitioned=True`` skips that shuffle for input already ranged that way (as
+    :func:`derived_log` leaves it).
     """
+    rows = log.select(*LOG_COLUMNS)
+    if not prepartitioned:
+        rows = rows.repartitionByRange("topic", "partition", "offset")
     (
-        log.select(*LOG_COLUMNS)
-        .sortWithinPartitions("topic", "partition", "offset")
+        rows.sortWithinPartitions("topic", "partition", "offset")
         .write.mode(mode)
         .partitionBy("topic", "partition")
         .parquet(path)
@@ -97,9 +101,10 @@ def seek(log: DataFrame, start_offsets: DataFrame) -> DataFrame:
     """Keep records at or after their partition's start offset (0 when the partition is absent).
 
     A start map has one row per partition (bounded by the topic's partition count). Up to
-    ``SEEK_STATIC_MAX`` rows it is turned into a predicate, as a consumer's seek map would be: the scan
-    then prunes partition directories and skips row groups below the starts. Beyond that it is joined
-    (broadcast after the size check).
+    ``SEEK_STATIC_MAX`` rows it is turned into a predicate, as a consumer's seek map would be: a scan
+    below prunes partition directories and the offset bounds apply right after the scan (for exact
+    row-group skipping over a stored log use :func:`seek_scan` via ``read_log``). Beyond that it is
+    joined (broadcast after the size check).
     """
     starts = start_offsets.groupBy("topic", "partition").agg(F.max("start_offset").cast("long").alias("_start"))
     n = starts.count()
@@ -133,7 +138,7 @@ def stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
         path = scratch_path(spark, "log", tag)
         events = spark.read.parquet(f"{sf_dir}/events.parquet")
-        write_log(derived_log(events), path)
+        write_log(derived_log(events), path, prepartitioned=True)
         _stored[key] = path
     return read_log(spark, _stored[key])
 
