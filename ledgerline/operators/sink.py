@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.codec import encode_post, key_partition
 from ..schema import SINK_COLUMNS, SINK_SCHEMA
 from ..session import path_exists
-from .joins import BROADCAST_MAX_ROWS, join_bounded
+from .joins import BROADCAST_MAX_ROWS, fits_broadcast, join_bounded
 from .projections import storable
 
 # JSON text stored for a tombstone (the value NULL written as JSON).
@@ -45,11 +45,13 @@ def new_ids(
     A micro-batch is bounded by the trigger, the stored table is not: the batch's distinct keys are
     broadcast (after a size check) and the stored ids are only scanned, never shuffled. The stored ids
     that matched are at most the batch's keys, so the final anti-join is broadcast as well.
+    ``n_keys`` (an upper bound on the batch's distinct keys, e.g. its row count) skips the count.
     """
     keys = batch.select(F.col(key_col).alias("_id")).distinct()
-    n_keys = keys.count()
+    if n_keys is None:
+        n_keys = keys.count()
     ids = stored.select(F.col("id").alias("_id"))
-    if n_keys <= max_rows:
+    if fits_broadcast(keys, n_keys, max_rows):
         hits = ids.join(F.broadcast(keys), "_id", "left_semi")
         return batch.join(F.broadcast(hits), batch[key_col] == hits["_id"], "left_anti")
     return batch.join(ids, batch[key_col] == ids["_id"], "left_anti")
@@ -113,7 +115,6 @@ def publish(
         records.select("key", "value").write.format("kafka").options(**opts).save()
         return
     from ..sources.log import read_log, write_log
-    from .joins import BROADCAST_MAX_ROWS
     from .ordering import dense_positions
 
     spark = df.sparkSession
@@ -123,7 +124,7 @@ def publish(
         # one row per partition already in the log: its next offset
         base = read_log(spark, path).groupBy("topic", "partition").agg((F.max("offset") + 1).alias("_ll_base"))
         n_base = base.count()
-        ranged = n_base <= BROADCAST_MAX_ROWS  # a broadcast join keeps the ranged layout
+        ranged = fits_broadcast(base, n_base)  # a broadcast join keeps the ranged layout
         placed = join_bounded(placed, base, ["topic", "partition"], "left", rows=n_base)
         offset = F.coalesce(F.col("_ll_base"), F.lit(0)) + F.col("_ll_pos")
     else:

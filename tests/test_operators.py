@@ -88,3 +88,21 @@ def test_partition_lanes_see_whole_partitions_in_order(spark):
     out = in_partition_order(log, _lanes, "partition int, last long, ok boolean", num_partitions=4, lanes="partition").collect()
     assert all(r["ok"] for r in out)
     assert len(out) == log.select("partition").distinct().count()  # each partition in exactly one lane
+
+
+def test_bounded_broadcast_checks_rows_and_bytes(spark):
+    from ledgerline.operators.joins import estimated_bytes, fits_broadcast, join_bounded
+
+    small = spark.range(10).selectExpr("id", "cast(id as string) as s")
+    assert estimated_bytes(small, 10) == 10 * (8 + 20)
+    assert fits_broadcast(small, 10)
+    assert not fits_broadcast(small, 10, max_rows=5)
+    assert not fits_broadcast(small, 10**7)
+    big = spark.range(100)
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only our hint may broadcast here
+    try:
+        assert "BroadcastHashJoin" in plan_text(join_bounded(big, small, ["id"], rows=10))
+        assert "BroadcastHashJoin" not in plan_text(join_bounded(big, small, ["id"], rows=10, max_bytes=100))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
