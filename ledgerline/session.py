@@ -93,7 +93,3 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can use a local path (tests only)."""
-    return path[len("file:"):] if path.startswith("file:") else path
