@@ -39,15 +39,19 @@ def new_ids(
     key_col: str = "id",
     max_rows: int = BROADCAST_MAX_ROWS,
     n_keys: int | None = None,
+    keys_unique: bool = False,
 ) -> DataFrame:
     """Rows of ``batch`` whose key is not yet in ``stored`` (its ``id`` column).
 
     A micro-batch is bounded by the trigger, the stored table is not: the batch's distinct keys are
     broadcast (after a size check) and the stored ids are only scanned, never shuffled. The stored ids
     that matched are at most the batch's keys, so the final anti-join is broadcast as well.
-    ``n_keys`` (an upper bound on the batch's distinct keys, e.g. its row count) skips the count.
+    ``n_keys`` (an upper bound on the batch's distinct keys, e.g. its row count) skips the count;
+    ``keys_unique`` (one row per key already) skips the distinct.
     """
-    keys = batch.select(F.col(key_col).alias("_id")).distinct()
+    keys = batch.select(F.col(key_col).alias("_id"))
+    if not keys_unique:
+        keys = keys.distinct()
     if n_keys is None:
         n_keys = keys.count()
     ids = stored.select(F.col("id").alias("_id"))

@@ -123,7 +123,7 @@ def exactly_once_writer(sink_path: str, ledger_path: str | None = None,
             # computed once: probed against the sink, then written
             candidates = first_success_per_key(decoded).persist()
             stored = read_sink(spark, sink_path).where(F.col("batch_id") < batch_id)
-            write_sink_batch(new_ids(candidates, stored, key_col="id", n_keys=n_rows), sink_path, batch_id)
+            write_sink_batch(new_ids(candidates, stored, key_col="id", n_keys=n_rows, keys_unique=True), sink_path, batch_id)
             if quarantine_path:
                 _, bad = split_bad(decoded)
                 (
