@@ -145,9 +145,11 @@ def exactly_once_writer(sink_path: str, ledger_path: str | None = None,
 
 def run_at_least_once(stream: DataFrame, sink_path: str, checkpoint: str,
                       fn: Callable[[DataFrame], DataFrame] | None = None, ledger_path: str | None = None,
-                      available_now: bool = True) -> StreamingQuery:
-    """T1/T2 (restrict ``stream`` to assigned partitions for T2)."""
-    return start_batches(stream, at_least_once_writer(sink_path, fn, ledger_path), checkpoint, available_now)
+                      available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """T1/T2 (restrict ``stream`` to assigned partitions for T2). ``available_now=False`` keeps it
+    running, one micro-batch per ``processing_time`` (e.g. "1 second", the poll wait) until drained."""
+    process = at_least_once_writer(sink_path, fn, ledger_path)
+    return start_batches(stream, process, checkpoint, available_now, processing_time)
 
 
 def run_exactly_once(stream: DataFrame, sink_path: str, checkpoint: str, ledger_path: str | None = None,

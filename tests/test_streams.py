@@ -119,3 +119,18 @@ def test_fail_stop_stream_raises_on_bad_record(spark, scratch, polls):
     q = start_batches(read_log_stream(spark, "files", path=polls), process, ckpt)
     with pytest.raises(Exception, match="bad record"):
         drain(q)
+
+
+def test_live_stream_with_poll_interval_drains_and_stops(spark, scratch, polls):
+    from ledgerline.streaming.runs import run_at_least_once
+
+    out, ckpt = scratch("live"), scratch("ckpt")
+    q = run_at_least_once(read_log_stream(spark, "files", path=polls, max_files_per_trigger=3), out, ckpt,
+                          available_now=False, processing_time="1 second")
+    q.processAllAvailable()
+    assert q.isActive
+    drain(q, timeout_s=1)  # still running after the timeout: stopped
+    assert not q.isActive
+    delivered = spark.read.schema("post_id string, partition int, offset long").parquet(out)
+    want = decode_posts(stored_log(spark, SF001)).where("decode_status = 'ok'").count()
+    assert delivered.count() == want
