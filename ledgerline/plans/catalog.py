@@ -246,14 +246,16 @@ def q_even_split_last(spark, sf_dir):
 
 def q_reader_assignment(spark, sf_dir):
     """The partition list split over readers."""
-    assigned = assign_splits(log_partitions(_log(spark, sf_dir)), READERS_K)
+    # strict=False: the same rule, defined for every partition count (a small log may hold fewer
+    # partitions than the documented 20, e.g. 15 into 6 readers, where the sequential splitter throws)
+    assigned = assign_splits(log_partitions(_log(spark, sf_dir)), READERS_K, strict=False)
     return assigned.select("split_id", F.col("partitions").cast("string").alias("partitions"))
 
 
 def q_merged_scan(spark, sf_dir):
     """One scan per reader's assigned partitions, merged into one flow."""
     path = stored_log_path(spark, sf_dir)
-    plan = assign_splits(log_partitions(_log(spark, sf_dir)), READERS_K).collect()  # <= one row per reader
+    plan = assign_splits(log_partitions(_log(spark, sf_dir)), READERS_K, strict=False).collect()  # <= one row per reader
     scans = [
         read_log(spark, path, partitions=list(r["partitions"])).withColumn("split_id", F.lit(r["split_id"]))
         for r in sorted(plan, key=lambda r: r["split_id"])
