@@ -134,3 +134,13 @@ def test_live_stream_with_poll_interval_drains_and_stops(spark, scratch, polls):
     delivered = spark.read.schema("post_id string, partition int, offset long").parquet(out)
     want = decode_posts(stored_log(spark, SF001)).where("decode_status = 'ok'").count()
     assert delivered.count() == want
+
+
+def test_quarantine_table_holds_bad_records_once(spark, scratch, polls):
+    sink, quarantine, ckpt = scratch("sink"), scratch("quarantine"), scratch("ckpt")
+    drain(run_exactly_once(read_log_stream(spark, "files", path=polls), sink, ckpt, quarantine_path=quarantine))
+    got = spark.read.parquet(quarantine)
+    bad = decode_posts(stored_log(spark, SF001)).where(~F.col("decode_status").isin("ok", "skip"))
+    assert got.count() == bad.count() > 0
+    assert got.select("partition", "offset").distinct().count() == got.count()
+    assert {r[0] for r in got.select("reason").distinct().collect()} == {"malformed"}
