@@ -7,7 +7,7 @@ The main entry points, re-exported here::
 
 from .functions.codec import decode_posts, encode_post, iso_text, key_partition
 from .operators.audit import audit_duplicates, audit_missing
-from .operators.joins import join_bounded
+from .operators.joins import fits_broadcast, join_bounded
 from .operators.ledger import (
     commit_ledger,
     commits_per_batch,
@@ -21,11 +21,33 @@ from .operators.ledger import (
 )
 from .operators.ordering import decouple, dense_positions, in_partition_order, merge_partitions, ordered_positions, per_partition
 from .operators.projections import deliveries, drop_tombstones, for_partition, key_value, next_offsets, split_bad, storable
-from .operators.sink import first_success_per_key, init_sink, new_ids, publish, published_records, read_sink, write_sink_batch
+from .operators.sink import (
+    first_success_per_key,
+    init_sink,
+    jdbc_create_table,
+    jdbc_merge,
+    new_ids,
+    publish,
+    published_records,
+    read_sink,
+    sink_jdbc,
+    write_sink_batch,
+)
 from .operators.split import assign_splits, even_split, split_list
-from .session import build_session, checkpoint_root, scratch_path
+from .session import build_session, checkpoint_root, scratch_path, sized_session
 from .sources.kafka import kafka_options
-from .sources.log import log_partitions, partition_count, poll_batches, read_log, read_log_stream, seek, write_log
+from .sources.log import (
+    log_partitions,
+    partition_count,
+    poll_batches,
+    read_log,
+    read_log_stream,
+    seek,
+    seek_scan,
+    write_log,
+    write_poll_files,
+)
+from .streaming.keyed import keyed_state_session, run_exactly_once_keyed
 from .streaming.runs import (
     drain,
     exactly_once_writer,
@@ -35,6 +57,7 @@ from .streaming.runs import (
     run_exactly_once,
     run_foreach,
     run_highest_offset,
+    read_highest,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]
