@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import join_bounded
+
 
 def audit_duplicates(delivered: DataFrame, keys: list[str], offset_col: str = "offset") -> DataFrame:
     """Groups of ``keys`` that appear more than once, with their copy count and offset range."""
@@ -22,14 +24,26 @@ def audit_duplicates(delivered: DataFrame, keys: list[str], offset_col: str = "o
 def audit_missing(log: DataFrame, sink: DataFrame) -> DataFrame:
     """Log records whose position is not in the sink, with the key and whether that key is stored.
 
-    Both sides are large: a shuffle anti-join on the position, then a semi-check on the key.
+    The position anti-join shuffles both sides on (topic, partition, offset), which is unique, so it is
+    balanced. The key flag is computed on distinct keys (a partial aggregate: a key with many missing
+    copies collapses map-side) semi-joined with the stored ids (one row per key on both sides), and
+    brought back by a broadcast after a size check, so the missing records are never shuffled by key.
     """
     stored_pos = sink.select(
         "topic", F.col("topic_partition").cast("int").alias("partition"), F.col("partition_offset").alias("offset")
     )
-    missing = log.join(stored_pos, ["topic", "partition", "offset"], "left_anti")
-    stored_ids = sink.select(F.col("id").alias("key")).withColumn("_stored", F.lit(True))
-    return (
-        missing.join(stored_ids, "key", "left")
-        .select("key", "topic", "partition", "offset", F.coalesce(F.col("_stored"), F.lit(False)).alias("key_stored"))
+    missing = log.join(stored_pos, ["topic", "partition", "offset"], "left_anti").select(
+        "key", "topic", "partition", "offset"
+    )
+    missing = missing.persist()
+    stored_keys = (
+        sink.select(F.col("id").alias("key"))
+        .join(missing.select("key").distinct(), "key", "left_semi")
+        .withColumn("_stored", F.lit(True))
+        .persist()
+    )
+    n_stored = stored_keys.count()
+    flagged = join_bounded(missing, stored_keys, ["key"], "left", rows=n_stored)
+    return flagged.select(
+        "key", "topic", "partition", "offset", F.coalesce(F.col("_stored"), F.lit(False)).alias("key_stored")
     )

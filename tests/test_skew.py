@@ -45,3 +45,14 @@ def test_ledger_and_audit_under_a_hot_partition(spark):
     assert ledger == sizes
     dup = audit_duplicates(log, ["key"]).collect()
     assert [(r["key"], r["copies"]) for r in dup] == [("hot", 2400)]
+
+
+def test_audit_missing_under_a_hot_key(spark):
+    from ledgerline.operators.audit import audit_missing
+
+    log = _skewed_log(spark)
+    sink = first_success_per_key(decode_posts(log))
+    missing = audit_missing(log, sink)
+    assert missing.count() == log.count() - sink.count()
+    hot = missing.where("key = 'hot'")
+    assert hot.count() == 2399 and hot.where("key_stored").count() == 2399
