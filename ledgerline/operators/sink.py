@@ -51,14 +51,19 @@ def new_ids(
     """
     keys = batch.select(F.col(key_col).alias("_id"))
     if not keys_unique:
-        keys = keys.distinct()
+        keys = keys.distinct()  # partial aggregate: a hot key collapses map-side
     if n_keys is None:
         n_keys = keys.count()
     ids = stored.select(F.col("id").alias("_id"))
     if fits_broadcast(keys, n_keys, max_rows):
         hits = ids.join(F.broadcast(keys), "_id", "left_semi")
         return batch.join(F.broadcast(hits), batch[key_col] == hits["_id"], "left_anti")
-    return batch.join(ids, batch[key_col] == ids["_id"], "left_anti")
+    # too many keys to broadcast: match distinct keys (one row per key on both sides, balanced), then
+    # bring the matched keys back by broadcast when they fit, so the batch is not shuffled by key
+    hits = ids.join(keys, "_id", "left_semi").persist()
+    n_hits = hits.count()
+    side = F.broadcast(hits) if fits_broadcast(hits, n_hits, max_rows) else hits
+    return batch.join(side, batch[key_col] == side["_id"], "left_anti")
 
 
 def init_sink(spark: SparkSession, path: str, reset: bool = False) -> DataFrame:

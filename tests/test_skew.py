@@ -56,3 +56,15 @@ def test_audit_missing_under_a_hot_key(spark):
     assert missing.count() == log.count() - sink.count()
     hot = missing.where("key = 'hot'")
     assert hot.count() == 2399 and hot.where("key_stored").count() == 2399
+
+
+def test_new_ids_fallback_path_under_a_hot_key(spark):
+    from ledgerline.operators.sink import new_ids
+
+    log = _skewed_log(spark)
+    stored = first_success_per_key(decode_posts(log.where("offset < 100")))
+    later = log.where("offset >= 100")
+    fast = new_ids(later, stored, key_col="key")
+    slow = new_ids(later, stored, key_col="key", max_rows=10)  # forces the no-broadcast path
+    assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+    assert fast.where("key = 'hot'").count() == 0  # the hot key was stored early
