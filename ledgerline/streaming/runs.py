@@ -103,16 +103,19 @@ def at_least_once_writer(sink_path: str, fn: Callable[[DataFrame], DataFrame] |
 
 
 def exactly_once_writer(sink_path: str, ledger_path: str | None = None,
-                        quarantine_path: str | None = None, on_error: str = "quarantine") -> BatchFn:
+                        quarantine_path: str | None = None, on_error: str = "quarantine",
+                        batch_base: int = 0) -> BatchFn:
     """Per batch, decode strictly, keep the first storable record per key, drop keys already
     stored by *earlier* batches, and store the rest as partition ``batch_id`` (replaces itself on replay).
 
     The ``< batch_id`` matters: a replayed batch must not see its own earlier output. The ledger is
-    written after the sink, under the same batch id.
+    written after the sink, under the same batch id. ``batch_base`` shifts the stored batch ids (a run
+    that resumes from the table itself continues after the batches already stored).
     """
     ceiling: dict = {}
 
-    def process(batch: DataFrame, batch_id: int) -> None:
+    def process(batch: DataFrame, stream_batch_id: int) -> None:
+        batch_id = batch_base + stream_batch_id
         spark = batch.sparkSession
         batch = batch.persist()
         candidates = None
@@ -154,15 +157,52 @@ def run_at_least_once(stream: DataFrame, sink_path: str, checkpoint: str,
 
 def run_exactly_once(stream: DataFrame, sink_path: str, checkpoint: str, ledger_path: str | None = None,
                      quarantine_path: str | None = None, available_now: bool = True,
-                     reset: bool = False) -> StreamingQuery:
-    """Effectively-once result table. A new checkpoint needs a new or emptied sink (see init_sink)."""
+                     reset: bool = False, resume: bool = False) -> StreamingQuery:
+    """Effectively-once result table.
+
+    A new checkpoint needs a new or emptied sink (see init_sink), unless ``resume``: then the run
+    continues a table that other runs filled (the stored-offset consumer). Build ``stream`` with
+    ``start_offsets=resume_point(spark, sink_path)`` so every partition is read from its max stored
+    offset (inclusive; the re-read record is rejected by the key check). The batch ids of this run
+    continue after the stored ones; the base is kept in the checkpoint folder for restarts.
+    """
     spark = stream.sparkSession
-    if not _checkpoint_started(spark, checkpoint):
+    base = 0
+    if _checkpoint_started(spark, checkpoint):
+        base = _read_base(spark, checkpoint)
+    elif resume and path_exists(spark, sink_path):
+        top = read_sink(spark, sink_path).agg(F.max("batch_id")).first()[0]
+        base = 0 if top is None else int(top) + 1
+        _write_base(spark, checkpoint, base)
+    else:
         init_sink(spark, sink_path, reset=reset)
-    process = exactly_once_writer(sink_path, ledger_path, quarantine_path)
+        _write_base(spark, checkpoint, 0)
+    process = exactly_once_writer(sink_path, ledger_path, quarantine_path, batch_base=base)
     return start_batches(stream, process, checkpoint, available_now)
 
 
+def resume_point(spark: SparkSession, sink_path: str) -> DataFrame:
+    """Start offsets (topic, partition, start_offset) to continue a result table: max stored offset."""
+    from ..operators.ledger import starts_from_sink
+
+    return starts_from_sink(read_sink(spark, sink_path), inclusive=True)
+
+
+def _base_path(checkpoint: str) -> str:
+    return checkpoint.rstrip("/") + "/ledgerline-batch-base"
+
+
+def _write_base(spark: SparkSession, checkpoint: str, base: int) -> None:
+    spark.createDataFrame([(int(base),)], "base long").coalesce(1).write.mode("overwrite").json(_base_path(checkpoint))
+
+
+def _read_base(spark: SparkSession, checkpoint: str) -> int:
+    if not path_exists(spark, _base_path(checkpoint)):
+        return 0
+    row = spark.read.schema("base long").json(_base_path(checkpoint)).first()
+    return 0 if row is None else int(row["base"])
+
+
 def run_foreach(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
                 available_now: bool = True) -> StreamingQuery:
     """Source -> foreach(fn). ``fn`` gets each micro-batch as a DataFrame (side effects go here)."""

@@ -144,3 +144,29 @@ def test_quarantine_table_holds_bad_records_once(spark, scratch, polls):
     assert got.count() == bad.count() > 0
     assert got.select("partition", "offset").distinct().count() == got.count()
     assert {r[0] for r in got.select("reason").distinct().collect()} == {"malformed"}
+
+
+def test_resume_from_the_table_with_a_new_checkpoint(spark, scratch):
+    """The stored-offset consumer: a second run with a new checkpoint seeks from the table itself."""
+    from ledgerline.streaming.runs import resume_point
+
+    log = stored_log(spark, SF001)
+    src, sink = scratch("src"), scratch("sink")
+    write_poll_files(log, src, records_per_file=20, polls=range(0, 2))
+    drain(run_exactly_once(read_log_stream(spark, "files", path=src), sink, scratch("ckpt")))
+    first = read_sink(spark, sink).count()
+    write_poll_files(log, src, records_per_file=20, polls=range(2, 4))
+    ckpt2 = scratch("ckpt")
+    starts = resume_point(spark, sink)
+    drain(run_exactly_once(read_log_stream(spark, "files", path=src, start_offsets=starts), sink, ckpt2, resume=True))
+    got = read_sink(spark, sink)
+    want = first_success_per_key(decode_posts(log.where(F.col("offset") < 80)))
+    assert got.count() > first
+    assert audit_duplicates(got, ["id"], "partition_offset").count() == 0
+    assert got.drop("batch_id").exceptAll(want).count() == 0 and want.exceptAll(got.drop("batch_id")).count() == 0
+    # the resumed run's batch ids continue after the first run's
+    assert got.agg(F.min("batch_id")).first()[0] == 0
+    # a restart of the resumed run with nothing new adds nothing
+    n = got.count()
+    drain(run_exactly_once(read_log_stream(spark, "files", path=src, start_offsets=starts), sink, ckpt2, resume=True))
+    assert read_sink(spark, sink).count() == n
