@@ -250,3 +250,5 @@ ORACLE["seek_stream"] = with_log(
 ORACLE["highest_offset_stream"] = ORACLE["highest_offset"]
 
 ORACLE["exactly_once_keyed"] = ORACLE["first_success_per_key"]
+
+ORACLE["resume_table_stream"] = ORACLE["first_success_per_key"]

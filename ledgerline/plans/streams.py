@@ -174,7 +174,27 @@ def q_exactly_once_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(SINK_SCHEMA).parquet(sink).drop("batch_id")
 
 
+def q_resume_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 + J1 + S4: the stored-offset consumer. A first run stores the first polls; later a run with a
+    new checkpoint resumes from the table itself (max stored offset per partition, inclusive)."""
+    from ..streaming.runs import resume_point
+
+    log = stored_log(spark, sf_dir)
+    src, sink = scratch_path(spark, "resume-table-src"), scratch_path(spark, "resume-table")
+    last = log.agg(F.max("offset")).first()[0] or 0
+    polls = range(0, int(last) // 100 + 1)
+    write_poll_files(log, src, polls=polls[:RESUME_AFTER_POLLS])
+    drain(run_exactly_once(_stream(spark, src), sink, scratch_path(spark, "ckpt")))
+    write_poll_files(log, src, polls=polls[RESUME_AFTER_POLLS:])
+    resumed = read_log_stream(
+        spark, "files", path=src, start_offsets=resume_point(spark, sink), max_files_per_trigger=POLLS_PER_TRIGGER
+    )
+    drain(run_exactly_once(resumed, sink, scratch_path(spark, "ckpt"), resume=True))
+    return read_sink(spark, sink).drop("batch_id")
+
+
 STREAM_QUERIES = {
+    "resume_table_stream": q_resume_table_stream,
     "exactly_once_keyed": q_exactly_once_keyed,
     "highest_offset_stream": q_highest_offset_stream,
     "seek_stream": q_seek_stream,
