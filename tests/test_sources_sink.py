@@ -74,3 +74,13 @@ def test_publish_appends_with_continuing_offsets(spark, scratch):
         assert [o for o, _ in items] == list(range(len(items)))  # dense, no gaps or repeats
         keys = [k for _, k in items]
         assert keys == sorted(keys)  # send order; the second publish continues after the first
+
+
+def test_poll_files_out_of_order_are_refused(spark, scratch):
+    from ledgerline.sources.log import stored_log, write_poll_files
+
+    path = scratch("polls")
+    log = stored_log(spark, SF001)
+    write_poll_files(log, path, records_per_file=20, polls=range(1, 2))
+    with pytest.raises(RuntimeError, match="not newer"):
+        write_poll_files(log, path, records_per_file=20, polls=range(0, 1))  # poll 0 after poll 1
