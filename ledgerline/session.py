@@ -7,6 +7,7 @@ a fresh folder; on a cluster the setting is always read, never replaced.
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -61,20 +62,31 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make the package importable on executors (once per context) for Arrow/pandas tasks."""
+    """Make the package importable on executors (once per context) for Arrow/pandas tasks.
+
+    The zip is built in memory and written to the shared scratch folder (Hadoop file system, so
+    ``file:``, HDFS and object stores alike), then added with ``addPyFile``.
+    """
     sc = spark.sparkContext
     key = sc.applicationId
     if key in _shipped:
         return
-    out_dir = tempfile.mkdtemp(prefix="ledgerline-pyfiles-")
-    archive = os.path.join(out_dir, "ledgerline.zip")
-    with zipfile.ZipFile(archive, "w") as zf:
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as zf:
         for folder, _dirs, files in os.walk(_PACKAGE_DIR):
             for name in files:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     zf.write(full, os.path.relpath(full, os.path.dirname(_PACKAGE_DIR)))
-    sc.addPyFile(archive)
+    target = scratch_path(spark, "pyfiles") + "/ledgerline.zip"
+    jvm = sc._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(target)
+    out = hpath.getFileSystem(sc._jsc.hadoopConfiguration()).create(hpath, True)
+    try:
+        out.write(bytearray(buffer.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(target)
     _shipped.add(key)
 
 
