@@ -215,40 +215,39 @@ from (select doc_id::varchar as id, source as author, lang as description, text,
 
 _DELIVERED = f"""select {field('id')} as post_id, partition, "offset" from decoded where decode_status = 'ok'"""
 
+# `conversations` published as a keyed log (md5 key partitioner, offsets in (conversation, turn)
+# order), first post per conversation
+ORACLE["conversation_firsts"] = """
+with c as (
+  select *, ((('0x' || substr(md5(conv_id::varchar), 1, 8))::bigint) % 20)::int as partition from conversations),
+o as (
+  select *, row_number() over (partition by partition order by conv_id, turn) - 1 as "offset" from c)
+select conv_id::varchar as id, conv_id::varchar || ':' || turn::varchar as post_id, role as author, text,
+       partition::bigint as topic_partition, "offset" as partition_offset
+from (select *, row_number() over (partition by conv_id order by partition, "offset") as rn from o) f
+where rn = 1"""
+
+# Stream queries: a stream run to the end equals its batch twin.
 ORACLE.update({
     "log_stream_scan": ORACLE["log_scan"],
     "key_value_stream": with_log("select key, value from log"),
     "at_least_once_stream": ORACLE["post_deliveries"],
     "assigned_stream": with_log(_DELIVERED + " and partition in (3, 7, 11)", decoded=True),
     "exactly_once_sink": ORACLE["first_success_per_key"],
+    "exactly_once_keyed": ORACLE["first_success_per_key"],
+    "resume_table_stream": ORACLE["first_success_per_key"],
     "stream_ledger": ORACLE["commit_ledger"],
+    "highest_offset_stream": ORACLE["highest_offset"],
     "resume_stream": with_log(
         f"""select post_id, partition, "offset", count(*) as deliveries from ({_DELIVERED}) d
             group by post_id, partition, "offset" """, decoded=True),
     "replay_stream": with_log(
         f"""select post_id, partition, "offset", 2 * count(*) as deliveries from ({_DELIVERED}) d
             group by post_id, partition, "offset" """, decoded=True),
+    "seek_stream": with_log(
+        f"""select {field('id')} as post_id, d.partition, d."offset" from decoded d
+            left join (select topic, topic_partition::int as partition, max(partition_offset) as start
+                       from {STOPPED} x group by 1, 2) s
+              on d.topic = s.topic and d.partition = s.partition
+            where d.decode_status = 'ok' and d."offset" >= coalesce(s.start, 0)""", decoded=True),
 })
-
-ORACLE["conversation_firsts"] = """
-with c as (
-  select *, ((('0x' || substr(md5(conv_id::varchar), 1, 8))::bigint) % 20)::int as partition from conversations),
-o as (
-  select *, row_number() over (partition by partition order by conv_id, turn) - 1 as "offset" from c)
-select conv_id::varchar as id, conv_id::varchar || ':' || turn::varchar as post_id, role as author, text,
-       partition::bigint as topic_partition, "offset" as partition_offset
-from (select *, row_number() over (partition by conv_id order by partition, "offset") as rn from o) f
-where rn = 1"""
-
-ORACLE["seek_stream"] = with_log(
-    f"""select {field('id')} as post_id, d.partition, d."offset" from decoded d
-        left join (select topic, topic_partition::int as partition, max(partition_offset) as start
-                   from {STOPPED} x group by 1, 2) s
-          on d.topic = s.topic and d.partition = s.partition
-        where d.decode_status = 'ok' and d."offset" >= coalesce(s.start, 0)""", decoded=True)
-
-ORACLE["highest_offset_stream"] = ORACLE["highest_offset"]
-
-ORACLE["exactly_once_keyed"] = ORACLE["first_success_per_key"]
-
-ORACLE["resume_table_stream"] = ORACLE["first_success_per_key"]
