@@ -73,62 +73,62 @@ def full_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- scans and sources -------------------------------------------------------------------------------
 
-def q_log_scan(spark, sf_dir):
+def q_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole topic as a table."""
     return _log(spark, sf_dir).select("key", "value", "topic", "partition", "offset")
 
 
-def q_assigned_scan(spark, sf_dir):
+def q_assigned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the assigned partitions (directory pruning)."""
     log = read_log(spark, stored_log_path(spark, sf_dir), partitions=ASSIGNED)
     return log.select("key", "value", "topic", "partition", "offset")
 
 
-def q_poll_batches(spark, sf_dir):
+def q_poll_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each record's poll when a poll reads at most 100 records per partition."""
     return poll_batches(_log(spark, sf_dir)).select("key", "partition", "offset", "poll")
 
 
-def q_partition_list(spark, sf_dir):
+def q_partition_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S7."""
     return log_partitions(_log(spark, sf_dir))
 
 
-def q_partition_count(spark, sf_dir):
+def q_partition_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S8."""
     return partition_count(_log(spark, sf_dir))
 
 
 # --- projections and filters ------------------------------------------------------------------------
 
-def q_drop_tombstones(spark, sf_dir):
+def q_drop_tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1."""
     return drop_tombstones(_log(spark, sf_dir)).select("key", "value", "partition", "offset")
 
 
-def q_post_deliveries(spark, sf_dir):
+def q_post_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(post id, partition, offset) of every delivered post, retries included."""
     return deliveries(decode_posts(_log(spark, sf_dir)))
 
 
-def q_next_offsets(spark, sf_dir):
+def q_next_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Committable offset of each record."""
     return next_offsets(_log(spark, sf_dir))
 
 
-def q_partition_predicate(spark, sf_dir):
+def q_partition_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored rows of one (topic, partition)."""
     rows = for_partition(stopped_sink(spark, sf_dir), TOPIC, PREDICATE_PARTITION)
     return rows.select("id", "post_json", "topic_partition", "partition_offset")
 
 
-def q_quarantine(spark, sf_dir):
+def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records that cannot be stored, with the reason."""
     _, bad = split_bad(decode_posts(_log(spark, sf_dir)))
     return bad.select("key", "value", "partition", "offset", "reason")
 
 
-def q_decode_posts(spark, sf_dir):
+def q_decode_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """strictly decoded posts."""
     decoded = decode_posts(_log(spark, sf_dir)).where(F.col("decode_status") == "ok")
     return decoded.select("post.*", "partition", "offset")
@@ -136,47 +136,47 @@ def q_decode_posts(spark, sf_dir):
 
 # --- ledgers and resume -----------------------------------------------------------------------------
 
-def q_commit_ledger(spark, sf_dir):
+def q_commit_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1/K6: next offset per partition after reading the whole log."""
     return commit_ledger(_log(spark, sf_dir))
 
 
-def q_highest_offset(spark, sf_dir):
+def q_highest_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Highest delivered offset per partition, computed from work done in decoupled lanes."""
     lanes = decouple(decode_posts(_log(spark, sf_dir)), LANES)
     return highest_offset(lanes.where(F.col("decode_status") == "ok"))
 
 
-def q_sink_max_offset(spark, sf_dir):
+def q_sink_max_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Resume position per partition from the stopped consumer's table; 0 when none stored."""
     return sink_max_offset(stopped_sink(spark, sf_dir), log_partitions(_log(spark, sf_dir)))
 
 
-def q_records_by_partition(spark, sf_dir):
+def q_records_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G4."""
     return records_by_partition(_log(spark, sf_dir))
 
 
-def q_commits_per_batch(spark, sf_dir):
+def q_commits_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G5."""
     return commits_per_batch(_log(spark, sf_dir))
 
 
-def q_resume_from_sink(spark, sf_dir):
+def q_resume_from_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1/S4 inclusive: what the stopped consumer reads when it restarts from its result table
     (a seek on the stored log: one pruned scan per partition, offsets pushed to the row groups)."""
     starts = starts_from_sink(stopped_sink(spark, sf_dir))
     return read_log(spark, stored_log_path(spark, sf_dir), start_offsets=starts).select("key", "partition", "offset")
 
 
-def q_resume_from_ledger(spark, sf_dir):
+def q_resume_from_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 exclusive: restart from the committed ledger of the stopped consumer (seek on a DataFrame)."""
     log = _log(spark, sf_dir)
     ledger = commit_ledger(log.where(F.col("offset") < STOPPED_BELOW))
     return resume_from_ledger(log, ledger).select("key", "partition", "offset")
 
 
-def q_new_ids_only(spark, sf_dir):
+def q_new_ids_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 batch form: records after the stop whose key is not stored yet."""
     log = _log(spark, sf_dir)
     later = log.where(F.col("offset") >= STOPPED_BELOW)
@@ -185,14 +185,14 @@ def q_new_ids_only(spark, sf_dir):
 
 # --- ordering, split, merge ---------------------------------------------------------------------------
 
-def q_ordered_position(spark, sf_dir):
+def q_ordered_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1: position of each delivered record in its partition, in offset order."""
     # project before ranking: the ranked rows are checkpointed, and only these columns are needed
     delivered = drop_tombstones(_log(spark, sf_dir)).select("key", "topic", "partition", "offset")
     return ordered_positions(delivered).select("key", "partition", "offset", "position")
 
 
-def q_decoupled_process(spark, sf_dir):
+def q_decoupled_process(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: decode in lanes independent of the log partitions (order-free result)."""
     decoded = decode_posts(decouple(_log(spark, sf_dir), LANES)).where(F.col("decode_status") == "ok")
     return decoded.select(F.col("post.id").alias("post_id"), F.col("post.author").alias("author"), "partition", "offset")
@@ -219,7 +219,7 @@ def _chunk_summary(frames):
 _CHUNK_SCHEMA = "topic string, partition int, n_records long, n_tombstones long, first_offset long, last_offset long"
 
 
-def q_per_partition_summary(spark, sf_dir):
+def q_per_partition_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O3: a pandas function per partition sub-stream; partial results combined per partition."""
     # only what the function reads crosses into Python: positions and a tombstone flag, not the values
     slim = _log(spark, sf_dir).select("topic", "partition", "offset", F.col("value").isNull().alias("tombstone"))
@@ -232,19 +232,19 @@ def q_per_partition_summary(spark, sf_dir):
     )
 
 
-def q_even_split_equal(spark, sf_dir):
+def q_even_split_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O5, tail rows spread over the first chunks."""
     rows = _log(spark, sf_dir).select("key", "partition", "offset")
     return even_split(rows, SPLIT_K, ["partition", "offset"], equal=True).select("key", "partition", "offset", "split_id")
 
 
-def q_even_split_last(spark, sf_dir):
+def q_even_split_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O5, tail rows all in the last chunk."""
     rows = _log(spark, sf_dir).select("key", "partition", "offset")
     return even_split(rows, SPLIT_K, ["partition", "offset"], equal=False).select("key", "partition", "offset", "split_id")
 
 
-def q_reader_assignment(spark, sf_dir):
+def q_reader_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The partition list split over readers."""
     # strict=False: the same rule, defined for every partition count (a small log may hold fewer
     # partitions than the documented 20, e.g. 15 into 6 readers, where the sequential splitter throws)
@@ -252,7 +252,7 @@ def q_reader_assignment(spark, sf_dir):
     return assigned.select("split_id", F.col("partitions").cast("string").alias("partitions"))
 
 
-def q_merged_scan(spark, sf_dir):
+def q_merged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One scan per reader's assigned partitions, merged into one flow."""
     path = stored_log_path(spark, sf_dir)
     plan = assign_splits(log_partitions(_log(spark, sf_dir)), READERS_K, strict=False).collect()  # <= one row per reader
@@ -265,7 +265,7 @@ def q_merged_scan(spark, sf_dir):
 
 # --- publish, callbacks, audits -----------------------------------------------------------------------
 
-def q_publish_encode(spark, sf_dir):
+def q_publish_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records a producer sends for every event."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     return published_records(events, post_fields(events), F.col("event_id"), TOPIC, PUBLISH_PARTITIONS)
@@ -275,7 +275,7 @@ def _document_post(docs):
     return {"id": F.col("doc_id"), "author": F.col("source"), "description": F.col("lang"), "text": F.col("text")}
 
 
-def q_publish_roundtrip(spark, sf_dir):
+def q_publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 + F1: documents published to a stored log (key partition, offsets in key order), read back and
     decoded (long texts, quotes, line breaks, nulls)."""
     from ..operators.sink import publish
@@ -287,7 +287,7 @@ def q_publish_roundtrip(spark, sf_dir):
     return decoded.select("post.*", "partition", "offset")
 
 
-def q_udf_process(spark, sf_dir):
+def q_udf_process(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The standard per-record callback as a DataFrame -> DataFrame function."""
 
     def report(df: DataFrame) -> DataFrame:
@@ -301,12 +301,12 @@ def q_udf_process(spark, sf_dir):
     return deliveries(decode_posts(_log(spark, sf_dir))).transform(report)
 
 
-def q_audit_duplicates(spark, sf_dir):
+def q_audit_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts delivered more than once (producer retries)."""
     return audit_duplicates(deliveries(decode_posts(_log(spark, sf_dir))), ["post_id", "partition"])
 
 
-def q_audit_missing(spark, sf_dir):
+def q_audit_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log records that the result table does not hold, and whether their key is stored."""
     return audit_missing(_log(spark, sf_dir), full_sink(spark, sf_dir))
 
@@ -326,7 +326,7 @@ def conversation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("key", "value", "topic", "partition", "offset", F.lit(None).cast("timestamp_ntz").alias("timestamp"))
 
 
-def q_conversation_firsts(spark, sf_dir):
+def q_conversation_firsts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3 on real multi-row keys and non-ASCII text: the first stored post of each conversation."""
     firsts = first_success_per_key(decode_posts(conversation_log(spark, sf_dir)))
     post = F.from_json("post_json", POST_SCHEMA)
@@ -336,7 +336,7 @@ def q_conversation_firsts(spark, sf_dir):
     )
 
 
-def q_first_success_per_key(spark, sf_dir):
+def q_first_success_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3 batch twin of the effectively-once sink: first storable record per key."""
     return first_success_per_key(decode_posts(_log(spark, sf_dir)))
 
