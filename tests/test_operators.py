@@ -106,3 +106,14 @@ def test_bounded_broadcast_checks_rows_and_bytes(spark):
         assert "BroadcastHashJoin" not in plan_text(join_bounded(big, small, ["id"], rows=10, max_bytes=100))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+
+
+def test_queries_leave_the_callers_session_settings_alone(spark):
+    import __spark_entry__ as entry
+    from conftest import SF001
+
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for name in ("exactly_once_sink", "highest_offset_stream", "exactly_once_keyed"):
+        entry.queries()[name](spark, SF001).count()
+    assert {k: spark.conf.get(k, None) for k in keys} == before
