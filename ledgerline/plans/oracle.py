@@ -251,3 +251,21 @@ ORACLE.update({
               on d.topic = s.topic and d.partition = s.partition
             where d.decode_status = 'ok' and d."offset" >= coalesce(s.start, 0)""", decoded=True),
 })
+
+# K1 -> S1 -> K3: `events` published in two appends (split by event time), offsets per key partition
+# in (append, key) order, every record stored once
+ORACLE["published_stream"] = """
+with p as (
+  select event_id::varchar as key,
+         json_object('id', event_id::varchar, 'author', 'author' || user_id,
+                     'description', 'description' || event_type, 'text', props,
+                     'createdAt', strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ'),
+                     'updatedAt', strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ'))::varchar as value,
+         ((('0x' || substr(md5(event_id::varchar), 1, 8))::bigint) % 20)::int as partition,
+         case when ts < timestamp '2024-01-16 00:00:00' then 0 else 1 end as append_no
+  from events),
+o as (
+  select *, row_number() over (partition by partition order by append_no, key) - 1 as "offset" from p)
+select key as id, value as post_json, 'posts' as topic, partition::bigint as topic_partition,
+       "offset"::bigint as partition_offset
+from o"""

@@ -193,7 +193,27 @@ def q_resume_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_sink(spark, sink).drop("batch_id")
 
 
+# Fixed scenario value: the producer publishes `events` in two appends, split at this event time.
+PUBLISH_SPLIT = "2024-01-16 00:00:00"
+
+
+def q_published_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 -> S1 -> K3 end to end: `events` published to a stored log in two appends (offsets continue),
+    the log tailed as a stream into the effectively-once table after each append (same checkpoint)."""
+    from ..operators.sink import publish
+    from ..sources.fixtures import post_fields
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    topic_path, sink, ckpt = scratch_path(spark, "published-log"), scratch_path(spark, "published-sink"), scratch_path(spark, "ckpt")
+    early = F.col("ts") < F.lit(PUBLISH_SPLIT).cast("timestamp_ntz")
+    for part in (events.where(early), events.where(~early)):
+        publish(part, post_fields(part), F.col("event_id"), "posts", 20, path=topic_path)
+        drain(run_exactly_once(read_log_stream(spark, "table", path=topic_path), sink, ckpt))
+    return read_sink(spark, sink).drop("batch_id")
+
+
 STREAM_QUERIES = {
+    "published_stream": q_published_stream,
     "resume_table_stream": q_resume_table_stream,
     "exactly_once_keyed": q_exactly_once_keyed,
     "highest_offset_stream": q_highest_offset_stream,

@@ -217,13 +217,16 @@ def read_log_stream(
     source: str,
     path: str | None = None,
     topic: str | None = None,
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int | None = None,
     kafka: dict | None = None,
     partitions: list[int] | None = None,
     start_offsets: DataFrame | None = None,
 ) -> DataFrame:
-    """S1/S3/S4 stream scan. ``source="files"`` reads poll files (earliest: every existing file);
-    ``source="kafka"`` builds the reader from :func:`ledgerline.sources.kafka.kafka_options`.
+    """S1/S3/S4 stream scan. ``source="files"`` reads poll files (earliest: every existing file; one
+    file per trigger unless ``max_files_per_trigger`` says otherwise); ``source="table"`` tails a
+    stored log (:func:`write_log` / :func:`publish` appends), by default every new file per trigger, so
+    one publish arrives whole in one micro-batch; ``source="kafka"`` builds the reader from
+    :func:`ledgerline.sources.kafka.kafka_options`.
 
     ``start_offsets`` (topic, partition, start_offset; one row per partition) seeks each partition:
     for Kafka it becomes ``startingOffsets``, for files the static start predicate (records below the
@@ -261,17 +264,22 @@ def read_log_stream(
         # poll files live in one folder each (see write_poll_files); the glob is listed again per trigger
         log = (
             spark.readStream.schema(LOG_SCHEMA)
-            .option("maxFilesPerTrigger", max_files_per_trigger)
+            .option("maxFilesPerTrigger", max_files_per_trigger or 1)
             .parquet(f"{path.rstrip('/')}/{POLL_PREFIX}*")
             .select(*LOG_COLUMNS)
         )
+    elif source == "table":
+        reader = spark.readStream.schema(LOG_SCHEMA).option("basePath", path)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        log = reader.parquet(path).select(*LOG_COLUMNS)
     else:
         raise ValueError(f"unknown source {source!r}")
-    if source == "files":
+    if source in ("files", "table"):
         if topic is not None:
             log = log.where(F.col("topic") == topic)
         if partitions is not None:
             log = log.where(F.col("partition").isin(list(partitions)))
-    if starts and source == "files":
+    if starts and source in ("files", "table"):
         log = log.where(start_predicate(starts))
     return log
