@@ -84,3 +84,26 @@ def test_poll_files_out_of_order_are_refused(spark, scratch):
     write_poll_files(log, path, records_per_file=20, polls=range(1, 2))
     with pytest.raises(RuntimeError, match="not newer"):
         write_poll_files(log, path, records_per_file=20, polls=range(0, 1))  # poll 0 after poll 1
+
+
+def test_table_stream_tails_appends_and_seeks(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators.sink import publish
+    from ledgerline.sources.log import read_log_stream
+    from ledgerline.streaming.runs import drain, run_foreach
+
+    path, out, ckpt = scratch("topic"), scratch("out"), scratch("ckpt")
+    fields = {"id": F.col("n").cast("string")}
+    starts = spark.createDataFrame([("t", 0, 10)], "topic string, partition int, start_offset long")
+
+    def keep(batch, batch_id):
+        batch.select("partition", "offset").write.mode("append").parquet(out)
+
+    for lo, hi in ((0, 100), (100, 160)):
+        publish(spark.range(lo, hi).withColumnRenamed("id", "n"), fields, F.col("n"), "t", 2, path=path, order_by=("n",))
+        drain(run_foreach(read_log_stream(spark, "table", path=path, start_offsets=starts), keep, ckpt))
+    got = spark.read.parquet(out)
+    log = read_log(spark, path)
+    want = log.where(~((F.col("partition") == 0) & (F.col("offset") < 10))).select("partition", "offset")
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
