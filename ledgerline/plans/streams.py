@@ -3,6 +3,7 @@
 
 Input: the stored log of `events` laid out as one parquet file per poll (offsets [100*i, 100*i+100) of
 every partition), read POLLS_PER_TRIGGER files per trigger in file order, so arrival order equals offset order.
+`published_stream` instead tails a stored log that `publish` appends to (whole publishes per trigger).
 """
 
 from __future__ import annotations
