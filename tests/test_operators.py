@@ -117,3 +117,14 @@ def test_queries_leave_the_callers_session_settings_alone(spark):
     for name in ("exactly_once_sink", "highest_offset_stream", "exactly_once_keyed"):
         entry.queries()[name](spark, SF001).count()
     assert {k: spark.conf.get(k, None) for k in keys} == before
+
+
+def test_estimated_bytes_of_nested_types(spark):
+    from ledgerline.operators.joins import estimated_bytes
+
+    df = spark.createDataFrame(
+        [], "a struct<x: int, y: string>, b array<long>, c map<string,int>, d decimal(30,2), e boolean, v variant"
+    )
+    # struct 4 + 20, array 100, map 100, wide decimal 16, boolean 1, variant 20
+    assert estimated_bytes(df, 1) == 4 + 20 + 100 + 100 + 16 + 1 + 20
+    assert estimated_bytes(df, 1000) == 1000 * 261
