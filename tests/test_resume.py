@@ -84,3 +84,19 @@ def test_partition_predicate_on_sink_is_pushed(spark, scratch):
     pushed = " ".join(scan_filters(rows)["PushedFilters"])
     assert "EqualTo(topic_partition,7)" in pushed and "EqualTo(topic,posts)" in pushed
     assert {r[0] for r in rows.select("topic_partition").distinct().collect()} == {7}
+
+
+def test_seek_fallback_paths_give_the_same_rows(spark, monkeypatch):
+    import ledgerline.sources.log as log_mod
+
+    path = stored_log_path(spark, SF001)
+    starts = spark.createDataFrame([("posts", 3, 10), ("posts", 4, 0), ("posts", 9, 7)],
+                                   "topic string, partition int, start_offset long")
+    static = log_mod.seek(stored_log(spark, SF001), starts)
+    scans = read_log(spark, path, start_offsets=starts)
+    monkeypatch.setattr(log_mod, "SEEK_STATIC_MAX", 0)  # forces the bounded join
+    monkeypatch.setattr(log_mod, "SEEK_SCANS_MAX", 0)  # forces read_log onto seek
+    joined = log_mod.seek(stored_log(spark, SF001), starts)
+    via_read = read_log(spark, path, start_offsets=starts)
+    for other in (scans, joined, via_read):
+        assert static.exceptAll(other).count() == 0 and other.exceptAll(static).count() == 0
