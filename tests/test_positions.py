@@ -32,3 +32,23 @@ def test_plan_has_no_single_partition_exchange_on_rows(spark):
     plan = plan_text(dense_positions(df, ["g"], ["o"], "p").rows)
     assert "SinglePartition" not in plan
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_positions_with_the_shuffle_join_fallback(spark, monkeypatch):
+    import ledgerline.operators.joins as joins
+    import ledgerline.operators.ordering as ordering
+
+    def no_broadcast(*args, **kwargs):
+        return joins.join_bounded(*args, **{**kwargs, "max_rows": 0})
+
+    monkeypatch.setattr(ordering, "join_bounded", no_broadcast)
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # Spark may not broadcast by itself either
+    try:
+        df = spark.range(3000).select((F.col("id") % 4).alias("g"), ((F.col("id") * 7) % 3001).alias("o"))
+        got = dense_positions(df, ["g"], ["o"], "p", num_partitions=5).rows
+        assert "BroadcastHashJoin" not in plan_text(got)
+        want = df.withColumn("p", F.row_number().over(Window.partitionBy("g").orderBy("o")) - 1)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
