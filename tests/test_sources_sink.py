@@ -107,3 +107,26 @@ def test_table_stream_tails_appends_and_seeks(spark, scratch):
     log = read_log(spark, path)
     want = log.where(~((F.col("partition") == 0) & (F.col("offset") < 10))).select("partition", "offset")
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_publish_append_without_broadcast(spark, scratch, monkeypatch):
+    from pyspark.sql import functions as F
+
+    import ledgerline.operators.joins as joins
+    import ledgerline.operators.sink as sink_mod
+
+    monkeypatch.setattr(sink_mod, "fits_broadcast", lambda *a, **k: False)
+    monkeypatch.setattr(sink_mod, "join_bounded", lambda *a, **k: joins.join_bounded(*a, **{**k, "max_rows": 0}))
+    path = scratch("topic")
+    fields = {"id": F.col("n").cast("string")}
+    for lo, hi in ((0, 120), (120, 200)):
+        sink_mod.publish(spark.range(lo, hi).withColumnRenamed("id", "n"), fields, F.col("n"), "t", 3, path=path, order_by=("n",))
+    rows = read_log(spark, path).select("partition", "offset", "key").collect()
+    by_part = {}
+    for r in rows:
+        by_part.setdefault(r["partition"], []).append((r["offset"], int(r["key"])))
+    assert sum(len(v) for v in by_part.values()) == 200
+    for items in by_part.values():
+        items.sort()
+        assert [o for o, _ in items] == list(range(len(items)))
+        assert [k for _, k in items] == sorted(k for _, k in items)
