@@ -170,3 +170,14 @@ def test_resume_from_the_table_with_a_new_checkpoint(spark, scratch):
     n = got.count()
     drain(run_exactly_once(read_log_stream(spark, "files", path=src, start_offsets=starts), sink, ckpt2, resume=True))
     assert read_sink(spark, sink).count() == n
+
+
+def test_at_least_once_ledger_equals_batch_ledger(spark, scratch, polls):
+    from ledgerline.operators.ledger import commit_ledger
+    from ledgerline.streaming.runs import run_at_least_once
+
+    out, ledger, ckpt = scratch("alo"), scratch("ledger"), scratch("ckpt")
+    drain(run_at_least_once(read_log_stream(spark, "files", path=polls), out, ckpt, ledger_path=ledger))
+    got = {(r["partition"], r["next_offset"]) for r in read_ledger(spark, ledger).collect()}
+    want = {(r["partition"], r["next_offset"]) for r in commit_ledger(stored_log(spark, SF001)).collect()}
+    assert got == want
