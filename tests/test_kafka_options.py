@@ -29,3 +29,11 @@ def test_rejects_bad_specs():
 
 def test_write_options():
     assert kafka_write_options("b:9092", "posts") == {"kafka.bootstrap.servers": "b:9092", "topic": "posts"}
+
+
+def test_more_reader_options():
+    o = kafka_options("b:9092", topic="posts", starting="latest", ending={0: 100}, min_partitions=64,
+                      fail_on_data_loss=False, group_id_prefix="ingest")
+    assert o["startingOffsets"] == "latest"
+    assert json.loads(o["endingOffsets"]) == {"posts": {"0": 100}}
+    assert o["minPartitions"] == "64" and o["failOnDataLoss"] == "false" and o["groupIdPrefix"] == "ingest"

@@ -128,3 +128,15 @@ def test_estimated_bytes_of_nested_types(spark):
     # struct 4 + 20, array 100, map 100, wide decimal 16, boolean 1, variant 20
     assert estimated_bytes(df, 1) == 4 + 20 + 100 + 100 + 16 + 1 + 20
     assert estimated_bytes(df, 1000) == 1000 * 261
+
+
+def test_argument_checks(spark):
+    import pytest
+
+    from ledgerline.functions.codec import decode_posts
+
+    log = stored_log(spark, SF001)
+    with pytest.raises(ValueError):
+        decode_posts(log, on_error="ignore")
+    with pytest.raises(ValueError):
+        in_partition_order(log, lambda it: it, "x long", lanes="random")
