@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .bpe import bpe_encode_decode
+from .common import crc32_mod, table
 from .jaccard import ngram_jaccard_join
+from .langid import identify_languages, train as train_langid
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +18,27 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.documents().select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"), "class_id")
 
 
+def vocabulary_path() -> str:
+    """The public vocabulary that the contract of op5 names, in its installed place."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_encode_decode(table(spark, sf_dir, "documents"), vocabulary_path()).withColumnRenamed("id", "doc_id")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_langid(docs.where(crc32_mod(F.col("doc_id"), 4) != 2), "doc_id", "text", "lang")
+    found = identify_languages(docs, model)
+    held_out = F.coalesce(crc32_mod(F.col("id"), 4) == 2, F.lit(False))
+    return found.select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "lang_pred", "score", "mixture")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op8_language_id": op8_language_id,
 }
