@@ -11,6 +11,7 @@ from .bpe import bpe_encode_decode
 from .common import crc32_mod, table
 from .jaccard import ngram_jaccard_join
 from .langid import identify_languages, train as train_langid
+from .mixing import mix_sources
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,12 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.documents().select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"), "class_id")
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    taken = (F.col("copies") * F.col("size")).cast("long").alias("taken")
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken, "rate", "copies")
+
+
 def vocabulary_path() -> str:
     """The public vocabulary that the contract of op5 names, in its installed place."""
     import public_tokenizers
@@ -38,6 +45,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mix_sources": op2_mix_sources,
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op8_language_id": op8_language_id,
