@@ -11,6 +11,7 @@ from .bpe import bpe_encode_decode
 from .common import crc32_mod, table
 from .jaccard import ngram_jaccard_join
 from .langid import identify_languages, train as train_langid
+from .linededup import dedup_lines
 from .mixing import mix_sources
 
 
@@ -44,9 +45,16 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "lang_pred", "score", "mixture")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n = F.when(F.col("text").isNull() | (F.col("text") == ""), 0).otherwise(F.size(F.split("text", "\n")))
+    return kept.select("doc_id", n.cast("long").alias("n_kept"), F.col("_ll_dropped").cast("long").alias("n_dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op8_language_id": op8_language_id,
+    "op9_line_dedup": op9_line_dedup,
 }
