@@ -29,7 +29,8 @@ LOG_TOKENS = 24
 CONSTANT = 0.75
 #: A token that holds a digit, from its first character on (no backtracking over long tokens).
 VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
-SPACES = r"[\x20\x09-\x0D]+"
+#: White space within a line.
+BLANKS = r"[\x20\x09\x0B-\x0D]+"
 
 
 def _doc_key(id_col: str, text_col: str) -> list[Column]:
@@ -39,10 +40,10 @@ def _doc_key(id_col: str, text_col: str) -> list[Column]:
 def line_templates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per line with enough tokens: id, digest, line (from 0), n, leaf, shape, and tokens (hashes; null for long lines)."""
     text = F.col(text_col).cast("string")
-    lines = docs.where(text.isNotNull()).select(*_doc_key(id_col, text_col), F.posexplode(F.split(text, "\n")).alias("line", "raw"))
-    # one token between single spaces, variables generalised
-    shape = F.btrim(F.regexp_replace(F.regexp_replace(F.col("raw"), VARIABLE, "<*>"), SPACES, " "))
-    shaped = lines.select("id", "digest", "line", shape.alias("shape"))
+    # shaped before the lines are split: what a generator returns is not computed again for each use
+    shaped = F.regexp_replace(F.regexp_replace(text, VARIABLE, "<*>"), BLANKS, " ")
+    lines = docs.where(text.isNotNull()).select(*_doc_key(id_col, text_col), F.posexplode(F.split(shaped, "\n")).alias("line", "raw"))
+    shaped = lines.select("id", "digest", "line", F.btrim("raw").alias("shape"))
     n = F.when(F.col("shape") == "", 0).otherwise(F.length("shape") - F.length(F.translate("shape", " ", "")) + 1)
     shaped = shaped.withColumn("n", n).where(F.col("n") >= MIN_TOKENS)
     lead = F.substring_index("shape", " ", LEAD)
