@@ -1,8 +1,8 @@
 """Line dedup by a log-template tree, in DataFrame functions only.
 
-Every line walks a tree of fixed depth: its number of tokens, then its first ``LEAD`` tokens, where a token
-with a digit is the variable ``<*>``. A leaf holds the shapes of its lines: all tokens, those with a digit
-generalised. Two kinds of template come out of a leaf:
+Every line walks a tree of fixed depth: its number of tokens, then its first ``LEAD`` tokens, where the part of
+a token from its first digit on is the variable ``<*>``. A leaf holds the shapes of its lines: all tokens,
+generalised in the same way. Two kinds of template come out of a leaf:
 
 * a shape (a line with its variable tokens generalised), and
 * for lines of at most ``LOG_TOKENS`` tokens, the leaf itself: positions where all its lines agree are
@@ -27,10 +27,10 @@ LEAD = 3
 MIN_TOKENS = 4
 LOG_TOKENS = 24
 CONSTANT = 0.75
-#: A token that holds a digit, from its first character on (no backtracking over long tokens).
-VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
-#: White space within a line.
-BLANKS = r"[\x20\x09\x0B-\x0D]+"
+#: The variable part of a token: from its first digit on.
+VARIABLE = r"[0-9][^\x20\x09-\x0D]*+"
+#: White space within a line that is not one space already.
+BLANKS = r"[\x20\x09\x0B-\x0D]{2,}+|[\x09\x0B-\x0D]"
 
 
 def _doc_key(id_col: str, text_col: str) -> list[Column]:
@@ -44,7 +44,7 @@ def line_templates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     shaped = F.regexp_replace(F.regexp_replace(text, VARIABLE, "<*>"), BLANKS, " ")
     lines = docs.where(text.isNotNull()).select(*_doc_key(id_col, text_col), F.posexplode(F.split(shaped, "\n")).alias("line", "raw"))
     shaped = lines.select("id", "digest", "line", F.btrim("raw").alias("shape"))
-    n = F.when(F.col("shape") == "", 0).otherwise(F.length("shape") - F.length(F.translate("shape", " ", "")) + 1)
+    n = F.when(F.col("shape") == "", 0).otherwise(F.length("shape") - F.length(F.replace("shape", F.lit(" "), F.lit(""))) + 1)
     shaped = shaped.withColumn("n", n).where(F.col("n") >= MIN_TOKENS)
     lead = F.substring_index("shape", " ", LEAD)
     tokens = F.when(F.col("n") <= LOG_TOKENS, F.transform(F.split("shape", " "), lambda t: F.xxhash64(t)))
