@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .balltree import top_k
 from .bpe import bpe_encode_decode
 from .common import crc32_mod, table
+from .covertree import near_duplicates
 from .jaccard import ngram_jaccard_join
 from .langid import identify_languages, train as train_langid
 from .linededup import dedup_lines
 from .mixing import mix_sources
+from .secrets import digest_columns, scan_secrets
+from .urls import Rule, filter_urls
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,12 +24,27 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.documents().select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"), "class_id")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("comp").alias("component_id"), F.coalesce(F.col("id") == F.col("comp"), F.lit(True)).alias("kept"))
+
+
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    found = top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"), "score")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     taken = (F.col("copies") * F.col("size")).cast("long").alias("taken")
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken, "rate", "copies")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_columns(scan_secrets(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
 def vocabulary_path() -> str:
     """The public vocabulary that the contract of op5 names, in its installed place."""
     import public_tokenizers
@@ -37,6 +56,14 @@ def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode_decode(table(spark, sf_dir, "documents"), vocabulary_path()).withColumnRenamed("id", "doc_id")
 
 
+#: Fixed rules of the contract of op7.
+RULES = [Rule("allow", "org/"), Rule("block", "example.org/es/"), Rule("block", "example.org/en/1"), Rule("allow", "com/fr/"), Rule("block", "com/de/")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), RULES).withColumnRenamed("id", "page_id")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train_langid(docs.where(crc32_mod(F.col("doc_id"), 4) != 2), "doc_id", "text", "lang")
@@ -52,9 +79,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_mix_sources": op2_mix_sources,
+    "op4_secret_scan": op4_secret_scan,
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_url_filter": op7_url_filter,
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
+    "op10_exact_top_k": op10_exact_top_k,
 }
