@@ -16,6 +16,7 @@ from .langid import identify_languages, train as train_langid
 from .linededup import dedup_lines
 from .mixing import mix_sources
 from .secrets import digest_columns, scan_secrets
+from .toxicity import learn as learn_toxicity, score_texts
 from .urls import Rule, filter_urls
 
 
@@ -41,6 +42,15 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken, "rate", "copies")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(crc32_mod(F.col("doc_id"), 5) == 0, F.lit(False))
+    known = labels.where(~held_out & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    net = learn_toxicity(docs.select("doc_id", "text").join(known, "doc_id"))
+    scored = score_texts(docs, net).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_columns(scan_secrets(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
 
@@ -81,6 +91,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_mix_sources": op2_mix_sources,
+    "op3_toxicity": op3_toxicity,
     "op4_secret_scan": op4_secret_scan,
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
