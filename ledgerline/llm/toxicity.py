@@ -7,7 +7,7 @@ windows ``STRIDE`` words apart, so they overlap by half and every word is read;
 its highest window, shifted so that one half is the best cut on the training documents.
 
 Labels belong to documents, not windows: after a first pass in which every sampled window has its document's
-label, a toxic document teaches with its currently highest window only, a clean one with all of its windows.
+label, a toxic document teaches with its currently highest window, a clean one with its ``HARD_WINDOWS`` highest.
 
 Training is on the driver, over a bounded sample (``TRAIN_DOCS`` documents of each label, at most
 ``DOC_WINDOWS`` windows of each); scoring runs in Arrow batches over whole texts. The parameters are a few MB.
@@ -27,7 +27,7 @@ from . import words
 from .common import ready
 
 #: Most labelled documents learned from per label, in expectation, chosen by hash of the id.
-TRAIN_DOCS, DOC_WINDOWS = 1_200, 8
+TRAIN_DOCS, DOC_WINDOWS, HARD_WINDOWS = 1_200, 6, 4
 WINDOW, STRIDE = 32, 16
 WORDS, CHARS, EMBED, HIDDEN = 1 << 14, 1 << 12, 8, 8
 EPOCHS, BATCH, RATE = 5, 128, 0.01
@@ -217,7 +217,8 @@ def _subset(inputs, ids: np.ndarray, pad: int):
     size = ends[real] - begin[real]
     start = np.cumsum(size) - size
     at = np.arange(int(size.sum())) - np.repeat(start, size) + np.repeat(begin[real], size)
-    return (bucket[real], grams[at], start), new  # padding has the highest number, so it stays the last
+    # padding has the highest number, so it stays the last one, len(real), where it occurs
+    return (bucket[real], grams[at], start), new
 
 
 def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Network:
@@ -239,41 +240,32 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Network:
     inputs = _word_inputs(raw, starts[one], ends[one], distinct)
     pad = len(distinct)
     at, text = _windows(first)
-    # at most DOC_WINDOWS windows of a document, at random
-    order = rng.permutation(len(at))
-    order = order[np.argsort(text[order], kind="stable")]
-    begin = np.searchsorted(text[order], np.arange(len(texts)))
-    rank = np.arange(len(order)) - begin[text[order]]
-    chosen = np.sort(order[rank < DOC_WINDOWS])
-    at, text = at[chosen], text[chosen]
-    places = _places(unit, at, text, first, pad)
-    label = y[text]
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v2 = {k: np.zeros_like(v) for k, v in net.p.items()}
     step = 0
     for epoch in range(EPOCHS):
-        use = np.arange(len(at))
-        if epoch:
-            logit = net.logits(inputs, unit, at, text, first)
-            top = np.zeros(len(at), bool)
-            by = np.lexsort((-logit, text))
-            top[by[np.r_[True, text[by][1:] != text[by][:-1]]]] = True
-            use = use[(label == 0) | top]
+        # the first time windows at random, later the highest: one of a toxic document, several of a clean one
+        rank = net.logits(inputs, unit, at, text, first) if epoch else rng.random(len(at))
+        by = np.lexsort((-rank, text))
+        begin = np.searchsorted(text[by], np.arange(len(texts)))
+        place = np.arange(len(by)) - begin[text[by]]
+        use = by[place < (np.where(y[text[by]] > 0, 1, HARD_WINDOWS) if epoch else DOC_WINDOWS)]
+        label = y[text[use]]
         # both labels weigh the same
-        share = label[use].mean()
-        weight = np.where(label > 0, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6)).astype(np.float32)
-        rng.shuffle(use)
+        share = label.mean()
+        weight = np.where(label > 0, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
+        order = rng.permutation(len(use))
         for k in range(0, len(use), BATCH):
-            rows = use[k : k + BATCH]
-            part, ids = _subset(inputs, places[rows], pad)
-            _, g = net.gradients(part, ids if (places[rows] == pad).any() else ids, label[rows], weight[rows])
+            rows = order[k : k + BATCH]
+            ids = _places(unit, at[use[rows]], text[use[rows]], first, pad)
+            part, ids = _subset(inputs, ids, pad)
+            _, g = net.gradients(part, ids, label[rows], weight[rows])
             step += 1
             for name, grad in g.items():
                 m[name] += 0.1 * (grad - m[name])
                 v2[name] += 0.01 * (grad * grad - v2[name])
                 net.p[name] -= RATE * (m[name] / (1 - 0.9**step)) / (np.sqrt(v2[name] / (1 - 0.99**step)) + 1e-6)
     # the cut between toxic and clean documents: halfway among the best ones
-    at, text = _windows(first)
     best = np.full(len(texts), -np.inf, np.float32)
     np.maximum.at(best, text, net.logits(inputs, unit, at, text, first))
     cuts = np.sort(best)
