@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from .common import ready
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 #: Words that are encoded together.
-SLICE_WORDS = 100_000
+SLICE_WORDS = 50_000
 
 
 def byte_symbols() -> list[str]:
@@ -239,16 +239,16 @@ def _coded(vocabulary, full: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(vocabulary.value)
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
+            for k in range(0, batch.num_rows, 128):
                 n, digest, plain, ids_out, text_out = [], [], [], [], []
-                for ids, decoded in coder.documents(batch.column(1).slice(k, 256).to_pylist()):
+                for ids, decoded in coder.documents(batch.column(1).slice(k, 128).to_pylist()):
                     n.append(len(ids))
                     digest.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
                     plain.append(hashlib.sha256(decoded.encode()).hexdigest())
                     if full:
                         ids_out.append(ids.astype(np.int32))
                         text_out.append(decoded)
-                columns = [batch.column(0).slice(k, 256), pa.array(n, pa.int64()), pa.array(digest, pa.string()), pa.array(plain, pa.string())]
+                columns = [batch.column(0).slice(k, 128), pa.array(n, pa.int64()), pa.array(digest, pa.string()), pa.array(plain, pa.string())]
                 names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if full:
                     columns += [pa.array(ids_out, pa.list_(pa.int32())), pa.array(text_out, pa.string())]

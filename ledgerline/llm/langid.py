@@ -47,8 +47,7 @@ def _parts(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _unit_words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, start and end of each distinct unit, unit of each occurrence, row of each occurrence)."""
-    lower = pc.utf8_lower(column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column)
-    for a, b, raw, off in words.text_slices(lower):
+    for a, b, raw, off in words.text_slices(column, lower=True):
         starts, ends = words.word_spans(raw, off)
         starts, ends, _ = _parts(starts, ends)
         h = words.span_hashes(raw, starts, ends)

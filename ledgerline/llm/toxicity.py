@@ -19,7 +19,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,7 +71,7 @@ def _windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _slices(column: pa.Array) -> Iterator[tuple]:
     """(first row, end row, inputs of the distinct words, word of each place, window starts, window texts, first words)."""
-    for a, b, raw, off in words.text_slices(pc.utf8_lower(column)):
+    for a, b, raw, off in words.text_slices(column, lower=True):
         starts, ends, first = words.words_of(raw, off)
         if len(starts):
             h = words.span_hashes(raw, starts, ends)
@@ -286,7 +285,6 @@ def learn(labelled: DataFrame, text_col: str = "text", id_col: str = "doc_id", l
         share = int(min(1.0, TRAIN_DOCS / n) * (1 << 30))
         chosen = chosen | ((F.col(label_col) == value) & (F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < share))
     sample = rows.where(chosen).select(id_col, F.col(text_col).alias("t"), F.col(label_col).alias("y")).toPandas()
-    # longest texts: the sample's windows are bounded per document, its text is taken whole
     sample = sample.sort_values([id_col, "t"], kind="stable")
     return fit(sample["t"].tolist(), sample["y"].to_numpy(float))
 

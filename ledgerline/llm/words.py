@@ -13,8 +13,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-SLICE = 2 << 20
+SLICE = 1 << 20
+#: Rows whose texts are copied (cast, lower-cased) at a time.
+ROWS = 512
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -59,14 +62,16 @@ def _text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of rows holding at most ``SLICE`` bytes, or one row."""
-    raw, off = _text_buffer(column)
-    rows, at = len(off) - 1, 0
-    while at < rows:
-        end = max(at + 1, int(np.searchsorted(off, off[at] + SLICE, "right")) - 1)
-        yield at, end, raw[off[at] : off[end]], off[at : end + 1] - off[at]
-        at = end
+    for base in range(0, len(column), ROWS):
+        part = column.slice(base, ROWS)
+        raw, off = _text_buffer(pc.utf8_lower(part) if lower else part)
+        rows, at = len(off) - 1, 0
+        while at < rows:
+            end = max(at + 1, int(np.searchsorted(off, off[at] + SLICE, "right")) - 1)
+            yield base + at, base + end, raw[off[at] : off[end]], off[at : end + 1] - off[at]
+            at = end
 
 
 def word_spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
