@@ -19,7 +19,11 @@ CORRUPT = "_corrupt"
 _PARSE_SCHEMA = T.StructType(
     [T.StructField(f, T.VariantType(), True) for f in POST_FIELDS] + [T.StructField(CORRUPT, T.StringType(), True)]
 )
-_PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+# a strict mapper takes double quotes only, and no NaN or Infinity
+_PARSE_OPTIONS = {
+    "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+    "allowSingleQuotes": "false", "allowNonNumericNumbers": "false",
+}
 
 OK, SKIP = "ok", "skip"
 BAD_REASONS = ("empty", "malformed", "unknown_field", "nested_value")

@@ -111,9 +111,10 @@ def in_partition_order(
     return placed.sortWithinPartitions(*keys).mapInPandas(fn, schema)
 
 
-def decouple(log: DataFrame, n: int) -> DataFrame:
-    """O2: processing parallelism independent of the log's partitions (round robin; order not kept)."""
-    return log.repartition(n)
+def decouple(log: DataFrame, n: int | None = None) -> DataFrame:
+    """O2: processing parallelism independent of the log's partitions (order not kept): partitions of a size
+    that the session's settings advise, or ``n`` of them."""
+    return log.hint("rebalance") if n is None else log.repartition(n)
 
 
 def per_partition(log: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:

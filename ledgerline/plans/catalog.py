@@ -24,6 +24,7 @@ from ..operators.ledger import (
     sink_max_offset,
     starts_from_sink,
 )
+from ..operators.joins import join_bounded
 from ..operators.ordering import decouple, dense_positions, merge_partitions, ordered_positions, per_partition
 from ..operators.projections import deliveries, drop_tombstones, for_partition, next_offsets, split_bad
 from ..operators.sink import first_success_per_key, new_ids, published_records, read_sink, write_sink_batch
@@ -33,14 +34,13 @@ from ..session import scratch_path
 from ..sources.fixtures import post_fields
 from ..sources.log import log_partitions, partition_count, poll_batches, read_log, stored_log, stored_log_path
 
-# Fixed scenario values: partitions assigned to one reader; the consumer that stopped after its first
-# three polls of every partition (offsets below 300); chunk counts for splitting; processing lanes.
+# Fixed scenario values: partitions assigned to one reader; the consumer that stopped half-way;
+# chunk counts for splitting.
 ASSIGNED = [3, 7, 11]
-STOPPED_BELOW = 300
+STOPPED_EMPTY = 3  # partitions with this remainder modulo 7 had stored nothing
 PREDICATE_PARTITION = 7
 SPLIT_K = 7
 READERS_K = 6
-LANES = 13
 PUBLISH_PARTITIONS = 20
 
 _sinks: dict[tuple, str] = {}
@@ -50,12 +50,22 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_log(spark, sf_dir)
 
 
+def halves(log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The log of a consumer that stopped after half of each partition, and the rest of it; some
+    partitions it had not begun. Both grow with the log."""
+    stop = log.groupBy("topic", "partition").agg(F.floor(F.count(F.lit(1)) / 2).alias("_stop"))
+    stop = stop.withColumn("_stop", F.when(F.col("partition") % 7 == STOPPED_EMPTY, 0).otherwise(F.col("_stop")))
+    marked = join_bounded(log, stop, ["topic", "partition"])  # one row per partition
+    order = log.columns
+    return marked.where("offset < _stop").select(*order), marked.where("offset >= _stop").select(*order)
+
+
 def stopped_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Result table of a consumer that stored everything below offset ``STOPPED_BELOW`` (batch 0)."""
+    """Result table of a consumer that stored the first half of the log (batch 0)."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "stopped")
     if key not in _sinks:
         path = scratch_path(spark, "sink-stopped")
-        done = _log(spark, sf_dir).where(F.col("offset") < STOPPED_BELOW)
+        done, _ = halves(_log(spark, sf_dir))
         write_sink_batch(first_success_per_key(decode_posts(done)), path, 0)
         _sinks[key] = path
     return read_sink(spark, _sinks[key])
@@ -118,7 +128,7 @@ def q_next_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_partition_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored rows of one (topic, partition)."""
-    rows = for_partition(stopped_sink(spark, sf_dir), TOPIC, PREDICATE_PARTITION)
+    rows = for_partition(full_sink(spark, sf_dir), TOPIC, PREDICATE_PARTITION)
     return rows.select("id", "post_json", "topic_partition", "partition_offset")
 
 
@@ -142,9 +152,9 @@ def q_commit_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_highest_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Highest delivered offset per partition, computed from work done in decoupled lanes."""
-    lanes = decouple(decode_posts(_log(spark, sf_dir)), LANES)
-    return highest_offset(lanes.where(F.col("decode_status") == "ok"))
+    """Highest delivered offset per partition (a partial aggregate, no order needed)."""
+    decoded = decode_posts(_log(spark, sf_dir))
+    return highest_offset(decoded.where(F.col("decode_status") == "ok"))
 
 
 def q_sink_max_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,14 +182,14 @@ def q_resume_from_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_resume_from_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 exclusive: restart from the committed ledger of the stopped consumer (seek on a DataFrame)."""
     log = _log(spark, sf_dir)
-    ledger = commit_ledger(log.where(F.col("offset") < STOPPED_BELOW))
+    ledger = commit_ledger(halves(log)[0])
     return resume_from_ledger(log, ledger).select("key", "partition", "offset")
 
 
 def q_new_ids_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 batch form: records after the stop whose key is not stored yet."""
     log = _log(spark, sf_dir)
-    later = log.where(F.col("offset") >= STOPPED_BELOW)
+    _, later = halves(log)
     return new_ids(later, stopped_sink(spark, sf_dir), key_col="key").select("key", "partition", "offset")
 
 
@@ -194,7 +204,7 @@ def q_ordered_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_decoupled_process(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: decode in lanes independent of the log partitions (order-free result)."""
-    decoded = decode_posts(decouple(_log(spark, sf_dir), LANES)).where(F.col("decode_status") == "ok")
+    decoded = decode_posts(decouple(_log(spark, sf_dir))).where(F.col("decode_status") == "ok")
     return decoded.select(F.col("post.id").alias("post_id"), F.col("post.author").alias("author"), "partition", "offset")
 
 

@@ -73,8 +73,10 @@ def firsts_of(source: str) -> str:
   where rn = 1)"""
 
 
-# the consumer that stopped after offsets below 300 (see plans.catalog.STOPPED_BELOW)
-STOPPED = firsts_of('select * from decoded where "offset" < 300')
+# the consumer that stopped after half of each partition (see plans.catalog.halves)
+HALF = "case when partition % 7 = 3 then 0 else (count(*) over (partition by topic, partition)) // 2 end"
+STOPPED = firsts_of(f'select * from (select *, {HALF} as stop from decoded) h where "offset" < stop')
+FULL = firsts_of("select * from decoded")
 
 
 def split_case(pos: str, n: str, k: int, equal: bool) -> str:
@@ -111,7 +113,7 @@ ORACLE: dict[str, str] = {
     ),
     "next_offsets": with_log('select topic, partition, "offset" + 1 as next_offset from log'),
     "partition_predicate": with_log(
-        f"""select id, post_json, topic_partition, partition_offset from {STOPPED} s
+        f"""select id, post_json, topic_partition, partition_offset from {FULL} s
             where topic = 'posts' and topic_partition = 7""", decoded=True
     ),
     "quarantine": with_log(
@@ -151,14 +153,15 @@ ORACLE: dict[str, str] = {
             where l."offset" >= coalesce(s.start, 0)""", decoded=True
     ),
     "resume_from_ledger": with_log(
-        """select l.key, l.partition, l."offset" from log l
-           left join (select topic, partition, max("offset") + 1 as start from log where "offset" < 300 group by 1, 2) s
+        f"""select l.key, l.partition, l."offset" from log l
+           left join (select topic, partition, max("offset") + 1 as start
+                      from (select *, {HALF} as stop from log) h where "offset" < stop group by 1, 2) s
              on l.topic = s.topic and l.partition = s.partition
            where l."offset" >= coalesce(s.start, 0)"""
     ),
     "new_ids_only": with_log(
-        f"""select key, partition, "offset" from log
-            where "offset" >= 300 and key not in (select id from {STOPPED} x)""", decoded=True
+        f"""select key, partition, "offset" from (select *, {HALF} as stop from log) h
+            where "offset" >= stop and key not in (select id from {STOPPED} x)""", decoded=True
     ),
     "ordered_position": with_log(
         """select key, partition, "offset", row_number() over (partition by topic, partition order by "offset") - 1 as position

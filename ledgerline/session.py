@@ -42,13 +42,16 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; set one only when the session has none."""
+    """The session's checkpoint folder. A local session that has none gets a temporary folder; on a cluster,
+    where such a folder would be another disk on every node, that is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -19,6 +19,9 @@ CASES = [
     ("object in string field", '{"id":"a","text":{"x":1}}', "nested_value", None),
     ("array in string field", '{"id":"a","text":[1,2]}', "nested_value", None),
     ("duplicate field", '{"id":"a","id":"b"}', "ok", "b"),
+    ("single quotes", "{'id':'a'}", "malformed", None),
+    ("not a number", '{"id":NaN}', "malformed", None),
+    ("infinity", '{"id":Infinity}', "malformed", None),
     ("malformed", "{bad", "malformed", None),
     ("literal null", "null", "malformed", None),
     ("empty text", "", "empty", None),

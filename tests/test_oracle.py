@@ -6,7 +6,8 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from ledgerline.plans.catalog import QUERIES
+from ledgerline.plans.oracle import ORACLE
 from conftest import SF01
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -33,14 +34,14 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF01)
+    df = QUERIES[name](spark, SF01)
     rows = [tuple(r) for r in df.collect()]
-    res = duck.execute(entry.oracle_sql()[name])
+    res = duck.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)

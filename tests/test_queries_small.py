@@ -4,8 +4,9 @@ the oracle's row count."""
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF001
+from ledgerline.plans.catalog import QUERIES
+from ledgerline.plans.oracle import ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,7 @@ def duck_small():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_runs_on_small_tables(spark, duck_small, name):
-    n = entry.queries()[name](spark, SF001).count()
-    assert n == duck_small.execute(f"select count(*) from ({entry.oracle_sql()[name]})").fetchone()[0]
+    n = QUERIES[name](spark, SF001).count()
+    assert n == duck_small.execute(f"select count(*) from ({ORACLE[name]})").fetchone()[0]
