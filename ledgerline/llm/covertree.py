@@ -31,7 +31,7 @@ PIVOTS = 32
 #: Nodes with at most this many vectors are leaves.
 LEAF = 48
 #: Slack of the radius bounds, far above rounding: pairs within it are decided exactly.
-SLACK = 1e-9
+SLACK = 1e-7
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
@@ -149,6 +149,7 @@ class _Flat:
         self.lo, self.hi, self.radius = get("lo", np.int64), get("hi", np.int64), get("radius", np.float64)
         ends = get("kid_end", np.int64)
         self.kids = np.split(get("kids", np.int64), ends[:-1]) if len(ends) else []
+        self.centre = self.x[self.lo]
 
 
 class _Links:
@@ -165,29 +166,34 @@ class _Links:
             i = up[i]
         return int(i)
 
-    def roots(self, lo: int, hi: int) -> np.ndarray:
-        return np.array([self.root(i) for i in range(lo, hi)])
-
     def join(self, i: int, j: int) -> None:
         a, b = self.root(i), self.root(j)
         if a != b:
             self.up[max(a, b)] = min(a, b)
 
 
+def _apart(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Distances of the unit vectors in the rows of ``u`` and ``v``."""
+    return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (u @ v.T)))
+
+
 def _walk(a: _Flat, b: _Flat, same: bool, threshold: float) -> _Links:
-    """Both trees from their roots; vectors of ``b`` are numbered after those of ``a`` (the same ones if ``same``)."""
+    """Both trees from their roots; vectors of ``b`` are numbered after those of ``a`` (the same ones if ``same``).
+
+    Opening a pair of nodes compares all children at once and stacks those within reach only. Nodes of
+    like radius are opened together, otherwise the wider one.
+    """
     shift = 0 if same else a.n
     links = _Links(a.n + (0 if same else b.n))
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
-    stack = [(0, 0)]
+    stack = [(0, 0, 0.0 if same else float(_apart(a.centre[:1], b.centre[:1])[0, 0]))]
     while stack:
-        p, q = stack.pop()
-        la, ha, lb, hb = int(a.lo[p]), int(a.hi[p]), int(b.lo[q]), int(b.hi[q])
-        own = same and p == q
-        gap = 0.0 if own else float(np.sqrt(max(0.0, ((a.x[la] - b.x[lb]) ** 2).sum())))
+        p, q, gap = stack.pop()
         wide = float(a.radius[p] + b.radius[q])
         if gap - wide > reach + SLACK:
             continue
+        la, ha, lb, hb = int(a.lo[p]), int(a.hi[p]), int(b.lo[q]), int(b.hi[q])
+        own = same and p == q
         # all pairs are within reach: two members of one node are at most two radii apart
         if gap + wide < reach - SLACK:
             if own:
@@ -203,27 +209,39 @@ def _walk(a: _Flat, b: _Flat, same: bool, threshold: float) -> _Links:
                     links.join(la, shift + j)
             continue
         ka, kb = a.kids[p], b.kids[q]
-        if not len(ka) and not len(kb):
-            # as the plain definition has it: dot product over the product of the norms, in double precision
-            cos = (a.raw[la:ha] @ b.raw[lb:hb].T) / (a.norm[la:ha, None] * b.norm[None, lb:hb])
-            unsure = ~np.isfinite(cos)
-            if unsure.any():
-                cos[unsure] = (a.x[la:ha] @ b.x[lb:hb].T)[unsure]
-            hit = cos >= threshold
+        if len(ka) or len(kb):
+            # a side that is not opened stands for itself
+            narrow_a = not len(ka) or (len(kb) > 0 and not own and 2 * a.radius[p] < b.radius[q])
+            narrow_b = not len(kb) or (len(ka) > 0 and not own and 2 * b.radius[q] < a.radius[p])
+            left = np.array([p]) if narrow_a else ka
+            right = np.array([q]) if narrow_b else kb
+            gaps = _apart(a.centre[left], b.centre[right])
+            close = gaps - a.radius[left][:, None] - b.radius[right][None, :] <= reach + SLACK
             if own:
-                np.fill_diagonal(hit, False)
-            links.count[la:ha] += hit.sum(1)
-            if not own:
-                links.count[shift + lb : shift + hb] += hit.sum(0)
-            ra, rb = links.roots(la, ha), links.roots(shift + lb, shift + hb)
-            for i, j in zip(*np.nonzero(hit & (ra[:, None] != rb[None, :]))):
-                links.join(la + int(i), shift + lb + int(j))
-        elif own:
-            stack.extend((int(c), int(d)) for i, c in enumerate(ka) for d in ka[i:])
-        elif len(ka) and (not len(kb) or a.radius[p] >= b.radius[q]):
-            stack.extend((int(c), q) for c in ka)
-        else:
-            stack.extend((p, int(d)) for d in kb)
+                np.fill_diagonal(gaps, 0.0)
+                np.fill_diagonal(close, True)
+                close = np.triu(close)
+            i, j = np.nonzero(close)
+            stack.extend(zip(left[i].tolist(), right[j].tolist(), gaps[i, j].tolist()))
+            continue
+        # as the plain definition has it: dot product over the product of the norms, in double precision
+        cos = (a.raw[la:ha] @ b.raw[lb:hb].T) / (a.norm[la:ha, None] * b.norm[None, lb:hb])
+        unsure = ~np.isfinite(cos)
+        if unsure.any():
+            cos[unsure] = (a.x[la:ha] @ b.x[lb:hb].T)[unsure]
+        hit = cos >= threshold
+        if own:
+            np.fill_diagonal(hit, False)
+        if not hit.any():
+            continue
+        links.count[la:ha] += hit.sum(1)
+        if not own:
+            links.count[shift + lb : shift + hb] += hit.sum(0)
+        rows, cols = np.flatnonzero(hit.any(1)), np.flatnonzero(hit.any(0))
+        ra = np.array([links.root(la + int(i)) for i in rows])
+        rb = np.array([links.root(shift + lb + int(j)) for j in cols])
+        for i, j in zip(*np.nonzero(hit[np.ix_(rows, cols)] & (ra[:, None] != rb[None, :]))):
+            links.join(la + int(rows[i]), shift + lb + int(cols[j]))
     return links
 
 
