@@ -18,7 +18,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from ledgerline.session import build_session  # noqa: E402
 from ledgerline.sources.log import stored_log  # noqa: E402
 from ledgerline.plans.catalog import QUERIES  # noqa: E402
-from ledgerline.plans.streams import STREAM_QUERIES as STREAMS, poll_dir  # noqa: E402
 
 HEADLINE = [
     "decode_posts",
@@ -49,12 +48,6 @@ def main() -> None:
     log = stored_log(spark, sf_dir)
     timings["log_build"] = round(time.time() - t0, 3)
     n_log = log.count()
-    if any(n in STREAMS for n in names):
-        # the broker stand-in: one poll file per 100 offsets of every partition (test harness)
-        t0 = time.time()
-        poll_dir(spark, sf_dir)
-        timings["stream_fixture"] = round(time.time() - t0, 3)
-
     for name in names:
         t0 = time.time()
         df = QUERIES[name](spark, sf_dir)

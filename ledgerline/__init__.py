@@ -43,9 +43,7 @@ from .sources.log import (
     read_log,
     read_log_stream,
     seek,
-    seek_scan,
     write_log,
-    write_poll_files,
 )
 from .streaming.keyed import keyed_state_session, run_exactly_once_keyed
 from .streaming.runs import (

@@ -83,13 +83,10 @@ def starts_from_ledger(ledger: DataFrame) -> DataFrame:
 
 
 def resume_from_sink(log: DataFrame, sink: DataFrame, inclusive: bool = True) -> DataFrame:
-    """Each partition from its max stored offset, or from 0 when nothing is stored.
-
-    For a stored log prefer ``read_log(path, start_offsets=starts_from_sink(sink))`` (exact pushdown).
-    """
+    """Each partition from its max stored offset, or from its beginning when nothing is stored."""
     return seek(log, starts_from_sink(sink, inclusive))
 
 
 def resume_from_ledger(log: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Each partition from its committed next offset, or from 0 when absent."""
+    """Each partition from its committed next offset, or from its beginning when absent."""
     return seek(log, starts_from_ledger(ledger))

@@ -25,7 +25,7 @@ from ..operators.ledger import (
     starts_from_sink,
 )
 from ..operators.joins import join_bounded
-from ..operators.ordering import decouple, dense_positions, merge_partitions, ordered_positions, per_partition
+from ..operators.ordering import decouple, dense_positions, ordered_positions, per_partition
 from ..operators.projections import deliveries, drop_tombstones, for_partition, next_offsets, split_bad
 from ..operators.sink import first_success_per_key, new_ids, published_records, read_sink, write_sink_batch
 from ..operators.split import assign_splits, even_split
@@ -174,7 +174,7 @@ def q_commits_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_resume_from_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1/S4 inclusive: what the stopped consumer reads when it restarts from its result table
-    (a seek on the stored log: one pruned scan per partition, offsets pushed to the row groups)."""
+    (a seek on the stored log)."""
     starts = starts_from_sink(stopped_sink(spark, sf_dir))
     return read_log(spark, stored_log_path(spark, sf_dir), start_offsets=starts).select("key", "partition", "offset")
 
@@ -263,14 +263,10 @@ def q_reader_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_merged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One scan per reader's assigned partitions, merged into one flow."""
-    path = stored_log_path(spark, sf_dir)
-    plan = assign_splits(log_partitions(_log(spark, sf_dir)), READERS_K, strict=False).collect()  # <= one row per reader
-    scans = [
-        read_log(spark, path, partitions=list(r["partitions"])).withColumn("split_id", F.lit(r["split_id"]))
-        for r in sorted(plan, key=lambda r: r["split_id"])
-    ]
-    return merge_partitions(scans).select("key", "partition", "offset", "split_id")
+    """Every reader's assigned partitions in one scan, each record with its reader."""
+    log = _log(spark, sf_dir)
+    readers = assign_splits(log_partitions(log), READERS_K, strict=False).select("split_id", F.explode("partitions").alias("partition"))
+    return join_bounded(log, readers, ["partition"]).select("key", "partition", "offset", "split_id")  # one row per partition
 
 
 # --- publish, callbacks, audits -----------------------------------------------------------------------

@@ -240,6 +240,7 @@ ORACLE.update({
     "exactly_once_keyed": ORACLE["first_success_per_key"],
     "resume_table_stream": ORACLE["first_success_per_key"],
     "stream_ledger": ORACLE["commit_ledger"],
+    "stream_quarantine": ORACLE["quarantine"],
     "highest_offset_stream": ORACLE["highest_offset"],
     "resume_stream": with_log(
         f"""select post_id, partition, "offset", count(*) as deliveries from ({_DELIVERED}) d

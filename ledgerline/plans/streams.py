@@ -1,71 +1,75 @@
-"""Named stream queries: each drives a Structured Streaming run over the log's poll files to the end
+"""Named stream queries: each drives a Structured Streaming run over a stored log to the end
 (``availableNow``) and returns the table it produced.
 
-Input: the stored log of `events` laid out as one parquet file per poll (offsets [100*i, 100*i+100) of
-every partition), read POLLS_PER_TRIGGER files per trigger in file order, so arrival order equals offset order.
-`published_stream` instead tails a stored log that `publish` appends to (whole publishes per trigger).
+Input: a stored log that grows by a few parallel appends, each continuing every partition where the one
+before it stopped; the stream runs after each append and takes it whole, so records arrive in offset order.
+The number of jobs does not depend on the size of the log. Replays and seeks read the stored log itself.
 """
 
 from __future__ import annotations
 
-import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from ..schema import LOG_SCHEMA, SINK_SCHEMA
-from ..session import scratch_path, sized_session
-from ..sources.log import read_log_stream, stored_log, write_poll_files
+from ..operators.joins import join_bounded
 from ..operators.sink import read_sink
+from ..schema import LOG_COLUMNS, LOG_SCHEMA, SINK_SCHEMA
+from ..session import scratch_path, sized_session
+from ..sources.log import read_log_stream, stored_log, stored_log_path, write_log
 from ..streaming.runs import (
     drain,
     read_highest,
     read_ledger,
+    resume_point,
     run_at_least_once,
     run_exactly_once,
     run_foreach,
     run_highest_offset,
 )
 
-# Fixed scenario values: assigned partitions (T2), polls present before a restart (T4), state partitions
-# of the stateful stream, and polls per micro-batch. Each poll file stays one bounded poll (100 offsets
-# per partition); a micro-batch takes several so that the ~1 s fixed cost of a micro-batch is shared.
+# Fixed scenario values: assigned partitions (T2), appends that a log arrives in, and state partitions of
+# the stateful stream.
 ASSIGNED = [3, 7, 11]
-RESUME_AFTER_POLLS = 3
+APPENDS = 3
 STATE_PARTITIONS = 8
-POLLS_PER_TRIGGER = 4
-
-_polls: dict[tuple, str] = {}
 
 _DELIVERY_SCHEMA = "post_id string, partition int, offset long"
+_QUARANTINE_SCHEMA = "key string, value string, partition int, offset long, reason string"
 
 
-def poll_dir(spark: SparkSession, sf_dir: str) -> str:
-    """The log of ``sf_dir`` as poll files (written once per application)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _polls:
-        path = scratch_path(spark, "polls")
-        write_poll_files(stored_log(spark, sf_dir), path)
-        _polls[key] = path
-    return _polls[key]
+def appends(spark: SparkSession, sf_dir: str, n: int = APPENDS) -> list[DataFrame]:
+    """The log in ``n`` parts: the first share of every partition, the next one, and so on."""
+    log = stored_log(spark, sf_dir)
+    sizes = log.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("_n"))
+    marked = join_bounded(log, sizes, ["topic", "partition"])  # one row per partition
+    part = F.least(F.floor(F.col("offset") * n / F.col("_n")), F.lit(n - 1))
+    return [marked.where(part == i).select(*LOG_COLUMNS) for i in range(n)]
+
 
+def feed(spark: SparkSession, sf_dir: str, run: Callable[[str], StreamingQuery]) -> None:
+    """Appends the log part by part to a stored log, and drains ``run(path)`` after each append."""
+    path = scratch_path(spark, "fed-log")
+    for part in appends(spark, sf_dir):
+        write_log(part, path, mode="append", prepartitioned=True)
+        drain(run(path))
 
-def _stream(spark, path, partitions=None):
-    return read_log_stream(spark, "files", path=path, partitions=partitions, max_files_per_trigger=POLLS_PER_TRIGGER)
+
+def _stream(spark: SparkSession, path: str, partitions: list[int] | None = None) -> DataFrame:
+    return read_log_stream(spark, "table", path=path, partitions=partitions)
 
 
 def q_log_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1/S3 stream: every record from the earliest position, into a file sink (exactly once by its log)."""
     out, ckpt = scratch_path(spark, "stream-scan"), scratch_path(spark, "ckpt")
-    q = (
-        _stream(spark, poll_dir(spark, sf_dir))
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", ckpt)
-        .trigger(availableNow=True)
-        .start()
-    )
-    drain(q)
+
+    def store(path: str) -> StreamingQuery:
+        writer = _stream(spark, path).writeStream.format("parquet").option("path", out)
+        return writer.option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+
+    feed(spark, sf_dir, store)
     return spark.read.schema(LOG_SCHEMA).parquet(out).select("key", "value", "topic", "partition", "offset")
 
 
@@ -76,35 +80,35 @@ def q_key_value_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     def append_pairs(batch: DataFrame, batch_id: int) -> None:
         batch.select("key", "value").write.mode("append").parquet(out)
 
-    drain(run_foreach(_stream(spark, poll_dir(spark, sf_dir)), append_pairs, ckpt))
+    feed(spark, sf_dir, lambda path: run_foreach(_stream(spark, path), append_pairs, ckpt))
     return spark.read.schema("key string, value string").parquet(out)
 
 
 def q_at_least_once_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliveries appended per micro-batch (a normal run, no failure)."""
     out, ckpt = scratch_path(spark, "alo"), scratch_path(spark, "ckpt")
-    drain(run_at_least_once(_stream(spark, poll_dir(spark, sf_dir)), out, ckpt))
+    feed(spark, sf_dir, lambda path: run_at_least_once(_stream(spark, path), out, ckpt))
     return spark.read.schema(_DELIVERY_SCHEMA).parquet(out)
 
 
 def q_assigned_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """At-least-once over explicitly assigned partitions."""
     out, ckpt = scratch_path(spark, "assigned"), scratch_path(spark, "ckpt")
-    drain(run_at_least_once(_stream(spark, poll_dir(spark, sf_dir), ASSIGNED), out, ckpt))
+    feed(spark, sf_dir, lambda path: run_at_least_once(_stream(spark, path, ASSIGNED), out, ckpt))
     return spark.read.schema(_DELIVERY_SCHEMA).parquet(out)
 
 
 def q_exactly_once_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The effectively-once result table after the whole log has streamed through."""
     sink, ckpt = scratch_path(spark, "eo-sink"), scratch_path(spark, "ckpt")
-    drain(run_exactly_once(_stream(spark, poll_dir(spark, sf_dir)), sink, ckpt))
+    feed(spark, sf_dir, lambda path: run_exactly_once(_stream(spark, path), sink, ckpt))
     return read_sink(spark, sink).drop("batch_id")
 
 
 def q_stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6/T5: the ledger the effectively-once run wrote, one commit per micro-batch, read as latest per partition."""
     sink, ledger, ckpt = scratch_path(spark, "eo-sink"), scratch_path(spark, "ledger"), scratch_path(spark, "ckpt")
-    drain(run_exactly_once(_stream(spark, poll_dir(spark, sf_dir)), sink, ckpt, ledger_path=ledger))
+    feed(spark, sf_dir, lambda path: run_exactly_once(_stream(spark, path), sink, ckpt, ledger_path=ledger))
     return read_ledger(spark, ledger)
 
 
@@ -117,21 +121,17 @@ def _delivery_counts(spark, out) -> DataFrame:
 
 
 def q_resume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4 keep: stop after the first polls, restart on the same checkpoint when more arrive: each once."""
-    log = stored_log(spark, sf_dir)
+    """T4 keep: stopped after the first half, restarted on the same checkpoint when more arrives: each once."""
     src, out, ckpt = scratch_path(spark, "resume-src"), scratch_path(spark, "resume"), scratch_path(spark, "ckpt")
-    last = log.agg(F.max("offset")).first()[0] or 0
-    polls = range(0, int(last) // 100 + 1)
-    write_poll_files(log, src, polls=polls[:RESUME_AFTER_POLLS])
-    drain(run_at_least_once(_stream(spark, src), out, ckpt))
-    write_poll_files(log, src, polls=polls[RESUME_AFTER_POLLS:])
-    drain(run_at_least_once(_stream(spark, src), out, ckpt))
+    for part in appends(spark, sf_dir, 2):
+        write_log(part, src, mode="append", prepartitioned=True)
+        drain(run_at_least_once(_stream(spark, src), out, ckpt))
     return _delivery_counts(spark, out)
 
 
 def q_replay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4 renew: a second run with a fresh checkpoint replays everything into the same appended sink."""
-    src = poll_dir(spark, sf_dir)
+    src = stored_log_path(spark, sf_dir)
     out = scratch_path(spark, "replay")
     for _ in range(2):
         drain(run_at_least_once(_stream(spark, src), out, scratch_path(spark, "ckpt")))
@@ -146,9 +146,7 @@ def q_seek_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out, ckpt = scratch_path(spark, "seek"), scratch_path(spark, "ckpt")
     starts = starts_from_sink(stopped_sink(spark, sf_dir))
-    stream = read_log_stream(
-        spark, "files", path=poll_dir(spark, sf_dir), start_offsets=starts, max_files_per_trigger=POLLS_PER_TRIGGER
-    )
+    stream = read_log_stream(spark, "table", path=stored_log_path(spark, sf_dir), start_offsets=starts)
     drain(run_at_least_once(stream, out, ckpt))
     return spark.read.schema(_DELIVERY_SCHEMA).parquet(out)
 
@@ -160,8 +158,11 @@ def q_highest_offset_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ckpt = scratch_path(spark, "highest"), scratch_path(spark, "ckpt")
     # one state row per log partition: a few state partitions hold it, whatever the cluster's setting
     state = sized_session(spark, STATE_PARTITIONS)
-    delivered = decode_posts(_stream(state, poll_dir(spark, sf_dir))).where(F.col("decode_status") == "ok")
-    drain(run_highest_offset(delivered, out, ckpt))
+
+    def track(path: str) -> StreamingQuery:
+        return run_highest_offset(decode_posts(_stream(state, path)).where(F.col("decode_status") == "ok"), out, ckpt)
+
+    feed(spark, sf_dir, track)
     return read_highest(spark, out)
 
 
@@ -171,29 +172,30 @@ def q_exactly_once_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     sink, ckpt = scratch_path(spark, "eo-keyed"), scratch_path(spark, "ckpt")
     keyed = keyed_state_session(spark)  # state partitions: the session's shuffle partitions
-    drain(run_exactly_once_keyed(_stream(keyed, poll_dir(spark, sf_dir)), sink, ckpt))
+    feed(spark, sf_dir, lambda path: run_exactly_once_keyed(_stream(keyed, path), sink, ckpt))
     return spark.read.schema(SINK_SCHEMA).parquet(sink).drop("batch_id")
 
 
 def q_resume_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T3 + J1 + S4: the stored-offset consumer. A first run stores the first polls; later a run with a
+    """T3 + J1 + S4: the stored-offset consumer. A first run stores the first half; later a run with a
     new checkpoint resumes from the table itself (max stored offset per partition, inclusive)."""
-    from ..streaming.runs import resume_point
-
-    log = stored_log(spark, sf_dir)
     src, sink = scratch_path(spark, "resume-table-src"), scratch_path(spark, "resume-table")
-    last = log.agg(F.max("offset")).first()[0] or 0
-    polls = range(0, int(last) // 100 + 1)
-    write_poll_files(log, src, polls=polls[:RESUME_AFTER_POLLS])
+    early, late = appends(spark, sf_dir, 2)
+    write_log(early, src, mode="append", prepartitioned=True)
     drain(run_exactly_once(_stream(spark, src), sink, scratch_path(spark, "ckpt")))
-    write_poll_files(log, src, polls=polls[RESUME_AFTER_POLLS:])
-    resumed = read_log_stream(
-        spark, "files", path=src, start_offsets=resume_point(spark, sink), max_files_per_trigger=POLLS_PER_TRIGGER
-    )
+    write_log(late, src, mode="append", prepartitioned=True)
+    resumed = read_log_stream(spark, "table", path=src, start_offsets=resume_point(spark, sink))
     drain(run_exactly_once(resumed, sink, scratch_path(spark, "ckpt"), resume=True))
     return read_sink(spark, sink).drop("batch_id")
 
 
+def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P6 in a stream: the records that the effectively-once run routed away, with the reason."""
+    sink, bad, ckpt = scratch_path(spark, "eo-sink"), scratch_path(spark, "bad"), scratch_path(spark, "ckpt")
+    feed(spark, sf_dir, lambda path: run_exactly_once(_stream(spark, path), sink, ckpt, quarantine_path=bad))
+    return spark.read.schema(_QUARANTINE_SCHEMA).parquet(bad).drop("batch_id")
+
+
 # Fixed scenario value: the producer publishes `events` in two appends, split at this event time.
 PUBLISH_SPLIT = "2024-01-16 00:00:00"
 
@@ -225,6 +227,7 @@ STREAM_QUERIES = {
     "assigned_stream": q_assigned_stream,
     "exactly_once_sink": q_exactly_once_sink,
     "stream_ledger": q_stream_ledger,
+    "stream_quarantine": q_stream_quarantine,
     "resume_stream": q_resume_stream,
     "replay_stream": q_replay_stream,
 }

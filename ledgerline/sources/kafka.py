@@ -50,6 +50,19 @@ def kafka_options(
     return opts
 
 
+#: The offset that stands for the earliest record in a seek map (fixed by the connector).
+EARLIEST = -2
+
+
+def full_seek_map(starts: dict[int, int], partitions: list[int] | None) -> dict[int, int]:
+    """A start for every partition, as the connector wants it: the earliest record where ``starts`` has none.
+
+    Raises if the partitions are not known, since a map of some of them would be refused at run time."""
+    if partitions is None:
+        raise ValueError("a Kafka seek map must name every partition: give the partitions")
+    return {int(p): starts.get(int(p), EARLIEST) for p in partitions}
+
+
 def _offsets_json(topic: str, spec: str | dict) -> str:
     if isinstance(spec, str):
         if spec not in ("earliest", "latest"):

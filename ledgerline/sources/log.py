@@ -52,7 +52,7 @@ def read_log(
     """S1/S2/S4 batch scan of a stored log.
 
     ``partitions`` restricts the scan to assigned partitions (pruned directories). ``start_offsets``
-    (topic, partition, start_offset) seeks each partition; partitions absent from it start at 0.
+    (topic, partition, start_offset) seeks each partition (see :func:`seek`).
     """
     log = spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS)
     if topic is not None:
@@ -60,75 +60,40 @@ def read_log(
     if partitions is not None:
         log = log.where(F.col("partition").isin(list(partitions)))
     if start_offsets is not None:
-        log = seek_scan(log, start_offsets)
+        log = seek(log, start_offsets)
     return log
 
 
-# Up to this many listed partitions a seek over a stored log is one pruned scan per partition.
-SEEK_SCANS_MAX = 64
+def start_map(start_offsets: DataFrame) -> DataFrame:
+    """(topic, partition, _start): one row per listed partition, written to the scratch folder, so that
+    every later read sees the map as it is now (its source may be a table that a stream writes to)."""
+    starts = start_offsets.groupBy("topic", "partition").agg(F.max("start_offset").cast("long").alias("_start"))
+    path = scratch_path(start_offsets.sparkSession, "starts")
+    starts.write.parquet(path)
+    return start_offsets.sparkSession.read.schema(starts.schema).parquet(path)
 
 
-def seek_scan(scan: DataFrame, start_offsets: DataFrame) -> DataFrame:
-    """S4 over a *scan* of a stored log: one scan per listed partition, each pruned to its directory
-    with ``offset >= start`` pushed to the row groups, plus one scan of the unlisted partitions from 0.
-
-    Only for a bare scan (each branch re-reads its own files); any other frame goes through :func:`seek`.
-    """
-    starts = start_offsets.groupBy("topic", "partition").agg(F.max("start_offset").cast("long").alias("_start"))
-    if starts.count() > SEEK_SCANS_MAX:
-        return seek(scan, start_offsets)
-    rows = sorted(starts.collect(), key=lambda r: (r["topic"], r["partition"]))
-    branches = [
-        scan.where((F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"]) & (F.col("offset") >= (r["_start"] or 0)))
-        for r in rows
-    ]
-    listed = None
-    for r in rows:
-        term = (F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"])
-        listed = term if listed is None else (listed | term)
-    branches.append(scan if listed is None else scan.where(~listed))
-    out = branches[0]
-    for b in branches[1:]:
-        out = out.unionByName(b)
-    return out
-
-
-# A start map up to this many partitions becomes a static predicate (pushed to the scan).
-SEEK_STATIC_MAX = 1024
+def after_starts(log: DataFrame, starts: DataFrame) -> DataFrame:
+    """The one seek rule, for batches and streams: a record goes if its partition is listed and its offset
+    is below the start. A null topic, partition or start equals nothing listed, so such records stay."""
+    at = starts.select(F.col("topic").alias("_t"), F.col("partition").alias("_p"), "_start")
+    before = (log["topic"] == at["_t"]) & (log["partition"] == at["_p"]) & (log["offset"] < at["_start"])
+    return join_bounded(log, at, before, "left_anti").select(*LOG_COLUMNS)
 
 
 def seek(log: DataFrame, start_offsets: DataFrame) -> DataFrame:
-    """Keep records at or after their partition's start offset (0 when the partition is absent).
+    """Keep records at or after their partition's start offset; unlisted partitions are whole.
 
-    A start map has one row per partition (bounded by the topic's partition count). Up to
-    ``SEEK_STATIC_MAX`` rows it is turned into a predicate, as a consumer's seek map would be: a scan
-    below prunes partition directories and the offset bounds apply right after the scan (for exact
-    row-group skipping over a stored log use :func:`seek_scan` via ``read_log``). Beyond that it is
-    joined (broadcast after the size check).
+    One plan whatever the number of partitions: a size-checked anti join with the start map. When the
+    map lists every partition of the log, the lowest start is also a plain predicate on ``offset``,
+    which reaches the row groups of a stored log below.
     """
-    starts = start_offsets.groupBy("topic", "partition").agg(F.max("start_offset").cast("long").alias("_start"))
-    n = starts.count()
-    if n <= SEEK_STATIC_MAX:
-        return log.where(start_predicate(starts.collect())).select(*LOG_COLUMNS)
-    joined = join_bounded(log, starts, ["topic", "partition"], "left", rows=n)
-    return joined.where(F.col("offset") >= F.coalesce(F.col("_start"), F.lit(0))).drop("_start").select(*LOG_COLUMNS)
-
-
-def start_predicate(starts: list) -> Column:
-    """Records at or after ``{(topic, partition): start}``; unlisted partitions are read from 0."""
-    by_topic: dict[str, list[tuple[int, int]]] = {}
-    for row in starts:
-        by_topic.setdefault(row["topic"], []).append((int(row["partition"]), int(row["_start"] or 0)))
-    cond = None
-    for topic, parts in sorted(by_topic.items()):
-        listed = [p for p, _ in parts]
-        inside = ~F.col("partition").isin(listed)
-        for p, start in sorted(parts):
-            inside = inside | ((F.col("partition") == p) & (F.col("offset") >= start))
-        term = (F.col("topic") == topic) & inside
-        cond = term if cond is None else cond | term
-    unlisted_topic = ~F.col("topic").isin(sorted(by_topic)) if by_topic else F.lit(True)
-    return unlisted_topic if cond is None else (cond | unlisted_topic)
+    starts = start_map(start_offsets)
+    known = log_partitions(log).join(starts, ["topic", "partition"], "left")
+    lowest, unlisted = known.agg(F.min("_start"), F.count_if(F.col("_start").isNull())).first()
+    if lowest is not None and not unlisted:
+        log = log.where(F.col("offset").isNull() | (F.col("offset") >= F.lit(int(lowest))))
+    return after_starts(log, starts)
 
 
 def stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,50 +133,6 @@ def partition_count(log: DataFrame) -> DataFrame:
     return log.groupBy("topic").agg(F.countDistinct("partition").cast("long").alias("n_partitions"))
 
 
-def write_poll_files(
-    log: DataFrame,
-    directory: str,
-    records_per_file: int = MAX_RECORDS_PER_POLL,
-    polls: range | None = None,
-) -> list[str]:
-    """Lay a stored log out as stream input: one parquet file per poll, written in offset order.
-
-    File ``i`` holds offsets ``[i*n, (i+1)*n)`` of every partition, so a file stream reading one file per
-    trigger sees each partition in offset order (arrival order equals offset order). Files are written
-    one after another, which gives strictly increasing modification times (the file source's order).
-    """
-    log = log.persist()
-    try:
-        if polls is None:
-            last = log.agg(F.max("offset")).first()[0]
-            polls = range(0, 0 if last is None else int(last) // records_per_file + 1)
-        written = []
-        for i in polls:
-            out = f"{directory}/{POLL_PREFIX}{i:08d}"
-            lo, hi = i * records_per_file, (i + 1) * records_per_file
-            log.where((F.col("offset") >= lo) & (F.col("offset") < hi)).coalesce(1).write.parquet(out)
-            written.append(out)
-    finally:
-        log.unpersist()
-    _check_arrival_order(log.sparkSession, directory, written)
-    return written
-
-
-def _check_arrival_order(spark: SparkSession, directory: str, written: list[str]) -> None:
-    """The file source orders files by modification time: every poll's file must be newer than the
-    previous poll's. Checked as a self-join of per-poll times; only the count of violations returns."""
-    if not written:
-        return
-    files = spark.read.format("binaryFile").load(f"{directory.rstrip('/')}/{POLL_PREFIX}*/*.parquet")
-    per_poll = files.select(
-        F.regexp_extract("path", POLL_PREFIX + r"(\d+)", 1).cast("long").alias("poll"), "modificationTime"
-    ).groupBy("poll").agg(F.max("modificationTime").alias("t"))
-    following = per_poll.select((F.col("poll") - 1).alias("poll"), F.col("t").alias("t_next"))
-    late = per_poll.join(following, "poll").where(F.col("t") >= F.col("t_next")).count()
-    if late:
-        raise RuntimeError(f"{late} poll files are not newer than the poll before them")
-
-
 def read_log_stream(
     spark: SparkSession,
     source: str,
@@ -222,34 +143,32 @@ def read_log_stream(
     partitions: list[int] | None = None,
     start_offsets: DataFrame | None = None,
 ) -> DataFrame:
-    """S1/S3/S4 stream scan. ``source="files"`` reads poll files (earliest: every existing file; one
-    file per trigger unless ``max_files_per_trigger`` says otherwise); ``source="table"`` tails a
-    stored log (:func:`write_log` / :func:`publish` appends), by default every new file per trigger, so
-    one publish arrives whole in one micro-batch; ``source="kafka"`` builds the reader from
-    :func:`ledgerline.sources.kafka.kafka_options`.
-
-    ``start_offsets`` (topic, partition, start_offset; one row per partition) seeks each partition:
-    for Kafka it becomes ``startingOffsets``, for files the static start predicate (records below the
-    start are dropped as they arrive). Unlisted partitions start from the earliest record.
+    """S1/S3/S4 stream scan. ``source="table"`` tails a stored log (:func:`write_log` / :func:`publish`
+    appends): by default every new file per trigger, so one append arrives whole in one micro-batch, and
+    records arrive in offset order as long as each append continues after the one before it;
+    ``max_files_per_trigger`` bounds a micro-batch where only complete delivery matters. ``source="files"``
+    reads folders of files dropped one after another (one file per trigger unless told otherwise);
+    ``source="kafka"`` builds the reader from :func:`ledgerline.sources.kafka.kafka_options`.
+
+    ``start_offsets`` (topic, partition, start_offset) seeks each partition by the rule of
+    :func:`after_starts`; the map is fixed when the stream is built. For Kafka it becomes
+    ``startingOffsets``, which must name every partition: ``partitions`` gives them, and those
+    without a start are read from the earliest record.
     """
-    starts = None
-    if start_offsets is not None:
-        starts = start_offsets.groupBy("topic", "partition").agg(F.max("start_offset").cast("long").alias("_start"))
-        if starts.count() > SEEK_STATIC_MAX:
-            raise ValueError(f"a stream seek map is limited to {SEEK_STATIC_MAX} partitions")
-        starts = starts.collect()
     if source == "kafka":
-        from .kafka import kafka_options
+        from .kafka import full_seek_map, kafka_options
 
         kopts = dict(kafka or {})
         if topic is not None:
             kopts.setdefault("topic", topic)
         if partitions is not None:
             kopts["partitions"] = list(partitions)  # assign: unassigned partitions are never fetched
-        if starts:
+        if start_offsets is not None:
+            # one row per partition of one topic, as the option text needs them
+            starts = start_map(start_offsets).where("_start is not null").collect()
             if len({r["topic"] for r in starts}) > 1:
                 raise ValueError("a Kafka seek map covers one topic")
-            kopts["starting"] = {int(r["partition"]): int(r["_start"]) for r in starts}
+            kopts["starting"] = full_seek_map({int(r["partition"]): int(r["_start"]) for r in starts}, partitions)
         opts = kafka_options(**kopts)
         raw = spark.readStream.format("kafka").options(**opts).load()
         log = raw.select(
@@ -261,7 +180,7 @@ def read_log_stream(
             F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
         )
     elif source == "files":
-        # poll files live in one folder each (see write_poll_files); the glob is listed again per trigger
+        # one folder per drop; the glob is listed again per trigger
         log = (
             spark.readStream.schema(LOG_SCHEMA)
             .option("maxFilesPerTrigger", max_files_per_trigger or 1)
@@ -280,6 +199,6 @@ def read_log_stream(
             log = log.where(F.col("topic") == topic)
         if partitions is not None:
             log = log.where(F.col("partition").isin(list(partitions)))
-    if starts and source in ("files", "table"):
-        log = log.where(start_predicate(starts))
+        if start_offsets is not None:
+            log = after_starts(log, start_map(start_offsets))
     return log

@@ -39,3 +39,14 @@ def scratch(spark):
         return scratch_path(spark, "tests", name)
 
     return make
+
+
+def write_poll_files(log, directory, records_per_file, polls=None):
+    """Small stream input: one file per poll of ``records_per_file`` offsets of every partition."""
+    from pyspark.sql import functions as F
+
+    if polls is None:
+        polls = range(0, log.agg(F.max("offset")).first()[0] // records_per_file + 1)
+    for i in polls:
+        mine = log.where(F.floor(F.col("offset") / records_per_file) == i)
+        mine.coalesce(1).write.parquet(f"{directory}/poll-{i:08d}")

@@ -8,10 +8,10 @@ import pytest
 from ledgerline.functions.codec import decode_posts
 from ledgerline.operators.audit import audit_duplicates
 from ledgerline.operators.sink import first_success_per_key
-from ledgerline.sources.log import read_log_stream, stored_log, write_poll_files
+from ledgerline.sources.log import read_log_stream, stored_log
 from ledgerline.streaming.keyed import first_arrival, keyed_state_session, run_exactly_once_keyed
 from ledgerline.streaming.runs import drain
-from conftest import SF001
+from conftest import SF001, write_poll_files
 
 SINK = "id string, post_json string, topic string, topic_partition long, partition_offset long"
 

@@ -63,11 +63,9 @@ def test_first_success_is_a_partial_aggregate(spark):
 
 
 def test_describe_stream_plan(spark, scratch):
-    from ledgerline.sources.log import read_log_stream, write_poll_files
+    from ledgerline.sources.log import read_log_stream, stored_log_path
 
-    path = scratch("polls")
-    write_poll_files(stored_log(spark, SF001), path, polls=range(0, 1))
-    text = describe(read_log_stream(spark, "files", path=path).select("key", "value"))
+    text = describe(read_log_stream(spark, "table", path=stored_log_path(spark, SF001)).select("key", "value"))
     assert "key" in text and "value" in text
 
 

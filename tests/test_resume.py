@@ -60,17 +60,33 @@ def test_offset_predicate_is_pushed_and_columns_pruned(spark):
     assert all("value" not in s for s in filters["ReadSchema"])
 
 
-def test_seek_scan_equals_seek_and_pushes_offsets(spark):
-    from ledgerline.sources.log import seek
+STARTS = "topic string, partition int, start_offset long"
 
+
+def test_full_seek_map_pushes_the_lowest_start(spark):
     path = stored_log_path(spark, SF001)
-    starts = spark.createDataFrame([("posts", 3, 10), ("posts", 4, 0), ("posts", 9, 1000)],
-                                   "topic string, partition int, start_offset long")
-    exact = read_log(spark, path, start_offsets=starts)
-    generic = seek(stored_log(spark, SF001), starts)
-    assert exact.exceptAll(generic).count() == 0 and generic.exceptAll(exact).count() == 0
-    pushed = scan_filters(exact)["PushedFilters"]
-    assert any("GreaterThanOrEqual(offset,10)" in f for f in pushed)
+    parts = sorted(r[0] for r in read_log(spark, path).select("partition").distinct().collect())
+    starts = spark.createDataFrame([("posts", p, 10 + p) for p in parts], STARTS)
+    got = read_log(spark, path, start_offsets=starts)
+    assert any(f"GreaterThanOrEqual(offset,{10 + parts[0]})" in f for f in scan_filters(got)["PushedFilters"])
+    want = read_log(spark, path).where(F.col("offset") >= 10 + F.col("partition"))
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_seek_keeps_what_is_not_listed(spark):
+    """One rule for few and many listed partitions, through a broadcast or a shuffle join: null topics and
+    partitions, null starts and negative offsets of unlisted partitions stay."""
+    import ledgerline.sources.log as log_mod
+    from ledgerline.schema import LOG_SCHEMA
+
+    rows = [("a", None, "posts", 1, 4, None), ("b", None, "posts", 1, 5, None), ("c", None, "posts", None, 0, None),
+            ("d", None, None, 1, 0, None), ("e", None, "posts", 2, -3, None), ("f", None, "posts", 9, 0, None)]
+    log = spark.createDataFrame(rows, LOG_SCHEMA)
+    few = [("posts", 1, 5), ("posts", 9, None), (None, None, 100)]
+    many = few + [("posts", p, 7) for p in range(1000, 3000)]
+    for starts in (few, many):
+        got = log_mod.seek(log, spark.createDataFrame(starts, STARTS))
+        assert sorted(r["key"] for r in got.collect()) == ["b", "c", "d", "e", "f"]
 
 
 def test_partition_predicate_on_sink_is_pushed(spark, scratch):
@@ -86,17 +102,12 @@ def test_partition_predicate_on_sink_is_pushed(spark, scratch):
     assert {r[0] for r in rows.select("topic_partition").distinct().collect()} == {7}
 
 
-def test_seek_fallback_paths_give_the_same_rows(spark, monkeypatch):
+def test_seek_without_broadcast_gives_the_same_rows(spark, monkeypatch):
+    import ledgerline.operators.joins as joins
     import ledgerline.sources.log as log_mod
 
-    path = stored_log_path(spark, SF001)
-    starts = spark.createDataFrame([("posts", 3, 10), ("posts", 4, 0), ("posts", 9, 7)],
-                                   "topic string, partition int, start_offset long")
-    static = log_mod.seek(stored_log(spark, SF001), starts)
-    scans = read_log(spark, path, start_offsets=starts)
-    monkeypatch.setattr(log_mod, "SEEK_STATIC_MAX", 0)  # forces the bounded join
-    monkeypatch.setattr(log_mod, "SEEK_SCANS_MAX", 0)  # forces read_log onto seek
-    joined = log_mod.seek(stored_log(spark, SF001), starts)
-    via_read = read_log(spark, path, start_offsets=starts)
-    for other in (scans, joined, via_read):
-        assert static.exceptAll(other).count() == 0 and other.exceptAll(static).count() == 0
+    starts = spark.createDataFrame([("posts", 3, 10), ("posts", 4, 0), ("posts", 9, 7)], STARTS)
+    main = log_mod.seek(stored_log(spark, SF001), starts)
+    monkeypatch.setattr(log_mod, "join_bounded", lambda *a, **k: joins.join_bounded(*a, **{**k, "max_rows": 0}))
+    other = log_mod.seek(stored_log(spark, SF001), starts)
+    assert main.exceptAll(other).count() == 0 and other.exceptAll(main).count() == 0

@@ -26,15 +26,6 @@ def test_topic_filter(spark):
     assert read_log(spark, path, topic="other").count() == 0
 
 
-def test_stream_seek_map_is_bounded(spark, scratch, monkeypatch):
-    import ledgerline.sources.log as log_mod
-
-    monkeypatch.setattr(log_mod, "SEEK_STATIC_MAX", 2)
-    starts = spark.createDataFrame([("posts", p, 0) for p in range(3)], "topic string, partition int, start_offset long")
-    with pytest.raises(ValueError):
-        log_mod.read_log_stream(spark, "files", path=scratch("none"), start_offsets=starts)
-
-
 def test_kafka_seek_map_becomes_starting_offsets(spark, monkeypatch):
     import ledgerline.sources.log as log_mod
 
@@ -47,9 +38,11 @@ def test_kafka_seek_map_becomes_starting_offsets(spark, monkeypatch):
     monkeypatch.setattr("ledgerline.sources.kafka.kafka_options", fake_options)
     starts = spark.createDataFrame([("posts", 3, 41), ("posts", 5, 0)], "topic string, partition int, start_offset long")
     with pytest.raises(RuntimeError):
-        log_mod.read_log_stream(spark, "kafka", topic="posts", partitions=[3, 5], start_offsets=starts,
+        log_mod.read_log_stream(spark, "kafka", topic="posts", partitions=[3, 5, 6], start_offsets=starts,
                                 kafka={"bootstrap": "b:9092"})
-    assert seen == {"bootstrap": "b:9092", "topic": "posts", "partitions": [3, 5], "starting": {3: 41, 5: 0}}
+    assert seen == {"bootstrap": "b:9092", "topic": "posts", "partitions": [3, 5, 6], "starting": {3: 41, 5: 0, 6: -2}}
+    with pytest.raises(ValueError):  # a map of some partitions only
+        log_mod.read_log_stream(spark, "kafka", topic="posts", start_offsets=starts, kafka={"bootstrap": "b:9092"})
 
 
 def test_publish_appends_with_continuing_offsets(spark, scratch):
@@ -76,16 +69,6 @@ def test_publish_appends_with_continuing_offsets(spark, scratch):
         assert keys == sorted(keys)  # send order; the second publish continues after the first
 
 
-def test_poll_files_out_of_order_are_refused(spark, scratch):
-    from ledgerline.sources.log import stored_log, write_poll_files
-
-    path = scratch("polls")
-    log = stored_log(spark, SF001)
-    write_poll_files(log, path, records_per_file=20, polls=range(1, 2))
-    with pytest.raises(RuntimeError, match="not newer"):
-        write_poll_files(log, path, records_per_file=20, polls=range(0, 1))  # poll 0 after poll 1
-
-
 def test_table_stream_tails_appends_and_seeks(spark, scratch):
     from pyspark.sql import functions as F
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators.audit import audit_duplicates, audit_missing
 from ledgerline.operators.sink import first_success_per_key, init_sink, read_sink
 from ledgerline.functions.codec import decode_posts
-from ledgerline.sources.log import read_log_stream, stored_log, write_poll_files
+from ledgerline.sources.log import read_log_stream, stored_log
 from ledgerline.streaming.runs import (
     at_least_once_writer,
     drain,
@@ -15,7 +15,7 @@ from ledgerline.streaming.runs import (
     run_exactly_once,
     start_batches,
 )
-from conftest import SF001
+from conftest import SF001, write_poll_files
 
 
 class Boom(RuntimeError):
