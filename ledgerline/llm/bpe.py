@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready
+from .common import lean, ready
 
 CACHE_WORDS = 150_000
 #: Words that are encoded together.
@@ -272,4 +272,4 @@ def bpe_encode_decode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_
     with open(vocabulary_path, "rb") as f:  # a file of an installed library on the driver; a few MB
         vocabulary = spark.sparkContext.broadcast(f.read())
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if full else "")
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_coded(vocabulary, full), schema)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lean(_coded(vocabulary, full)), schema)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,13 +14,43 @@ from ..session import scratch_path, ship_package
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+#: Most bytes of one Arrow batch that goes to a Python worker (one row may be longer).
+BATCH_BYTES = 4 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ready(spark: SparkSession) -> None:
-    """Makes this package importable in the Python workers."""
+    """Makes this package importable in the Python workers, and bounds the batches that the session sends
+    them by bytes: 10,000 rows of text, the default, may be any size, in the executor and in the worker."""
     ship_package(spark)
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if parse_bytes(spark.conf.get(setting, None)) > BATCH_BYTES:
+        spark.conf.set(setting, str(BATCH_BYTES))
+
+
+def parse_bytes(value: str | None) -> float:
+    """A size setting such as ``64MB`` or ``1048576b`` in bytes; unset is without bound."""
+    if not value:
+        return float("inf")
+    digits = value.strip().lower().rstrip("bkmgt")
+    unit = value.strip().lower()[len(digits):].rstrip("b")
+    return int(digits) * 1024 ** " kmgt".index(unit or " ")
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` with Arrow's unused memory given back when a task ends: workers wait for later tasks, and
+    what they hold meanwhile counts against their executor."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return task
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

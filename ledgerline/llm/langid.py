@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import ready
+from .common import lean, ready
 
 #: Most labelled rows learned from per language, in expectation (a bounded sample chosen by hash of the text).
 TRAIN_ROWS = 3_000
@@ -220,4 +220,4 @@ def identify_languages(docs: DataFrame, model: Model, id_col: str = "doc_id", te
     shared = spark.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(_predict_rows(shared), f"id {kind}, lang_pred string, score double, mixture map<string, double>")
+    return rows.mapInArrow(lean(_predict_rows(shared)), f"id {kind}, lang_pred string, score double, mixture map<string, double>")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import ready
+from .common import lean, ready
 
 #: Most labelled documents learned from per label, in expectation, chosen by hash of the id.
 TRAIN_DOCS, DOC_WINDOWS, HARD_WINDOWS = 1_200, 6, 4
@@ -313,4 +313,4 @@ def score_texts(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col:
     ready(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(_score_rows(docs.sparkSession.sparkContext.broadcast(net)), f"id {kind}, score double")
+    return rows.mapInArrow(lean(_score_rows(docs.sparkSession.sparkContext.broadcast(net))), f"id {kind}, score double")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import ready
+from .common import lean, ready
 
 TRAIN_URLS = 4_000
 BUCKETS, GRAMS = 1 << 15, (3, 4, 5)
@@ -150,6 +150,6 @@ def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", ur
     ruled = rows.where("rule is not null").select("host", "path", (decided == "allow").alias("allow"))
     model = train(ruled.distinct())
     kind = rows.schema["id"].dataType.simpleString()
-    scored = rows.mapInArrow(_judge(spark.sparkContext.broadcast(model)), f"id {kind}, host string, path string, rule string, allow_score double")
+    scored = rows.mapInArrow(lean(_judge(spark.sparkContext.broadcast(model))), f"id {kind}, host string, path string, rule string, allow_score double")
     verdict = F.coalesce(decided, F.when(F.col("allow_score") >= 0.5, "allow").otherwise("block"))
     return scored.select("id", "host", "path", "rule", verdict.alias("verdict"), "allow_score")
