@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import balltree, bpe, covertree, jaccard, langid, linededup, mixing, secrets, toxicity, urls
-from ledgerline.llm.common import components, table
+from ledgerline.llm.common import components, parse_bytes, table
 from ledgerline.llm.queries import RULES, vocabulary_path
 
 SF001 = "/root/testdata/sf0.001"
@@ -226,3 +226,8 @@ def test_toxicity_gradients_and_held_out_accuracy(spark, documents):
     assert np.mean((scored.loc[known["doc_id"]].to_numpy() >= 0.5) == (known["toxic"] == 1)) >= 0.9
     odd = toxicity.score_texts(documents([(1, None), (2, ""), (None, " "), (4, "word " * 50_000), (4, "x" * 100_000)]), net).collect()
     assert len(odd) == 5 and all(0 <= r["score"] <= 1 for r in odd) and all(r["score"] < 0.5 for r in odd[:3])
+
+
+def test_size_settings_in_bytes():
+    assert [parse_bytes(v) for v in ("64MB", "4m", "1048576", "2147483647b", "1g", "8k")] == [64 << 20, 4 << 20, 1 << 20, 2147483647, 1 << 30, 8 << 10]
+    assert parse_bytes(None) == parse_bytes("") == float("inf")
