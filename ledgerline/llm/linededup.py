@@ -2,12 +2,14 @@
 
 Every line walks a tree of fixed depth: its number of tokens, then its first ``LEAD`` tokens, where the part of
 a token from its first digit on is the variable ``<*>``. A leaf holds the shapes of its lines: all tokens,
-generalised in the same way. Two kinds of template come out of a leaf:
+generalised in the same way. Three kinds of template come out of a leaf:
 
-* a shape (a line with its variable tokens generalised), and
+* a shape (a line with its variable tokens generalised), if at least ``SHAPE_CONSTANT`` of its tokens, and
+  ``MIN_CONSTANT`` of them, hold no variable,
 * for lines of at most ``LOG_TOKENS`` tokens, the leaf itself: positions where all its lines agree are
-  constant, the others are variable; it counts as one template if at least ``CONSTANT`` of the positions are
-  constant.
+  constant, the others are variable; it counts as one template if at least ``CONSTANT`` of the positions behind
+  the leading tokens (these agree by construction), and ``MIN_CONSTANT`` of them, are constant, and
+* a line as it is, if it has no other template: rows of numbers recur only as a whole.
 
 A template found in at least ``MIN_DOCS`` distinct documents recurs: its lines are dropped everywhere but in
 the first place (smallest document, then line), so the corpus keeps one instance. All counts are partial
@@ -26,7 +28,9 @@ LEAD = 3
 #: Lines with fewer tokens are never templates: they recur by chance.
 MIN_TOKENS = 4
 LOG_TOKENS = 24
-CONSTANT = 0.75
+CONSTANT, SHAPE_CONSTANT = 0.75, 0.5
+#: Fewest constant tokens of a template that generalises.
+MIN_CONSTANT = 3
 #: The variable part of a token: from its first digit on.
 VARIABLE = r"[0-9][^\x20\x09-\x0D]*+"
 #: White space within a line that is not one space already.
@@ -38,52 +42,65 @@ def _doc_key(id_col: str, text_col: str) -> list[Column]:
 
 
 def line_templates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per line with enough tokens: id, digest, line (from 0), n, leaf, shape, and tokens (hashes; null for long lines)."""
+    """One row per line with enough tokens: id, digest, line (from 0), n, leaf, exact, shape, general (may the
+    shape be a template), and tokens (hashes, null where a variable is; null for long lines)."""
     text = F.col(text_col).cast("string")
     # shaped before the lines are split: what a generator returns is not computed again for each use
-    shaped = F.regexp_replace(F.regexp_replace(text, VARIABLE, "<*>"), BLANKS, " ")
-    lines = docs.where(text.isNotNull()).select(*_doc_key(id_col, text_col), F.posexplode(F.split(shaped, "\n")).alias("line", "raw"))
-    shaped = lines.select("id", "digest", "line", F.btrim("raw").alias("shape"))
+    split = lambda t: F.arrays_zip(F.split(F.regexp_replace(t, VARIABLE, "<*>"), "\n").alias("shape"), F.split(t, "\n").alias("exact"))
+    both = F.get(F.transform(F.array(F.regexp_replace(text, BLANKS, " ")), split), F.lit(0))
+    lines = docs.where(text.isNotNull()).select(*_doc_key(id_col, text_col), F.posexplode(both).alias("line", "raw"))
+    shaped = lines.select("id", "digest", "line", F.btrim("raw.shape").alias("shape"), F.btrim("raw.exact").alias("exact"))
     n = F.when(F.col("shape") == "", 0).otherwise(F.length("shape") - F.length(F.replace("shape", F.lit(" "), F.lit(""))) + 1)
     shaped = shaped.withColumn("n", n).where(F.col("n") >= MIN_TOKENS)
     lead = F.substring_index("shape", " ", LEAD)
-    tokens = F.when(F.col("n") <= LOG_TOKENS, F.transform(F.split("shape", " "), lambda t: F.xxhash64(t)))
-    return shaped.select("id", "digest", "line", "n", F.xxhash64("n", lead).alias("leaf"), F.xxhash64(F.lit("shape"), "n", "shape").alias("shape"), tokens.alias("tokens"))
+    fixed = F.col("n") - ((F.length("shape") - F.length(F.replace("shape", F.lit("<*>"), F.lit("")))) / 3).cast("int")
+    general = (fixed >= MIN_CONSTANT) & (fixed >= F.col("n") * SHAPE_CONSTANT)
+    tokens = F.when(F.col("n") <= LOG_TOKENS, F.transform(F.split("shape", " "), lambda t: F.when(~F.contains(t, F.lit("<*>")), F.xxhash64(t))))
+    return shaped.select(
+        "id", "digest", "line", "n", F.xxhash64("n", lead).alias("leaf"), F.xxhash64(F.lit("line"), "exact").alias("exact"),
+        F.xxhash64(F.lit("shape"), "n", "shape").alias("shape"), general.alias("general"), tokens.alias("tokens"),
+    )
 
 
-def recurring(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(shape, first place) and (leaf, first place) of templates in at least ``MIN_DOCS`` documents.
+def _place() -> Column:
+    return F.struct(F.col("id").isNull().alias("nil"), "id", "digest", "line")
 
-    Distinct documents are counted after a partial aggregate per (template, document).
-    """
-    place = F.struct(F.col("id").isNull().alias("nil"), "id", "digest", "line")
 
-    def often(key: str, of: DataFrame) -> DataFrame:
-        per_doc = of.groupBy(key, "id", "digest").agg(F.min("line").alias("line"))
-        return per_doc.groupBy(key).agg(F.count(F.lit(1)).alias("docs"), F.min(place).alias("first")).where(F.col("docs") >= MIN_DOCS).select(key, "first")
+def _often(key: str, of: DataFrame) -> DataFrame:
+    """(key, first place) of the keys in at least ``MIN_DOCS`` distinct documents, counted after a partial aggregate per (key, document)."""
+    per_doc = of.groupBy(key, "id", "digest").agg(F.min("line").alias("line"))
+    return per_doc.groupBy(key).agg(F.count(F.lit(1)).alias("docs"), F.min(_place()).alias("first")).where(F.col("docs") >= MIN_DOCS).select(key, "first")
+
 
-    shapes = often("shape", lines)
+def recurring(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(exact, first place), (shape, first place) and (leaf, first place) of recurring templates."""
+    shapes = _often("shape", lines.where("general"))
+    # a line of a general shape recurs no more often than its shape
+    exacts = _often("exact", lines.where("not general"))
     # leaves of several shapes whose lines agree in most positions
     short = lines.where("tokens is not null")
     several = short.groupBy("leaf").agg(F.min("shape").alias("a"), F.max("shape").alias("b"), F.min("id").alias("c"), F.max("id").alias("d")).where("a <> b and c <> d").select("leaf")
     short = short.join(several, "leaf", "left_semi")
-    positions = short.select("leaf", "n", F.posexplode("tokens").alias("pos", "t")).groupBy("leaf", "n", "pos").agg(F.min("t").alias("a"), F.max("t").alias("b"))
-    agreed = positions.groupBy("leaf").agg(F.avg(F.when(F.col("a") == F.col("b"), 1.0).otherwise(0.0)).alias("constant")).where(F.col("constant") >= CONSTANT).select("leaf")
-    leaves = often("leaf", short.join(agreed, "leaf", "left_semi"))
-    return shapes, leaves
+    positions = short.select("leaf", F.posexplode("tokens").alias("pos", "t")).where(F.col("pos") >= LEAD)
+    positions = positions.groupBy("leaf", "pos").agg(F.coalesce((F.min("t") == F.max("t")) & (F.count("t") == F.count(F.lit(1))), F.lit(False)).alias("same"))
+    agreed = positions.groupBy("leaf").agg(F.count_if("same").alias("constant"), F.count(F.lit(1)).alias("of"))
+    agreed = agreed.where((F.col("constant") >= MIN_CONSTANT) & (F.col("constant") >= F.col("of") * CONSTANT)).select("leaf")
+    leaves = _often("leaf", short.join(agreed, "leaf", "left_semi"))
+    return exacts, shapes, leaves
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, digest, lines): the numbers of the lines to drop, one row per distinct document with any."""
     lines = stored(line_templates(docs, id_col, text_col).distinct(), "lines")
-    shapes, leaves = (stored(x, "templates") for x in recurring(lines))
-    at = F.struct(F.col("id").isNull().alias("nil"), "id", "digest", "line")
-    by_shape = lines.join(shapes, "shape").where(at != F.col("first")).select("id", "digest", "line")
-    by_leaf = lines.where("tokens is not null").join(leaves, "leaf").where(at != F.col("first")).select("id", "digest", "line")
+    exacts, shapes, leaves = (stored(x, "templates") for x in recurring(lines))
+    away = _place() != F.col("first")
+    by_exact = lines.where("not general").join(exacts, "exact").where(away).select("id", "digest", "line")
+    by_shape = lines.join(shapes, "shape").where(away).select("id", "digest", "line")
+    by_leaf = lines.where("tokens is not null").join(leaves, "leaf").where(away).select("id", "digest", "line")
     # the first place of a shape may fall to its leaf's template and the other way round: a line that is
     # the first of one kind is kept by both
-    first = shapes.select("first").unionAll(leaves.select("first")).distinct().select("first.*")
-    gone = by_shape.unionAll(by_leaf).distinct()
+    first = shapes.select("first").unionAll(leaves.select("first")).unionAll(exacts.select("first")).distinct().select("first.*")
+    gone = by_exact.unionAll(by_shape).unionAll(by_leaf).distinct()
     keep = [gone["id"].eqNullSafe(first["id"]), gone["digest"] == first["digest"], gone["line"] == first["line"]]
     gone = gone.join(first, keep[0] & keep[1] & keep[2], "left_anti")
     return gone.groupBy("id", "digest").agg(F.array_sort(F.collect_list("line")).alias("lines"))

@@ -107,6 +107,18 @@ def test_line_dedup_keeps_one_instance(documents):
     assert linededup.dedup_lines(documents([])).count() == 0
 
 
+def kept_lines(documents, rows):
+    return {r["doc_id"]: r["text"].split("\n") for r in linededup.dedup_lines(documents(rows)).collect()}
+
+
+def test_line_dedup_keeps_lines_that_share_only_their_opening_or_their_digits(documents):
+    ends = ["Verachzu.", "Enchber.", "Bertzte.", "Anders."]
+    numbers = [f"{k}1 {k}2 {k}3 {k}4 {k}5" for k in range(4)]
+    rows = [(k, f"Des erberber das. {ends[k]}\nDes erberber das. und {ends[k]}\n{numbers[k]}\n7 8 9 10 11") for k in range(4)]
+    got = kept_lines(documents, rows)
+    assert got[0] == rows[0][1].split("\n") and all(got[k] == rows[k][1].split("\n")[:3] for k in range(1, 4))
+
+
 def test_mixing_meets_the_targets(spark, documents):
     rows = [(k, "w " * (1 + k * k % 97), "en", f"s{k % 7}") for k in range(400)] + [(500, None, "en", "s1"), (501, "", "en", None), (502, "a b", "en", None), (502, "a b", "en", None)]
     got = mixing.mix_sources(documents(rows)).collect()
