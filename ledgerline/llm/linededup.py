@@ -11,7 +11,8 @@ generalised in the same way. Three kinds of template come out of a leaf:
   the leading tokens (these agree by construction), and ``MIN_CONSTANT`` of them, are constant, and
 * a line as it is, if it has no other template: rows of numbers recur only as a whole.
 
-A template found in at least ``MIN_DOCS`` distinct documents recurs: its lines are dropped everywhere but in
+A template found in at least ``MIN_DOCS`` distinct documents recurs, and so does a line of at least
+``LONG_TOKENS`` tokens that stands as it is in ``LONG_DOCS``: its lines are dropped everywhere but in
 the first place (smallest document, then line), so the corpus keeps one instance. All counts are partial
 aggregates keyed by hashes, so a line that a third of all documents hold costs one row per task.
 """
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from .common import stored
 
 MIN_DOCS = 3
+#: A passage this long is no chance: two documents that hold it suffice.
+LONG_TOKENS, LONG_DOCS = 50, 2
 LEAD = 3
 #: Lines with fewer tokens are never templates: they recur by chance.
 MIN_TOKENS = 4
@@ -66,17 +69,18 @@ def _place() -> Column:
     return F.struct(F.col("id").isNull().alias("nil"), "id", "digest", "line")
 
 
-def _often(key: str, of: DataFrame) -> DataFrame:
-    """(key, first place) of the keys in at least ``MIN_DOCS`` distinct documents, counted after a partial aggregate per (key, document)."""
-    per_doc = of.groupBy(key, "id", "digest").agg(F.min("line").alias("line"))
-    return per_doc.groupBy(key).agg(F.count(F.lit(1)).alias("docs"), F.min(_place()).alias("first")).where(F.col("docs") >= MIN_DOCS).select(key, "first")
+def _often(key: str, of: DataFrame, least: Column) -> DataFrame:
+    """(key, first place) of the keys in at least ``least`` distinct documents, by the key's tokens ``n``; counted after a partial aggregate per (key, document)."""
+    per_doc = of.groupBy(key, "n", "id", "digest").agg(F.min("line").alias("line"))
+    return per_doc.groupBy(key, "n").agg(F.count(F.lit(1)).alias("docs"), F.min(_place()).alias("first")).where(F.col("docs") >= least).select(key, "first")
 
 
 def recurring(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(exact, first place), (shape, first place) and (leaf, first place) of recurring templates."""
-    shapes = _often("shape", lines.where("general"))
-    # a line of a general shape recurs no more often than its shape
-    exacts = _often("exact", lines.where("not general"))
+    shapes = _often("shape", lines.where("general"), F.lit(MIN_DOCS))
+    # a short line of a general shape recurs no more often than its shape
+    whole = lines.where(~F.col("general") | (F.col("n") >= LONG_TOKENS)).join(shapes, "shape", "left_anti")
+    exacts = _often("exact", whole, F.when(F.col("n") >= LONG_TOKENS, LONG_DOCS).otherwise(MIN_DOCS))
     # leaves of several shapes whose lines agree in most positions
     short = lines.where("tokens is not null")
     several = short.groupBy("leaf").agg(F.min("shape").alias("a"), F.max("shape").alias("b"), F.min("id").alias("c"), F.max("id").alias("d")).where("a <> b and c <> d").select("leaf")
@@ -85,7 +89,7 @@ def recurring(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     positions = positions.groupBy("leaf", "pos").agg(F.coalesce((F.min("t") == F.max("t")) & (F.count("t") == F.count(F.lit(1))), F.lit(False)).alias("same"))
     agreed = positions.groupBy("leaf").agg(F.count_if("same").alias("constant"), F.count(F.lit(1)).alias("of"))
     agreed = agreed.where((F.col("constant") >= MIN_CONSTANT) & (F.col("constant") >= F.col("of") * CONSTANT)).select("leaf")
-    leaves = _often("leaf", short.join(agreed, "leaf", "left_semi"))
+    leaves = _often("leaf", short.join(agreed, "leaf", "left_semi"), F.lit(MIN_DOCS))
     return exacts, shapes, leaves
 
 
@@ -94,7 +98,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lines = stored(line_templates(docs, id_col, text_col).distinct(), "lines")
     exacts, shapes, leaves = (stored(x, "templates") for x in recurring(lines))
     away = _place() != F.col("first")
-    by_exact = lines.where("not general").join(exacts, "exact").where(away).select("id", "digest", "line")
+    by_exact = lines.join(exacts, "exact").where(away).select("id", "digest", "line")
     by_shape = lines.join(shapes, "shape").where(away).select("id", "digest", "line")
     by_leaf = lines.where("tokens is not null").join(leaves, "leaf").where(away).select("id", "digest", "line")
     # the first place of a shape may fall to its leaf's template and the other way round: a line that is

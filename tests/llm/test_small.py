@@ -119,6 +119,17 @@ def test_line_dedup_keeps_lines_that_share_only_their_opening_or_their_digits(do
     assert got[0] == rows[0][1].split("\n") and all(got[k] == rows[k][1].split("\n")[:3] for k in range(1, 4))
 
 
+def test_line_dedup_drops_a_long_line_from_two_documents_on(documents):
+    passage = " ".join(f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60))
+    dated = passage.replace("wordca", "1999")
+    short = " ".join(passage.split()[5:25])
+    rows = [(1, f"alpha beta gamma delta one\n{passage}\n{short}"), (2, f"quite another page than that\n{passage}\n{short}"), (3, dated), (4, dated), (5, dated.replace("1999", "2001"))]
+    got = kept_lines(documents, rows[:4])
+    assert got[1] == rows[0][1].split("\n") and got[2] == [rows[1][1].split("\n")[0], short]
+    assert got[3] == [dated] and got[4] == [""]
+    assert kept_lines(documents, [rows[2], rows[4]]) == {3: [dated], 5: [rows[4][1]]}
+
+
 def test_mixing_meets_the_targets(spark, documents):
     rows = [(k, "w " * (1 + k * k % 97), "en", f"s{k % 7}") for k in range(400)] + [(500, None, "en", "s1"), (501, "", "en", None), (502, "a b", "en", None), (502, "a b", "en", None)]
     got = mixing.mix_sources(documents(rows)).collect()
