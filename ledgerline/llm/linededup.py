@@ -6,15 +6,18 @@ generalised in the same way. Three kinds of template come out of a leaf:
 
 * a shape (a line with its variable tokens generalised), if at least ``SHAPE_CONSTANT`` of its tokens, and
   ``MIN_CONSTANT`` of them, hold no variable,
-* for lines of at most ``LOG_TOKENS`` tokens, the leaf itself: positions where all its lines agree are
-  constant, the others are variable; it counts as one template if at least ``CONSTANT`` of the positions behind
-  the leading tokens (these agree by construction), and ``MIN_CONSTANT`` of them, are constant, and
+* a leaf's lines with a few of their positions masked: the positions behind the leading tokens lie in at most
+  ``PARTS`` parts (one position each, in lines of up to ``LEAD + PARTS`` tokens), and each choice of one or two
+  parts gives a template, if at least ``CONSTANT`` of these positions, and ``MIN_CONSTANT`` of them, are neither
+  masked nor hold a variable. So a leaf has as many templates as it has kinds of line, and whether some lines
+  recur does not depend on others, and
 * a line as it is, if it has no other template: rows of numbers recur only as a whole.
 
 A template found in at least ``MIN_DOCS`` distinct documents recurs, and so does a line of at least
 ``LONG_TOKENS`` tokens that stands as it is in ``LONG_DOCS``: its lines are dropped everywhere but in
 the first place (smallest document, then line), so the corpus keeps one instance. All counts are partial
-aggregates keyed by hashes, so a line that a third of all documents hold costs one row per task.
+aggregates keyed by hashes. Masks are made of distinct shapes only, each with two of its documents (a shape in
+more recurs anyway, and so do its masks), so a line that a third of all documents hold costs one row per task.
 """
 
 from __future__ import annotations
@@ -30,7 +33,8 @@ LONG_TOKENS, LONG_DOCS = 50, 2
 LEAD = 3
 #: Lines with fewer tokens are never templates: they recur by chance.
 MIN_TOKENS = 4
-LOG_TOKENS = 24
+#: Parts of the positions behind the leading tokens.
+PARTS = 16
 CONSTANT, SHAPE_CONSTANT = 0.75, 0.5
 #: Fewest constant tokens of a template that generalises.
 MIN_CONSTANT = 3
@@ -46,7 +50,8 @@ def _doc_key(id_col: str, text_col: str) -> list[Column]:
 
 def line_templates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per line with enough tokens: id, digest, line (from 0), n, leaf, exact, shape, general (may the
-    shape be a template), and tokens (hashes, null where a variable is; null for long lines)."""
+    shape be a template), parts (of the tokens behind the leading ones: hash, and how many hold no variable;
+    null if none may be masked)."""
     text = F.col(text_col).cast("string")
     # shaped before the lines are split: what a generator returns is not computed again for each use
     split = lambda t: F.arrays_zip(F.split(F.regexp_replace(t, VARIABLE, "<*>"), "\n").alias("shape"), F.split(t, "\n").alias("exact"))
@@ -58,13 +63,42 @@ def line_templates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     lead = F.substring_index("shape", " ", LEAD)
     fixed = F.col("n") - ((F.length("shape") - F.length(F.replace("shape", F.lit("<*>"), F.lit("")))) / 3).cast("int")
     general = (fixed >= MIN_CONSTANT) & (fixed >= F.col("n") * SHAPE_CONSTANT)
-    tokens = F.when(F.col("n") <= LOG_TOKENS, F.transform(F.split("shape", " "), lambda t: F.when(~F.contains(t, F.lit("<*>")), F.xxhash64(t))))
+    m = F.col("n") - LEAD
+    behind = F.transform(F.array(F.split("shape", " ")), _parts)
+    parts = F.when((m - 1 >= m * CONSTANT) & (m - 1 >= MIN_CONSTANT) & (fixed >= MIN_CONSTANT), F.get(behind, F.lit(0)))
     return shaped.select(
         "id", "digest", "line", "n", F.xxhash64("n", lead).alias("leaf"), F.xxhash64(F.lit("line"), "exact").alias("exact"),
-        F.xxhash64(F.lit("shape"), "n", "shape").alias("shape"), general.alias("general"), tokens.alias("tokens"),
+        F.xxhash64(F.lit("shape"), "n", "shape").alias("shape"), general.alias("general"), parts.alias("parts"),
     )
 
 
+def _parts(tokens: Column) -> Column:
+    """Array of (h, held) of the parts of ``tokens`` behind the leading ones."""
+    m = F.size(tokens) - LEAD
+    k = F.least(m, F.lit(PARTS))
+    begin = lambda p: F.floor(p * m / k).cast("int")
+
+    def part(p: Column) -> Column:
+        own = F.slice(tokens, begin(p) + LEAD + 1, begin(p + 1) - begin(p))
+        return F.struct(F.xxhash64(own).alias("h"), F.size(F.filter(own, lambda t: ~F.contains(t, F.lit("<*>")))).alias("held"))
+
+    return F.transform(F.sequence(F.lit(0), k - 1), part)
+
+
+def _masks(n: Column, parts: Column) -> Column:
+    """Hashes of the masked forms: pairs i <= j of parts, written as one number."""
+    k = F.size(parts)
+    i, j = (lambda x: F.floor(x / k).cast("int")), (lambda x: x % k)
+    held = F.aggregate(parts, F.lit(0), lambda a, p: a + p["held"])
+
+    def may(x: Column) -> Column:
+        left = held - parts[i(x)]["held"] - F.when(i(x) < j(x), parts[j(x)]["held"]).otherwise(0)
+        return (i(x) <= j(x)) & (left >= MIN_CONSTANT) & (left >= (n - LEAD) * CONSTANT)
+
+    form = lambda x: F.xxhash64("leaf", x, F.transform(parts, lambda p, at: F.when((at != i(x)) & (at != j(x)), p["h"])))
+    return F.transform(F.filter(F.sequence(F.lit(0), k * k - 1), may), form)
+
+
 def _place() -> Column:
     return F.struct(F.col("id").isNull().alias("nil"), "id", "digest", "line")
 
@@ -75,36 +109,44 @@ def _often(key: str, of: DataFrame, least: Column) -> DataFrame:
     return per_doc.groupBy(key, "n").agg(F.count(F.lit(1)).alias("docs"), F.min(_place()).alias("first")).where(F.col("docs") >= least).select(key, "first")
 
 
-def recurring(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(exact, first place), (shape, first place) and (leaf, first place) of recurring templates."""
-    shapes = _often("shape", lines.where("general"), F.lit(MIN_DOCS))
+def recurring(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(exact, first place) of lines that recur as they are, and (shape, first place) of those that recur by
+    their shape or a masked form of it: of all that do, the earliest place."""
+    doc = ["nil", "id", "digest"]
+    per_doc = lines.groupBy("shape", "leaf", "n", "general", F.isnotnull("parts").alias("masked"), "id", "digest").agg(F.min("line").alias("line"))
+    shapes = per_doc.groupBy("shape", "leaf", "n", "general", "masked").agg(F.count(F.lit(1)).alias("docs"), F.min(_place()).alias("first"), F.max(_place()).alias("last"))
+    shapes = stored(shapes, "shapes")
+    # leaves of several shapes in enough documents; a shape in two documents is in its first and last
+    several = shapes.where("masked").groupBy("leaf").agg(F.min("shape").alias("a"), F.max("shape").alias("b"), F.sum("docs").alias("docs"))
+    several = several.where((F.col("a") != F.col("b")) & (F.col("docs") >= MIN_DOCS)).select("leaf")
+    few = shapes.where("masked").join(several, "leaf", "left_semi").select("shape", "docs", "first", "last")
+    few = lines.where("parts is not null").join(few, "shape").where(_place() == F.col("first"))
+    forms = stored(few.select("shape", "docs", "first", "last", F.explode(_masks(F.col("n"), F.col("parts"))).alias("form")), "forms")
+    likely = forms.groupBy("form").agg(F.min("shape").alias("a"), F.max("shape").alias("b"), F.sum("docs").alias("docs"))
+    likely = likely.where((F.col("a") != F.col("b")) & (F.col("docs") >= MIN_DOCS)).select("form")
+    forms = stored(forms.join(likely, "form", "left_semi"), "forms")
+    ends = forms.select("form", "docs", "first", F.explode(F.array("first", "last")).alias("d")).groupBy("form", *[F.col(f"d.{c}").alias(c) for c in doc]).agg(F.max("docs").alias("docs"), F.min("first").alias("first"))
+    masked = ends.groupBy("form").agg(F.count(F.lit(1)).alias("distinct"), F.max("docs").alias("docs"), F.min("first").alias("first"))
+    masked = masked.where((F.col("distinct") >= MIN_DOCS) | (F.col("docs") >= MIN_DOCS)).select("form", "first")
+    by_form = forms.select("form", "shape").join(masked, "form").select("shape", "first")
+    by_shape = shapes.where(F.col("general") & (F.col("docs") >= MIN_DOCS)).select("shape", "first")
+    chosen = stored(by_form.unionAll(by_shape).groupBy("shape").agg(F.min("first").alias("first")), "templates")
     # a short line of a general shape recurs no more often than its shape
-    whole = lines.where(~F.col("general") | (F.col("n") >= LONG_TOKENS)).join(shapes, "shape", "left_anti")
-    exacts = _often("exact", whole, F.when(F.col("n") >= LONG_TOKENS, LONG_DOCS).otherwise(MIN_DOCS))
-    # leaves of several shapes whose lines agree in most positions
-    short = lines.where("tokens is not null")
-    several = short.groupBy("leaf").agg(F.min("shape").alias("a"), F.max("shape").alias("b"), F.min("id").alias("c"), F.max("id").alias("d")).where("a <> b and c <> d").select("leaf")
-    short = short.join(several, "leaf", "left_semi")
-    positions = short.select("leaf", F.posexplode("tokens").alias("pos", "t")).where(F.col("pos") >= LEAD)
-    positions = positions.groupBy("leaf", "pos").agg(F.coalesce((F.min("t") == F.max("t")) & (F.count("t") == F.count(F.lit(1))), F.lit(False)).alias("same"))
-    agreed = positions.groupBy("leaf").agg(F.count_if("same").alias("constant"), F.count(F.lit(1)).alias("of"))
-    agreed = agreed.where((F.col("constant") >= MIN_CONSTANT) & (F.col("constant") >= F.col("of") * CONSTANT)).select("leaf")
-    leaves = _often("leaf", short.join(agreed, "leaf", "left_semi"), F.lit(MIN_DOCS))
-    return exacts, shapes, leaves
+    whole = lines.where(~F.col("general") | (F.col("n") >= LONG_TOKENS)).join(chosen, "shape", "left_anti")
+    return _often("exact", whole, F.when(F.col("n") >= LONG_TOKENS, LONG_DOCS).otherwise(MIN_DOCS)), chosen
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, digest, lines): the numbers of the lines to drop, one row per distinct document with any."""
     lines = stored(line_templates(docs, id_col, text_col).distinct(), "lines")
-    exacts, shapes, leaves = (stored(x, "templates") for x in recurring(lines))
+    exacts, shapes = recurring(lines)
+    exacts = stored(exacts, "templates")
     away = _place() != F.col("first")
     by_exact = lines.join(exacts, "exact").where(away).select("id", "digest", "line")
     by_shape = lines.join(shapes, "shape").where(away).select("id", "digest", "line")
-    by_leaf = lines.where("tokens is not null").join(leaves, "leaf").where(away).select("id", "digest", "line")
-    # the first place of a shape may fall to its leaf's template and the other way round: a line that is
-    # the first of one kind is kept by both
-    first = shapes.select("first").unionAll(leaves.select("first")).unionAll(exacts.select("first")).distinct().select("first.*")
-    gone = by_exact.unionAll(by_shape).unionAll(by_leaf).distinct()
+    # the first place of a template may have an earlier one by another of its masked forms: it stays
+    first = shapes.select("first").unionAll(exacts.select("first")).distinct().select("first.*")
+    gone = by_exact.unionAll(by_shape).distinct()
     keep = [gone["id"].eqNullSafe(first["id"]), gone["digest"] == first["digest"], gone["line"] == first["line"]]
     gone = gone.join(first, keep[0] & keep[1] & keep[2], "left_anti")
     return gone.groupBy("id", "digest").agg(F.array_sort(F.collect_list("line")).alias("lines"))

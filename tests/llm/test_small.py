@@ -130,6 +130,19 @@ def test_line_dedup_drops_a_long_line_from_two_documents_on(documents):
     assert kept_lines(documents, [rows[2], rows[4]]) == {3: [dated], 5: [rows[4][1]]}
 
 
+def test_line_dedup_finds_templates_beside_unrelated_lines(documents):
+    names, hosts = ["anna", "boris", "cleo", "dora"], ["mars", "venus", "pluto", "ceres"]
+    log = "the service was opened by {} on {} and left running for the whole night"
+    long = " ".join(["the long record of"] + [f"w{chr(97 + k)}" for k in range(24)] + ["{}", "at the end of it"])
+    rows = [(k, f"{names[k]} {hosts[k]}\n{log.format(names[k], hosts[k])}\n{long.format(names[k])}") for k in range(4)]
+    others = [(10, "the service was never meant to do such things as these at all times"), (11, "the long record of " + " ".join("v" + chr(97 + k) for k in range(24)) + " x at the end of it")]
+    alone, beside = kept_lines(documents, rows), kept_lines(documents, rows + others)
+    assert all(beside[k] == alone[k] for k in range(4)) and all(beside[k] == [t] for k, t in others)
+    assert alone[0] == rows[0][1].split("\n") and all(alone[k] == [f"{names[k]} {hosts[k]}"] for k in range(1, 4))
+    # two documents are too few
+    assert kept_lines(documents, rows[:2] + others)[1] == rows[1][1].split("\n")
+
+
 def test_mixing_meets_the_targets(spark, documents):
     rows = [(k, "w " * (1 + k * k % 97), "en", f"s{k % 7}") for k in range(400)] + [(500, None, "en", "s1"), (501, "", "en", None), (502, "a b", "en", None), (502, "a b", "en", None)]
     got = mixing.mix_sources(documents(rows)).collect()
