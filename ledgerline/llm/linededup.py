@@ -50,8 +50,7 @@ def _doc_key(id_col: str, text_col: str) -> list[Column]:
 
 def line_templates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per line with enough tokens: id, digest, line (from 0), n, leaf, exact, shape, general (may the
-    shape be a template), parts (of the tokens behind the leading ones: hash, and how many hold no variable;
-    null if none may be masked)."""
+    shape be a template), form (the shape as text; null if none of its tokens may be masked)."""
     text = F.col(text_col).cast("string")
     # shaped before the lines are split: what a generator returns is not computed again for each use
     split = lambda t: F.arrays_zip(F.split(F.regexp_replace(t, VARIABLE, "<*>"), "\n").alias("shape"), F.split(t, "\n").alias("exact"))
@@ -64,11 +63,10 @@ def line_templates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     fixed = F.col("n") - ((F.length("shape") - F.length(F.replace("shape", F.lit("<*>"), F.lit("")))) / 3).cast("int")
     general = (fixed >= MIN_CONSTANT) & (fixed >= F.col("n") * SHAPE_CONSTANT)
     m = F.col("n") - LEAD
-    behind = F.transform(F.array(F.split("shape", " ")), _parts)
-    parts = F.when((m - 1 >= m * CONSTANT) & (m - 1 >= MIN_CONSTANT) & (fixed >= MIN_CONSTANT), F.get(behind, F.lit(0)))
+    text = F.when((m - 1 >= m * CONSTANT) & (m - 1 >= MIN_CONSTANT) & (fixed >= MIN_CONSTANT), F.col("shape"))
     return shaped.select(
         "id", "digest", "line", "n", F.xxhash64("n", lead).alias("leaf"), F.xxhash64(F.lit("line"), "exact").alias("exact"),
-        F.xxhash64(F.lit("shape"), "n", "shape").alias("shape"), general.alias("general"), parts.alias("parts"),
+        F.xxhash64(F.lit("shape"), "n", "shape").alias("shape"), general.alias("general"), text.alias("form"),
     )
 
 
@@ -85,6 +83,14 @@ def _parts(tokens: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), k - 1), part)
 
 
+def _halves(parts: Column) -> Column:
+    """Hashes of each two of four quarters of the parts: two masked parts leave one of these pairs whole."""
+    hashes, k = F.transform(parts, lambda p: p["h"]), F.size(parts)
+    begin = lambda q: F.floor(k * q / 4).cast("int")
+    quarter = lambda q: F.slice(hashes, begin(q) + 1, begin(q + 1) - begin(q))
+    return F.array(*[F.xxhash64("leaf", F.lit(4 * a + b), quarter(a), quarter(b)) for a in range(4) for b in range(a + 1, 4)])
+
+
 def _masks(n: Column, parts: Column) -> Column:
     """Hashes of the masked forms: pairs i <= j of parts, written as one number."""
     k = F.size(parts)
@@ -109,22 +115,29 @@ def _often(key: str, of: DataFrame, least: Column) -> DataFrame:
     return per_doc.groupBy(key, "n").agg(F.count(F.lit(1)).alias("docs"), F.min(_place()).alias("first")).where(F.col("docs") >= least).select(key, "first")
 
 
+def _shared(rows: DataFrame, key: str) -> DataFrame:
+    """Rows whose key several shapes have, in enough documents if all are apart."""
+    keys = rows.groupBy(key).agg(F.min("shape").alias("a"), F.max("shape").alias("b"), F.sum("docs").alias("docs"))
+    return rows.join(keys.where((F.col("a") != F.col("b")) & (F.col("docs") >= MIN_DOCS)).select(key), key, "left_semi")
+
+
 def recurring(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(exact, first place) of lines that recur as they are, and (shape, first place) of those that recur by
     their shape or a masked form of it: of all that do, the earliest place."""
     doc = ["nil", "id", "digest"]
-    per_doc = lines.groupBy("shape", "leaf", "n", "general", F.isnotnull("parts").alias("masked"), "id", "digest").agg(F.min("line").alias("line"))
+    per_doc = lines.groupBy("shape", "leaf", "n", "general", F.isnotnull("form").alias("masked"), "id", "digest").agg(F.min("line").alias("line"))
     shapes = per_doc.groupBy("shape", "leaf", "n", "general", "masked").agg(F.count(F.lit(1)).alias("docs"), F.min(_place()).alias("first"), F.max(_place()).alias("last"))
     shapes = stored(shapes, "shapes")
     # leaves of several shapes in enough documents; a shape in two documents is in its first and last
-    several = shapes.where("masked").groupBy("leaf").agg(F.min("shape").alias("a"), F.max("shape").alias("b"), F.sum("docs").alias("docs"))
-    several = several.where((F.col("a") != F.col("b")) & (F.col("docs") >= MIN_DOCS)).select("leaf")
-    few = shapes.where("masked").join(several, "leaf", "left_semi").select("shape", "docs", "first", "last")
-    few = lines.where("parts is not null").join(few, "shape").where(_place() == F.col("first"))
+    few = _shared(shapes.where("masked"), "leaf").select("shape", "docs", "first", "last")
+    few = lines.where("form is not null").join(few, "shape").where(_place() == F.col("first"))
+    parts = F.get(F.transform(F.array(F.split("form", " ")), _parts), F.lit(0))
+    few = stored(few.select("leaf", "n", "shape", "docs", "first", "last", parts.alias("parts")), "few")
+    # a masked form recurs only with another shape that has half of its parts
+    near = _shared(few.select("shape", "docs", F.explode(_halves(F.col("parts"))).alias("half")), "half").select("shape").distinct()
+    few = few.join(near, "shape", "left_semi")
     forms = stored(few.select("shape", "docs", "first", "last", F.explode(_masks(F.col("n"), F.col("parts"))).alias("form")), "forms")
-    likely = forms.groupBy("form").agg(F.min("shape").alias("a"), F.max("shape").alias("b"), F.sum("docs").alias("docs"))
-    likely = likely.where((F.col("a") != F.col("b")) & (F.col("docs") >= MIN_DOCS)).select("form")
-    forms = stored(forms.join(likely, "form", "left_semi"), "forms")
+    forms = stored(_shared(forms, "form"), "forms")
     ends = forms.select("form", "docs", "first", F.explode(F.array("first", "last")).alias("d")).groupBy("form", *[F.col(f"d.{c}").alias(c) for c in doc]).agg(F.max("docs").alias("docs"), F.min("first").alias("first"))
     masked = ends.groupBy("form").agg(F.count(F.lit(1)).alias("distinct"), F.max("docs").alias("docs"), F.min("first").alias("first"))
     masked = masked.where((F.col("distinct") >= MIN_DOCS) | (F.col("docs") >= MIN_DOCS)).select("form", "first")
