@@ -230,6 +230,14 @@ def test_secret_spans_against_plain_scan(documents):
     assert secrets.scan_secrets(documents([])).count() == 0
 
 
+def test_a_single_owners_secret_is_live_in_all_its_copies(documents):
+    own, shared = "own Zk3x9QpLm2Rt7VbN4cXy8 here", "see Qw8e7RtYu6Io5PaSd4Fg3 there"
+    rows = [(i, own, "en", "s1") for i in range(8)] + [(20 + i, own + f" page {i}", "en", "s1") for i in range(8)] + [(40 + i, shared, "en", f"s{i}") for i in range(2)]
+    got = secrets.digest_columns(secrets.scan_secrets(documents(rows))).collect()
+    assert len(got) == 18
+    assert all((r["spans"], r["n_live"], r["n_example"]) == (("token:4:25", 1, 0) if r["id"] < 40 else ("", 0, 1)) for r in got)
+
+
 def test_toxicity_gradients_and_held_out_accuracy(spark, documents):
     net = toxicity.Network(1)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
