@@ -1,7 +1,8 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
 A word enters as the embedding of its hash beside the mean embedding of its character n-grams (over its bytes in
-lower case, with borders). Gated recurrent units read a window of ``WINDOW`` words in both directions; attention
+lower case, with borders); a word of more than ``PART`` bytes enters as several, so texts without spaces are read
+to their end. Gated recurrent units read a window of ``WINDOW`` words in both directions; attention
 weighs the states, and a linear layer turns the pooled state into the window's logit. Every text is cut into all
 windows ``STRIDE`` words apart, so they overlap by half and every word is read; a document's score is that of
 its highest window, shifted so that one half is the best cut on the training documents.
@@ -28,15 +29,26 @@ from .common import lean, ready
 #: Most labelled documents learned from per label, in expectation, chosen by hash of the id.
 TRAIN_DOCS, DOC_WINDOWS, HARD_WINDOWS = 1_200, 6, 4
 WINDOW, STRIDE = 32, 16
+#: Words longer than this many bytes are taken in parts, each in a place of its own (texts without spaces).
+PART = 40
 WORDS, CHARS, EMBED, HIDDEN = 1 << 14, 1 << 12, 8, 8
 EPOCHS, BATCH, RATE = 5, 128, 0.01
 #: Windows that are scored together.
 CHUNK = 2_048
 
 
+def _words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words, long ones cut to parts, and the first of each text (length texts + 1)."""
+    starts, ends = words.word_spans(raw, off)
+    count = -(-(ends - starts) // PART)
+    of = np.repeat(np.arange(len(starts)), count)
+    k = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+    cut = starts[of] + k * PART
+    return cut, np.minimum(cut + PART, ends[of]), np.searchsorted(cut, off)
+
+
 def _word_inputs(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word bucket per word; character n-gram buckets (2 to 4 bytes) of all words, and where each word's begin."""
-    ends = np.minimum(ends, starts + 40)  # the n-grams of a very long word; its hash covers all of it
     size = ends - starts + 2
     base = np.cumsum(size) - size
     flat = np.zeros(int(size.sum()), np.uint64)
@@ -72,7 +84,7 @@ def _windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _slices(column: pa.Array) -> Iterator[tuple]:
     """(first row, end row, inputs of the distinct words, word of each place, window starts, window texts, first words)."""
     for a, b, raw, off in words.text_slices(column, lower=True):
-        starts, ends, first = words.words_of(raw, off)
+        starts, ends, first = _words(raw, off)
         if len(starts):
             h = words.span_hashes(raw, starts, ends)
             distinct, one, unit = np.unique(h, return_index=True, return_inverse=True)
@@ -233,7 +245,7 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Network:
     raw = np.frombuffer("\n".join(texts).lower().encode(), np.uint8)
     lengths = [len(t.lower().encode()) + 1 for t in texts]
     off = np.minimum(np.r_[0, np.cumsum(lengths)], len(raw))
-    starts, ends, first = words.words_of(raw, off)
+    starts, ends, first = _words(raw, off)
     h = words.span_hashes(raw, starts, ends)
     distinct, one, unit = np.unique(h, return_index=True, return_inverse=True)
     inputs = _word_inputs(raw, starts[one], ends[one], distinct)
