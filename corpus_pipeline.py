@@ -5,7 +5,8 @@ one's rows written as Parquet and read again for the next. All but the last retu
 
 Nulls, empty and repeated rows: a null or letterless text is rejected by the first stage, so later stages
 see texts only; a document whose lines are all dropped goes (one instance of each line stays elsewhere);
-rows that repeat an id are one document for the near-duplicate stage; a document that the mix takes
+rows that repeat an id are one document for the near-duplicate stage, which keeps or drops all its texts
+(one row of each) and every row without an id; a document that the mix takes
 twice is two equal rows. Extra columns are carried along; an empty table gives an empty table.
 """
 
@@ -49,7 +50,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     gone = stored(groups.where("id <> comp").select(F.col("id").alias("_ll_id")).distinct(), "near_copies")
     kept = join_bounded(docs, gone, docs["doc_id"] == gone["_ll_id"], "left_anti")
     repeated = groups.groupBy("id").count().where("count > 1").isEmpty()
-    return kept if repeated else kept.dropDuplicates(["doc_id"])
+    if repeated:
+        return kept
+    # rows without an id took no part; texts of one id that differ all stay
+    known = kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
+    return known.unionAll(kept.where("doc_id is null"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -272,6 +272,31 @@ def test_toxicity_gradients_and_held_out_accuracy(spark, documents):
     assert len(odd) == 5 and all(0 <= r["score"] <= 1 for r in odd) and all(r["score"] < 0.5 for r in odd[:3])
 
 
+def test_toxicity_reads_unspaced_texts_to_their_end():
+    net = toxicity.Network(1)
+    net.p["word"][:] = 0  # leaves the characters
+    clean, toxic = "好" * 5_000, "好" * 4_990 + "毒" * 10
+    slices = [*toxicity._slices(toxicity.pa.array([clean, toxic, "a b"]))]
+    _, _, inputs, unit, at, text, first = slices[0]
+    assert len(slices) == 1 and first.tolist() == [0, 375, 750, 752] and np.bincount(text).tolist() == [23, 23, 1]
+    score = net.logits(inputs, unit, at, text, first)
+    assert np.abs(score[22] - score[45]) > 1e-4 and np.allclose(score[:21], score[23:44], atol=1e-6)
+
+
+def test_near_duplicate_stage_against_a_plain_version(documents):
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    texts = [(None, a), (None, a), (None, "of no id"), (1, a), (2, b), (5, a), (5, b), (6, c), (6, c), (6, "another text of six"), (7, c + " end"), (8, ""), (8, "eight"), (9, None)]
+    for rows in (texts, [r for r in texts if r not in ((5, a), (5, b), (6, c), (8, ""))]):
+        group = plain_jaccard([r for r in rows if r[0] is not None])
+        found = jaccard.ngram_jaccard_join(documents(rows)).documents().select("id", F.col("comp").alias("c")).collect()
+        assert all(group[r["id"]] == r["c"] for r in found)
+        want = [r for r in rows if r[0] is None] + [*{r for r in rows if r[0] is not None and group[r[0]] == r[0]}]
+        got = corpus_pipeline.near_duplicate_stage(None, documents(rows), "").select("doc_id", "text").collect()
+        assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
 def test_size_settings_in_bytes():
     assert [parse_bytes(v) for v in ("64MB", "4m", "1048576", "2147483647b", "1g", "8k")] == [64 << 20, 4 << 20, 1 << 20, 2147483647, 1 << 30, 8 << 10]
     assert parse_bytes(None) == parse_bytes("") == float("inf")
