@@ -6,6 +6,7 @@ import math
 import duckdb
 import pytest
 
+import __spark_entry__ as entry
 from ledgerline.plans.catalog import QUERIES
 from ledgerline.plans.oracle import ORACLE
 from conftest import SF01
@@ -37,6 +38,13 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_registered_set():
+    """What the driver sees: every core query with its statement; only opN_ queries and the pipeline may go without."""
+    queries, statements = entry.queries(), entry.oracle_sql()
+    assert set(QUERIES) <= set(queries) and set(ORACLE) <= set(statements) <= set(queries)
+    assert all(n == "pipeline" or n.startswith("op") for n in set(queries) - set(statements))
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF01)
