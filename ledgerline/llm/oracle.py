@@ -2,4 +2,35 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+#: A control string of the chat template with the escapes it may hold: first character, escapes and rest.
+_CONTROL = r"(<)(\\*(?:conversation>|/?s>))|(\[)(\\*(?:/?INST\]|/?SYS\]|/?ROLE\]|END\]))"
+
+
+def _escaped(column: str) -> str:
+    return rf"regexp_replace({column}, '{_CONTROL}', '\1\3\\\2\4', 'g')"
+
+
+#: The machine is stated as a pattern over the turns' letters, the escapes as one replacement.
+OP13 = f"""
+with rows_ as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text)) as i,
+         case role when 'system' then 's' when 'user' then 'u' when 'assistant' then 'a' else 'x' end as letter
+  from rows_),
+turns as (
+  select *, length({_escaped('text')}) + (case when i = 1 then length('<conversation>\n') else 0 end)
+            + case letter when 's' then length('[SYS]  [/SYS]\n') when 'u' then length('[INST]  [/INST]')
+                          when 'a' then length('<s>  </s>\n')
+                          else length('[ROLE]  [/ROLE]  [END]\n') + length({_escaped('role')}) end as chars
+  from placed)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by i)) as turns_sha256,
+       coalesce(sum(length(text)) filter (letter = 'a'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by i) filter (letter = 'a'), '')) as loss_sha256,
+       sum(chars)::bigint as formatted_chars,
+       regexp_full_match(string_agg(letter, '' order by i), 's?(ua)+') as valid
+from turns group by conv_id"""
+
+ORACLE: dict[str, str] = {"op13_chat_format": OP13}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .balltree import top_k
 from .bpe import bpe_encode_decode
+from .chat import digest_conversations, format_conversations
 from .common import crc32_mod, table
 from .covertree import near_duplicates
 from .jaccard import ngram_jaccard_join
@@ -88,6 +89,16 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", n.cast("long").alias("n_kept"), F.col("_ll_dropped").cast("long").alias("n_dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+#: Fixed rows of the contract of op13: a conversation whose texts hold control strings.
+PLANTED = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame(PLANTED, "conv_id long, turn long, role string, text string")
+    return digest_conversations(format_conversations(given.unionByName(planted)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -99,4 +110,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_top_k": op10_exact_top_k,
+    "op13_chat_format": op13_chat_format,
 }
