@@ -33,4 +33,44 @@ select conv_id, count(*) as n_turns,
        regexp_full_match(string_agg(letter, '' order by i), 's?(ua)+') as valid
 from turns group by conv_id"""
 
-ORACLE: dict[str, str] = {"op13_chat_format": OP13}
+
+def _rounds(n: int) -> str:
+    """Assignment and averaging, ``n`` times, then the last assignment: a packed (squared distance, index) per part."""
+    out = []
+    for r in range(n + 1):
+        out.append(f"""
+near_{r} as materialized (
+  select v.id, v.label, v.p, v.x,
+         min((list_dot_product(v.x, v.x) - 2 * list_dot_product(v.x, b.x) + list_dot_product(b.x, b.x)) * 256 + b.e)::bigint as packed
+  from parts v join book_{r} b on v.p = b.p group by v.nth, v.id, v.label, v.p, v.x),""")
+        if r < n:
+            out.append(f"""
+mean_{r} as (
+  select p, e, list(m order by place) as x from (
+    select p, e, place, floor(sum(c) / count(*)) as m
+    from (select p, packed % 256 as e, unnest(x) as c, unnest(range(len(x))) as place from near_{r}) s group by p, e, place) t
+  group by p, e),
+book_{r + 1} as materialized (select b.p, b.e, coalesce(m.x, b.x) as x from book_{r} b left join mean_{r} m on b.p = m.p and b.e = m.e),""")
+    return "".join(out)
+
+
+#: Every entry is a candidate here; distances are integers held exactly by doubles.
+OP11 = f"""
+with kept as (
+  select row_number() over (order by vec_id nulls last, embedding) - 1 as nth, vec_id as id, label,
+         list_transform(embedding, lambda c: floor(1024 * c::double)) as x
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+parts as materialized (
+  select nth, id, label, p, list_slice(x, p * len(x) // 4 + 1, (p + 1) * len(x) // 4) as x from kept, range(4) t(p)),
+book_0 as materialized (select p, nth as e, x from parts where nth < 256),{_rounds(4)}
+coded as (
+  select id, label, string_agg(printf('%02x', packed % 256), '' order by p) as code, sum(packed // 256)::bigint as error
+  from near_4 group by id, label),
+digest as (
+  select sha256(string_agg(c::bigint::varchar, ',' order by p, e, place)) as codebooks_sha256
+  from (select p, e, unnest(x) as c, unnest(range(len(x))) as place from book_4) t)
+select id as vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from coded, digest"""
+
+ORACLE: dict[str, str] = {"op11_vector_code": OP11, "op13_chat_format": OP13}

@@ -19,6 +19,7 @@ from .mixing import mix_sources
 from .secrets import digest_columns, scan_secrets
 from .toxicity import learn as learn_toxicity, score_texts
 from .urls import Rule, filter_urls
+from .vectorcode import compress
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +90,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", n.cast("long").alias("n_kept"), F.col("_ll_dropped").cast("long").alias("n_dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op11_vector_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = compress(table(spark, sf_dir, "embeddings"))
+    rows = coded.with_label_errors().withColumnRenamed("id", "vec_id")
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(coded.codebooks_sha256()).alias("codebooks_sha256"))
+
+
 #: Fixed rows of the contract of op13: a conversation whose texts hold control strings.
 PLANTED = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -110,5 +117,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_vector_code": op11_vector_code,
     "op13_chat_format": op13_chat_format,
 }
