@@ -17,6 +17,7 @@ from .langid import identify_languages, train as train_langid
 from .linededup import dedup_lines
 from .mixing import mix_sources
 from .secrets import digest_columns, scan_secrets
+from .spelling import group_variants
 from .toxicity import learn as learn_toxicity, score_texts
 from .urls import Rule, filter_urls
 from .vectorcode import compress
@@ -96,6 +97,10 @@ def op11_vector_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", "code", "error", "label_error", F.lit(coded.codebooks_sha256()).alias("codebooks_sha256"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_variants(table(spark, sf_dir, "documents"))
+
+
 #: Fixed rows of the contract of op13: a conversation whose texts hold control strings.
 PLANTED = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -118,5 +123,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_top_k": op10_exact_top_k,
     "op11_vector_code": op11_vector_code,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_chat_format": op13_chat_format,
 }
