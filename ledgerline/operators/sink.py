@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import encode_post, key_partition
-from ..schema import SINK_COLUMNS, SINK_SCHEMA
-from ..session import path_exists
+from ..session import path_exists, scratch_table
 from .joins import BROADCAST_MAX_ROWS, fits_broadcast, join_bounded
 from .projections import storable
+from .table import ResultTable
 
 # JSON text stored for a tombstone (the value NULL written as JSON).
 TOMBSTONE_JSON = "null"
@@ -55,14 +55,14 @@ def new_ids(
     if n_keys is None:
         n_keys = keys.count()
     ids = stored.select(F.col("id").alias("_id"))
+    # a stored table may repeat an id: what matches is one row per key, whatever the table holds
     if fits_broadcast(keys, n_keys, max_rows):
-        hits = ids.join(F.broadcast(keys), "_id", "left_semi")
+        hits = ids.join(F.broadcast(keys), "_id", "left_semi").distinct()
         return batch.join(F.broadcast(hits), batch[key_col] == hits["_id"], "left_anti")
     # too many keys to broadcast: match distinct keys (one row per key on both sides, balanced), then
     # bring the matched keys back by broadcast when they fit, so the batch is not shuffled by key
-    hits = ids.join(keys, "_id", "left_semi").persist()
-    n_hits = hits.count()
-    side = F.broadcast(hits) if fits_broadcast(hits, n_hits, max_rows) else hits
+    hits = scratch_table(ids.join(keys, "_id", "left_semi").distinct(), "matched-ids")
+    side = F.broadcast(hits) if fits_broadcast(hits, hits.count(), max_rows) else hits
     return batch.join(side, batch[key_col] == side["_id"], "left_anti")
 
 
@@ -71,29 +71,25 @@ def init_sink(spark: SparkSession, path: str, reset: bool = False) -> DataFrame:
 
     A new checkpoint restarts batch ids at 0, so it must start on a new or emptied sink.
     """
-    if path_exists(spark, path) and not reset:
-        existing = spark.read.schema(SINK_SCHEMA).parquet(path)
-        if existing.limit(1).count() > 0:
-            raise ValueError(f"sink {path} is not empty; pass reset=True to start over")
-    empty = spark.createDataFrame([], SINK_SCHEMA)
-    empty.write.mode("overwrite").partitionBy("batch_id").parquet(path)
-    return read_sink(spark, path)
+    return ResultTable.create(spark, path, reset=reset).read()
 
 
 def read_sink(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SINK_SCHEMA).parquet(path).select(*SINK_COLUMNS)
-
-
-def write_sink_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """K3: store one batch as partition ``batch_id``; writing the same batch again replaces it."""
-    (
-        rows.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-        .select(*SINK_COLUMNS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    """The result table as of now (see :class:`ledgerline.operators.table.ResultTable`)."""
+    return ResultTable(spark, path).read()
+
+
+def write_sink_batch(rows: DataFrame, path: str, batch_id: int) -> bool:
+    """K3: store one batch; a batch that is stored already is left as it is (False)."""
+    spark = rows.sparkSession
+    table = ResultTable(spark, path) if ResultTable.exists(spark, path) else ResultTable.create(spark, path)
+    if table.holds(batch_id):
+        return False
+    rows = rows.persist()
+    try:
+        return table.append(rows, batch_id)
+    finally:
+        rows.unpersist()
 
 
 def publish(

@@ -27,8 +27,9 @@ from ..operators.ledger import (
 from ..operators.joins import join_bounded
 from ..operators.ordering import decouple, dense_positions, ordered_positions, per_partition
 from ..operators.projections import deliveries, drop_tombstones, for_partition, next_offsets, split_bad
-from ..operators.sink import first_success_per_key, new_ids, published_records, read_sink, write_sink_batch
+from ..operators.sink import first_success_per_key, published_records, read_sink, write_sink_batch
 from ..operators.split import assign_splits, even_split
+from ..operators.table import ResultTable
 from ..schema import POST_SCHEMA, TOPIC
 from ..session import scratch_path
 from ..sources.fixtures import post_fields
@@ -60,25 +61,27 @@ def halves(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     return marked.where("offset < _stop").select(*order), marked.where("offset >= _stop").select(*order)
 
 
-def stopped_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Result table of a consumer that stored the first half of the log (batch 0)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "stopped")
+def _sink_key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    return spark.sparkContext.applicationId, os.path.abspath(sf_dir), name
+
+
+def _stored_sink(spark: SparkSession, sf_dir: str, name: str, log: DataFrame) -> DataFrame:
+    key = _sink_key(spark, sf_dir, name)
     if key not in _sinks:
-        path = scratch_path(spark, "sink-stopped")
-        done, _ = halves(_log(spark, sf_dir))
-        write_sink_batch(first_success_per_key(decode_posts(done)), path, 0)
+        path = scratch_path(spark, f"sink-{name}")
+        write_sink_batch(first_success_per_key(decode_posts(log)), path, 0)
         _sinks[key] = path
     return read_sink(spark, _sinks[key])
 
 
+def stopped_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result table of a consumer that stored the first half of the log (batch 0)."""
+    return _stored_sink(spark, sf_dir, "stopped", halves(_log(spark, sf_dir))[0])
+
+
 def full_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result table after the whole log (batch 0), for the audits."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "full")
-    if key not in _sinks:
-        path = scratch_path(spark, "sink-full")
-        write_sink_batch(first_success_per_key(decode_posts(_log(spark, sf_dir))), path, 0)
-        _sinks[key] = path
-    return read_sink(spark, _sinks[key])
+    return _stored_sink(spark, sf_dir, "full", _log(spark, sf_dir))
 
 
 # --- scans and sources -------------------------------------------------------------------------------
@@ -187,10 +190,11 @@ def q_resume_from_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_new_ids_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J2 batch form: records after the stop whose key is not stored yet."""
-    log = _log(spark, sf_dir)
-    _, later = halves(log)
-    return new_ids(later, stopped_sink(spark, sf_dir), key_col="key").select("key", "partition", "offset")
+    """J2 batch form: records after the stop whose key is not stored yet (bitmaps first, then few stored ids)."""
+    _, later = halves(_log(spark, sf_dir))
+    stopped_sink(spark, sf_dir)
+    table = ResultTable(spark, _sinks[_sink_key(spark, sf_dir, "stopped")])
+    return table.new_rows(later, key_col="key").select("key", "partition", "offset")
 
 
 # --- ordering, split, merge ---------------------------------------------------------------------------

@@ -64,6 +64,14 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join([root, "ledgerline", *tail])
 
 
+def scratch_table(df, name: str):
+    """``df`` written to the scratch folder and read back: nothing stays cached, lineage ends in a place that all
+    executors see, and a lost one costs no second run of what is behind it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make the package importable on executors (once per context) for Arrow/pandas tasks.
 
@@ -110,3 +118,46 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the entries of a folder, none if there is no such folder."""
+    _, hpath, fs = _hadoop(spark, path)
+    return [s.getPath().toString() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    jvm, hpath, fs = _hadoop(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small file put in place whole: written beside its place, then renamed. Fails if it exists."""
+    jvm, hpath, fs = _hadoop(spark, path)
+    beside = jvm.org.apache.hadoop.fs.Path(hpath.getParent(), f"_{uuid.uuid4().hex}.tmp")
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    # no options: the rename is refused where the file is there already
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    context.rename(beside, hpath, spark.sparkContext._gateway.new_array(rename, 0))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder of this library's own."""
+    _, hpath, fs = _hadoop(spark, path)
+    fs.delete(hpath, True)

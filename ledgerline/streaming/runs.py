@@ -19,7 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.codec import decode_posts
 from ..operators.ledger import commit_ledger
 from ..operators.projections import deliveries, split_bad
-from ..operators.sink import first_success_per_key, init_sink, new_ids, read_sink, write_sink_batch
+from ..operators.sink import first_success_per_key, init_sink
+from ..operators.table import ResultTable
 from ..schema import LEDGER_SCHEMA
 from ..session import path_exists
 
@@ -74,17 +75,19 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     return rows.groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))
 
 
-# Target rows per shuffle partition inside a micro-batch (AQE does not coalesce there).
-ROWS_PER_SHUFFLE_PARTITION = 1_000_000
+# Target bytes per shuffle partition inside a micro-batch (AQE does not coalesce there).
+BYTES_PER_SHUFFLE_PARTITION = 64 << 20
+# What a record takes beside its value: key, position, row overhead.
+RECORD_BYTES = 100
 
 
-def size_shuffles(spark: SparkSession, n_rows: int, ceiling: dict) -> int:
-    """Size this stream's shuffles to the micro-batch: about one partition per million rows, never more
+def size_shuffles(spark: SparkSession, n_bytes: int, ceiling: dict) -> int:
+    """Size this stream's shuffles to the micro-batch: one partition per 64 MB, never more
     than the session's own setting (read once into ``ceiling``). ``spark`` is the stream's session (a
     clone made when the query started), so the caller's session is not affected."""
     if "n" not in ceiling:
         ceiling["n"] = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = max(1, min(ceiling["n"], -(-n_rows // ROWS_PER_SHUFFLE_PARTITION)))
+    n = max(1, min(ceiling["n"], -(-n_bytes // BYTES_PER_SHUFFLE_PARTITION)))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n
 
@@ -106,10 +109,10 @@ def exactly_once_writer(sink_path: str, ledger_path: str | None = None,
                         quarantine_path: str | None = None, on_error: str = "quarantine",
                         batch_base: int = 0) -> BatchFn:
     """Per batch, decode strictly, keep the first storable record per key, drop keys already
-    stored by *earlier* batches, and store the rest as partition ``batch_id`` (replaces itself on replay).
+    stored, and commit the rest to the result table as ``batch_id``.
 
-    The ``< batch_id`` matters: a replayed batch must not see its own earlier output. The ledger is
-    written after the sink, under the same batch id. ``batch_base`` shifts the stored batch ids (a run
+    A batch that runs again after its commit finds itself stored; one that failed before it left nothing. The
+    ledger is written after the table, under the same batch id. ``batch_base`` shifts the stored batch ids (a run
     that resumes from the table itself continues after the batches already stored).
     """
     ceiling: dict = {}
@@ -117,16 +120,20 @@ def exactly_once_writer(sink_path: str, ledger_path: str | None = None,
     def process(batch: DataFrame, stream_batch_id: int) -> None:
         batch_id = batch_base + stream_batch_id
         spark = batch.sparkSession
+        table = ResultTable(spark, sink_path)
         batch = batch.persist()
-        candidates = None
+        kept: list[DataFrame] = []
         try:
-            n_rows = batch.count()  # materialises the batch; bounds its distinct keys
-            size_shuffles(spark, n_rows, ceiling)
+            # materialises the batch
+            n_bytes = batch.agg(F.sum(F.coalesce(F.octet_length("value"), F.lit(0)) + RECORD_BYTES)).first()[0] or 0
+            size_shuffles(spark, n_bytes, ceiling)
             decoded = decode_posts(batch, on_error=on_error)
-            # computed once: probed against the sink, then written
-            candidates = first_success_per_key(decoded).persist()
-            stored = read_sink(spark, sink_path).where(F.col("batch_id") < batch_id)
-            write_sink_batch(new_ids(candidates, stored, key_col="id", n_keys=n_rows, keys_unique=True), sink_path, batch_id)
+            if not table.holds(batch_id):
+                # computed once: probed against the table, then written
+                kept.append(first_success_per_key(decoded).persist())
+                kept.append(table.new_rows(kept[0]).persist())
+                table.append(kept[1], batch_id)
+                table.compact()
             if quarantine_path:
                 _, bad = split_bad(decoded)
                 (
@@ -139,9 +146,8 @@ def exactly_once_writer(sink_path: str, ledger_path: str | None = None,
             if ledger_path:
                 write_ledger(batch, ledger_path, batch_id)
         finally:
-            if candidates is not None:
-                candidates.unpersist()
-            batch.unpersist()
+            for df in [*kept, batch]:
+                df.unpersist()
 
     return process
 
@@ -171,8 +177,8 @@ def run_exactly_once(stream: DataFrame, sink_path: str, checkpoint: str, ledger_
     if _checkpoint_started(spark, checkpoint):
         base = _read_base(spark, checkpoint)
     elif resume and path_exists(spark, sink_path):
-        top = read_sink(spark, sink_path).agg(F.max("batch_id")).first()[0]
-        base = 0 if top is None else int(top) + 1
+        top = ResultTable(spark, sink_path).manifest().last_batch
+        base = 0 if top is None else top + 1
         _write_base(spark, checkpoint, base)
     else:
         init_sink(spark, sink_path, reset=reset)
@@ -182,10 +188,8 @@ def run_exactly_once(stream: DataFrame, sink_path: str, checkpoint: str, ledger_
 
 
 def resume_point(spark: SparkSession, sink_path: str) -> DataFrame:
-    """Start offsets (topic, partition, start_offset) to continue a result table: max stored offset."""
-    from ..operators.ledger import starts_from_sink
-
-    return starts_from_sink(read_sink(spark, sink_path), inclusive=True)
+    """Start offsets (topic, partition, start_offset) to continue a result table: max stored offset, from its manifest."""
+    return ResultTable(spark, sink_path).starts(inclusive=True)
 
 
 def _base_path(checkpoint: str) -> str:
