@@ -20,9 +20,8 @@ from ..operators.ledger import (
     commits_per_batch,
     highest_offset,
     records_by_partition,
-    resume_from_ledger,
     sink_max_offset,
-    starts_from_sink,
+    starts_from_ledger,
 )
 from ..operators.joins import join_bounded
 from ..operators.ordering import decouple, dense_positions, ordered_positions, per_partition
@@ -79,6 +78,12 @@ def stopped_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_sink(spark, sf_dir, "stopped", halves(_log(spark, sf_dir))[0])
 
 
+def stopped_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where that consumer goes on, from its table's manifest."""
+    stopped_sink(spark, sf_dir)
+    return ResultTable(spark, _sinks[_sink_key(spark, sf_dir, "stopped")]).starts()
+
+
 def full_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result table after the whole log (batch 0), for the audits."""
     return _stored_sink(spark, sf_dir, "full", _log(spark, sf_dir))
@@ -177,16 +182,14 @@ def q_commits_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_resume_from_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1/S4 inclusive: what the stopped consumer reads when it restarts from its result table
-    (a seek on the stored log)."""
-    starts = starts_from_sink(stopped_sink(spark, sf_dir))
-    return read_log(spark, stored_log_path(spark, sf_dir), start_offsets=starts).select("key", "partition", "offset")
+    (a seek on the stored log, from the positions in the table's manifest)."""
+    return read_log(spark, stored_log_path(spark, sf_dir), start_offsets=stopped_starts(spark, sf_dir)).select("key", "partition", "offset")
 
 
 def q_resume_from_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J1 exclusive: restart from the committed ledger of the stopped consumer (seek on a DataFrame)."""
-    log = _log(spark, sf_dir)
-    ledger = commit_ledger(halves(log)[0])
-    return resume_from_ledger(log, ledger).select("key", "partition", "offset")
+    """J1 exclusive: restart from the committed ledger of the stopped consumer."""
+    starts = starts_from_ledger(commit_ledger(halves(_log(spark, sf_dir))[0]))
+    return read_log(spark, stored_log_path(spark, sf_dir), start_offsets=starts).select("key", "partition", "offset")
 
 
 def q_new_ids_only(spark: SparkSession, sf_dir: str) -> DataFrame:

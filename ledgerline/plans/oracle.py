@@ -273,3 +273,13 @@ o as (
 select key as id, value as post_json, 'posts' as topic, partition::bigint as topic_partition,
        "offset"::bigint as partition_offset
 from o"""
+
+# polls of the longest partition's backlog (see plans.streams.POLLS): so many offsets of each partition at a time
+_POLL = '(select ceil((max("offset") + 1) / 4.0)::bigint from log)'
+ORACLE["paced_stream"] = with_log(f'select key, partition, "offset", "offset" // {_POLL} as poll from log')
+ORACLE["paced_seek_stream"] = with_log(
+    f"""select key, l.partition, l."offset", (l."offset" - coalesce(s.start, 0)) // {_POLL} as poll from log l
+        left join (select topic, topic_partition::int as partition, max(partition_offset) as start
+                   from {STOPPED} x group by 1, 2) s
+          on l.topic = s.topic and l.partition = s.partition
+        where l.partition in (3, 7, 11) and l."offset" >= coalesce(s.start, 0)""", decoded=True)

@@ -19,8 +19,11 @@ from ..operators.sink import read_sink
 from ..schema import LOG_COLUMNS, LOG_SCHEMA, SINK_SCHEMA
 from ..session import scratch_path, sized_session
 from ..sources.log import read_log_stream, stored_log, stored_log_path, write_log
+from ..sources.offsets import read_log_polls
+from ..sources.zones import read_zones
 from ..streaming.runs import (
     drain,
+    drain_polls,
     read_highest,
     read_ledger,
     resume_point,
@@ -141,11 +144,10 @@ def q_replay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_seek_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4 in a stream: restart from the stopped consumer's result table (max stored offset per
     partition, inclusive) instead of a checkpoint; deliveries from there on."""
-    from ..operators.ledger import starts_from_sink
-    from .catalog import stopped_sink
+    from .catalog import stopped_starts
 
     out, ckpt = scratch_path(spark, "seek"), scratch_path(spark, "ckpt")
-    starts = starts_from_sink(stopped_sink(spark, sf_dir))
+    starts = stopped_starts(spark, sf_dir)
     stream = read_log_stream(spark, "table", path=stored_log_path(spark, sf_dir), start_offsets=starts)
     drain(run_at_least_once(stream, out, ckpt))
     return spark.read.schema(_DELIVERY_SCHEMA).parquet(out)
@@ -215,7 +217,45 @@ def q_published_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_sink(spark, sink).drop("batch_id")
 
 
+#: Fixed scenario value: polls that the longest partition's backlog is read in.
+POLLS = 4
+_POLL_SCHEMA = "key string, partition int, offset long, poll long"
+
+
+def _polled(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    """Every record of a polled stream with the micro-batch that brought it."""
+    out, ckpt = scratch_path(spark, "polls"), scratch_path(spark, "ckpt")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        tagged = batch.select("key", "partition", "offset", F.lit(batch_id).cast("long").alias("poll"))
+        tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("poll").parquet(out)
+
+    drain_polls(run_foreach(stream, store, ckpt, available_now=False))
+    return spark.read.schema(_POLL_SCHEMA).parquet(out)
+
+
+def _poll_size(spark: SparkSession, path: str) -> int:
+    longest = read_zones(spark, path).agg(F.max("greatest")).first()[0]
+    return max(1, -(-((longest or 0) + 1) // POLLS))
+
+
+def q_paced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backlog read in bounded micro-batches, each partition's next records at a time."""
+    path = stored_log_path(spark, sf_dir)
+    return _polled(spark, read_log_polls(spark, path, records=_poll_size(spark, path)))
+
+
+def q_paced_seek_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assigned partitions in bounded micro-batches from where the stopped consumer's table ends."""
+    from .catalog import ASSIGNED as assigned, stopped_starts
+
+    path = stored_log_path(spark, sf_dir)
+    return _polled(spark, read_log_polls(spark, path, records=_poll_size(spark, path), partitions=assigned, start_offsets=stopped_starts(spark, sf_dir)))
+
+
 STREAM_QUERIES = {
+    "paced_stream": q_paced_stream,
+    "paced_seek_stream": q_paced_seek_stream,
     "published_stream": q_published_stream,
     "resume_table_stream": q_resume_table_stream,
     "exactly_once_keyed": q_exactly_once_keyed,

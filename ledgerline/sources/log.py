@@ -17,6 +17,7 @@ from ..operators.joins import join_bounded
 from ..schema import LOG_COLUMNS, LOG_SCHEMA, MAX_RECORDS_PER_POLL
 from ..session import scratch_path
 from .fixtures import derived_log
+from .zones import add_zones, reach, read_files
 
 _stored: dict[tuple[str, str], str] = {}
 POLL_PREFIX = "poll-"
@@ -27,7 +28,7 @@ def write_log(log: DataFrame, path: str, mode: str = "errorifexists", prepartiti
 
     The rows are range-partitioned on (topic, partition, offset) first, so each task writes a
     contiguous offset range of few partitions (a hot partition is spread over many files, never one
-    task). ``prepartitioned=True`` skips that shuffle for input already ranged that way (as
+    task). The new files are added to the log's zone map. ``prepartitioned=True`` skips that shuffle for input already ranged that way (as
     :func:`derived_log` leaves it).
     """
     rows = log.select(*LOG_COLUMNS)
@@ -39,6 +40,7 @@ def write_log(log: DataFrame, path: str, mode: str = "errorifexists", prepartiti
         .partitionBy("topic", "partition")
         .parquet(path)
     )
+    add_zones(log.sparkSession, path)
     return path
 
 
@@ -52,18 +54,38 @@ def read_log(
     """S1/S2/S4 batch scan of a stored log.
 
     ``partitions`` restricts the scan to assigned partitions (pruned directories). ``start_offsets``
-    (topic, partition, start_offset) seeks each partition (see :func:`seek`).
+    (topic, partition, start_offset) seeks each partition by the rule of :func:`after_starts`: by the zone map, files
+    that end before their partition's start are not opened, files that begin at or after it are read as they are,
+    and only those that a start falls into are filtered.
     """
-    log = spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS)
+    if start_offsets is not None:
+        log = _seek_files(spark, path, start_map(start_offsets))
+    else:
+        log = spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS)
     if topic is not None:
         log = log.where(F.col("topic") == topic)
     if partitions is not None:
         log = log.where(F.col("partition").isin(list(partitions)))
-    if start_offsets is not None:
-        log = seek(log, start_offsets)
     return log
 
 
+def _seek_files(spark: SparkSession, path: str, starts: DataFrame) -> DataFrame:
+    found = reach(spark, path, starts)
+    parts = []
+    if found.part:
+        rows = read_files(spark, path, found.part).select(*LOG_COLUMNS)
+        inside = rows.select("topic", "partition").distinct().join(starts, ["topic", "partition"], "left")
+        lowest, unlisted = inside.agg(F.min("_start"), F.count_if(F.col("_start").isNull())).first()
+        if lowest is not None and not unlisted:  # reaches the row groups
+            rows = rows.where(F.col("offset").isNull() | (F.col("offset") >= F.lit(int(lowest))))
+        parts.append(after_starts(rows, starts))
+    if found.whole:
+        parts.append(read_files(spark, path, found.whole).select(*LOG_COLUMNS))
+    if not parts:
+        return spark.createDataFrame([], LOG_SCHEMA)
+    return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
+
+
 def start_map(start_offsets: DataFrame) -> DataFrame:
     """(topic, partition, _start): one row per listed partition, written to the scratch folder, so that
     every later read sees the map as it is now (its source may be a table that a stream writes to)."""

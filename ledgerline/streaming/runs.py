@@ -56,6 +56,18 @@ def drain(query: StreamingQuery, timeout_s: float | None = None) -> None:
         raise error
 
 
+def drain_polls(query: StreamingQuery) -> None:
+    """T7 for sources that poll (:mod:`ledgerline.sources.offsets`): take micro-batches until a poll finds nothing,
+    then stop; surface a failure."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    error = query.exception()
+    if error is not None:
+        raise error
+
+
 def write_ledger(batch: DataFrame, ledger_path: str, batch_id: int) -> None:
     """K6: next offsets of this batch, stored under ``batch_id`` (a replayed batch replaces its rows)."""
     (
