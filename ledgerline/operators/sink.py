@@ -119,7 +119,7 @@ def publish(
         opts = kafka_write_options(topic=topic, **(kafka or {}))
         records.select("key", "value").write.format("kafka").options(**opts).save()
         return
-    from ..sources.log import read_log, write_log
+    from ..sources.log import log_heads, write_log
     from .ordering import dense_positions
 
     spark = df.sparkSession
@@ -127,7 +127,8 @@ def publish(
     ranged = True
     if path_exists(spark, path):
         # one row per partition already in the log: its next offset
-        base = read_log(spark, path).groupBy("topic", "partition").agg((F.max("offset") + 1).alias("_ll_base"))
+        heads = log_heads(spark, path).select("topic", "partition", (F.col("greatest") + 1).alias("_ll_base"))
+        base = scratch_table(heads, "heads")  # from footers, before this append adds to them
         n_base = base.count()
         ranged = fits_broadcast(base, n_base)  # a broadcast join keeps the ranged layout
         placed = join_bounded(placed, base, ["topic", "partition"], "left", rows=n_base)

@@ -32,7 +32,7 @@ from ..operators.table import ResultTable
 from ..schema import POST_SCHEMA, TOPIC
 from ..session import scratch_path
 from ..sources.fixtures import post_fields
-from ..sources.log import log_partitions, partition_count, poll_batches, read_log, stored_log, stored_log_path
+from ..sources.log import log_heads, log_partitions, partition_count, poll_batches, read_log, stored_log, stored_log_path
 
 # Fixed scenario values: partitions assigned to one reader; the consumer that stopped half-way;
 # chunk counts for splitting.
@@ -113,8 +113,8 @@ def q_partition_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_partition_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S8."""
-    return partition_count(_log(spark, sf_dir))
+    """S8, from file footers."""
+    return partition_count(log_heads(spark, stored_log_path(spark, sf_dir)))
 
 
 # --- projections and filters ------------------------------------------------------------------------
@@ -155,8 +155,9 @@ def q_decode_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- ledgers and resume -----------------------------------------------------------------------------
 
 def q_commit_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G1/K6: next offset per partition after reading the whole log."""
-    return commit_ledger(_log(spark, sf_dir))
+    """G1/K6: next offset per partition after reading the whole log, from file footers."""
+    heads = log_heads(spark, stored_log_path(spark, sf_dir))
+    return commit_ledger(heads.withColumnRenamed("greatest", "offset"))
 
 
 def q_highest_offset(spark: SparkSession, sf_dir: str) -> DataFrame:

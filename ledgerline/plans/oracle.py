@@ -239,6 +239,7 @@ ORACLE.update({
     "exactly_once_sink": ORACLE["first_success_per_key"],
     "exactly_once_keyed": ORACLE["first_success_per_key"],
     "resume_table_stream": ORACLE["first_success_per_key"],
+    "resume_table_keyed": ORACLE["first_success_per_key"],
     "stream_ledger": ORACLE["commit_ledger"],
     "stream_quarantine": ORACLE["quarantine"],
     "highest_offset_stream": ORACLE["highest_offset"],

@@ -16,11 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.joins import join_bounded
 from ..operators.sink import read_sink
-from ..schema import LOG_COLUMNS, LOG_SCHEMA, SINK_SCHEMA
+from ..schema import LOG_COLUMNS, LOG_SCHEMA
 from ..session import scratch_path, sized_session
 from ..sources.log import read_log_stream, stored_log, stored_log_path, write_log
 from ..sources.offsets import read_log_polls
 from ..sources.zones import read_zones
+from ..streaming.keyed import keyed_state_session, run_exactly_once_keyed
 from ..streaming.runs import (
     drain,
     drain_polls,
@@ -169,13 +170,25 @@ def q_highest_offset_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_exactly_once_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T3 with a keyed state index (one flag per stored key) instead of re-reading stored ids."""
-    from ..streaming.keyed import keyed_state_session, run_exactly_once_keyed
-
+    """T3 with a keyed state index (the stored ids of a bucket of keys) instead of a look-up in the table."""
     sink, ckpt = scratch_path(spark, "eo-keyed"), scratch_path(spark, "ckpt")
     keyed = keyed_state_session(spark)  # state partitions: the session's shuffle partitions
     feed(spark, sf_dir, lambda path: run_exactly_once_keyed(_stream(keyed, path), sink, ckpt))
-    return spark.read.schema(SINK_SCHEMA).parquet(sink).drop("batch_id")
+    return read_sink(spark, sink).drop("batch_id")
+
+
+def q_resume_table_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3/T4 + J1: a table that one run filled is continued by a keyed run with a new checkpoint, whose index is
+    filled from the stored ids."""
+    src, sink = scratch_path(spark, "resume-table-src"), scratch_path(spark, "resume-table")
+    early, late = appends(spark, sf_dir, 2)
+    write_log(early, src, mode="append", prepartitioned=True)
+    drain(run_exactly_once(_stream(spark, src), sink, scratch_path(spark, "ckpt")))
+    write_log(late, src, mode="append", prepartitioned=True)
+    keyed = keyed_state_session(spark)
+    resumed = read_log_stream(keyed, "table", path=src, start_offsets=resume_point(spark, sink))
+    drain(run_exactly_once_keyed(resumed, sink, scratch_path(spark, "ckpt"), resume=True))
+    return read_sink(spark, sink).drop("batch_id")
 
 
 def q_resume_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,6 +271,7 @@ STREAM_QUERIES = {
     "paced_seek_stream": q_paced_seek_stream,
     "published_stream": q_published_stream,
     "resume_table_stream": q_resume_table_stream,
+    "resume_table_keyed": q_resume_table_keyed,
     "exactly_once_keyed": q_exactly_once_keyed,
     "highest_offset_stream": q_highest_offset_stream,
     "seek_stream": q_seek_stream,

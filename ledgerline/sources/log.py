@@ -150,6 +150,17 @@ def log_partitions(log: DataFrame) -> DataFrame:
     return log.select("topic", "partition").distinct()
 
 
+def log_heads(spark: SparkSession, path: str) -> DataFrame:
+    """G1/G3/S7/S8 from file footers: (topic, partition, least, greatest, records), one row per partition of a stored
+    log. The aggregates are pushed into the Parquet reader, so no row is read, whatever the log holds."""
+    # the version 2 reader alone takes aggregates; the setting is of a sibling session, not the caller's
+    sibling = spark.newSession()
+    sibling.conf.set("spark.sql.sources.useV1SourceList", "")
+    sibling.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    log = sibling.read.schema(LOG_SCHEMA).parquet(path)
+    return log.groupBy("topic", "partition").agg(F.min("offset").alias("least"), F.max("offset").alias("greatest"), F.count(F.lit(1)).alias("records"))
+
+
 def partition_count(log: DataFrame) -> DataFrame:
     """Number of partitions per topic."""
     return log.groupBy("topic").agg(F.countDistinct("partition").cast("long").alias("n_partitions"))

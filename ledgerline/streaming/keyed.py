@@ -1,34 +1,42 @@
 """Effectively-once result table with a keyed state index (T3 at scale, O(batch) per micro-batch).
 
-The foreachBatch sink (:mod:`ledgerline.streaming.runs`) checks each micro-batch's keys against the
-stored ids, I/O that grows with the table. Here the check is a state lookup instead:
+The foreachBatch writer (:mod:`ledgerline.streaming.runs`) tests a micro-batch's keys against the table. Here
+the test is a state look-up instead:
 
 1. decode strictly and keep storable records (stateless);
 2. reduce every Arrow chunk to its first record per key by (partition, offset) (``mapInPandas``,
    before the shuffle: a key with a third of all records reaches the shuffle once per chunk);
-3. ``groupBy(key).applyInPandasWithState``: the state is one flag per key ("stored"), shipped with
-   the key's rows (no per-key round trip). A key already stored emits nothing; otherwise its first
-   record of this batch is emitted and the flag set;
-4. append to a parquet file sink, whose commit log makes a replayed batch land once.
-
-Same result as the foreachBatch writer: first arrival wins across batches, the smallest
-(partition, offset) within one. State lives in RocksDB stores under the streaming checkpoint.
+3. group by *bucket of keys* and ``transformWithState``: one Python call holds all keys of a bucket that the batch
+   brings, and the state is one value per bucket, the ids that are stored; it is read and written once per bucket
+   and batch, whatever the number of keys in it;
+4. commit what is new to the result table under the batch's id, so a batch that runs again lands once.
+
+A new checkpoint may continue an old table: the state of each bucket is then filled from the stored ids
+(``initialState``), read once. Same result as the foreachBatch writer: first arrival wins across batches, the
+smallest (partition, offset) within one. State lives in RocksDB stores under the streaming checkpoint.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..functions.codec import decode_posts
 from ..operators.projections import storable
+from ..operators.sink import TOMBSTONE_JSON
+from ..operators.table import ResultTable
+from .runs import batch_base, start_batches
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_CANDIDATE_SCHEMA = "key string, value string, topic string, partition int, offset long"
+#: Buckets of keys, fixed in the checkpoint: a bucket's ids are one state value, so keep them some
+#: thousands a bucket (a call costs a few milliseconds, so not far fewer either).
+KEY_BUCKETS = 256
+_CANDIDATE_SCHEMA = "bucket int, key string, value string, topic string, partition int, offset long"
+_ORDER = ["partition", "offset", "topic"]
 
 
 def keyed_state_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
@@ -44,52 +52,65 @@ def keyed_state_session(spark: SparkSession, state_partitions: int | None = None
     return sibling
 
 
-def _first_per_key_in_chunk(chunks):
+def key_bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _firsts(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pdf.sort_values(["key", *_ORDER], kind="stable").drop_duplicates("key", keep="first")
+
+
+def _first_per_key_in_chunk(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in chunks:
         if len(pdf):
-            yield pdf.sort_values(["key", "partition", "offset"], kind="stable").drop_duplicates("key", keep="first")
+            yield _firsts(pdf)
 
 
-def first_arrival(key, chunks, state):
-    """Emit a key's first record once: the first batch that brings it wins, by (partition, offset).
+class StoredIds(StatefulProcessor):
+    """Emits the first record of every key that is not stored yet; the state is the bucket's stored ids."""
 
-    ``state`` holds one flag per key ("stored"); a stored key emits nothing.
-    """
-    if state.exists:
-        return
-    import numpy as np
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.stored = handle.getValueState("stored", "ids array<string>")
 
-    best, best_pos = None, None
-    for pdf in chunks:
-        n = len(pdf)
-        if n == 0:
-            continue
-        i = 0 if n == 1 else int(np.lexsort((pdf["offset"].to_numpy(), pdf["partition"].to_numpy()))[0])
-        pos = (int(pdf["partition"].iat[i]), int(pdf["offset"].iat[i]))
-        if best_pos is None or pos < best_pos:
-            best, best_pos = pdf.iloc[i : i + 1], pos
-    if best is not None:
-        state.update((True,))
-        yield best
-
-
-def first_arrivals(stream: DataFrame, handler: Callable | None = None) -> DataFrame:
-    """The keyed-state form of first-success-per-key over a stream of log records."""
+    def _known(self) -> set:
+        return set(self.stored.get()[0]) if self.stored.exists() else set()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        best = None
+        for pdf in rows:  # a key per chunk at most, after the reduction above
+            best = _firsts(pdf if best is None else pd.concat([best, pdf]))
+        if best is None or not len(best):
+            return
+        known = self._known()
+        fresh = best[~best["key"].isin(known)]
+        if len(fresh):
+            self.stored.update((sorted(known | set(fresh["key"])),))
+            yield fresh[["bucket", "key", "value", "topic", "partition", "offset"]]
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        if len(initialState):
+            self.stored.update((sorted(self._known() | set(initialState["id"])),))
+
+    def close(self) -> None:
+        pass
+
+
+def first_arrivals(stream: DataFrame, stored: DataFrame | None = None, buckets: int = KEY_BUCKETS, processor: StatefulProcessor | None = None) -> DataFrame:
+    """The first storable record of each key over a stream of log records, less those whose key is among the
+    ``stored`` ids when the checkpoint begins."""
     from ..session import ship_package
 
     ship_package(stream.sparkSession)
-    candidates = storable(decode_posts(stream)).select("key", "value", "topic", "partition", "offset")
+    candidates = storable(decode_posts(stream)).select(key_bucket(F.col("key"), buckets).alias("bucket"), "key", "value", "topic", "partition", "offset")
     reduced = candidates.mapInPandas(_first_per_key_in_chunk, _CANDIDATE_SCHEMA)
-    firsts = reduced.groupBy("key").applyInPandasWithState(
-        handler or first_arrival,
-        outputStructType=_CANDIDATE_SCHEMA,
-        stateStructType="stored boolean",
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout,
-    )
+    initial = None
+    if stored is not None:
+        initial = stored.where("id is not null").select(key_bucket(F.col("id"), buckets).alias("bucket"), "id").groupBy("bucket")
+    firsts = reduced.groupBy("bucket").transformWithStateInPandas(
+        processor or StoredIds(), outputStructType=_CANDIDATE_SCHEMA, outputMode="append", timeMode="None", initialState=initial)
     return firsts.select(
         F.col("key").alias("id"),
-        F.coalesce(F.col("value"), F.lit("null")).alias("post_json"),
+        F.coalesce(F.col("value"), F.lit(TOMBSTONE_JSON)).alias("post_json"),
         "topic",
         F.col("partition").cast("long").alias("topic_partition"),
         F.col("offset").alias("partition_offset"),
@@ -97,20 +118,29 @@ def first_arrivals(stream: DataFrame, handler: Callable | None = None) -> DataFr
 
 
 def run_exactly_once_keyed(
-    stream: DataFrame,
-    sink_path: str,
-    checkpoint: str,
-    available_now: bool = True,
-    handler: Callable | None = None,
+    stream: DataFrame, sink_path: str, checkpoint: str, available_now: bool = True, resume: bool = False, reset: bool = False,
+    buckets: int = KEY_BUCKETS, processor: StatefulProcessor | None = None,
 ) -> StreamingQuery:
-    """T3 with a keyed state index. ``stream`` must come from :func:`keyed_state_session`."""
-    writer = (
-        first_arrivals(stream, handler)
-        .writeStream.format("parquet")
-        .option("path", sink_path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    """T3 with a keyed state index. ``stream`` must come from :func:`keyed_state_session`; ``resume`` continues a table
+    that other runs filled, from a new checkpoint (see :func:`ledgerline.streaming.runs.run_exactly_once`)."""
+    spark = stream.sparkSession
+    base = batch_base(spark, sink_path, checkpoint, resume, reset)
+    # the state is filled in a checkpoint's first batch alone. Should that batch run again after its commit, its own
+    # ids are among the stored ones: nothing is emitted, and the table has the batch already
+    stored = ResultTable(spark, sink_path).read() if resume else None
+    firsts = first_arrivals(stream, stored, buckets, processor)
+
+    def commit(batch: DataFrame, batch_id: int) -> None:
+        table = ResultTable(batch.sparkSession, sink_path)
+        if table.holds(base + batch_id):
+            # a stateful batch has to be read for its state to be made
+            batch.write.format("noop").mode("overwrite").save()
+            return
+        batch = batch.persist()
+        try:
+            table.append(batch, base + batch_id)
+        finally:
+            batch.unpersist()
+        table.compact()
+
+    return start_batches(firsts, commit, checkpoint, available_now)

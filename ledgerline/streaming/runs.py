@@ -184,19 +184,24 @@ def run_exactly_once(stream: DataFrame, sink_path: str, checkpoint: str, ledger_
     offset (inclusive; the re-read record is rejected by the key check). The batch ids of this run
     continue after the stored ones; the base is kept in the checkpoint folder for restarts.
     """
-    spark = stream.sparkSession
-    base = 0
+    base = batch_base(stream.sparkSession, sink_path, checkpoint, resume, reset)
+    process = exactly_once_writer(sink_path, ledger_path, quarantine_path, batch_base=base)
+    return start_batches(stream, process, checkpoint, available_now)
+
+
+def batch_base(spark: SparkSession, sink_path: str, checkpoint: str, resume: bool, reset: bool) -> int:
+    """What a run adds to its batch ids: 0 for a new table, the batches already stored for one that it continues;
+    kept in the checkpoint folder for restarts."""
     if _checkpoint_started(spark, checkpoint):
-        base = _read_base(spark, checkpoint)
-    elif resume and path_exists(spark, sink_path):
+        return _read_base(spark, checkpoint)
+    base = 0
+    if resume and ResultTable.exists(spark, sink_path):
         top = ResultTable(spark, sink_path).manifest().last_batch
         base = 0 if top is None else top + 1
-        _write_base(spark, checkpoint, base)
     else:
         init_sink(spark, sink_path, reset=reset)
-        _write_base(spark, checkpoint, 0)
-    process = exactly_once_writer(sink_path, ledger_path, quarantine_path, batch_base=base)
-    return start_batches(stream, process, checkpoint, available_now)
+    _write_base(spark, checkpoint, base)
+    return base
 
 
 def resume_point(spark: SparkSession, sink_path: str) -> DataFrame:
