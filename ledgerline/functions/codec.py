@@ -14,11 +14,11 @@ from pyspark.sql import types as T
 from ..schema import POST_FIELDS
 
 CORRUPT = "_corrupt"
-# One parse gives every field as VARIANT: its text (cast to string, numbers and booleans coerced as a
-# strict mapper does), its kind (objects and arrays are errors for a string field) and the corrupt text.
-_PARSE_SCHEMA = T.StructType(
-    [T.StructField(f, T.VariantType(), True) for f in POST_FIELDS] + [T.StructField(CORRUPT, T.StringType(), True)]
-)
+# One parse gives every field's text as it stands in the record (numbers and booleans coerced as a strict mapper does,
+# digit for digit) and the corrupt text.
+_PARSE_SCHEMA = T.StructType([T.StructField(f, T.StringType(), True) for f in [*POST_FIELDS, CORRUPT]])
+# Kinds of values, asked only where a field's text could be an object or array.
+_KIND_SCHEMA = T.StructType([T.StructField(f, T.VariantType(), True) for f in POST_FIELDS])
 # a strict mapper takes double quotes only, and no NaN or Infinity
 _PARSE_OPTIONS = {
     "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
@@ -33,7 +33,7 @@ ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 def parse_post(value: Column) -> Column:
-    """Lenient parse: the six fields as VARIANT plus the corrupt-record text."""
+    """Lenient parse: the texts of the six fields plus the corrupt-record text."""
     return F.from_json(value, _PARSE_SCHEMA, _PARSE_OPTIONS)
 
 
@@ -41,10 +41,14 @@ def decode_status(value: Column, parsed: Column) -> Column:
     """Status of one record under strict object mapping; cheap checks first (CASE is lazy)."""
     known = F.array(*[F.lit(f) for f in POST_FIELDS])
     unknown = F.coalesce(F.size(F.array_except(F.json_object_keys(value), known)) > 0, F.lit(False))
-    nested = None
+    kinds = F.from_json(value, _KIND_SCHEMA, {k: v for k, v in _PARSE_OPTIONS.items() if k != "columnNameOfCorruptRecord"})
+    looks, nested = None, None
     for f in POST_FIELDS:
-        kind = F.coalesce(F.schema_of_variant(parsed[f]).rlike("^(OBJECT|ARRAY)"), F.lit(False))
-        nested = kind if nested is None else (nested | kind)
+        look = F.coalesce(parsed[f].rlike(r"^[{\[]"), F.lit(False))
+        kind = look & F.coalesce(F.schema_of_variant(kinds[f]).rlike("^(OBJECT|ARRAY)"), F.lit(False))
+        looks, nested = (look, kind) if looks is None else (looks | look, nested | kind)
+    # objects and arrays are errors for a string field; a text may begin like one
+    nested = F.when(looks, nested).otherwise(F.lit(False))
     return (
         F.when(value.isNull(), F.lit(SKIP))
         .when(value.rlike(r"^\s*$"), F.lit("empty"))
@@ -55,6 +59,18 @@ def decode_status(value: Column, parsed: Column) -> Column:
     )
 
 
+def _digits_as_text(value: Column) -> Column:
+    """A JSON object with its fractional numbers as strings: pieces outside string literals, numbers there quoted."""
+    pieces = F.regexp_extract_all(value, F.lit(r'"(?:[^"\\]|\\.)*+"|[^"]+'), F.lit(0))
+    quoted = F.transform(pieces, lambda p: F.when(p.startswith('"'), p).otherwise(F.regexp_replace(p, r"(-?[0-9]+(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?)", '"$1"')))
+    return F.array_join(quoted, "")
+
+
+def _exact_texts(value: Column, parsed: Column) -> Column:
+    """The parsed fields, fractional numbers digit for digit (the parser reads those as doubles)."""
+    return F.when(value.rlike(r":\s*-?[0-9]+[.eE]"), F.from_json(_digits_as_text(value), _PARSE_SCHEMA, _PARSE_OPTIONS)).otherwise(parsed)
+
+
 def decode_posts(log: DataFrame, on_error: str = "quarantine") -> DataFrame:
     """add ``post`` (struct of the six fields) and ``decode_status`` to every log row.
 
@@ -74,7 +90,8 @@ def decode_posts(log: DataFrame, on_error: str = "quarantine") -> DataFrame:
             F.col("partition").cast("string"), F.lit("@"), F.col("offset").cast("string"), F.lit(": "), status,
         )
         status = F.when(status.isin(OK, SKIP), status).otherwise(F.raise_error(message).cast("string"))
-    post = F.when(status == OK, F.struct(*[parsed[f].cast("string").alias(f) for f in POST_FIELDS]))
+    texts = _exact_texts(F.col("value"), parsed)
+    post = F.when(status == OK, F.struct(*[texts[f].alias(f) for f in POST_FIELDS]))
     # status and post leave through a one-row generator: a later filter on the status then stays above
     # it instead of being pushed below the parse with the parse expression copied into the predicate
     result = F.inline(F.array(F.struct(post.alias("post"), status.alias("decode_status"))))

@@ -10,13 +10,15 @@ starting position by a prefix sum; one bounded broadcast join adds it back.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_table
 from .joins import join_bounded
 
 _SP, _LI, _N, _FIRST, _BEFORE = "_ll_sp", "_ll_li", "_ll_n", "_ll_first", "_ll_before"
@@ -75,6 +77,145 @@ def _join_null_safe(ranged: DataFrame, counts: DataFrame, group_cols: list[str],
     return joined.drop("_r" + _SP, *["_r_" + c for c in group_cols])
 
 
+@dataclass
+class Ranges:
+    """Ranges of rows in key order with fixed bounds, so that several passes see the same ones."""
+
+    keys: list[str]
+    group_cols: list[str]
+    bounds: list  # the least key of each range, in order
+    counts: DataFrame  # (range, group..., rows), small
+    schema: T.StructType
+
+    def number(self) -> Column:
+        """The range of a row: a binary search over the bounds."""
+        if len(self.bounds) < 2:
+            return F.lit(0)
+        # a null key field sorts first, as it does in the ranges
+        bound = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, self.schema)]) for b in self.bounds[1:]])
+        key = F.struct(*[F.col(k).cast(f.dataType).alias(f.name) for k, f in zip(self.keys, self.schema)])
+        steps = [1 << k for k in reversed(range(len(self.bounds).bit_length()))]
+
+        def narrow(at: Column, step: Column) -> Column:
+            return F.when(F.coalesce(F.get(bound, at + step - 1) <= key, F.lit(False)), at + step).otherwise(at)
+
+        return F.aggregate(F.array(*[F.lit(k) for k in steps]), F.lit(0), narrow)
+
+    def place(self, df: DataFrame) -> DataFrame:
+        """``df`` sent to the ranges, a task each, in key order; ``_ll_sp`` is the range, ``_ll_li`` the place in it."""
+        placed = df.withColumn(_SP, self.number()).repartitionById(max(1, len(self.bounds)), _SP).sortWithinPartitions(*self.keys)
+        return placed.withColumn(_LI, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
+
+
+def fix_ranges(df: DataFrame, group_cols: list[str], order_cols: list[str], num_partitions: int | None = None) -> Ranges:
+    """Bounds and counts of ``num_partitions`` ranges (default: the session's shuffle partitions), from the key columns
+    alone. At most a row per range and group is written, and a key per range comes to the driver."""
+    keys = [*group_cols, *order_cols]
+    spark = df.sparkSession
+    narrow = df.select(*keys).repartitionByRange(num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+    heads = narrow.groupBy(F.spark_partition_id().alias("_ll_task"), *group_cols).agg(F.count(F.lit(1)).alias(_N), F.min(F.struct(*keys)).alias("_ll_head"))
+    heads = scratch_table(heads, "ranges")  # the ranges are sampled: they are taken once
+    found = heads.groupBy("_ll_task").agg(F.min("_ll_head").alias("head")).orderBy("_ll_task").collect()
+    numbers = spark.createDataFrame([(r["_ll_task"], k) for k, r in enumerate(found)], f"_ll_task int, {_SP} int")
+    counts = heads.join(F.broadcast(numbers), "_ll_task").select(_SP, *group_cols, _N)
+    return Ranges(keys, group_cols, [tuple(r["head"]) for r in found], counts, T.StructType([df.schema[k] for k in keys]))
+
+
+def ranged_positions(df: DataFrame, group_cols: list[str], order_cols: list[str], out_col: str = "position", num_partitions: int | None = None) -> Positioned:
+    """:func:`dense_positions` for wide rows: only the key columns are read twice, and nothing but counts is stored.
+
+    Ranges get fixed bounds from the keys; rows go to their range once, and a row's position is its place in the
+    range plus what the counts say of earlier ranges (less the range's earlier groups). The order must be unique
+    inside a group for the positions to be the same in every run. ``df`` is read by each action on the result.
+    """
+    ranges = fix_ranges(df, group_cols, order_cols, num_partitions)
+    before = Window.partitionBy(*group_cols).orderBy(_SP).rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum(_N).over(before), F.lit(0))
+    if group_cols:
+        inside = Window.partitionBy(_SP).orderBy(*group_cols).rowsBetween(Window.unboundedPreceding, -1)
+        shift = shift - F.coalesce(F.sum(_N).over(inside), F.lit(0))
+    counts = scratch_table(ranges.counts.select(_SP, *group_cols, _N, shift.cast("long").alias(_BEFORE), F.lit(0).cast("long").alias(_FIRST)), "range-counts")
+    tagged = _join_null_safe(ranges.place(df), counts, group_cols, counts.count())
+    rows = tagged.withColumn(out_col, F.col(_BEFORE) + F.col(_LI)).drop(_SP, _LI, _BEFORE, _FIRST)
+    return Positioned(rows=rows, group_sizes=counts.groupBy(*group_cols).agg(F.sum(_N).cast("long").alias("group_size")))
+
+
+class OrderedFold:
+    """A sequential function over the rows of a log partition, in parts: what a run of rows does to the state is a
+    *summary*, and summaries of neighbouring runs combine. ``start``, states and summaries are JSON values."""
+
+    start: object = None
+    schema: str = ""
+
+    def summary(self, rows):
+        """What a run of rows (a pandas frame of one partition, in offset order) does to the state."""
+        raise NotImplementedError
+
+    def combine(self, left, right):
+        """The summary of two runs, one after the other."""
+        raise NotImplementedError
+
+    def enter(self, state, summary):
+        """The state after a run with that summary."""
+        raise NotImplementedError
+
+    def run(self, state, rows):
+        """(the output frame of ``schema``, the state after the rows)."""
+        raise NotImplementedError
+
+
+def _runs(frames: Iterator) -> Iterator[tuple]:
+    """((range, topic, partition), rows) of each frame's stretches of one partition."""
+    for pdf in frames:
+        if len(pdf):
+            for key, rows in pdf.groupby([_SP, "topic", "partition"], sort=False, dropna=False):
+                yield tuple(None if v != v else v for v in key), rows.drop(columns=[_SP])
+
+
+def fold_in_order(log: DataFrame, fold: OrderedFold, num_partitions: int | None = None) -> DataFrame:
+    """O1 with state: ``fold`` over each partition's records in offset order, as one task per partition would run it, in
+    as many tasks as there are ranges. Pass one takes a summary of every range and partition; the summaries (a
+    row per range and partition) are combined in order, which gives every range the state it begins with;
+    pass two runs the ranges again. ``log`` should have the columns that ``fold`` reads, and no others."""
+    from ..session import ship_package
+
+    spark = log.sparkSession
+    ship_package(spark)
+    ranges = fix_ranges(log, ["topic", "partition"], ["offset"], num_partitions)
+    placed = ranges.place(log).drop(_LI)
+
+    def summarise(frames):
+        import pandas as pd
+
+        key, found = None, None
+        for k, rows in _runs(frames):
+            mine = fold.summary(rows)
+            if key is not None and k != key:
+                yield pd.DataFrame({"range": [key[0]], "topic": [key[1]], "partition": [key[2]], "summary": [json.dumps(found)]})
+                found = None
+            key, found = k, mine if found is None else fold.combine(found, mine)
+        if key is not None:
+            yield pd.DataFrame({"range": [key[0]], "topic": [key[1]], "partition": [key[2]], "summary": [json.dumps(found)]})
+
+    summaries = placed.mapInPandas(summarise, "range int, topic string, partition int, summary string").collect()
+    states, entry = {}, {}
+    for r in sorted(summaries, key=lambda r: r["range"]):
+        part = (r["topic"], r["partition"])
+        entry[(r["range"], *part)] = states.get(part, fold.start)
+        states[part] = fold.enter(entry[(r["range"], *part)], json.loads(r["summary"]))
+    shared = spark.sparkContext.broadcast(entry)
+
+    def run(frames):
+        key, state = None, None
+        for k, rows in _runs(frames):
+            state = state if k == key else shared.value[k]
+            key = k
+            out, state = fold.run(state, rows)
+            yield out
+
+    return placed.mapInPandas(run, fold.schema)
+
+
 def ordered_positions(log: DataFrame, out_col: str = "position") -> DataFrame:
     """O1 as a column: each record's 0-based position in its partition, in offset order."""
     return dense_positions(log, ["topic", "partition"], ["offset"], out_col).rows

@@ -108,7 +108,7 @@ def publish(
     ``fmt="kafka"`` writes with the connector (the broker assigns offsets). ``fmt="parquet"`` appends to
     a stored log as a broker would: each record goes to its key's partition and gets the next offsets
     of that partition, in ``order_by`` order (the send order; must be unique), after the offsets the
-    log already holds. Offsets come from :func:`dense_positions`, so a hot partition is numbered by
+    log already holds. Offsets come from :func:`ranged_positions`, so a hot partition is numbered by
     many tasks. One writer at a time per log.
     """
     extra = tuple(c for c in order_by if c != "key")
@@ -120,10 +120,10 @@ def publish(
         records.select("key", "value").write.format("kafka").options(**opts).save()
         return
     from ..sources.log import log_heads, write_log
-    from .ordering import dense_positions
+    from .ordering import ranged_positions
 
     spark = df.sparkSession
-    placed = dense_positions(records, ["topic", "partition"], list(order_by), "_ll_pos").rows
+    placed = ranged_positions(records, ["topic", "partition"], list(order_by), "_ll_pos").rows
     ranged = True
     if path_exists(spark, path):
         # one row per partition already in the log: its next offset

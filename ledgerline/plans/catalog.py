@@ -24,7 +24,7 @@ from ..operators.ledger import (
     starts_from_ledger,
 )
 from ..operators.joins import join_bounded
-from ..operators.ordering import decouple, dense_positions, ordered_positions, per_partition
+from ..operators.ordering import OrderedFold, decouple, fold_in_order, in_partition_order, ordered_positions, ranged_positions
 from ..operators.projections import deliveries, drop_tombstones, for_partition, next_offsets, split_bad
 from ..operators.sink import first_success_per_key, published_records, read_sink, write_sink_batch
 from ..operators.split import assign_splits, even_split
@@ -210,43 +210,63 @@ def q_ordered_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered_positions(delivered).select("key", "partition", "offset", "position")
 
 
-def q_decoupled_process(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O2: decode in lanes independent of the log partitions (order-free result)."""
-    decoded = decode_posts(decouple(_log(spark, sf_dir))).where(F.col("decode_status") == "ok")
-    return decoded.select(F.col("post.id").alias("post_id"), F.col("post.author").alias("author"), "partition", "offset")
+class RunningChecksum(OrderedFold):
+    """A checksum chained through a partition's records: c' = (31 c + key) mod P. A run of records is c -> a c + b."""
+
+    start = 0
+    schema = "key string, partition int, offset long, checksum long"
+    factor, prime = 31, 1_000_000_007
+
+    def summary(self, rows):
+        a, b = 1, 0
+        for key in rows["key"]:
+            a, b = a * self.factor % self.prime, (b * self.factor + int(key)) % self.prime
+        return a, b
+
+    def combine(self, left, right):
+        return left[0] * right[0] % self.prime, (left[1] * right[0] + right[1]) % self.prime
+
+    def enter(self, state, summary):
+        return (state * summary[0] + summary[1]) % self.prime
 
+    def run(self, state, rows):
+        chained = []
+        for key in rows["key"]:
+            state = (state * self.factor + int(key)) % self.prime
+            chained.append(state)
+        return rows[["key", "partition", "offset"]].assign(checksum=chained), state
 
-def _chunk_summary(frames):
-    import pandas as pd
 
+def q_running_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 with state: every record's checksum over its partition so far, in offset order, in many tasks."""
+    return fold_in_order(_log(spark, sf_dir).select("topic", "partition", "offset", "key"), RunningChecksum())
+
+
+def _gaps(frames):
+    """The callback's own view: per frame, how far each record is from the one before it in the same partition."""
     for pdf in frames:
-        if pdf.empty:
-            continue
-        g = pdf.groupby(["topic", "partition"], sort=False)
-        out = pd.DataFrame(
-            {
-                "n_records": g.size(),
-                "n_tombstones": g["tombstone"].sum().astype("int64"),
-                "first_offset": g["offset"].min(),
-                "last_offset": g["offset"].max(),
-            }
-        ).reset_index()
-        yield out
+        yield pdf.assign(gap=pdf.groupby(["topic", "partition"])["offset"].diff().fillna(1).astype("int64"))[["key", "partition", "offset", "gap"]]
+
+
+def q_ordered_callback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: a callback without state over records in offset order (1: in order and nothing between)."""
+    slim = _log(spark, sf_dir).select("topic", "partition", "offset", "key")
+    return in_partition_order(slim, _gaps, "key string, partition int, offset long, gap long")
 
 
-_CHUNK_SCHEMA = "topic string, partition int, n_records long, n_tombstones long, first_offset long, last_offset long"
+def q_decoupled_process(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: decode in lanes independent of the log partitions (order-free result)."""
+    decoded = decode_posts(decouple(_log(spark, sf_dir))).where(F.col("decode_status") == "ok")
+    return decoded.select(F.col("post.id").alias("post_id"), F.col("post.author").alias("author"), "partition", "offset")
 
 
 def q_per_partition_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O3: a pandas function per partition sub-stream; partial results combined per partition."""
-    # only what the function reads crosses into Python: positions and a tombstone flag, not the values
-    slim = _log(spark, sf_dir).select("topic", "partition", "offset", F.col("value").isNull().alias("tombstone"))
-    parts = per_partition(slim, _chunk_summary, _CHUNK_SCHEMA)
-    return parts.groupBy("topic", "partition").agg(
-        F.sum("n_records").alias("n_records"),
-        F.sum("n_tombstones").alias("n_tombstones"),
-        F.min("first_offset").alias("first_offset"),
-        F.max("last_offset").alias("last_offset"),
+    """O3: each partition's sub-stream on its own, unordered across partitions: partial aggregates in every task."""
+    return _log(spark, sf_dir).groupBy("topic", "partition").agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.count_if(F.col("value").isNull()).alias("n_tombstones"),
+        F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"),
     )
 
 
@@ -336,7 +356,7 @@ def conversation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "text": F.col("text"),
     }
     sent = published_records(conv, fields, F.col("conv_id"), "conversations", PUBLISH_PARTITIONS, keep=("conv_id", "turn"))
-    placed = dense_positions(sent, ["partition"], ["conv_id", "turn"], "offset").rows
+    placed = ranged_positions(sent, ["partition"], ["conv_id", "turn"], "offset").rows
     return placed.select("key", "value", "topic", "partition", "offset", F.lit(None).cast("timestamp_ntz").alias("timestamp"))
 
 
@@ -376,6 +396,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resume_from_ledger": q_resume_from_ledger,
     "new_ids_only": q_new_ids_only,
     "ordered_position": q_ordered_position,
+    "running_checksum": q_running_checksum,
+    "ordered_callback": q_ordered_callback,
     "decoupled_process": q_decoupled_process,
     "per_partition_summary": q_per_partition_summary,
     "even_split_equal": q_even_split_equal,

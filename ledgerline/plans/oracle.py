@@ -284,3 +284,13 @@ ORACLE["paced_seek_stream"] = with_log(
                    from {STOPPED} x group by 1, 2) s
           on l.topic = s.topic and l.partition = s.partition
         where l.partition in (3, 7, 11) and l."offset" >= coalesce(s.start, 0)""", decoded=True)
+
+# the checksum chained record by record: one step of the recursion takes every partition one record on
+ORACLE["running_checksum"] = "with recursive a as (" + LOG_CTE.split("with a as (", 1)[1] + """,
+chained as (
+  select topic, partition, key, "offset", (key::bigint % 1000000007) as checksum from log where "offset" = 0
+  union all
+  select l.topic, l.partition, l.key, l."offset", (c.checksum * 31 + l.key::bigint) % 1000000007
+  from chained c join log l on l.topic = c.topic and l.partition = c.partition and l."offset" = c."offset" + 1)
+select key, partition, "offset", checksum from chained"""
+ORACLE["ordered_callback"] = with_log('select key, partition, "offset", 1::bigint as gap from log')

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codec import encode_post, iso_text
-from ..operators.ordering import dense_positions
+from ..operators.ordering import ranged_positions
 from ..schema import DEFAULT_PARTITIONS, LOG_COLUMNS, TOPIC
 
 # Fixed values of the fixture: every 50th event is sent again (a producer retry, later offset),
@@ -54,5 +54,5 @@ def derived_log(events: DataFrame, n_partitions: int = DEFAULT_PARTITIONS) -> Da
         F.col("event_id"),
         F.col("ts").alias("timestamp"),
     )
-    placed = dense_positions(records, ["partition"], ["attempt", "event_id"], "offset").rows
+    placed = ranged_positions(records, ["partition"], ["attempt", "event_id"], "offset").rows
     return placed.select(*LOG_COLUMNS)

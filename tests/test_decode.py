@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline.schema import LOG_SCHEMA
 from ledgerline.functions.codec import decode_posts
 
 # (case, value, expected status, expected id)
@@ -86,3 +87,15 @@ def test_encode_decode_roundtrip(spark):
     assert all(r["author"] is None for r in back)
     # nulls are written, not dropped
     assert '"author":null' in enc.first()["value"]
+
+
+def test_numbers_keep_their_text(spark):
+    """A number in a string field is its text, digit for digit, as a strict mapper hands it on."""
+    texts = ["1234567890123456789012345678901234567890.12", "123456789012345678901234567890123456789012", "1e3", "-0.10", "1E-7", "true", "0", "100000000000000000000.5e10"]
+    tricky = '{"id" : 1.50 , "text":":12.5, \\\\\\"9.0: 1e5", "author":-2e3}'
+    rows = [(f'{{"id": {t}, "text": "[x] {{y}}"}}',) for t in texts] + [('{"id": "[1]", "author": "{}"}',), ('{"id": [1]}',), ('{"id": "1", "text": {"a": 1}}',)]
+    log = spark.createDataFrame([(str(k), v, "t", 0, k, None) for k, (v,) in enumerate([*rows, (tricky,)])], LOG_SCHEMA)
+    *got, last = decode_posts(log).orderBy("offset").select("decode_status", "post.id", "post.text", "post.author").collect()
+    assert tuple(last) == ("ok", "1.50", ':12.5, \\"9.0: 1e5', "-2e3")
+    assert [(r[0], r[1], r[2]) for r in got[: len(texts)]] == [("ok", t, "[x] {y}") for t in texts]
+    assert [r[0] for r in got[len(texts) :]] == ["ok", "nested_value", "nested_value"]
