@@ -6,7 +6,7 @@ The main entry points, re-exported here::
 """
 
 from .functions.codec import decode_posts, encode_post, iso_text, key_partition
-from .operators.audit import audit_duplicates, audit_missing
+from .operators.audit import audit_duplicates, audit_missing, completion_frontier, missing_ranges
 from .operators.joins import fits_broadcast, join_bounded
 from .operators.ledger import (
     commit_ledger,
@@ -19,7 +19,7 @@ from .operators.ledger import (
     starts_from_ledger,
     starts_from_sink,
 )
-from .operators.ordering import decouple, dense_positions, in_partition_order, merge_partitions, ordered_positions, per_partition
+from .operators.ordering import OrderedFold, decouple, dense_positions, fold_in_order, in_partition_order, ordered_positions, per_partition, ranged_positions
 from .operators.projections import deliveries, drop_tombstones, for_partition, key_value, next_offsets, split_bad, storable
 from .operators.sink import (
     first_success_per_key,
@@ -34,9 +34,11 @@ from .operators.sink import (
     write_sink_batch,
 )
 from .operators.split import assign_splits, even_split, split_list
+from .operators.table import ResultTable
 from .session import build_session, checkpoint_root, scratch_path, sized_session
 from .sources.kafka import kafka_options
 from .sources.log import (
+    log_heads,
     log_partitions,
     partition_count,
     poll_batches,
@@ -45,9 +47,11 @@ from .sources.log import (
     seek,
     write_log,
 )
+from .sources.offsets import read_log_polls
 from .streaming.keyed import keyed_state_session, run_exactly_once_keyed
 from .streaming.runs import (
     drain,
+    drain_polls,
     exactly_once_writer,
     at_least_once_writer,
     read_ledger,

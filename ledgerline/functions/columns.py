@@ -24,6 +24,12 @@ def random_index(seed: int | None = None) -> Column:
     return (F.floor(r * F.lit(2**32)) - F.lit(2**31)).cast("int")
 
 
+def stable_index(*cols: str) -> Column:
+    """F6 for tests and replays: a 32-bit integer derived from the row's own columns."""
+    h = F.sha2(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in cols]), 256)
+    return (F.conv(F.substring(h, 33, 8), 16, 10).cast("long") - F.lit(2**31)).cast("int")
+
+
 def labelled(prefix: str, col: Column) -> Column:
     """``prefix + value`` as the producer builds author/description/text."""
     return F.concat(F.lit(prefix), col.cast("string"))

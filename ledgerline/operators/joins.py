@@ -59,12 +59,3 @@ def join_bounded(
 def fits_broadcast(df: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """The same bound as :func:`join_bounded`, for callers that plan their own join."""
     return rows <= max_rows and estimated_bytes(df, rows) <= max_bytes
-
-
-def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column | None:
-    """Null-safe equality over ``cols`` between two aliased frames."""
-    cond = None
-    for c in cols:
-        term = left[c].eqNullSafe(right[c])
-        cond = term if cond is None else cond & term
-    return cond

@@ -270,11 +270,3 @@ def per_partition(log: DataFrame, fn: Callable, schema: T.StructType | str) -> D
     ship_package(log.sparkSession)
     keys = ["topic", "partition", "offset"]
     return log.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInPandas(fn, schema)
-
-
-def merge_partitions(dfs: list[DataFrame]) -> DataFrame:
-    """Merge sub-streams (separately read tables or splits) into one flow."""
-    out = dfs[0]
-    for d in dfs[1:]:
-        out = out.unionByName(d)
-    return out

@@ -28,7 +28,8 @@ def next_offsets(log: DataFrame) -> DataFrame:
 
 
 def for_partition(df: DataFrame, topic: str, partition: int, partition_col: str = "topic_partition") -> DataFrame:
-    """Rows of one (topic, partition); a predicate on partition columns prunes directories."""
+    """Rows of one (topic, partition). On a stored log the predicate prunes folders; in a result table it reaches
+    the row groups, which follow the log's order in part (see :mod:`ledgerline.operators.table`)."""
     return df.where((F.col("topic") == topic) & (F.col(partition_col) == partition))
 
 

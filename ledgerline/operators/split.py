@@ -71,9 +71,9 @@ def split_list(items: list, k: int, equal: bool = True, strict: bool = True) ->
 
 
 def assign_splits(partitions: DataFrame, k: int, equal: bool = True, strict: bool = True) -> DataFrame:
-    """The partition list split into k chunks, one sorted list of partitions per reader.
+    """The partition list split into k chunks, one sorted list of (topic, partition) per reader.
 
     Each list is bounded by the topic's partition count, so collecting it per chunk is safe.
     """
     split = even_split(partitions.select("topic", "partition"), k, ["topic", "partition"], equal, strict)
-    return split.groupBy("split_id").agg(F.sort_array(F.collect_list("partition")).alias("partitions"))
+    return split.groupBy("split_id").agg(F.sort_array(F.collect_list(F.struct("topic", "partition"))).alias("partitions"))

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import decode_posts
-from ..operators.audit import audit_duplicates, audit_missing
+from ..functions.columns import stable_index, stable_key
+from ..operators.audit import audit_duplicates, audit_missing, completion_frontier, missing_ranges
 from ..operators.ledger import (
     commit_ledger,
     commits_per_batch,
@@ -30,7 +31,7 @@ from ..operators.sink import first_success_per_key, published_records, read_sink
 from ..operators.split import assign_splits, even_split
 from ..operators.table import ResultTable
 from ..schema import POST_SCHEMA, TOPIC
-from ..session import scratch_path
+from ..session import input_stamp, scratch_path
 from ..sources.fixtures import post_fields
 from ..sources.log import log_heads, log_partitions, partition_count, poll_batches, read_log, stored_log, stored_log_path
 
@@ -61,7 +62,7 @@ def halves(log: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _sink_key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
-    return spark.sparkContext.applicationId, os.path.abspath(sf_dir), name
+    return spark.sparkContext.applicationId, input_stamp(spark, f"{sf_dir}/events.parquet"), name
 
 
 def _stored_sink(spark: SparkSession, sf_dir: str, name: str, log: DataFrame) -> DataFrame:
@@ -287,14 +288,14 @@ def q_reader_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     # strict=False: the same rule, defined for every partition count (a small log may hold fewer
     # partitions than the documented 20, e.g. 15 into 6 readers, where the sequential splitter throws)
     assigned = assign_splits(log_partitions(_log(spark, sf_dir)), READERS_K, strict=False)
-    return assigned.select("split_id", F.col("partitions").cast("string").alias("partitions"))
+    return assigned.select("split_id", F.col("partitions.partition").cast("string").alias("partitions"))
 
 
 def q_merged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every reader's assigned partitions in one scan, each record with its reader."""
     log = _log(spark, sf_dir)
-    readers = assign_splits(log_partitions(log), READERS_K, strict=False).select("split_id", F.explode("partitions").alias("partition"))
-    return join_bounded(log, readers, ["partition"]).select("key", "partition", "offset", "split_id")  # one row per partition
+    readers = assign_splits(log_partitions(log), READERS_K, strict=False).select("split_id", F.inline("partitions"))
+    return join_bounded(log, readers, ["topic", "partition"]).select("key", "partition", "offset", "split_id")  # one row per partition
 
 
 # --- publish, callbacks, audits -----------------------------------------------------------------------
@@ -305,6 +306,13 @@ def q_publish_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published_records(events, post_fields(events), F.col("event_id"), TOPIC, PUBLISH_PARTITIONS)
 
 
+def q_publish_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events published under generated keys: UUID-shaped and repeatable, with an index of 32 bits."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    sent = events.withColumn("_key", stable_key("event_id", "event_type")).withColumn("index", stable_index("event_id", "event_type"))
+    return published_records(sent, post_fields(sent), F.col("_key"), TOPIC, PUBLISH_PARTITIONS, keep=("index",))
+
+
 def _document_post(docs):
     return {"id": F.col("doc_id"), "author": F.col("source"), "description": F.col("lang"), "text": F.col("text")}
 
@@ -326,10 +334,7 @@ def q_udf_process(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def report(df: DataFrame) -> DataFrame:
         return df.select(
-            F.concat(
-                F.lit("Post id: "), F.col("post_id"), F.lit(" --- partition: "), F.col("partition").cast("string"),
-                F.lit(" --- offset: "), F.col("offset").cast("string"),
-            ).alias("line")
+            F.format_string("%s at %d/%d", "post_id", "partition", "offset").alias("delivered"),
         )
 
     return deliveries(decode_posts(_log(spark, sf_dir))).transform(report)
@@ -345,6 +350,30 @@ def q_audit_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_missing(_log(spark, sf_dir), full_sink(spark, sf_dir))
 
 
+# Fixed scenario value: polls (of 100 offsets) with this remainder modulo 3 were processed twice.
+RETRIED = 0
+
+
+def completed_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What tasks report as done: every delivered record, and again in tens where its poll was retried."""
+    done = decode_posts(_log(spark, sf_dir)).where("decode_status = 'ok'").select("topic", "partition", "offset")
+    once = done.select("topic", "partition", F.col("offset").alias("lo"), (F.col("offset") + 1).alias("hi"))
+    tens = done.where(F.floor(F.col("offset") / 100) % 3 == RETRIED).groupBy("topic", "partition", F.floor(F.col("offset") / 10).alias("ten"))
+    # a retried task covers the records around it only if all of its ten were delivered
+    again = tens.agg(F.count(F.lit(1)).alias("n"), F.min("offset").alias("lo"), (F.max("offset") + 1).alias("hi")).where("n = 10")
+    return once.unionAll(again.select("topic", "partition", "lo", "hi"))
+
+
+def q_completion_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each partition is complete without a hole, and what is missing beyond."""
+    return completion_frontier(completed_intervals(spark, sf_dir))
+
+
+def q_missing_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranges of offsets that no task completed."""
+    return missing_ranges(completed_intervals(spark, sf_dir))
+
+
 def conversation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`conversations` published as a keyed log: key = conversation, one post per turn, sent in turn
     order, so offsets in each partition follow (conversation, turn)."""
@@ -405,10 +434,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reader_assignment": q_reader_assignment,
     "merged_scan": q_merged_scan,
     "publish_encode": q_publish_encode,
+    "publish_keyed": q_publish_keyed,
     "publish_roundtrip": q_publish_roundtrip,
     "udf_process": q_udf_process,
     "audit_duplicates": q_audit_duplicates,
     "audit_missing": q_audit_missing,
+    "completion_frontier": q_completion_frontier,
+    "missing_ranges": q_missing_ranges,
     "first_success_per_key": q_first_success_per_key,
     "conversation_firsts": q_conversation_firsts,
 }

@@ -16,7 +16,8 @@ with a as (
 log as (
   select event_id::varchar as key,
          case when event_id % 97 = 0 then null
-              when event_id % 89 = 0 then '{bad'
+              when event_id % 89 = 0 then case (event_id // 89) % 4
+                when 0 then '{bad' when 1 then '   ' when 2 then '{"id":"x","extra":1}' else '{"id":{"of":"x"}}' end
               else json_object('id', event_id::varchar,
                                'author', 'author' || user_id,
                                'description', 'description' || event_type,
@@ -189,6 +190,15 @@ select event_id::varchar as key,
                    'updatedAt', strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ'))::varchar as value,
        'posts' as topic, {_EVENT_PARTITION} as partition
 from events""",
+    "publish_keyed": f"""
+select key, value, topic, "index", ((('0x' || substr(md5(key), 1, 8))::bigint) % 20)::int as partition
+from (
+  select substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) as key,
+         json_object('id', event_id::varchar, 'author', 'author' || user_id, 'description', 'description' || event_type,
+                     'text', props, 'createdAt', strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ'),
+                     'updatedAt', strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ'))::varchar as value,
+         'posts' as topic, (('0x' || substr(h, 33, 8))::bigint - 2147483648)::int as "index"
+  from (select *, sha256(event_id::varchar || chr(1) || event_type) as h from events) e) k""",
     "publish_roundtrip": f"""
 select id, author, description, text, createdAt, updatedAt, partition,
        (row_number() over (partition by partition order by id) - 1)::bigint as "offset"
@@ -196,7 +206,7 @@ from (select doc_id::varchar as id, source as author, lang as description, text,
              null::varchar as createdAt, null::varchar as updatedAt, {_DOC_PARTITION} as partition
       from documents) d""",
     "udf_process": with_log(
-        f"""select 'Post id: ' || {field('id')} || ' --- partition: ' || partition || ' --- offset: ' || "offset" as line
+        f"""select {field('id')} || ' at ' || partition || '/' || "offset" as delivered
             from decoded where decode_status = 'ok'""", decoded=True
     ),
     "audit_duplicates": with_log(
@@ -294,3 +304,15 @@ chained as (
   from chained c join log l on l.topic = c.topic and l.partition = c.partition and l."offset" = c."offset" + 1)
 select key, partition, "offset", checksum from chained"""
 ORACLE["ordered_callback"] = with_log('select key, partition, "offset", 1::bigint as gap from log')
+
+# holes of the delivered offsets by what was delivered just before; retries cover nothing that was not delivered
+_HOLES = """,
+delivered as (
+  select topic, partition, "offset", coalesce(lag("offset") over (partition by topic, partition order by "offset") + 1, 0) as reached
+  from decoded where decode_status = 'ok')"""
+ORACLE["missing_ranges"] = LOG_CTE + DECODED_CTE + _HOLES + """
+select topic, partition, reached as lo, "offset" as hi from delivered where "offset" > reached"""
+ORACLE["completion_frontier"] = LOG_CTE + DECODED_CTE + _HOLES + """
+select topic, partition, coalesce(min(reached) filter ("offset" > reached), max("offset") + 1)::bigint as frontier,
+       max("offset") + 1 as highest, count(*) filter ("offset" > reached) as n_gaps, sum("offset" - reached)::bigint as n_missing
+from delivered group by topic, partition"""

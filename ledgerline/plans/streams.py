@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.joins import join_bounded
+from ..operators.projections import key_value
 from ..operators.sink import read_sink
 from ..schema import LOG_COLUMNS, LOG_SCHEMA
 from ..session import scratch_path, sized_session
@@ -82,7 +83,7 @@ def q_key_value_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ckpt = scratch_path(spark, "foreach"), scratch_path(spark, "ckpt")
 
     def append_pairs(batch: DataFrame, batch_id: int) -> None:
-        batch.select("key", "value").write.mode("append").parquet(out)
+        key_value(batch).write.mode("append").parquet(out)
 
     feed(spark, sf_dir, lambda path: run_foreach(_stream(spark, path), append_pairs, ckpt))
     return spark.read.schema("key string, value string").parquet(out)

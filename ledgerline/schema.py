@@ -47,14 +47,3 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("batch_id", T.LongType(), True),
     ]
 )
-
-QUARANTINE_SCHEMA = T.StructType(
-    [
-        T.StructField("key", T.StringType(), True),
-        T.StructField("value", T.StringType(), True),
-        T.StructField("topic", T.StringType(), True),
-        T.StructField("partition", T.IntegerType(), True),
-        T.StructField("offset", T.LongType(), True),
-        T.StructField("reason", T.StringType(), True),
-    ]
-)

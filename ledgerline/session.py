@@ -132,6 +132,14 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().toString() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
 
 
+def input_stamp(spark: SparkSession, path: str) -> str:
+    """Path, sizes and times of an input's files: another value once it has been written again."""
+    _, hpath, fs = _hadoop(spark, path)
+    status = fs.getFileStatus(hpath)
+    files = fs.listStatus(hpath) if status.isDirectory() else [status]
+    return "|".join([status.getPath().toString(), *sorted(f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}" for s in files)])
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """The text of a small file."""
     jvm, hpath, fs = _hadoop(spark, path)

@@ -15,11 +15,12 @@ from ..operators.ordering import ranged_positions
 from ..schema import DEFAULT_PARTITIONS, LOG_COLUMNS, TOPIC
 
 # Fixed values of the fixture: every 50th event is sent again (a producer retry, later offset),
-# every 97th event is a tombstone (NULL value), every 89th a malformed value.
+# every 97th event is a tombstone (NULL value), every 89th a bad value: malformed, empty, with a field that is not
+# known, with an object for a text, by turns.
 RETRY_EVERY = 50
 TOMBSTONE_EVERY = 97
 MALFORMED_EVERY = 89
-MALFORMED_VALUE = "{bad"
+BAD_VALUES = ("{bad", "   ", '{"id":"x","extra":1}', '{"id":{"of":"x"}}')
 
 
 def post_fields(events: DataFrame) -> dict:
@@ -42,7 +43,7 @@ def derived_log(events: DataFrame, n_partitions: int = DEFAULT_PARTITIONS) -> Da
     sent = first.unionByName(retries)
     value = (
         F.when(F.col("event_id") % TOMBSTONE_EVERY == 0, F.lit(None).cast("string"))
-        .when(F.col("event_id") % MALFORMED_EVERY == 0, F.lit(MALFORMED_VALUE))
+        .when(F.col("event_id") % MALFORMED_EVERY == 0, F.element_at(F.array(*[F.lit(v) for v in BAD_VALUES]), (F.floor(F.col("event_id") / MALFORMED_EVERY) % len(BAD_VALUES) + 1).cast("int")))
         .otherwise(encode_post(post_fields(events)))
     )
     records = sent.select(

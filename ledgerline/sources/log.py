@@ -8,14 +8,13 @@ pushed to the row groups (``PushedFilters``).
 from __future__ import annotations
 
 import hashlib
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import join_bounded
 from ..schema import LOG_COLUMNS, LOG_SCHEMA, MAX_RECORDS_PER_POLL
-from ..session import scratch_path
+from ..session import input_stamp, scratch_path
 from .fixtures import derived_log
 from .zones import add_zones, reach, read_files
 
@@ -118,9 +117,14 @@ def seek(log: DataFrame, start_offsets: DataFrame) -> DataFrame:
     return after_starts(log, starts)
 
 
+def _log_key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """A log is derived again once its input has changed."""
+    return spark.sparkContext.applicationId, input_stamp(spark, f"{sf_dir}/events.parquet")
+
+
 def stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived log L1 of ``sf_dir`` as a stored table, written once per application."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = _log_key(spark, sf_dir)
     if key not in _stored:
         tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
         path = scratch_path(spark, "log", tag)
@@ -132,7 +136,7 @@ def stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_log_path(spark: SparkSession, sf_dir: str) -> str:
     stored_log(spark, sf_dir)
-    return _stored[(spark.sparkContext.applicationId, os.path.abspath(sf_dir))]
+    return _stored[_log_key(spark, sf_dir)]
 
 
 def poll_of(offset: Column, max_records: int = MAX_RECORDS_PER_POLL) -> Column:
