@@ -44,7 +44,7 @@ def decode_status(value: Column, parsed: Column) -> Column:
     kinds = F.from_json(value, _KIND_SCHEMA, {k: v for k, v in _PARSE_OPTIONS.items() if k != "columnNameOfCorruptRecord"})
     looks, nested = None, None
     for f in POST_FIELDS:
-        look = F.coalesce(parsed[f].rlike(r"^[{\[]"), F.lit(False))
+        look = F.coalesce(parsed[f].startswith("{") | parsed[f].startswith("["), F.lit(False))
         kind = look & F.coalesce(F.schema_of_variant(kinds[f]).rlike("^(OBJECT|ARRAY)"), F.lit(False))
         looks, nested = (look, kind) if looks is None else (looks | look, nested | kind)
     # objects and arrays are errors for a string field; a text may begin like one
@@ -68,7 +68,8 @@ def _digits_as_text(value: Column) -> Column:
 
 def _exact_texts(value: Column, parsed: Column) -> Column:
     """The parsed fields, fractional numbers digit for digit (the parser reads those as doubles)."""
-    return F.when(value.rlike(r":\s*-?[0-9]+[.eE]"), F.from_json(_digits_as_text(value), _PARSE_SCHEMA, _PARSE_OPTIONS)).otherwise(parsed)
+    # a number after a field's name; times inside texts have no quote before their colons
+    return F.when(value.rlike(r'"\s*:\s*-?[0-9]+[.eE]'), F.from_json(_digits_as_text(value), _PARSE_SCHEMA, _PARSE_OPTIONS)).otherwise(parsed)
 
 
 def decode_posts(log: DataFrame, on_error: str = "quarantine") -> DataFrame:
@@ -81,8 +82,9 @@ def decode_posts(log: DataFrame, on_error: str = "quarantine") -> DataFrame:
     if on_error not in ("quarantine", "fail"):
         raise ValueError(f"on_error must be 'quarantine' or 'fail', not {on_error!r}")
     parsed_col = "_ll_parsed"
-    staged = log.withColumn(parsed_col, parse_post(F.col("value")))
-    parsed = F.col(parsed_col)
+    texts_col = "_ll_texts"
+    staged = log.withColumn(parsed_col, parse_post(F.col("value"))).withColumn(texts_col, _exact_texts(F.col("value"), F.col(parsed_col)))
+    parsed, texts = F.col(parsed_col), F.col(texts_col)
     status = decode_status(F.col("value"), parsed)
     if on_error == "fail":
         message = F.concat(
@@ -90,7 +92,6 @@ def decode_posts(log: DataFrame, on_error: str = "quarantine") -> DataFrame:
             F.col("partition").cast("string"), F.lit("@"), F.col("offset").cast("string"), F.lit(": "), status,
         )
         status = F.when(status.isin(OK, SKIP), status).otherwise(F.raise_error(message).cast("string"))
-    texts = _exact_texts(F.col("value"), parsed)
     post = F.when(status == OK, F.struct(*[texts[f].alias(f) for f in POST_FIELDS]))
     # status and post leave through a one-row generator: a later filter on the status then stays above
     # it instead of being pushed below the parse with the parse expression copied into the predicate
