@@ -23,9 +23,8 @@ def audit_duplicates(delivered: DataFrame, keys: list[str], offset_col: str = "o
     )
 
 
-#: Offsets of a block, and blocks of the next level.
+#: Offsets of a block.
 BLOCK = 1_024
-FAN = 64
 
 
 def block_sums(positions: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -43,24 +42,18 @@ def _differing(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return met.where(~same).select(*keys)
 
 
-def differing_blocks(log: DataFrame, stored: DataFrame, block: int = BLOCK, fan: int = FAN) -> DataFrame:
+def differing_blocks(log: DataFrame, stored: DataFrame, block: int = BLOCK) -> DataFrame:
     """Blocks (topic, partition, block) of offsets whose positions are not the same in both, found level by level:
-    partitions first, then blocks of blocks of those, then blocks. Sums are computed once and stored."""
-    levels = [scratch_table(block_sums(df, block), "block-sums") for df in (log, stored)]
-    wanted = None
-    for keys, width in ((["topic", "partition"], None), (["topic", "partition", "block"], fan), (["topic", "partition", "block"], 1)):
-        sides = []
-        for sums in levels:
-            rows = sums if wanted is None else join_bounded(sums.withColumn("_up", F.floor(F.col("block") / wanted[1])) if wanted[1] else sums, wanted[0], wanted[2], "left_semi")
-            if width:
-                rows = rows.withColumn("block", F.floor(F.col("block") / width).cast("long"))
-            sides.append(rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.sum("s").alias("s")))
-        found = scratch_table(_differing(*sides, keys), "differing")
-        if width is None:
-            wanted = (found, None, ["topic", "partition"])
-        else:
-            wanted = (found.withColumnRenamed("block", "_up"), width, ["topic", "partition", "_up"])
-    return found
+    sums of whole partitions first, then the blocks of partitions that differ. Block sums are computed once."""
+    left, right = (scratch_table(block_sums(df, block), "block-sums") for df in (log, stored))
+    keys = ["topic", "partition"]
+    whole = [df.groupBy(*keys).agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.sum("s").alias("s")) for df in (left, right)]
+    partitions = _differing(*whole, keys).collect()  # a row per partition of the log at most
+    found = left.sparkSession.createDataFrame([tuple(r) for r in partitions], "topic string, partition int")
+    if not partitions:
+        return left.select(*keys, "block").limit(0)
+    near = [join_bounded(df, found, keys, "left_semi", rows=len(partitions)) for df in (left, right)]
+    return scratch_table(_differing(*near, [*keys, "block"]), "differing-blocks")
 
 
 def audit_missing(log: DataFrame, sink: DataFrame, block: int = BLOCK) -> DataFrame:

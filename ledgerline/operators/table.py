@@ -213,8 +213,7 @@ class ResultTable:
             .write.option("parquet.block.size", str(ROW_GROUP_BYTES)).partitionBy("bucket").parquet(f"{folder}/rows")
         )
         if sketch is None:
-            written = self.spark.read.schema("id string, bucket int").parquet(f"{folder}/rows").where("id is not null")
-            bits = written.select("bucket", _slot(F.xxhash64("id"), manifest.slots).alias("slot"), F.explode(_positions(F.col("id"))).alias("at"))
+            bits = rows.where("id is not null").select("bucket", _slot(F.xxhash64("id"), manifest.slots).alias("slot"), F.explode(_positions(F.col("id"))).alias("at"))
             sketch = bits.groupBy("bucket", "slot").agg(F.bitmap_construct_agg("at").alias("bits"))
         sketch.select(F.lit(name).alias("name"), "bucket", "slot", "bits").write.parquet(f"{folder}/sketch")
         return parts, progress
