@@ -42,13 +42,14 @@ _ORDER = ["partition", "offset", "topic"]
 def keyed_state_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session (same context) with RocksDB state stores; build the keyed stream on it.
 
-    ``state_partitions`` (default: the session's shuffle partitions) is fixed in the checkpoint at the
-    first run; the index has one entry per stored key, so on a cluster keep it large.
+    ``state_partitions`` is fixed in the checkpoint at the first run; by default the session's shuffle partitions, but
+    no more than leave each some buckets of keys. An index of more buckets should have more of them.
     """
     sibling = spark.newSession()
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    if state_partitions is not None:
-        sibling.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    if state_partitions is None:
+        state_partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), KEY_BUCKETS // 8)
+    sibling.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
     return sibling
 
 
