@@ -61,6 +61,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hot_join(rows: DataFrame, keys: DataFrame, on: list[str], least: int = 1000) -> DataFrame:
+    """Inner join of ``rows`` with a stored table of one row per key, whose column ``c`` says how many rows have that key.
+
+    Keys of a thousandth of all rows or more (at most a thousand of them, ``least`` rows each) are broadcast, so their
+    rows stay where they are; only the rows of other keys are shuffled. ``c`` is not returned.
+    """
+    total = keys.agg(F.sum("c")).first()[0] or 0
+    bound = max(least, -(-total // 1000))
+    hot, cold = keys.where(F.col("c") >= bound).drop("c"), keys.where(F.col("c") < bound).drop("c")
+    if hot.isEmpty():
+        return rows.join(cold, on)
+    apart = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on)
+    return rows.join(F.broadcast(hot), on).unionByName(apart)
+
+
 def crc32_mod(column, mod: int):
     """crc32 of the value as text, modulo ``mod`` (the folds of the classifiers)."""
     return F.crc32(column.cast("string").cast("binary")) % F.lit(mod)

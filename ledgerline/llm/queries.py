@@ -25,7 +25,7 @@ from .vectorcode import compress
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = ngram_jaccard_join(table(spark, sf_dir, "documents"))
-    return joined.documents().select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"), "class_id")
+    return joined.documents().select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"), "class_id", "n_links")
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

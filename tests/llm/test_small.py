@@ -65,6 +65,33 @@ def test_jaccard_join_against_all_pairs(documents):
     assert n[900] == n[901] == n[902] == 0 and n[903] == 1 and n[910] == 1
 
 
+def test_jaccard_join_counts_every_link(documents, monkeypatch):
+    """One large group of near copies in many tiles, copies of some texts, a chain, and two texts of one id."""
+    monkeypatch.setattr(jaccard, "TILE", 16)
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(80)]
+    rows = []
+    for k in range(120):
+        w = list(base)
+        for _ in range(rng.randrange(1, 4)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(40)}"
+        rows.append((k, " ".join(w[: rng.randrange(66, 81)])))
+    rows += [(200 + k, rows[k][1]) for k in range(10)]
+    rows += [(300 + k, " ".join(f"c{i}" for i in range(4 * k, 4 * k + 60))) for k in range(8)]
+    rows += [(7, rows[9][1]), (7, rows[9][1]), (7, " ".join(f"c{i}" for i in range(60)))]
+    sets = {}
+    for i, t in rows:
+        w = t.split()
+        sets.setdefault(frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)), set()).add(i)
+    name = {s: min(ids) for s, ids in sets.items()}
+    links = {s: sum(name[s] != name[o] and 100 * len(s & o) >= 75 * len(s | o) for o in sets) for s in sets}
+    want = sorted((i, name[s], links[s]) for i, t in rows for w in [t.split()] for s in [frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4))])
+    got = jaccard.ngram_jaccard_join(documents(rows)).documents().collect()
+    assert sorted((r["id"], r["class_id"], r["n_links"]) for r in got) == want and max(links.values()) > 40
+    group = plain_jaccard(rows)
+    assert all(group[r["id"]] == r["comp"] for r in got)
+
+
 def test_jaccard_join_of_nothing(documents):
     assert jaccard.ngram_jaccard_join(documents([])).documents().count() == 0
 
