@@ -23,8 +23,8 @@ from .common import ready, stored
 SHARD = 4_096
 PIVOTS = 64
 LEAF = 64
-#: Largest integer component whose products are taken in double precision without rounding.
-EXACT = float(1 << 23)
+#: Double precision holds all integers up to here, so an inner product whose parts cannot sum to more is exact.
+EXACT = float(1 << 53)
 
 
 def quantised(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
@@ -91,7 +91,7 @@ def _bound(dot, norm, radius):
 
 
 def _scores(x: np.ndarray, q: np.ndarray, largest: float) -> list[int]:
-    if largest <= EXACT:
+    if largest * largest * max(1, len(q)) <= EXACT:
         return (x @ q).astype(np.int64).tolist()
     whole = [int(v) for v in q.tolist()]
     top = (1 << 63) - 1  # beyond long: the nearest long
