@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -53,10 +54,30 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
     return task
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: Folders written within the open :func:`scratch` blocks, innermost last.
+_open: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that :func:`stored` writes within the block when it ends, but for those with ``keep``,
+    which belong to the block around it. What leaves the block must read kept tables only."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` written to a fresh folder below ``spark.checkpoint.dir`` and read back: cuts the lineage
     in a place that every executor sees, so a lost executor costs no recomputation of what is behind it."""
     path = scratch_path(df.sparkSession, "llm", name)
+    blocks = _open[:-1] if keep else _open
+    if blocks:
+        blocks[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -91,6 +112,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     of rounds grows with the logarithm of the input. All state is in written tables; only counts
     come to the driver. Self loops and repeated edges are allowed, null ends are dropped.
     """
+    with scratch(edges.sparkSession):
+        return stored(_contracted(edges, name), name, keep=True)
+
+
+def _contracted(edges: DataFrame, name: str) -> DataFrame:
     left = stored(
         edges.where("a is not null and b is not null and a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -123,4 +149,4 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     for later in maps[1:]:
         nxt = later.select(F.col("node").alias("comp"), F.col("root").alias("_ll_up"))
         out = out.join(nxt, "comp", "left").select("node", F.coalesce("_ll_up", "comp").alias("comp"))
-    return stored(out, name) if len(maps) > 1 else out
+    return out

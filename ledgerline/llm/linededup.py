@@ -11,7 +11,8 @@ generalised in the same way. Three kinds of template come out of a leaf:
   parts gives a template, if at least ``CONSTANT`` of these positions, and ``MIN_CONSTANT`` of them, are neither
   masked nor hold a variable. So a leaf has as many templates as it has kinds of line, and whether some lines
   recur does not depend on others, and
-* a line as it is, if it has no other template: rows of numbers recur only as a whole.
+* a line as it is, if it has no other template: rows of numbers recur only as a whole, and so do lines of fewer
+  than ``SHORT_TOKENS`` tokens, from ``SHORT_DOCS`` documents on.
 
 A template found in at least ``MIN_DOCS`` distinct documents recurs, and so does a line of at least
 ``LONG_TOKENS`` tokens that stands as it is in ``LONG_DOCS``: its lines are dropped everywhere but in
@@ -25,14 +26,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import scratch, stored
 
 MIN_DOCS = 3
 #: A passage this long is no chance: two documents that hold it suffice.
 LONG_TOKENS, LONG_DOCS = 50, 2
 LEAD = 3
-#: Lines with fewer tokens are never templates: they recur by chance.
-MIN_TOKENS = 4
+#: Lines with fewer tokens recur by chance: they have no template, and as they are they recur from this many documents on.
+SHORT_TOKENS, SHORT_DOCS = 4, 8
 #: Parts of the positions behind the leading tokens.
 PARTS = 16
 CONSTANT, SHAPE_CONSTANT = 0.75, 0.5
@@ -49,7 +50,7 @@ def _doc_key(id_col: str, text_col: str) -> list[Column]:
 
 
 def line_templates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per line with enough tokens: id, digest, line (from 0), n, leaf, exact, shape, general (may the
+    """One row per line with a token: id, digest, line (from 0), n, leaf, exact, shape, general (may the
     shape be a template), form (the shape as text; null if none of its tokens may be masked)."""
     text = F.col(text_col).cast("string")
     # shaped before the lines are split: what a generator returns is not computed again for each use
@@ -58,10 +59,10 @@ def line_templates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     lines = docs.where(text.isNotNull()).select(*_doc_key(id_col, text_col), F.posexplode(both).alias("line", "raw"))
     shaped = lines.select("id", "digest", "line", F.btrim("raw.shape").alias("shape"), F.btrim("raw.exact").alias("exact"))
     n = F.when(F.col("shape") == "", 0).otherwise(F.length("shape") - F.length(F.replace("shape", F.lit(" "), F.lit(""))) + 1)
-    shaped = shaped.withColumn("n", n).where(F.col("n") >= MIN_TOKENS)
+    shaped = shaped.withColumn("n", n).where(F.col("n") > 0)
     lead = F.substring_index("shape", " ", LEAD)
     fixed = F.col("n") - ((F.length("shape") - F.length(F.replace("shape", F.lit("<*>"), F.lit("")))) / 3).cast("int")
-    general = (fixed >= MIN_CONSTANT) & (fixed >= F.col("n") * SHAPE_CONSTANT)
+    general = (F.col("n") >= SHORT_TOKENS) & (fixed >= MIN_CONSTANT) & (fixed >= F.col("n") * SHAPE_CONSTANT)
     m = F.col("n") - LEAD
     text = F.when((m - 1 >= m * CONSTANT) & (m - 1 >= MIN_CONSTANT) & (fixed >= MIN_CONSTANT), F.col("shape"))
     return shaped.select(
@@ -83,23 +84,32 @@ def _parts(tokens: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), k - 1), part)
 
 
+#: Each two of four quarters of the parts, and by the quarters of two parts the pairs (as bits) that hold neither.
+HALVES = [(a, b) for a in range(4) for b in range(a + 1, 4)]
+OPEN = [sum(1 << k for k, half in enumerate(HALVES) if a not in half and b not in half) for a in range(4) for b in range(4)]
+
+
 def _halves(parts: Column) -> Column:
     """Hashes of each two of four quarters of the parts: two masked parts leave one of these pairs whole."""
     hashes, k = F.transform(parts, lambda p: p["h"]), F.size(parts)
     begin = lambda q: F.floor(k * q / 4).cast("int")
     quarter = lambda q: F.slice(hashes, begin(q) + 1, begin(q + 1) - begin(q))
-    return F.array(*[F.xxhash64("leaf", F.lit(4 * a + b), quarter(a), quarter(b)) for a in range(4) for b in range(a + 1, 4)])
+    return F.array(*[F.xxhash64("leaf", F.lit(4 * a + b), quarter(a), quarter(b)) for a, b in HALVES])
 
 
-def _masks(n: Column, parts: Column) -> Column:
-    """Hashes of the masked forms: pairs i <= j of parts, written as one number."""
+def _masks(n: Column, parts: Column, halves: Column) -> Column:
+    """Hashes of the masked forms: pairs i <= j of parts, written as one number, that leave one of the ``halves``
+    (as bits) whole; no other form is one of two shapes."""
     k = F.size(parts)
+    quarter = lambda x: sum((x >= F.floor(k * q / 4)).cast("int") for q in (1, 2, 3))
+    opened = F.array(*[F.lit(x) for x in OPEN])
     i, j = (lambda x: F.floor(x / k).cast("int")), (lambda x: x % k)
     held = F.aggregate(parts, F.lit(0), lambda a, p: a + p["held"])
 
     def may(x: Column) -> Column:
         left = held - parts[i(x)]["held"] - F.when(i(x) < j(x), parts[j(x)]["held"]).otherwise(0)
-        return (i(x) <= j(x)) & (left >= MIN_CONSTANT) & (left >= (n - LEAD) * CONSTANT)
+        whole = F.get(opened, quarter(i(x)) * 4 + quarter(j(x))).bitwiseAND(halves) != 0
+        return (i(x) <= j(x)) & whole & (left >= MIN_CONSTANT) & (left >= (n - LEAD) * CONSTANT)
 
     form = lambda x: F.xxhash64("leaf", x, F.transform(parts, lambda p, at: F.when((at != i(x)) & (at != j(x)), p["h"])))
     return F.transform(F.filter(F.sequence(F.lit(0), k * k - 1), may), form)
@@ -132,11 +142,13 @@ def recurring(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     few = _shared(shapes.where("masked"), "leaf").select("shape", "docs", "first", "last")
     few = lines.where("form is not null").join(few, "shape").where(_place() == F.col("first"))
     parts = F.get(F.transform(F.array(F.split("form", " ")), _parts), F.lit(0))
-    few = stored(few.select("leaf", "n", "shape", "docs", "first", "last", parts.alias("parts")), "few")
+    few = few.select("leaf", "n", "shape", "docs", "first", "last", parts.alias("parts")).dropDuplicates(["shape"])
+    few = stored(few, "few")
     # a masked form recurs only with another shape that has half of its parts
-    near = _shared(few.select("shape", "docs", F.explode(_halves(F.col("parts"))).alias("half")), "half").select("shape").distinct()
-    few = few.join(near, "shape", "left_semi")
-    forms = stored(few.select("shape", "docs", "first", "last", F.explode(_masks(F.col("n"), F.col("parts"))).alias("form")), "forms")
+    near = _shared(few.select("shape", "docs", F.posexplode(_halves(F.col("parts"))).alias("k", "half")), "half")
+    near = near.groupBy("shape").agg(F.bit_or(F.expr("shiftleft(1, k)")).alias("halves"))
+    few = few.join(near, "shape")
+    forms = stored(few.select("shape", "docs", "first", "last", F.explode(_masks(F.col("n"), F.col("parts"), F.col("halves"))).alias("form")), "forms")
     forms = stored(_shared(forms, "form"), "forms")
     ends = forms.select("form", "docs", "first", F.explode(F.array("first", "last")).alias("d")).groupBy("form", *[F.col(f"d.{c}").alias(c) for c in doc]).agg(F.max("docs").alias("docs"), F.min("first").alias("first"))
     masked = ends.groupBy("form").agg(F.count(F.lit(1)).alias("distinct"), F.max("docs").alias("docs"), F.min("first").alias("first"))
@@ -146,12 +158,13 @@ def recurring(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     chosen = stored(by_form.unionAll(by_shape).groupBy("shape").agg(F.min("first").alias("first")), "templates")
     # a short line of a general shape recurs no more often than its shape
     whole = lines.where(~F.col("general") | (F.col("n") >= LONG_TOKENS)).join(chosen, "shape", "left_anti")
-    return _often("exact", whole, F.when(F.col("n") >= LONG_TOKENS, LONG_DOCS).otherwise(MIN_DOCS)), chosen
+    return _often("exact", whole, F.when(F.col("n") >= LONG_TOKENS, LONG_DOCS).when(F.col("n") < SHORT_TOKENS, SHORT_DOCS).otherwise(MIN_DOCS)), chosen
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, digest, lines): the numbers of the lines to drop, one row per distinct document with any."""
-    lines = stored(line_templates(docs, id_col, text_col).distinct(), "lines")
+    # rows that repeat id and text fall together where documents are counted
+    lines = stored(line_templates(docs, id_col, text_col), "lines")
     exacts, shapes = recurring(lines)
     exacts = stored(exacts, "templates")
     away = _place() != F.col("first")
@@ -173,7 +186,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     null id counts as the last one. Of ties the smaller id, then text hash, then line is the first place.
     Extra columns of any name are carried along. An empty table gives an empty table.
     """
-    gone = stored(dropped_lines(docs, id_col, text_col), "dropped")
+    with scratch(docs.sparkSession):
+        gone = stored(dropped_lines(docs, id_col, text_col), "dropped", keep=True)
     g = gone.select(F.col("id").alias("_ll_id"), F.col("digest").alias("_ll_digest"), F.col("lines").alias("_ll_lines"))
     on = F.col(id_col).cast("long").eqNullSafe(F.col("_ll_id")) & (F.xxhash64(F.col(text_col)) == F.col("_ll_digest"))
     joined = docs.join(g, on, "left")

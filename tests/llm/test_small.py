@@ -170,6 +170,26 @@ def test_line_dedup_finds_templates_beside_unrelated_lines(documents):
     assert kept_lines(documents, rows[:2] + others)[1] == rows[1][1].split("\n")
 
 
+def test_line_dedup_drops_short_lines_that_many_documents_hold(documents):
+    rows = [(k, f"Read more here\nonly document {k} has a line such as this {k}x{k}" + ("\nOh no" if k < 7 else "")) for k in range(1, 9)]
+    got = kept_lines(documents, rows + rows[:1])
+    assert got[1][0] == "Read more here" and all("Read more here" not in got[k] for k in range(2, 9))
+    assert all("Oh no" in got[k] for k in range(1, 7))
+
+
+def test_scratch_tables_go_but_for_those_kept(spark):
+    from ledgerline.llm.common import scratch, stored
+
+    with scratch(spark):
+        with scratch(spark):
+            inner, outer = stored(spark.range(3), "gone"), stored(spark.range(4), "kept", keep=True)
+            paths = inner.inputFiles()
+        assert outer.count() == 4 and paths
+        files = outer.inputFiles()
+    exists = lambda f: spark._jvm.org.apache.hadoop.fs.Path(f).getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(f))
+    assert not any(map(exists, paths + files))
+
+
 def test_mixing_meets_the_targets(spark, documents):
     rows = [(k, "w " * (1 + k * k % 97), "en", f"s{k % 7}") for k in range(400)] + [(500, None, "en", "s1"), (501, "", "en", None), (502, "a b", "en", None), (502, "a b", "en", None)]
     got = mixing.mix_sources(documents(rows)).collect()
