@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.bpe import bpe_encode_decode
-from ledgerline.llm.common import crc32_mod, stored, table
+from ledgerline.llm.common import crc32_mod, scratch, stored, table
 from ledgerline.llm.jaccard import ngram_jaccard_join
 from ledgerline.llm.langid import identify_languages, train
 from ledgerline.llm.linededup import dedup_lines
@@ -30,10 +30,11 @@ MIN_SHARE = 0.4
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those that no learned language makes up a fair share of."""
-    model = train(docs.where(crc32_mod(F.col("doc_id"), 4) != 2), "doc_id", "text", "lang")
-    keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("digest")).alias("key"), "text")
-    found = identify_languages(keyed, model, "key", "text")
-    bad = stored(found.where((F.col("lang_pred") == "und") | (F.col("score") < MIN_SHARE)).select("id.*").distinct(), "rejected")
+    with scratch(spark):
+        model = train(docs.where(crc32_mod(F.col("doc_id"), 4) != 2), "doc_id", "text", "lang")
+        keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("digest")).alias("key"), "text")
+        found = identify_languages(keyed, model, "key", "text")
+        bad = stored(found.where((F.col("lang_pred") == "und") | (F.col("score") < MIN_SHARE)).select("id.*").distinct(), "rejected", keep=True)
     bad = bad.select(F.col("doc_id").alias("_ll_id"), F.col("digest").alias("_ll_digest"))
     return join_bounded(docs, bad, docs["doc_id"].eqNullSafe(bad["_ll_id"]) & (F.xxhash64(docs["text"]) == bad["_ll_digest"]), "left_anti")
 
@@ -46,11 +47,12 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest document of each group of near copies."""
-    groups = ngram_jaccard_join(docs).documents()
-    gone = stored(groups.where("id <> comp").select(F.col("id").alias("_ll_id")).distinct(), "near_copies")
+    with scratch(spark):
+        groups = ngram_jaccard_join(docs).documents()
+        gone = stored(groups.where("id <> comp").select(F.col("id").alias("_ll_id")).distinct(), "near_copies", keep=True)
+        single = groups.groupBy("id").count().where("count > 1").isEmpty()
     kept = join_bounded(docs, gone, docs["doc_id"] == gone["_ll_id"], "left_anti")
-    repeated = groups.groupBy("id").count().where("count > 1").isEmpty()
-    if repeated:
+    if single:
         return kept
     # rows without an id took no part; texts of one id that differ all stay
     known = kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
@@ -59,9 +61,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats every document as often as the mix takes it (0, 1 or 2 times)."""
-    mixed = mix_sources(docs)
-    times = mixed.groupBy("id", "digest", "source").agg(F.sum("copies").alias("_ll_times"), F.count(F.lit(1)).alias("_ll_rows"))
-    times = stored(times.withColumnsRenamed({"id": "_ll_id", "digest": "_ll_digest", "source": "_ll_source"}), "times")
+    with scratch(spark):
+        mixed = mix_sources(docs)
+        times = mixed.groupBy("id", "digest", "source").agg(F.sum("copies").alias("_ll_times"), F.count(F.lit(1)).alias("_ll_rows"))
+        times = stored(times.withColumnsRenamed({"id": "_ll_id", "digest": "_ll_digest", "source": "_ll_source"}), "times", keep=True)
     single = times.where("_ll_rows > 1").isEmpty()
     rows = docs if single else docs.dropDuplicates(["doc_id", "text", "source"])
     on = rows["doc_id"].eqNullSafe(times["_ll_id"]) & (F.xxhash64(rows["text"]) == times["_ll_digest"]) & rows["source"].eqNullSafe(times["_ll_source"])
