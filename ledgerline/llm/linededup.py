@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import join_bounded
 from .common import scratch, stored
 
 MIN_DOCS = 3
@@ -51,7 +52,7 @@ def _doc_key(id_col: str, text_col: str) -> list[Column]:
 
 def line_templates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per line with a token: id, digest, line (from 0), n, leaf, exact, shape, general (may the
-    shape be a template), form (the shape as text; null if none of its tokens may be masked)."""
+    shape be a template), masked (may some of its tokens be masked)."""
     text = F.col(text_col).cast("string")
     # shaped before the lines are split: what a generator returns is not computed again for each use
     split = lambda t: F.arrays_zip(F.split(F.regexp_replace(t, VARIABLE, "<*>"), "\n").alias("shape"), F.split(t, "\n").alias("exact"))
@@ -64,10 +65,10 @@ def line_templates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     fixed = F.col("n") - ((F.length("shape") - F.length(F.replace("shape", F.lit("<*>"), F.lit("")))) / 3).cast("int")
     general = (F.col("n") >= SHORT_TOKENS) & (fixed >= MIN_CONSTANT) & (fixed >= F.col("n") * SHAPE_CONSTANT)
     m = F.col("n") - LEAD
-    text = F.when((m - 1 >= m * CONSTANT) & (m - 1 >= MIN_CONSTANT) & (fixed >= MIN_CONSTANT), F.col("shape"))
+    masked = (m - 1 >= m * CONSTANT) & (m - 1 >= MIN_CONSTANT) & (fixed >= MIN_CONSTANT)
     return shaped.select(
         "id", "digest", "line", "n", F.xxhash64("n", lead).alias("leaf"), F.xxhash64(F.lit("line"), "exact").alias("exact"),
-        F.xxhash64(F.lit("shape"), "n", "shape").alias("shape"), general.alias("general"), text.alias("form"),
+        F.xxhash64(F.lit("shape"), "n", "shape").alias("shape"), general.alias("general"), masked.alias("masked"),
     )
 
 
@@ -131,19 +132,33 @@ def _shared(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(keys.where((F.col("a") != F.col("b")) & (F.col("docs") >= MIN_DOCS)).select(key), key, "left_semi")
 
 
-def recurring(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _shape_texts(docs: DataFrame, places: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``places`` (a row per shape, with its first place) and ``form``, the shape as text: read again from the
+    documents of these places, so that no line's text is stored or shuffled by its shape."""
+    held = places.groupBy(F.col("first.id").alias("_id"), F.col("first.digest").alias("_digest")).agg(F.collect_list(F.struct(*places.columns)).alias("held"))
+    held = stored(held, "held")
+    text = F.col(text_col).cast("string")
+    rows = docs.where(text.isNotNull()).select(*_doc_key(id_col, text_col), F.regexp_replace(text, BLANKS, " ").alias("t"))
+    same = lambda x: rows["id"].eqNullSafe(x["_id"]) & (rows["digest"] == x["_digest"])
+    keys = held.select("_id", "_digest")
+    rows = join_bounded(rows, keys, same(keys), "left_semi")
+    pieces = lambda p: F.transform("held", lambda h: F.struct(h.alias("h"), F.get(p, h["first"]["line"]).alias("t")))
+    # the text is split once for all lines of it
+    found = rows.join(held, same(held)).select(F.explode(F.get(F.transform(F.array(F.split("t", "\n")), pieces), F.lit(0))).alias("x"))
+    return found.select("x.h.*", F.btrim(F.regexp_replace("x.t", VARIABLE, "<*>")).alias("form")).dropDuplicates(["shape"])
+
+
+def recurring(lines: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(exact, first place) of lines that recur as they are, and (shape, first place) of those that recur by
     their shape or a masked form of it: of all that do, the earliest place."""
     doc = ["nil", "id", "digest"]
-    per_doc = lines.groupBy("shape", "leaf", "n", "general", F.isnotnull("form").alias("masked"), "id", "digest").agg(F.min("line").alias("line"))
+    per_doc = lines.groupBy("shape", "leaf", "n", "general", "masked", "id", "digest").agg(F.min("line").alias("line"))
     shapes = per_doc.groupBy("shape", "leaf", "n", "general", "masked").agg(F.count(F.lit(1)).alias("docs"), F.min(_place()).alias("first"), F.max(_place()).alias("last"))
     shapes = stored(shapes, "shapes")
     # leaves of several shapes in enough documents; a shape in two documents is in its first and last
-    few = _shared(shapes.where("masked"), "leaf").select("shape", "docs", "first", "last")
-    few = lines.where("form is not null").join(few, "shape").where(_place() == F.col("first"))
+    few = _shape_texts(docs, _shared(shapes.where("masked"), "leaf").select("shape", "leaf", "n", "docs", "first", "last"), id_col, text_col)
     parts = F.get(F.transform(F.array(F.split("form", " ")), _parts), F.lit(0))
-    few = few.select("leaf", "n", "shape", "docs", "first", "last", parts.alias("parts")).dropDuplicates(["shape"])
-    few = stored(few, "few")
+    few = stored(few.select("leaf", "n", "shape", "docs", "first", "last", parts.alias("parts")), "few")
     # a masked form recurs only with another shape that has half of its parts
     near = _shared(few.select("shape", "docs", F.posexplode(_halves(F.col("parts"))).alias("k", "half")), "half")
     near = near.groupBy("shape").agg(F.bit_or(F.expr("shiftleft(1, k)")).alias("halves"))
@@ -165,7 +180,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(id, digest, lines): the numbers of the lines to drop, one row per distinct document with any."""
     # rows that repeat id and text fall together where documents are counted
     lines = stored(line_templates(docs, id_col, text_col), "lines")
-    exacts, shapes = recurring(lines)
+    exacts, shapes = recurring(lines, docs, id_col, text_col)
     exacts = stored(exacts, "templates")
     away = _place() != F.col("first")
     by_exact = lines.join(exacts, "exact").where(away).select("id", "digest", "line")
