@@ -6,8 +6,9 @@ the one nearest to taking every document once (relative entropy) is exponentiall
 over a table of distinct (source, size) with counts, so a hot source or a group of copies is a few rows after
 a partial aggregate, and every iteration is one aggregate over that table, safeguarded by a bracket. The rates
 are rounded into whole copies (0, 1 or 2) along each source in descending size: copies of a document are the
-steps of the rounded running sum of rates, so their words stay within one document's size of the target; a
-few single-document corrections of the remainder follow.
+steps of the rounded running sum of rates, so their words stay within one document's size of the target. What
+remains is filled by single copies, largest sizes first, until no document fits. The sums that steer the iterations are
+decimals, so they do not depend on the order in which a shuffle delivers, and reruns agree.
 """
 
 from __future__ import annotations
@@ -15,13 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import join_bounded
 from ..operators.ordering import dense_positions
-from .common import WORD_PATTERN, stored
+from .common import WORD_PATTERN, hot_join, stored
 
 #: Weights of the sources in code-point order, repeated; all sources together get this share of all words.
 WEIGHTS, SHARE, CAP = (5.0, 2.0, 1.0), 1.5, 2.0
-NEWTON_STEPS, TOLERANCE = 40, 1e-7
-CORRECTIONS = 4
+TOLERANCE = 1e-7
+#: Sums of this type are the same in any order; up to 10^28 words.
+EXACT = "decimal(38,9)"
 
 
 def words_in(text: Column) -> Column:
@@ -69,15 +72,15 @@ def _solve(hist: DataFrame, goal: DataFrame) -> DataFrame:
         (F.col("target") >= CAP * F.col("source_size") * (1 - 1e-9)).alias("full"), F.lit(False).alias("done"),
     )
     state = stored(state, "dual")
-    for _ in range(NEWTON_STEPS):
+    while not state.where("not done and not full").isEmpty():
         h = hist.withColumnRenamed("source", "_s")
         x = F.col("size") / F.col("scale")
         tilt = F.exp(F.least(F.col("lam") * x, F.lit(60.0)))
         rate = F.least(tilt, F.lit(CAP))
         joined = state.where("not full and not done").join(h, state["source"].eqNullSafe(F.col("_s")))
         sums = joined.groupBy("_s").agg(
-            F.sum(F.col("n") * F.col("size") * rate).alias("taken"),
-            F.sum(F.when(tilt < CAP, F.col("n") * F.col("size") * x * rate).otherwise(0.0)).alias("slope"),
+            F.sum((F.col("n") * F.col("size") * rate).cast(EXACT)).cast("double").alias("taken"),
+            F.sum(F.when(tilt < CAP, F.col("n") * F.col("size") * x * rate).otherwise(0.0).cast(EXACT)).cast("double").alias("slope"),
         )
         g = F.col("taken") - F.col("target")
         lo = F.when(g < 0, F.col("lam")).otherwise(F.col("lo"))
@@ -86,7 +89,9 @@ def _solve(hist: DataFrame, goal: DataFrame) -> DataFrame:
         # outside the bracket, or without curvature: bisect, or double where a side is open
         inside = (F.col("slope") > 0) & (F.col("lo").isNull() | (step > F.col("lo"))) & (F.col("hi").isNull() | (step < F.col("hi"))) & (F.abs(step) <= 4 * F.abs(F.col("lam")) + 4)
         back = F.when(F.col("lo").isNull(), F.col("hi") - F.abs(F.col("hi")) - 1).when(F.col("hi").isNull(), F.col("lo") + F.abs(F.col("lo")) + 1).otherwise((F.col("lo") + F.col("hi")) / 2)
-        near = F.abs(g) <= TOLERANCE * F.col("target")
+        # done too where no number lies between the bracket's ends: every step narrows the bracket or doubles its reach, so this ends
+        middle = (F.col("lo") + F.col("hi")) / 2
+        near = (F.abs(g) <= TOLERANCE * F.col("target")) | F.coalesce((middle <= F.col("lo")) | (middle >= F.col("hi")), F.lit(False))
         moved = state.join(sums, state["source"].eqNullSafe(F.col("_s")), "left").withColumn("lo", lo).withColumn("hi", hi)
         moved = moved.select(
             "source", "target", "source_size", "scale",
@@ -94,8 +99,6 @@ def _solve(hist: DataFrame, goal: DataFrame) -> DataFrame:
             "lo", "hi", "full", (F.col("done") | near | F.col("taken").isNull()).alias("done"),
         )
         state = stored(moved.select("source", "target", "source_size", "scale", "lam", "lo", "hi", "full", F.coalesce("done", F.lit(True)).alias("done")), "dual")
-        if state.where("not done and not full").isEmpty():
-            break
     return state.select("source", "lam", "scale", "full")
 
 
@@ -124,17 +127,26 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rated = rated.withColumn("rate", F.coalesce("rate", F.lit(0.0)))
     before = _running(rated)
     place = dense_positions(rows, ["source", "size"], ["id", "digest"], "place").rows
-    b = before.select(F.col("source").alias("_s"), F.col("size").alias("_z"), "rate", "before")
-    g = goal.select(F.col("source").alias("_g"), "source_size", "target")
-    # one row per source and distinct size on the small side, so that a hot source is no hot key
-    full = place.join(b, place["source"].eqNullSafe(F.col("_s")) & (place["size"] == F.col("_z")), "left").drop("_s", "_z")
-    full = full.join(g, full["source"].eqNullSafe(F.col("_g")), "left").drop("_g")
+    # hot sources, and copies of one text, which share a source and a size, stay where they are
+    b = stored(_keyed(before).select(*KEY, "size", "rate", "before", F.col("n").alias("c")), "steps")
+    counts = hist.groupBy("source").agg(F.sum("n").alias("c"))
+    g = goal.join(counts.withColumnRenamed("source", "_g"), goal["source"].eqNullSafe(F.col("_g")))
+    g = stored(_keyed(g).select(*KEY, "source_size", "target", "c"), "goals")
+    full = hot_join(hot_join(_keyed(place), b, [*KEY, "size"]), g, KEY)
     step = lambda k: F.floor(F.col("before") + k * F.col("rate") + 0.5 + 1e-9)
     copies = F.greatest(F.lit(0), F.least(F.lit(int(CAP)), step(F.col("place") + 1) - step(F.col("place"))))
     out = stored(full.select("id", "source", "digest", "size", "source_size", "target", "rate", "place", copies.cast("int").alias("copies")), "copies")
     return _corrected(out, goal)
 
 
+#: A source as two columns that are never null.
+KEY = ["_none", "_source"]
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_none", F.col("source").isNull()).withColumn("_source", F.coalesce("source", F.lit("")))
+
+
 def _running(rated: DataFrame) -> DataFrame:
     """Adds ``before``: the rates of all larger documents of the source, only the fraction of which matters.
 
@@ -147,27 +159,40 @@ def _running(rated: DataFrame) -> DataFrame:
 
 
 def _corrected(out: DataFrame, goal: DataFrame) -> DataFrame:
-    """Changes at most ``CORRECTIONS`` documents per source by one copy each, every time the largest document
-    that is not above what the source's words still are off (a partial aggregate per source)."""
-    change = None
-    for _ in range(CORRECTIONS):
-        now = out if change is None else _changed(out, change)
-        gap = now.groupBy("source").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap")).withColumnRenamed("source", "_s")
-        gap = gap.where(F.abs("gap") >= 1)
-        fits = (F.col("size") > 0) & (F.col("size") <= F.abs("gap")) & F.when(F.col("gap") > 0, F.col("copies") < int(CAP)).otherwise(F.col("copies") > 0)
-        joined = now.join(gap, now["source"].eqNullSafe(F.col("_s"))).where(fits)
-        pick = joined.groupBy("source").agg(
-            F.max(F.struct("size", F.xxhash64("id", "digest", "place"), "id", "digest", "place")).alias("p"), F.first(F.signum("gap")).alias("sign")
-        ).select("source", "p.size", "p.id", "p.digest", "p.place", F.col("sign").cast("int").alias("more"))
-        pick = stored(pick, "correction")
-        if pick.isEmpty():
-            break
-        change = pick if change is None else change.unionAll(pick)
-    return (out if change is None else _changed(out, change)).drop("place")
-
+    """Fills what every source's words still are off by single copies more, or less: from the largest size down, as many
+    documents of a size as the rest allows and as have room, until no document fits.
 
-def _changed(out: DataFrame, change: DataFrame) -> DataFrame:
-    """Copies after the corrections so far; a document is known by source, size and place."""
-    c = change.groupBy("source", "size", "place").agg(F.sum("more").cast("int").alias("more")).select(F.col("source").alias("_s"), F.col("size").alias("_z"), F.col("place").alias("_p"), "more")
-    joined = out.join(F.broadcast(c) if c.count() <= 100_000 else c, out["source"].eqNullSafe(F.col("_s")) & (out["size"] == F.col("_z")) & (out["place"] == F.col("_p")), "left")
-    return joined.withColumn("copies", F.col("copies") + F.coalesce("more", F.lit(0))).drop("_s", "_z", "_p", "more")
+    One pass is a fold over the sizes of a source that are not above its gap, and takes a document once; a
+    second pass finds room for the second copy of documents that were not taken.
+    """
+    while True:
+        gap = out.groupBy("source").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"))
+        gap = stored(gap.where(F.abs("gap") >= 1).select(F.col("source").alias("_s"), F.floor(F.abs("gap")).alias("gap"), F.signum("gap").cast("int").alias("more")), "gap")
+        if gap.isEmpty():
+            return out.drop("place")
+        sizes = out.where("size > 0").groupBy("source", "size").agg(F.count_if(F.col("copies") < int(CAP)).alias("up"), F.count_if(F.col("copies") > 0).alias("down"))
+        room = F.when(F.col("more") > 0, F.col("up")).otherwise(F.col("down"))
+        sizes = sizes.join(gap, sizes["source"].eqNullSafe(F.col("_s"))).where(F.col("size") <= F.col("gap")).withColumn("room", room).where("room > 0")
+        fits = lambda s, x: F.least(x["room"], F.floor(s["left"] / x["size"])).cast("long")
+        took = lambda s, x: F.when(fits(s, x) > 0, F.array_append(s["took"], F.struct(x["size"].alias("size"), fits(s, x).alias("m")))).otherwise(s["took"])
+        filled = F.aggregate(
+            F.reverse(F.array_sort(F.collect_list(F.struct("size", "room")))),
+            F.struct(F.first("gap").cast("long").alias("left"), F.array().cast("array<struct<size:bigint,m:bigint>>").alias("took")),
+            lambda s, x: F.struct((s["left"] - fits(s, x) * x["size"]).alias("left"), took(s, x).alias("took")),
+        )["took"]
+        picks = sizes.groupBy("source").agg(F.first("more").alias("more"), filled.alias("took")).select("source", "more", F.explode("took").alias("t")).select("source", "more", "t.*")
+        picks = stored(_keyed(picks).drop("source"), "picks")
+        if picks.isEmpty():
+            return out.drop("place")
+        out = stored(_changed(out, picks), "copies")
+
+
+def _changed(out: DataFrame, picks: DataFrame) -> DataFrame:
+    """One copy more (or less) for the first ``m`` documents with room of each picked size."""
+    room = F.when(F.col("more") > 0, F.col("copies") < int(CAP)).otherwise(F.col("copies") > 0)
+    on = [*KEY, "size"]
+    able = join_bounded(_keyed(out), picks, on).where(room)
+    ranked = dense_positions(able.select(*on, "place", "m", "more"), on, ["place"], "_nth").rows
+    chosen = stored(ranked.where(F.col("_nth") < F.col("m")).select(*on, "place", "more"), "chosen")
+    joined = join_bounded(_keyed(out), chosen, [*on, "place"], "left")
+    return joined.withColumn("copies", F.col("copies") + F.coalesce("more", F.lit(0))).select(*out.columns)
