@@ -6,7 +6,7 @@ a group of copies and none is cut short:
 
 1. Equal sets are one class (a 128-bit digest of the array and its size); only classes are joined.
 2. Sets that reach the threshold share at least ``l`` shingles within the first ``n - ceil(.75 n) + l`` of any
-   common order (``l = 1 + n // 20``, by the smaller set). Shingles frequent in a bounded sample of documents
+   common order (``l = 1 + n // 20``, by the smaller set). Frequent shingles, by hashed counters over all documents,
    are ordered last (this changes cost only, any order is exact). Shingles that only one class lists
    vanish in a partial aggregate, and with them classes that are left with too few.
 3. Classes that share a shingle with one smallest class are a group, and a class is listed once in it. Members of a
@@ -31,8 +31,10 @@ from ..operators.joins import join_bounded
 from . import words
 from .common import components, hot_join, lean, ready, scratch, stored
 
-#: Documents of the sample that tells frequent shingles, and from how many of them on one is frequent.
-SAMPLE_DOCS, FREQUENT = 20_000, 8
+#: Counters of the documents that hold a shingle (a power of two; shingles may share one), and how many of them a task sends at once.
+COUNTERS, BLOCK = 1 << 20, 1 << 16
+#: Frequent: in so many documents, and one in so many of all, above what a counter holds on average.
+FREQUENT, FREQUENT_SHARE = 8, 2500
 #: Members and bytes of one side of a tile, about: more make more sides (one set may be larger).
 TILE, TILE_BYTES = 2048, 32 << 20
 #: The key of a tile, and of a class: the smallest id of a set's documents; ``d1`` tells apart the texts of one id.
@@ -93,7 +95,7 @@ def _sketch_rows(width: int, percent: int, frequent):
     """Per text: its set's size, digest, bitmap, and prefix in the common order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = frequent.value
+        hot = _unpacked(frequent.value)
         for batch in batches:
             for a, b, raw, off in words.text_slices(batch.column(1)):
                 sets = _shingles(raw, off, width)
@@ -102,11 +104,8 @@ def _sketch_rows(width: int, percent: int, frequent):
                     d1.append(_sum(s))
                     d2.append(_sum(s, 0x2545F4914F6CDD1D))
                     keep = len(s) - (percent * len(s) + 99) // 100 + _least_common(len(s)) if len(s) else 0
-                    if len(hot) and len(s):
-                        at = np.searchsorted(hot, s)
-                        at[at == len(hot)] = 0
-                        is_hot = hot[at] == s
-                        s = np.concatenate([s[~is_hot], s[is_hot]])
+                    is_hot = hot[_counter(s)]
+                    s = np.concatenate([s[~is_hot], s[is_hot]])
                     prefix.append(s[:keep])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[a:b], pa.array([len(s) for s in sets], pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
@@ -277,17 +276,55 @@ def _linked(percent: int):
     return _tiled(work, [*CLASS, "links", "other"])
 
 
-def _frequent(texts: DataFrame, n_docs: int, width: int) -> np.ndarray:
-    """Sorted hashes of shingles that ``FREQUENT`` documents of a bounded sample hold (chosen by hash of the
-    id). The result has at most (shingles of SAMPLE_DOCS documents) / FREQUENT entries and changes cost only."""
-    share = max(1, -(-n_docs // SAMPLE_DOCS))
-    sample = texts.where(F.pmod(F.xxhash64("id"), F.lit(share)) == 0)
-    counts = (
-        sample.mapInArrow(lean(_shingle_rows(width)), "id long, d1 long, s array<long>")
-        .select(F.explode("s").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("c"))
-    )
-    found = counts.where(F.col("c") >= FREQUENT).select("t").toArrow().column(0).to_numpy()
-    return np.sort(found)
+def _counter(s: np.ndarray) -> np.ndarray:
+    """The counter of each shingle hash."""
+    return (s.view(np.uint64) & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+
+def _unpacked(bits: bytes) -> np.ndarray:
+    """A flag per counter."""
+    return np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
+
+
+def _count_rows(width: int):
+    """Per task, in blocks of counters: how many of its texts' sets hold a shingle of each counter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, np.uint32)
+        for batch in batches:
+            for _, _, raw, off in words.text_slices(batch.column(0)):
+                np.add.at(counts, _counter(np.concatenate(_shingles(raw, off, width))), 1)
+        for k, block in enumerate(counts.reshape(-1, BLOCK)):
+            if block.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([block.tobytes()], pa.binary())], ["block", "counts"])
+
+    return run
+
+
+def _frequent_rows(least: int):
+    """Sums the blocks of all tasks; per block, a bit for each counter that exceeds the block's mean by ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[k] = sums.get(k, 0) + np.frombuffer(counts, np.uint32).astype(np.int64)
+        for k, block in sums.items():
+            bits = np.packbits(block >= block.mean() + least, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([bits], pa.binary())], ["block", "bits"])
+
+    return run
+
+
+def _frequent(texts: DataFrame, n_docs: int, width: int) -> bytes:
+    """A bit per counter of shingles: whether it is of frequent ones. Every document is counted, in memory that does
+    not depend on their number; a rare shingle that shares a frequent one's counter counts as frequent, for all sets alike."""
+    least = max(FREQUENT, n_docs // FREQUENT_SHARE)
+    blocks = texts.select("text").mapInArrow(lean(_count_rows(width)), "block int, counts binary").repartition(COUNTERS // BLOCK, "block")
+    out = np.zeros(COUNTERS // 8, np.uint8)
+    for r in blocks.mapInArrow(lean(_frequent_rows(least)), "block int, bits binary").collect():  # 128 KB, whatever the input
+        out[r["block"] * BLOCK // 8 : (r["block"] + 1) * BLOCK // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out.tobytes()
 
 
 class Joined:

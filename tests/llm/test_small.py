@@ -347,3 +347,15 @@ def test_near_duplicate_stage_against_a_plain_version(documents):
 def test_size_settings_in_bytes():
     assert [parse_bytes(v) for v in ("64MB", "4m", "1048576", "2147483647b", "1g", "8k")] == [64 << 20, 4 << 20, 1 << 20, 2147483647, 1 << 30, 8 << 10]
     assert parse_bytes(None) == parse_bytes("") == float("inf")
+
+
+def test_every_document_counts_for_frequent_shingles(spark):
+    """A passage of twelve documents is frequent whatever their ids are, also beside more documents than a sample holds."""
+    rows = [(i, f"all of these words come back here w{i} x{i} y{i} z{i} q{i}") for i in range(12)]
+    rows += [(100 + i, f"a{i} b{i} c{i} d{i} e{i} f{i}") for i in range(40)]
+    flags = jaccard._unpacked(jaccard._frequent(spark.createDataFrame(rows, "id long, text string"), 100_000 // 5, 5))
+    texts = [t.encode() for t in ("all of these words come", "a1 b1 c1 d1 e1")]
+    shared, own = jaccard._shingles(np.frombuffer(b"".join(texts), np.uint8), np.int64([0, len(texts[0]), len(texts[0]) + len(texts[1])]), 5)
+    assert flags[jaccard._counter(shared)].all() and not flags[jaccard._counter(own)].any()
+    thousands = jaccard._frequent(spark.createDataFrame(rows, "id long, text string"), 20_001, 5)
+    assert jaccard._unpacked(thousands)[jaccard._counter(shared)].all()
