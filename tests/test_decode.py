@@ -99,3 +99,26 @@ def test_numbers_keep_their_text(spark):
     assert tuple(last) == ("ok", "1.50", ':12.5, \\"9.0: 1e5', "-2e3")
     assert [(r[0], r[1], r[2]) for r in got[: len(texts)]] == [("ok", t, "[x] {y}") for t in texts]
     assert [r[0] for r in got[len(texts) :]] == ["ok", "nested_value", "nested_value"]
+
+
+def test_status_is_computed_once_and_fields_only_where_they_are_read(spark):
+    from ledgerline.operators.sink import first_success_per_key
+
+    log = spark.createDataFrame([("k", '{"id":"k"}', "t", 0, 0)], "key string, value string, topic string, partition int, offset long")
+    plan = first_success_per_key(decode_posts(log))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan  # the exact texts of the fields
+    assert plan.lower().count("jsonobjectkeys") + plan.count("json_object_keys") == 1
+    whole = decode_posts(log)._jdf.queryExecution().optimizedPlan().toString()
+    assert whole.lower().count("jsonobjectkeys") + whole.count("json_object_keys") == 1
+
+
+def test_texts_that_look_like_objects_beside_objects(spark):
+    cases = {
+        '{"id":"1","text":"{\\"k\\": 7}"}': "ok", '{"id":"2","text":"{\\"k\\": {\\"l\\": [1]}}"}': "ok", '{"id":"3","text":"[x: [y"}': "ok",
+        '{"id":"4","text" :\n {"k":1}}': "nested_value", '{"id":"5","text":\t[1]}': "nested_value", '{"id":"6","text":"{\\"k\\": {}}","author":[]}': "nested_value",
+        '{"id":"7","text":"{","author": {}}': "nested_value",
+    }
+    log = spark.createDataFrame([(str(i), v, "t", 0, i) for i, v in enumerate(cases)], "key string, value string, topic string, partition int, offset long")
+    got = {r["value"]: (r["decode_status"], r["post"]) for r in decode_posts(log).collect()}
+    assert {v: s for v, (s, _) in got.items()} == cases
+    assert all((post is not None) == (s == "ok") for s, post in got.values())
