@@ -82,3 +82,14 @@ def test_a_new_checkpoint_continues_an_old_table(spark, scratch):
     assert got.where("batch_id = 0").count() == first and got.agg(F.max("batch_id")).first()[0] >= 1
     resume()  # nothing new: nothing is added
     assert read_sink(spark, sink).count() == got.count()
+
+
+def test_only_rows_of_repeated_keys_are_sorted():
+    import pandas as pd
+
+    from ledgerline.streaming.keyed import _firsts
+
+    pdf = pd.DataFrame({"key": ["c", "b", "a", "b", "b"], "partition": [0, 1, 0, 0, 0], "offset": [5, 0, 1, 9, 3], "topic": "t"})
+    assert _firsts(pdf.drop_duplicates("key")).index.tolist() == [0, 1, 2]
+    assert _firsts(pdf).index.tolist() == [0, 2, 4]
+    assert _firsts(pdf[pdf["key"] == "b"]).index.tolist() == [4]

@@ -113,3 +113,24 @@ def test_publish_append_without_broadcast(spark, scratch, monkeypatch):
         items.sort()
         assert [o for o, _ in items] == list(range(len(items)))
         assert [k for _, k in items] == sorted(k for _, k in items)
+
+
+def _encoded_above_the_shuffle(log):
+    plan = log._jdf.queryExecution().optimizedPlan().toString().lower()
+    return 0 <= plan.find("json") < plan.find("repartition") and "json" not in plan[plan.find("repartition"):]
+
+
+def test_records_are_encoded_in_their_ranges(spark, scratch, monkeypatch):
+    """Rows are shuffled to their ranges as they are, not as the larger JSON."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import sink as sink_mod
+    from ledgerline.sources import log as log_mod
+    from ledgerline.sources.fixtures import derived_log, post_fields
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    assert _encoded_above_the_shuffle(derived_log(events))
+    seen = []
+    monkeypatch.setattr(log_mod, "write_log", lambda log, path, **how: seen.append(log))
+    sink_mod.publish(events, post_fields(events), F.col("event_id"), "posts", 20, path=scratch("published"))
+    assert _encoded_above_the_shuffle(seen[0])
